@@ -90,3 +90,50 @@ def slices(batches, rows: int = 1000):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def runs(data: np.ndarray, ends: np.ndarray, member: np.ndarray):
+    """Maximal runs of bytes b with member[b] in each text.
+
+    Returns the runs' starts and ends in the data, the text of each, and a dictionary-encoded
+    column with the bytes of each run.
+    """
+    n = len(data)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, none, pa.array([], pa.binary()).dictionary_encode()
+    inside = member[data]
+    start = np.empty(n, bool)
+    start[0] = True
+    np.not_equal(inside[1:], inside[:-1], out=start[1:])
+    begins = ends[:-1][np.diff(ends) > 0]
+    start[begins] = True
+    cuts = np.flatnonzero(start)
+    is_run = inside[cuts]
+    stops = np.append(cuts[1:], n)
+    pieces = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(np.append(cuts, n).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+    own = pieces.filter(pa.array(is_run)).dictionary_encode()
+    cuts, stops = cuts[is_run], stops[is_run]
+    return cuts, stops, np.searchsorted(ends, cuts, "right") - 1, own
+
+
+def members(*ranges: tuple[int, int]) -> np.ndarray:
+    """Which bytes are in the ranges, both ends included."""
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a : b + 1] = True
+    return out
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+def characters(data: np.ndarray, ends: np.ndarray, at: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The character in its text at which each byte position stands."""
+    before = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+    return before[at] - before[ends[text]]

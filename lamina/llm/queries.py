@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe
+from lamina.llm import bpe, decontam
 
-QUERIES = {"op1_byte_bpe": bpe.op1_byte_bpe}
+QUERIES = {
+    "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op10_decontamination": decontam.op10_decontamination,
+}
 ORACLE: dict[str, str] = {}
