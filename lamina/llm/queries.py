@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, decontam
+from lamina.llm import bpe, decontam, warc_zip
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op8_warc_zip": warc_zip.op8_warc_zip,
     "op10_decontamination": decontam.op10_decontamination,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_warc_zip": warc_zip.OP8_SQL}
