@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lamina.llm import _common as C
 
-SAMPLE, SAMPLE_CHARS = 2_000, 50_000
+SAMPLE, SAMPLE_CHARS = 1_500, 50_000
 THRESHOLD = 0.3
 PREFIXES = (3, 4, 5, 6, 7)
 WORD = C.members((48, 57), (97, 122), (128, 255))
@@ -51,47 +51,53 @@ def chain(scores: np.ndarray, first: np.ndarray, transition: np.ndarray, start:
     together; only the product of each block is passed on one by one.
     """
     n = len(scores)
-    size = -(-n // BLOCK) * BLOCK
-    weight = np.ones((size, 2))
-    weight[:n, 1] = np.exp(np.clip(scores, -30, 30))
-    weight[:n] /= weight[:n].sum(axis=1, keepdims=True)
-    fresh = np.ones(size, bool)
+    count = -(-n // BLOCK)
+    one = np.zeros(count * BLOCK)
+    one[:n] = np.clip(scores, -30, 30)
+    one = 1 / (1 + np.exp(-one))
+    fresh = np.ones(count * BLOCK, bool)
     fresh[:n] = first
-    matrix = np.where(fresh[:, None, None], start[None, None, :], transition[None]) * weight[:, None, :]
-    blocks = matrix.reshape(-1, BLOCK, 2, 2)
-    whole = np.broadcast_to(np.eye(2), (len(blocks), 2, 2))
-    for i in range(BLOCK):
-        whole = whole @ blocks[:, i]
-        whole = whole / whole.sum(axis=(1, 2), keepdims=True)
-    into, outof = np.empty((len(blocks), 2)), np.empty((len(blocks), 2))
-    a, b = 0.5, 0.5
-    for k, ((p, q), (r, s)) in enumerate(whole.tolist()):
-        into[k] = a, b
-        a, b = a * p + b * r, a * q + b * s
-        a, b = a / (a + b), b / (a + b)
-    a, b = 0.5, 0.5
-    for k, ((p, q), (r, s)) in zip(range(len(blocks) - 1, -1, -1), whole[::-1].tolist(), strict=True):
-        outof[k] = a, b
-        a, b = p * a + q * b, r * a + s * b
-        a, b = a / (a + b), b / (a + b)
-    forward, backward = np.empty((len(blocks), BLOCK, 2)), np.empty((len(blocks), BLOCK, 2))
-    now = into
-    for i in range(BLOCK):
-        now = (now[:, None, :] @ blocks[:, i])[:, 0]
-        now /= now.sum(axis=1, keepdims=True)
-        forward[:, i] = now
-    now = outof
+    by_block = lambda x: np.ascontiguousarray(x.reshape(count, BLOCK).T)
+    entries = [by_block(np.where(fresh, start[j], transition[i, j]) * (one if j else 1 - one)) for i in (0, 1) for j in (0, 1)]
+    steps = list(zip(*entries, strict=True))  # for each place in a block, the four entries of every block's matrix
+    p, q, r, s = np.ones(count), np.zeros(count), np.zeros(count), np.ones(count)
+    for a, b, c, d in steps:
+        p, q, r, s = p * a + q * c, p * b + q * d, r * a + s * c, r * b + s * d
+        total = p + q + r + s
+        p, q, r, s = p / total, q / total, r / total, s / total
+    whole = list(zip(p.tolist(), q.tolist(), r.tolist(), s.tolist(), strict=True))
+    into, outof = np.empty((2, count)), np.empty((2, count))
+    x, y = 0.5, 0.5
+    for k, (a, b, c, d) in enumerate(whole):
+        into[:, k] = x, y
+        x, y = x * a + y * c, x * b + y * d
+        x, y = x / (x + y), y / (x + y)
+    x, y = 0.5, 0.5
+    for k in range(count - 1, -1, -1):
+        a, b, c, d = whole[k]
+        outof[:, k] = x, y
+        x, y = a * x + b * y, c * x + d * y
+        x, y = x / (x + y), y / (x + y)
+    forward, backward = np.empty((BLOCK, 2, count)), np.empty((BLOCK, 2, count))
+    x, y = into
+    for i, (a, b, c, d) in enumerate(steps):
+        x, y = x * a + y * c, x * b + y * d
+        total = x + y
+        x, y = x / total, y / total
+        forward[i] = x, y
+    x, y = outof
     for i in range(BLOCK - 1, -1, -1):
-        backward[:, i] = now
-        now = (blocks[:, i] @ now[:, :, None])[:, :, 0]
-        now /= now.sum(axis=1, keepdims=True)
-    forward, backward = forward.reshape(-1, 2)[:n], backward.reshape(-1, 2)[:n]
-    joint = forward * backward
-    marginal = joint[:, 1] / joint.sum(axis=1)
+        a, b, c, d = steps[i]
+        backward[i] = x, y
+        x, y = a * x + b * y, c * x + d * y
+        total = x + y
+        x, y = x / total, y / total
+    (f0, f1), (b0, b1) = ([z[:, j].T.ravel()[:n] for j in (0, 1)] for z in (forward, backward))
+    marginal = f1 * b1 / (f0 * b0 + f1 * b1)
     later = np.flatnonzero(~fresh[:n])
     later = later[later > 0]
-    pairs = forward[later - 1][:, :, None] * matrix[:n][later] * backward[later][:, None, :]
-    return marginal, pairs / pairs.sum(axis=(1, 2), keepdims=True), later
+    pairs = np.stack([f[later - 1] * entries[2 * i + j].T.ravel()[later] * g[later] for i, f in enumerate((f0, f1)) for j, g in enumerate((b0, b1))], axis=1)
+    return marginal, (pairs / pairs.sum(axis=1, keepdims=True)).reshape(-1, 2, 2), later
 
 
 def words_of(texts: pa.Array):
@@ -129,7 +135,7 @@ class Tagger:
         return 1 / (1 + np.exp(-np.clip(summary @ self.layer + self.center, -30, 30)))
 
 
-def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 60) -> Tagger:
+def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 30) -> Tagger:
     """Trains on three of four sampled documents and fits the score's layer on the fourth."""
     own = Tagger()
     own.center = float(np.log(base_rate / (1 - base_rate)))
@@ -152,8 +158,9 @@ def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 60
     seen = np.unique(np.repeat(doc, counts) * len(number) + C.gather(flat, begin[word], counts))
     by_toxic = [np.bincount((seen % len(number))[toxic[seen // len(number)] == c], minlength=len(number)) for c in (False, True)]
     odds = np.log((by_toxic[1] + 0.5) / (toxic.sum() + 1)) - np.log((by_toxic[0] + 0.5) / ((~toxic).sum() + 1))
-    used = (by_toxic[1] + by_toxic[0] >= 4) | (np.arange(len(number)) < 0)
-    marked = (odds > 3) & (by_toxic[1] >= 6)  # twenty times as common where toxic
+    # words that only copies of a few documents share are no evidence
+    used = by_toxic[1] + by_toxic[0] >= max(4, 0.01 * len(toxic))
+    marked = (odds > 3) & (by_toxic[1] >= max(4, 0.03 * toxic.sum()))  # twenty times as common where toxic
     word_marked = np.zeros(len(words), bool)
     np.logical_or.at(word_marked, of, marked[flat])
     gold = word_marked[which] & toxic[text]
@@ -163,7 +170,6 @@ def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 60
     weights, grads = np.zeros(len(number)), np.full(len(number), 1e-8)
     bias, bias_grad = -3.0, 1e-8
     table, start = np.log(np.array([[0.95, 0.05], [0.7, 0.3]])), np.log(np.array([0.95, 0.05]))
-    share = np.bincount(which, minlength=len(words))
     gold_words = np.bincount(which, gold, len(words))
     is_toxic = gold.astype(np.int64)
     for _ in range(rounds):
@@ -180,11 +186,9 @@ def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 60
         expected = pairs.sum(axis=0) + 1.0
         table += 0.5 * np.log(observed / expected)
         table -= np.log(np.exp(table).sum(axis=1, keepdims=True))
-    heads = first & True
-    begin_share = (is_toxic[heads].sum() + 1) / (heads.sum() + 2)
+    begin_share = (is_toxic[first].sum() + 1) / (first.sum() + 2)
     own.weights = {f: float(w) for f, w in zip(names, weights, strict=True) if abs(w) > 1e-3}
     own.bias, own.transition, own.start = float(bias), np.exp(table), np.array([1 - begin_share, begin_share])
-    del share
     rest = [t for t, x in zip(texts, learn, strict=True) if not x]
     summary = own.tag(pa.array(rest, pa.string()))[0]
     own.layer, own.center = _logistic(summary, labels[~learn], base_rate)
