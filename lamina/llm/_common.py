@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -137,3 +138,23 @@ def characters(data: np.ndarray, ends: np.ndarray, at: np.ndarray, text: np.ndar
     """The character in its text at which each byte position stands."""
     before = np.append(0, np.cumsum((data & 0xC0) != 0x80))
     return before[at] - before[ends[text]]
+
+
+#: A side of at most so many rows of a few numbers (some tens of MB) may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has at most `rows` rows, else as it is, to be shuffled. df is a
+    saved table of a few short columns, so counting it is cheap."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+_K1, _K2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(33))) * _K1
+    x = (x ^ (x >> np.uint64(33))) * _K2
+    return x ^ (x >> np.uint64(33))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, decontam, toxicity, warc_zip
+from lamina.llm import bpe, decontam, minhash, toxicity, warc_zip
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_minhash": minhash.op3_minhash,
     "op8_warc_zip": warc_zip.op8_warc_zip,
     "op10_decontamination": decontam.op10_decontamination,
 }
