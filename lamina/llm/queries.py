@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, decontam, minhash, toxicity, warc_zip
+from lamina.llm import bpe, decontam, minhash, secret_scan, toxicity, warc_zip
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_minhash": minhash.op3_minhash,
+    "op4_secrets": secret_scan.op4_secrets,
     "op8_warc_zip": warc_zip.op8_warc_zip,
     "op10_decontamination": decontam.op10_decontamination,
 }
