@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, decontam, minhash, secret_scan, toxicity, warc_zip
+from lamina.llm import bpe, decontam, minhash, secret_scan, simhash, toxicity, warc_zip
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_minhash": minhash.op3_minhash,
     "op4_secrets": secret_scan.op4_secrets,
     "op8_warc_zip": warc_zip.op8_warc_zip,
+    "op9_simhash": simhash.op9_simhash,
     "op10_decontamination": decontam.op10_decontamination,
 }
 ORACLE: dict[str, str] = {"op8_warc_zip": warc_zip.OP8_SQL}
