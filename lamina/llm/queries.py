@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, decontam, minhash, passages, pii, secret_scan, simhash, toxicity, warc_zip
+from lamina.llm import bpe, decontam, minhash, passages, pii, secret_scan, simhash, token_rollup, toxicity, warc_zip
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_minhash": minhash.op3_minhash,
     "op4_secrets": secret_scan.op4_secrets,
     "op5_passages": passages.op5_passages,
+    "op6_token_rollup": token_rollup.op6_token_rollup,
     "op7_pii": pii.op7_pii,
     "op8_warc_zip": warc_zip.op8_warc_zip,
     "op9_simhash": simhash.op9_simhash,
