@@ -3,13 +3,16 @@
 A document's set holds its distinct shingles of `shingle` words (the whole sequence where it has
 fewer; none without words). Documents with equal sets are one class, stood for by its smallest
 doc_id. Signatures of ROWS * BANDS hashes are banded, so that two classes at the threshold miss each
-other in every band once in a million times. The classes of a bucket meet its smallest; what is
-still apart then meets every other component in the bucket, so a group of copies costs links in
-proportion to its size, and no pair of different components that share a bucket goes unexamined.
+other in every band once in a million times. The classes of a bucket first meet its most central
+one, which shares the most buckets with others, so a group of copies costs links in proportion to its
+size. Classes of a bucket that are still in different components then all meet, in the first bucket
+that a pair shares and by finer signatures, so no pair that could be a link goes unexamined.
 
-A pair's signatures are compared in batches of STEP; a pair is dropped as soon as the posterior
-chance (uniform prior) that it reaches the threshold is under MISS. Survivors are verified on the
-full sets. Components are found by star contraction on saved tables.
+A pair's signatures are compared in batches; a pair is dropped as soon as the posterior chance (uniform
+prior) that it reaches the threshold is under MISS. The first comparison takes a byte of each of
+HASHES hashes, the finer one a bit of each of FINE; the latter is made within the join, so pairs that
+share much but not enough, as outliers of a large group of copies do with its members, are not written
+out. Survivors are verified on the full sets. Components are found by star contraction on saved tables.
 
 Null, empty and blank texts have empty sets and link with nothing. Rows with one doc_id count as one
 document with the links of each; a null doc_id links with nothing. Columns beyond doc_id and text
@@ -19,7 +22,7 @@ are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +35,14 @@ from lamina.llm.components import components
 
 THRESHOLD = 80  # per cent of the union
 ROWS, BANDS = 5, 35
-HASHES, STEP, MISS = 128, 16, 1e-7
+HASHES, STEP, MISS = 128, 32, 1e-6
+FINE, FINE_STEPS = 4096, (512, 4096)
 WORD = ~C.members((9, 13), (32, 32))
 _random = np.random.default_rng(20240229)
 _A = _random.integers(0, 2**32, ROWS * BANDS, np.uint32) | np.uint32(1)
 _B = _random.integers(0, 2**32, ROWS * BANDS, np.uint32)
+_FINE_A = _random.integers(0, 2**32, FINE, np.uint32) | np.uint32(1)
+_FINE_B = _random.integers(0, 2**32, FINE, np.uint32)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,11 +74,12 @@ def shingles(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
-def signature(own: np.ndarray) -> np.ndarray:
+def signature(own: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B) -> np.ndarray:
     x = (own >> np.uint64(32)).astype(np.uint32)
-    low = np.full(len(_A), 2**32 - 1, np.uint32)
-    for i in range(0, len(x), 1024):
-        np.minimum(low, (x[i : i + 1024, None] * _A + _B).min(axis=0), out=low)
+    low = np.full(len(a), 2**32 - 1, np.uint32)
+    rows = max(1, 200_000 // len(a))
+    for i in range(0, len(x), rows):
+        np.minimum(low, (x[i : i + rows, None] * a + b).min(axis=0), out=low)
     return low
 
 
@@ -86,7 +93,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, bands, and a signature of 16 bits a hash."""
+    """doc_id, n_shingles, digest of the set, bands, and a signature of a byte a hash, eight to a number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slices(batches, 500):
@@ -94,38 +101,46 @@ def sign(docs: DataFrame, size: int) -> DataFrame:
             signatures = np.stack([signature(s) for s in sets])
             n = np.array([len(s) for s in sets], np.int64)
             keys = band_keys(signatures).ravel()
-            short = signatures[:, :HASHES].astype("<u2")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), C.lists(keys, np.arange(len(sets) + 1) * BANDS), pa.array([s.tobytes() for s in short], pa.binary())], names=["doc_id", "n_shingles", "digest", "bands", "signature"])
+            short = np.ascontiguousarray(signatures[:, :HASHES].astype(np.uint8)).view(np.int64).ravel()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), C.lists(keys, np.arange(len(sets) + 1) * BANDS), C.lists(short, np.arange(len(sets) + 1) * (HASHES // 8))], names=["doc_id", "n_shingles", "digest", "bands", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, signature binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, signature array<bigint>")
 
 
-def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
-    """After n hashes, the fewest matches with which a pair may still reach the threshold: the
-    posterior chance of that is P(Bin(n + 1, threshold) <= matches)."""
+def least_matches(threshold: float, steps: tuple[int, ...], miss: float = MISS) -> list[tuple[int, int]]:
+    """After n of the steps' comparisons, the fewest matches with which a pair's chance of a match may
+    still reach the threshold: the posterior chance of that is P(Bin(n + 1, threshold) <= matches)."""
     out = []
-    for n in range(STEP, HASHES + 1, STEP):
+    for n in steps:
         total, m = 0.0, 0
-        while (total := total + comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)) < miss:
+        while m <= n:
+            total += exp(lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m) + m * log(threshold) + (n + 1 - m) * log(1 - threshold))
+            if total >= miss:
+                break
             m += 1
         out.append((n, m))
     return out
 
 
-def prune(pairs: DataFrame, threshold: int) -> DataFrame:
-    """Of pairs a, b, sa, sb (signatures), those that the sequential test lets live."""
-    steps = least_matches(threshold / 100)
+def matches(a: str, b: str, begin: int, end: int) -> str:
+    """SQL for the number of equal bytes of the numbers begin to end of two signatures. Every other
+    byte of the exclusive or stands in a lane of two; adding 255 carries where it isn't zero."""
+    lanes, carry = 0x00FF00FF00FF00FF, 0x0100010001000100
+    differ = lambda x: f"bit_count((({x} & {lanes}) + {lanes}) & {carry})"
+    each = (f"({a}[{k}] ^ {b}[{k}])" for k in range(begin, end))
+    return " + ".join(f"8 - {differ(x)} - {differ(f'shiftrightunsigned({x}, 8)')}" for x in each)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches, 10_000):
-            sa, sb = (np.frombuffer(C.flat(batch.column(i))[0], "<u2").reshape(-1, HASHES) for i in (2, 3))
-            alive, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for n, least in steps:
-                matches = matches + (sa[alive, n - STEP : n] == sb[alive, n - STEP : n]).sum(axis=1)
-                alive, matches = alive[matches >= least], matches[matches >= least]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).take(pa.array(alive))
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+def alive(a: str, b: str, threshold: int) -> str:
+    """SQL that tells whether a pair of signatures outlives the sequential test. Bytes that match by
+    chance only add to the matches."""
+    steps = tuple(range(STEP, HASHES + 1, STEP))
+    return " AND ".join(f"({matches(a, b, 0, n // 8)} >= {least})" for n, least in least_matches(threshold / 100, steps))
+
+
+def finely_alive(a: str, b: str, threshold: int) -> str:
+    """The same for fine signatures, of whose bits a pair shares half and half its similarity."""
+    return " AND ".join("(" + " + ".join(f"bit_count({a}[{k}] ^ {b}[{k}])" for k in range(n // 64)) + f" <= {n - least})" for n, least in least_matches((1 + threshold / 100) / 2, FINE_STEPS))
 
 
 def confirm(pairs: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -142,6 +157,18 @@ def confirm(pairs: DataFrame, size: int, threshold: int) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _fine(docs: DataFrame, size: int) -> DataFrame:
+    """rep and its fine signature, 64 bits to a number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slices(batches, 500):
+            own = np.stack([signature(s, _FINE_A, _FINE_B) for s in shingles(batch.column(1), size)])
+            bits = np.packbits((own * np.uint32(0x9E3779B1)) >> np.uint32(31), axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), C.lists(bits.ravel(), np.arange(len(bits) + 1) * (FINE // 64))], names=["rep", "fine"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "rep bigint, fine array<bigint>")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs."""
     spark = C.prepare(docs.sparkSession, 500)
@@ -149,35 +176,50 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD)
     signed = scratch.save(sign(docs, size), "signed")
     linkable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = scratch.save(linkable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n")), "classes")
-    stand = scratch.save(linkable.join(classes, "digest").where("doc_id = rep").select("rep", "n", "bands", "signature"), "stand").dropDuplicates(["rep", "n"])
+    stand = scratch.save(linkable.join(classes, "digest").where("doc_id = rep").select("rep", "n", "bands", "signature").dropDuplicates(["rep", "n"]), "stand")
     rows = stand.select(F.explode("bands").alias("band"), "rep", "n")
-    hubs = rows.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("band", "hub")
-    shared = scratch.save(rows.join(hubs, "band").select("band", "rep", "n", "hub"), "shared")
+    crowded = rows.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("crowd")).where("lo < hi").select("band", "crowd")
+    shared = scratch.save(rows.join(crowded, "band").select("band", "rep", "n", "crowd"), "shared")
+    central = shared.groupBy("rep").agg(F.sum("crowd").alias("central"))
+    placed = scratch.save(shared.select("band", "rep", "n").join(central, "rep"), "placed")
+    scratch.drop("shared")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    signatures = stand.select("rep", "signature")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
-        """Links among pairs (a, b) of representatives."""
-        signatures = stand.select(F.col("rep"), F.col("signature"))
-        met = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
-        alive = scratch.save(prune(met, threshold).distinct(), f"alive{name}")
-        needed = scratch.save(alive.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"needed{name}")
-        texts = scratch.save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(C.small(needed), "doc_id", "left_semi"), f"texts{name}")
-        with_texts = alive.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-        links = scratch.save(confirm(with_texts, size, threshold), f"links{name}")
+        """Links among pairs (a, b) of representatives that outlived the sequential test."""
+        needed = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"needed{name}")
+        held = scratch.save(texts.join(C.small(needed), "doc_id", "left_semi"), f"texts{name}")
+        links = scratch.save(confirm(pairs.join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b"), size, threshold), f"links{name}")
         scratch.drop(f"texts{name}")
         return links
 
-    tested = scratch.save(shared.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "tested")
-    links = verify(tested, "1")
+    def sifted(pairs: DataFrame, name: str) -> DataFrame:
+        met = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
+        return scratch.save(met.where(alive("sa", "sb", threshold)).select("a", "b"), name)
+
+    pair = lambda x, y: (F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
+    hubs = placed.groupBy("band").agg(F.max_by("rep", "central").alias("hub"))
+    tested = scratch.save(placed.join(hubs, "band").where("rep <> hub").select(*pair("rep", "hub")).distinct(), "tested")
+    links = verify(sifted(tested, "alive"), "1")
     labels = scratch.save(components(links, scratch, "first"), "labels1")
-    # what shares a bucket and is still apart
-    labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "n", F.coalesce("label", "rep").alias("label"))
+
+    # buckets with more than one component
+    labelled = placed.select("band", "rep", "n").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
     apart = scratch.save(labelled.join(mixed, "band"), "apart")
+    left = scratch.save(apart.select(F.col("rep").alias("doc_id")).distinct(), "left")
+    fine = scratch.save(_fine(texts.join(C.small(left), "doc_id", "left_semi"), size).dropDuplicates(["rep"]), "fine")
+    apart = apart.join(fine.join(stand.select("rep", "bands"), "rep"), "rep").withColumn("at", F.array_position("bands", F.col("band")).cast("int"))
     x, y = apart.alias("x"), apart.alias("y")
     ratio = f"100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)"  # else the sets can't reach the threshold
-    crossed = x.join(y, F.expr(f"x.band = y.band AND x.label < y.label AND {ratio}")).select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
-    more = verify(scratch.save(crossed.join(tested, ["a", "b"], "left_anti"), "crossed"), "2")
-    labels = scratch.save(components(links.unionByName(more), scratch, "last"), "labels2")
+    first = "NOT exists(zip_with(slice(x.bands, 1, x.at - 1), slice(y.bands, 1, x.at - 1), (p, q) -> p = q), same -> same)"
+    crossed = x.join(y, F.expr(f"x.band = y.band AND x.label < y.label AND {ratio} AND {finely_alive('x.fine', 'y.fine', threshold)} AND {first}")).select(*pair("x.rep", "y.rep"))
+    crossed = scratch.save(crossed.distinct().join(tested, ["a", "b"], "left_anti"), "crossed")
+    links = links.unionByName(verify(crossed, "2"))
+    labels = scratch.save(components(links, scratch, "last"), "labels2")
+    for name in ("stand", "placed", "apart", "left", "fine", "crossed", "tested"):
+        scratch.drop(name)
     joined = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "digest").join(joined, "digest", "left")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
