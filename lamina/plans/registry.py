@@ -1,10 +1,433 @@
-"""Every query of the library by name, and the SQL that gives the same rows."""
+"""Every query of the library by name, and the SQL that gives the same rows.
+
+Operators run over the star schema and the documents where those hold what they need, and over inline
+rows where they need right-to-left script. Lists are compared as joined strings.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lamina.functions import names as N
+from lamina.functions import similarity as S
+from lamina.functions import textnorm as X
+from lamina.operators import adjudicate, audit, candidates, catalogue, fields, lexicon, resolve, worklist
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def joined(c: str, sep: str = "|"):
+    return F.array_join(c, sep)
+
+
+_NORM = F.lower(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")))
+_NORM_SQL = r"lower(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')))"
+_TOKENS = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda t: t != "")
+_TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda t: t <> '')"
+
+
+# -- audits ---------------------------------------------------------------------------------------
+@query(f"""WITH d AS (SELECT {_NORM_SQL} AS norm_title, source FROM documents)
+SELECT norm_title, array_to_string(list_sort(list(DISTINCT source)), '|') AS clusters FROM d
+WHERE length(norm_title) >= 6 GROUP BY 1 HAVING count(DISTINCT source) > 1""")
+def attribution_conflicts(spark, sf_dir):
+    found = audit.attribution(table(spark, sf_dir, "documents"), _NORM, "source")
+    return found.select("norm_title", joined("clusters").alias("clusters"))
+
+
+@query(f"""WITH d AS (SELECT lang, {_NORM_SQL} AS norm_title, source FROM documents)
+SELECT lang, norm_title, array_to_string(list_sort(list(DISTINCT source)), '|') AS clusters FROM d
+WHERE lang <> '' AND norm_title <> '' GROUP BY 1, 2 HAVING count(DISTINCT source) > 1""")
+def bundle_conflicts(spark, sf_dir):
+    found = audit.bundle_conflict(table(spark, sf_dir, "documents"), "lang", _NORM, "source")
+    return found.select("lang", "norm_title", joined("clusters").alias("clusters"))
+
+
+@query("""WITH p AS (SELECT p_name, lower(p_brand) AS normalized, p_brand FROM part)
+SELECT p_name AS normalized, array_to_string(list_sort(list(DISTINCT p_brand)), '|') AS spellings FROM p
+GROUP BY 1 HAVING count(DISTINCT p_brand) > 1""")
+def spelling_forms(spark, sf_dir):
+    found = audit.title_forms(table(spark, sf_dir, "part"), "p_brand", F.col("p_name"))
+    return found.select("normalized", joined("spellings").alias("spellings"))
+
+
+@query("""SELECT s_name AS author, array_to_string(list_sort(list(DISTINCT s_nationkey::VARCHAR)), '|') AS clusters
+FROM (SELECT c_mktsegment AS s_name, c_nationkey AS s_nationkey FROM customer) GROUP BY 1 HAVING count(DISTINCT s_nationkey) > 1""")
+def conservation(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("author"), F.col("c_nationkey").cast("string").alias("cluster_id"))
+    return audit.conservation(rows).select("author", joined("clusters").alias("clusters"))
+
+
+@query(f"SELECT token, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct({_TOKENS_SQL})) AS token FROM documents) GROUP BY 1")
+def token_df(spark, sf_dir):
+    return audit.token_df(table(spark, sf_dir, "documents"), _TOKENS, "doc_id")
+
+
+@query(f"SELECT token, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct({_TOKENS_SQL})) AS token FROM documents) GROUP BY 1 HAVING count(*) <= 3")
+def rare_tokens(spark, sf_dir):
+    return audit.rare(token_df(spark, sf_dir))
+
+
+@query("""SELECT 'attribution' AS worklist, count(*) AS n FROM (SELECT p_name FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1)
+UNION ALL SELECT 'case', count(*) FROM customer WHERE c_name <> lower(c_name)""")
+def worklist_totals(spark, sf_dir):
+    part, customer = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
+    return audit.totals(attribution=audit.several(part, ["p_name"], "p_brand"), case=customer.where(F.col("c_name") != F.lower("c_name")))
+
+
+_FORMS = [("c1", "علي بن محمد البصري", "علي بن محمد البصري"), ("c1", "حسن بن محمد البصري", "علي بن محمد البصري"), ("c1", "البصري", "علي بن محمد البصري"), ("c2", "ابو الحسن النوري", "ابو الحسن النوري"), ("c2", "الحسن بن علي", "ابو الحسن النوري"), ("c3", "محمد بن احمد", "محمد بن احمد"), ("c3", "احمد بن محمد", "محمد بن احمد"), ("c4", "يزدانيار بن علي", "يزدانيار بن علي"), ("c4", "يازدانيار بن علي", "يزدانيار بن علي")]
+
+
+@query("""SELECT * FROM (VALUES
+('c1', 'حسن بن محمد البصري', 'علي بن محمد البصري', 'refute', 1), ('c2', 'ابو الحسن النوري', 'الحسن بن علي', 'refute', 1),
+('c3', 'احمد بن محمد', 'محمد بن احمد', 'refute', 2), ('c4', 'يازدانيار بن علي', 'يزدانيار بن علي', 'refute', 1))
+AS t(cluster_id, form_a, form_b, severity, n_reasons)""")
+def over_merge(spark, sf_dir):
+    forms = spark.createDataFrame(_FORMS, "cluster_id string, form string, canonical string")
+    rare = audit.rare(audit.token_df(forms.withColumn("id", F.monotonically_increasing_id()), X.tokens(F.col("form"))))
+    return audit.over_merge(forms, rare).where("severity = 'refute'").select("cluster_id", "form_a", "form_b", "severity", F.size("reasons").alias("n_reasons"))
+
+
+@query("""SELECT * FROM (VALUES ('ابو حفص عمر بن علي البصري', 'ابو حفص', 'عمر', 'علي', 'البصري', false),
+('ابن العربي', NULL, NULL, 'العربي', 'العربي', true), ('عبد الله بن عبد الرحمن', NULL, 'عبد الله', 'عبد الرحمن', '', false),
+('الجنيد', NULL, NULL, '', '', false), ('ابو عبد الله محمد', 'ابو عبد الله', NULL, '', '', false))
+AS t(norm, kunya, ism, chain, nisbahs, shuhrah)""")
+def parsed_names(spark, sf_dir):
+    rows = spark.createDataFrame([("ابو حفص عمر بن علي البصري",), ("ابن العربي",), ("عبد الله بن عبد الرحمن",), ("الجنيد",), ("ابو عبد الله محمد",)], "raw string")
+    return rows.select(N.parse(X.normalize_ar(F.col("raw"))).alias("p")).select("p.norm", "p.kunya", "p.ism", joined("p.chain").alias("chain"), joined("p.nisbahs").alias("nisbahs"), "p.shuhrah")
+
+
+# -- candidates and similarity --------------------------------------------------------------------
+@query("""WITH t AS (SELECT DISTINCT p_name AS id, unnest(string_split(p_name, ' ')) AS tok FROM (SELECT DISTINCT p_name FROM part)),
+k AS (SELECT DISTINCT id, 't:' || tok AS key FROM t WHERE length(tok) >= 4 UNION SELECT DISTINCT id, 'p:' || left(tok, 4) FROM t WHERE length(tok) >= 4),
+b AS (SELECT p_name AS id, string_split(p_name, ' ') AS w FROM (SELECT DISTINCT p_name FROM part)),
+kb AS (SELECT id, 'b:' || w[i] || ' ' || w[i + 1] AS key FROM (SELECT id, w, unnest(range(1, len(w))) AS i FROM b) WHERE length(w[i]) >= 3 AND length(w[i + 1]) >= 3),
+g AS (SELECT key, array_to_string(list_sort(list(DISTINCT id)), '|') AS members FROM (SELECT * FROM k UNION SELECT * FROM kb) GROUP BY 1 HAVING count(DISTINCT id) BETWEEN 2 AND 40)
+SELECT members, count(*) AS n_keys FROM g GROUP BY 1""")
+def key_groups(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.col("p_name").alias("id")).distinct()
+    keyed = parts.select("id", F.explode(candidates.keys(F.split("id", " "), F.expr("cast(array() as array<string>)"))).alias("k")).select("id", "k.*")
+    found = candidates.groups(keyed.withColumn("label", F.col("key")), max_df=40)
+    return found.select(joined("members").alias("members"), F.size("labels").cast("long").alias("n_keys"))
+
+
+@query("""WITH p AS (SELECT DISTINCT p_name AS s FROM part)
+SELECT a.s AS a, b.s AS b FROM p a JOIN p b ON a.s < b.s
+WHERE levenshtein(a.s, b.s) BETWEEN 1 AND 2 AND levenshtein(a.s, b.s) / greatest(length(a.s), length(b.s)) <= 0.25""")
+def spelling_neighbours(spark, sf_dir):
+    return candidates.neighbours(table(spark, sf_dir, "part"), "p_name")
+
+
+@query("""WITH p AS (SELECT DISTINCT p_brand, p_name FROM part),
+m AS (SELECT a.p_brand, min(jaro_winkler_similarity(a.p_name, b.p_name)) AS s FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_name < b.p_name GROUP BY 1)
+SELECT p_brand, coalesce(round_even(s, 3), 1.0) AS confidence FROM (SELECT DISTINCT p_brand FROM p) LEFT JOIN m USING (p_brand)""")
+def jaro_winkler_min(spark, sf_dir):
+    return resolve.confidence(table(spark, sf_dir, "part"), "p_brand", "p_name")
+
+
+@query("""SELECT s_name, n_name, round(jaro_similarity(s_name, n_name), 9) AS jaro, round(jaro_winkler_similarity(s_name, n_name), 9) AS winkler
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def similarity_scores(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 rows
+    return rows.select("s_name", "n_name", F.round(S.jaro(F.col("s_name"), F.col("n_name")), 9).alias("jaro"), F.round(S.jaro_winkler(F.col("s_name"), F.col("n_name")), 9).alias("winkler"))
+
+
+# -- resolution -----------------------------------------------------------------------------------
+@query("""WITH RECURSIVE n AS (SELECT DISTINCT p_name AS s, list_distinct(string_split(p_name, ' ')) AS t FROM part),
+e AS (SELECT a.s AS a, b.s AS b FROM n a JOIN n b ON a.s <> b.s AND (list_has_all(a.t, b.t) OR list_has_all(b.t, a.t))
+      AND len(list_filter(list_intersect(a.t, b.t), lambda x: length(x) > 2)) > 0),
+r AS (SELECT s AS a, s AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT a AS name, min(b) AS component FROM r GROUP BY 1""")
+def name_components(spark, sf_dir):
+    return resolve.cluster_names(table(spark, sf_dir, "part").select(F.col("p_name").alias("name")))
+
+
+@query("""WITH c AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2)
+SELECT p_brand, first(p_type ORDER BY n DESC, length(p_type), length(p_type) - length(replace(p_type, ' ', '')), p_type) AS canonical, CAST(sum(n) AS BIGINT) AS count FROM c GROUP BY 1""")
+def canonical_pick(spark, sf_dir):
+    return resolve.canonical(table(spark, sf_dir, "part"), ["p_brand"], "p_type")
+
+
+@query("""WITH g AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, p_brand) AS k FROM g),
+f AS (SELECT printf('n%03d', i) AS id, row_number() OVER (ORDER BY i) AS k FROM generate_series(1, 1000) t(i) WHERE printf('n%03d', i) NOT IN ('n001', 'n004'))
+SELECT p_brand, n, id FROM r JOIN f USING (k)""")
+def mint_ids(spark, sf_dir):
+    groups = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.count("*").alias("n"))
+    used = spark.createDataFrame([("n001",), ("n004",)], "id string")
+    return resolve.mint_ids(groups, [-F.col("n"), F.col("p_brand")], used)
+
+
+@query("""SELECT c_custkey, c_name, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') THEN '' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+def override_overlay(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    overrides = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("values", F.expr("map('c_mktsegment', '')"))
+    return resolve.overlay(customer, overrides, ["c_mktsegment"], "c_custkey").select("c_custkey", "c_name", "c_mktsegment")
+
+
+@query("""SELECT c_custkey, 'c_mktsegment=' || lower(c_mktsegment) AS changed FROM customer WHERE c_mktsegment <> lower(c_mktsegment)""")
+def baseline_diff(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    found = resolve.baseline_diff(customer, customer.withColumn("c_mktsegment", F.lower("c_mktsegment")), ["c_name", "c_mktsegment"], "c_custkey")
+    return found.select("c_custkey", F.array_join(F.transform(F.map_entries("values"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|").alias("changed"))
+
+
+@query("""SELECT c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AS pinned, count(*) AS n FROM customer GROUP BY 1""")
+def pin_split(spark, sf_dir):
+    pins = table(spark, sf_dir, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("c_nationkey"))
+    pinned, rest = resolve.pin_split(table(spark, sf_dir, "customer"), pins, "c_nationkey")
+    return pinned.agg(F.count("*").alias("n")).select(F.lit(True).alias("pinned"), "n").unionByName(rest.agg(F.count("*").alias("n")).select(F.lit(False).alias("pinned"), "n"))
+
+
+@query("""SELECT * FROM (VALUES ('c1', 'أبي علي|حسن')) AS t(cluster_id, variants)""")
+def variant_overlay(spark, sf_dir):
+    computed = spark.createDataFrame([("c1", "ابي علي", 0), ("c1", "أبي علي", 1), ("c1", "حسن", 2)], "cluster_id string, variant string, ord int")
+    pinned = spark.createDataFrame([("c1", "أبي علي", 0), ("c1", "محمود", 1)], "cluster_id string, variant string, ord int")
+    return resolve.merge_variants(computed, pinned).select("cluster_id", joined("variants").alias("variants"))
+
+
+@query("""SELECT p_brand, array_to_string(list_sort(list(DISTINCT p_type)), '|') AS clusters, arg_max(p_type, p_partkey) AS winner FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1""")
+def name_conflicts(spark, sf_dir):
+    return resolve.conflicts(table(spark, sf_dir, "part"), "p_brand", "p_type", "p_partkey").select("p_brand", joined("clusters").alias("clusters"), "winner")
+
+
+@query("""WITH r AS (SELECT c_nationkey, c_name, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS k FROM customer)
+SELECT c_nationkey, string_agg(c_name, '|' ORDER BY k) FILTER (k <= 4) AS c_names, greatest(0, count(*) - 4) AS more FROM r GROUP BY 1""")
+def sample_titles(spark, sf_dir):
+    return resolve.first_k(table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey", 4, "c_name").select("c_nationkey", joined("c_names").alias("c_names"), "more")
+
+
+@query("""SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1 ORDER BY n DESC, c_nationkey LIMIT 12""")
+def top_clusters(spark, sf_dir):
+    return table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "c_nationkey").limit(12)
+
+
+# -- fields ---------------------------------------------------------------------------------------
+@query("""WITH e AS (SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN 'C' || user_id END AS city, CASE WHEN event_type = 'click' THEN 'L' || user_id END AS library FROM events),
+a AS (SELECT *, last_value(city IGNORE NULLS) OVER (PARTITION BY user_id % 7 ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS c FROM e),
+b AS (SELECT *, CASE WHEN c IS DISTINCT FROM lag(c) OVER (PARTITION BY user_id % 7 ORDER BY event_id) THEN 1 ELSE 0 END AS t FROM a),
+r AS (SELECT *, sum(t) OVER (PARTITION BY user_id % 7 ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM b)
+SELECT event_id, coalesce(c, '') AS city, coalesce(last_value(library IGNORE NULLS) OVER (PARTITION BY user_id % 7, run ORDER BY event_id ROWS UNBOUNDED PRECEDING), '') AS library FROM r""")
+def ffill_reset(spark, sf_dir):
+    when = lambda kind, p: F.when(F.col("event_type") == kind, F.concat(F.lit(p), F.col("user_id").cast("string")))
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 7).alias("volume"), when("purchase", "C").alias("city"), when("click", "L").alias("library"))
+    return fields.fill_down(rows, "event_id", partition="volume").select("event_id", "city", "library")
+
+
+@query("""SELECT * FROM (VALUES (0, 'Arabe 1397', ''), (1, '', '13 folios'), (2, 'Besir aga 36', '(3 vols.)'), (3, '', '(3 vols.)'), (4, 'Isma''il 1571', 'fol.55b-63b'), (5, 'Laleli 12', 'pp.141-145 (2 vols)'), (6, '', ''), (7, '2821 spr 851', 'fol.76v')) AS t(i, shelfmark, folios)""")
+def shelfmark_split(spark, sf_dir):
+    raw = ["Arabe1397", "13 folios", "Besir aga 36 (3 vols.)", "(3 vols.)", "Isma'il  1571, Fol.55b- 63b", "Laleli 12, PP.141 -145 (2 vols)", "", "2821 spr 851 fol.,76v"]
+    rows = spark.createDataFrame(list(enumerate(raw)), "i int, s string")
+    return rows.select("i", fields.split_shelfmark(F.col("s")).alias("x")).select("i", "x.*")
+
+
+@query("""SELECT * FROM (VALUES ('Ritter, hellmut', 'Hellmut Ritter'), ('massignon  louis', 'Massignon Louis'), ('BnF', 'BnF'), ('éluard, paul', 'Paul Éluard')) AS t(raw, tidy)""")
+def latin_name_tidy(spark, sf_dir):
+    return spark.createDataFrame([("Ritter, hellmut",), ("massignon  louis",), ("BnF",), ("éluard, paul",)], "raw string").select("raw", X.latin_author(F.col("raw")).alias("tidy"))
+
+
+@query("""SELECT * FROM (VALUES ('آدم', 'ادم', 'آدم'), ('مُحَمَّد', 'محمد', 'محمد'), ('كـتاب', 'كتاب', 'كتاب'), ('رسالة الهدى', 'رساله الهدي', 'رسالة الهدى')) AS t(raw, key, bare)""")
+def folded_keys(spark, sf_dir):
+    rows = spark.createDataFrame([("آدم",), ("مُحَمَّد",), ("كـتاب",), ("رسالة الهدى",)], "raw string")
+    return rows.select("raw", X.normalize_ar(F.col("raw")).alias("key"), X.bare(F.col("raw")).alias("bare"))
+
+
+@query("""SELECT * FROM (VALUES ('kita:b', 'kitāb'), ('al-h.ikma', 'al-ḥikma'), ('s.u:fi:', 'ṣūfī'), ('d_ t_ g_ h_ s_ j_', 'ḏ ṯ ġ ḫ š ǧ'), ('Kitab al-tawahhum', 'Kitab al-tawahhum')) AS t(typed, full_form)""")
+def shorthand(spark, sf_dir):
+    return spark.createDataFrame([("kita:b",), ("al-h.ikma",), ("s.u:fi:",), ("d_ t_ g_ h_ s_ j_",), ("Kitab al-tawahhum",)], "typed string").select("typed", X.expand_shorthand(F.col("typed")).alias("full_form"))
+
+
+@query("""SELECT printf('r%04d', row_number() OVER (ORDER BY o_orderdate, o_orderkey)) AS id, o_orderkey FROM orders""")
+def row_ids(spark, sf_dir):
+    return fields.mint_row_ids(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
+
+
+@query("""SELECT DISTINCT n_name AS place FROM nation WHERE n_name NOT IN ('FRANCE', 'GERMANY', '')""")
+def unmapped_places(spark, sf_dir):
+    return fields.unmapped(table(spark, sf_dir, "nation"), "n_name", {"FRANCE": "France"}, ("GERMANY",))
+
+
+# -- lexicon --------------------------------------------------------------------------------------
+_PAIRS_SQL = """p AS (SELECT event_id AS doc_id, l, r FROM (SELECT event_id, unnest(string_split(event_type || ' ' || (user_id % 50), ' ')) AS l, unnest(string_split(upper(event_type) || ' ' || (event_id % 3), ' ')) AS r FROM events))"""
+
+
+def _pairs(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    left = F.array("event_type", (F.col("user_id") % 50).cast("string"))
+    right = F.array(F.upper("event_type"), (F.col("event_id") % 3).cast("string"))
+    return lexicon.aligned(rows, left, right, ("event_id",))
+
+
+@query(f"WITH {_PAIRS_SQL} SELECT l, r, count(*) AS n FROM p GROUP BY 1, 2")
+def aligned_pairs(spark, sf_dir):
+    return _pairs(spark, sf_dir).groupBy("l", "r").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_PAIRS_SQL} SELECT l AS key, array_to_string(list_sort(list(DISTINCT r)), '|') AS readings, count(DISTINCT r) > 1 AS contested FROM p GROUP BY 1")
+def contested_keys(spark, sf_dir):
+    return lexicon.readings(_pairs(spark, sf_dir)).select("key", joined("readings").alias("readings"), "contested")
+
+
+@query(f"WITH {_PAIRS_SQL} SELECT l AS key, min(r) AS reading FROM p GROUP BY 1 HAVING count(DISTINCT r) = 1")
+def learned_lexicon(spark, sf_dir):
+    return lexicon.lexicon(lexicon.readings(_pairs(spark, sf_dir)))
+
+
+@query(f"""WITH t AS (SELECT doc_id, list_distinct({_TOKENS_SQL}) AS w FROM documents), e AS (SELECT doc_id, unnest(w) AS word FROM t),
+k AS (SELECT word FROM e GROUP BY 1 HAVING count(*) > 3), u AS (SELECT * FROM e WHERE word NOT IN (SELECT word FROM k)), n AS (SELECT doc_id, count(*) AS c FROM u GROUP BY 1)
+SELECT word, count(*) AS titles, CAST(sum(CASE WHEN c = 1 THEN 1 ELSE 0 END) AS BIGINT) AS unlocks FROM u JOIN n USING (doc_id) GROUP BY 1""")
+def unlock_rank(spark, sf_dir):
+    known = token_df(spark, sf_dir).where("df > 3").select(F.col("token").alias("word"))
+    return lexicon.unlocks(table(spark, sf_dir, "documents"), _TOKENS, known, "doc_id")
+
+
+@query("""SELECT * FROM (VALUES ('t1', 'composed', 'risālat manāzil'), ('t2', 'contested', NULL), ('t3', 'unknown', NULL), ('t4', 'varies', NULL), ('t5', 'composed', 'al-risālah manāzil')) AS t(id, status, value)""")
+def compose_titles(spark, sf_dir):
+    rows = spark.createDataFrame([("t1", "رسالة منازل"), ("t2", "منازل علي"), ("t3", "كتاب منازل"), ("t4", "من منازل"), ("t5", "الرسالة منازل")], "id string, title string")
+    lex = spark.createDataFrame([("رساله", "risālah"), ("منازل", "manāzil"), ("الرساله", "al-risālah")], "key string, reading string")
+    one = lambda *ks: spark.createDataFrame([(k,) for k in ks], "key string")
+    return lexicon.compose(rows, X.word_keys(F.col("title")), lex, one("علي"), one("من"))
+
+
+@query("""WITH v AS (SELECT CASE WHEN o_orderpriority = '' THEN 'independent' WHEN o_orderstatus = left(o_orderpriority, 1) THEN 'accepted' ELSE 'overridden' END AS verdict FROM orders WHERE o_orderstatus <> '')
+SELECT verdict, count(*) AS n, round_even(100.0 * count(*) / sum(count(*)) OVER (), 3) AS percent FROM v GROUP BY 1""")
+def provenance_tally(spark, sf_dir):
+    return lexicon.provenance(table(spark, sf_dir, "orders").withColumn("o_orderpriority", F.left("o_orderpriority", F.lit(1))), "o_orderstatus", "o_orderpriority")
+
+
+@query("""SELECT event_id, event_type, lead(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS following FROM events""")
+def next_word(spark, sf_dir):
+    from pyspark.sql import Window
+
+    return table(spark, sf_dir, "events").select("event_id", "event_type", F.lead("event_type").over(Window.partitionBy("user_id").orderBy("event_id")).alias("following"))
+
+
+# -- adjudication ---------------------------------------------------------------------------------
+_ROWS = [("r1", "الاول في الزهد", "al-awal fī al-zuhd", "الاول", ""), ("r2", "الاول", "", "x", ""), ("r3", "كتاب الاول", "one", "", "old"), ("r4", "رسالة المحاسبي", "risālat al-muḥāsibī", "", "")]
+
+
+def _rows(spark):
+    return spark.createDataFrame(_ROWS, "id string, title string, title_translit string, author string, catalog_note string")
+
+
+def _ortho(spark):
+    return spark.createDataFrame([(0, "d1", "الاول", "الأوّل", "al-awwal", "hamza", False, "typed", ["r1", "r2", "r3", "r9"], ["r1"], []), (1, "d2", "الزهد", "", "", None, False, None, ["r1"], [], []), (2, "d3", "الزهد", "الزهد", "al-zuhd", None, False, "default", ["r1"], [], [])], adjudicate.ORTHO)
+
+
+@query("""SELECT * FROM (VALUES ('r1', 'الأوّل في الزهد', 'al-awwal fī al-zuhd', 'الأوّل'), ('r2', 'الأوّل', '', 'x'), ('r3', 'كتاب الأوّل', 'one', ''), ('r4', 'رسالة المحاسبي', 'risālat al-muḥāsibī', '')) AS t(id, title, title_translit, author)""")
+def ingest_ortho(spark, sf_dir):
+    return adjudicate.apply_ortho(_rows(spark), _ortho(spark))[0].select("id", "title", "title_translit", "author")
+
+
+@query("""SELECT * FROM (VALUES ('d1', 'applied', 3, 0), ('d1', 'quarantine', 2, 1), ('d2', 'quarantine', 1, 0), ('d3', 'unchanged', 1, 0)) AS t(id, status, n, n_partial)""")
+def ingest_ledger(spark, sf_dir):
+    return adjudicate.apply_ortho(_rows(spark), _ortho(spark))[1].groupBy("id", "status").agg(F.count("*").cast("int").alias("n"), F.count_if("partial").cast("int").alias("n_partial"))
+
+
+@query("""SELECT * FROM (VALUES ('r1', 'al-awwal fī al-zuhd', 'applied'), ('r4', 'risālat al-muḥāsibī', 'quarantine')) AS t(row, title_translit, status)""")
+def ingest_witness(spark, sf_dir):
+    d = spark.createDataFrame([("w1", "r1", "al-awal", "al-awwal"), ("w2", "r4", "kitāb", "kitābu")], "id string, row string, was string, target string")
+    rows, ledger = adjudicate.apply_witness(_rows(spark), d)
+    return ledger.select("row", "status").join(rows.select(F.col("id").alias("row"), "title_translit"), "row")
+
+
+@query("""SELECT * FROM (VALUES ('a1', 'applied', 'رسالة', 'risālat', 'المحاسبي'), ('a2', 'applied', 'الثاني', 'al-ṯānī', ''), ('a3', 'quarantine', 'كتاب الاول', 'one', 'old')) AS t(id, status, title, title_translit, catalog_note)""")
+def ingest_attribution(spark, sf_dir):
+    d = spark.createDataFrame([("a1", "r4", "strip_tail", None, None, None, "المحاسبي", "al-muḥāsibī"), ("a2", "r1", "set_title", "الاول في الزهد", "الثاني", "al-ṯānī", None, None), ("a3", "r3", "rename", None, None, None, None, None)], "id string, row string, action string, was string, target string, target_translit string, tail string, tail_translit string")
+    rows, ledger = adjudicate.apply_attribution(_rows(spark), d)
+    return ledger.select("id", "row", "status").join(rows.select(F.col("id").alias("row"), "title", "title_translit", "catalog_note"), "row").drop("row")
+
+
+@query("""SELECT * FROM (VALUES ('h1', 'applied', 'al-awwal'), ('h2', 'unchanged', 'one')) AS t(id, status, title_translit)""")
+def ingest_homograph(spark, sf_dir):
+    d = spark.createDataFrame([("h1", "r2", {"الاول": "al-awwal"}), ("h2", "r3", {})], "id string, row string, readings map<string,string>")
+    lex = spark.createDataFrame([("كتاب", "kitāb")], "key string, reading string")
+    rows, ledger = adjudicate.apply_homograph(_rows(spark), d, lex)
+    return ledger.select("id", "row", "status").join(rows.select(F.col("id").alias("row"), "title_translit"), "row").drop("row")
+
+
+@query("""SELECT * FROM (VALUES ('الاول', 'al-awwal', true)) AS t(key, reading, settled)""")
+def ingest_gates(spark, sf_dir):
+    overrides, settled = adjudicate.gates(adjudicate.reject_ortho(_ortho(spark).where("ord = 0")))
+    return overrides.join(settled.withColumn("settled", F.lit(True)), "key", "left")
+
+
+@query("""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
+def keep_antijoin(spark, sf_dir):
+    keeps = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
+    return worklist.pending(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id"), keeps).select(F.col("id").alias("c_custkey"))
+
+
+@query("""SELECT * FROM (VALUES ('i1', 'resolved', 'x', false), ('i2', 'open', NULL, true), ('i3', 'open', NULL, false)) AS t(id, disposition, answer, stale)""")
+def stale_answers(spark, sf_dir):
+    cards = spark.createDataFrame([("i1", "f1"), ("i2", "f2"), ("i3", "f3")], "id string, fp string")
+    answers = spark.createDataFrame([("i1", "f1", "resolved", "x"), ("i2", "f0", "resolved", "y")], "id string, fp string, disposition string, answer string")
+    return worklist.export(cards, answers).drop("fp")
+
+
+@query("""SELECT * FROM (VALUES ('النوري', 'ن', 'النّوري'), ('القدوسي', 'ي', 'القدوسيّ'), ('مدد', 'د', NULL)) AS t(word, letter, marked)""")
+def place_marks(spark, sf_dir):
+    rows = spark.createDataFrame([("النوري", "ن"), ("القدوسي", "ي"), ("مدد", "د")], "word string, letter string")
+    return rows.select("word", "letter", worklist.place_shadda(F.col("word"), F.col("letter")).alias("marked"))
+
+
+# -- read layer -----------------------------------------------------------------------------------
+@query("""SELECT count(*) AS n_rows, count(DISTINCT nullif(trim(c_mktsegment), '')) AS n_libraries, count(DISTINCT nullif(trim(n_name), '')) AS n_cities, count(DISTINCT c_nationkey) AS n_authors, count_if(c_mktsegment = 'BUILDING') AS n_published
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def catalogue_kpis(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
+    status = F.when(F.col("c_mktsegment") == "BUILDING", "published")
+    return catalogue.kpis(rows.withColumn("status", status), "c_mktsegment", "n_name", "c_nationkey", "status").select("n_rows", "n_libraries", "n_cities", "n_authors", F.col("n_published").cast("decimal(38,0)").cast("long").alias("n_published"))
+
+
+@query("""SELECT n_nationkey::VARCHAR AS cluster_id, n_name AS canonical_translit, count(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE contains(lower(n_name), 'an') GROUP BY 1, 2""")
+def author_index(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("cluster_id"), F.lit("").alias("canonical_ar"), F.col("n_name").alias("canonical_translit"), F.lit("").alias("full_name"), F.lit("").alias("dates"), F.lit(None).cast("string").alias("category"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("cluster_id"))
+    return catalogue.author_index(rows, nation, query="an").select("cluster_id", "canonical_translit", "n")
+
+
+@query("""SELECT 'c_mktsegment' AS facet, c_mktsegment AS value, count(*) AS n FROM customer WHERE c_nationkey = 3 GROUP BY 2
+UNION ALL SELECT 'c_nationkey', c_nationkey::VARCHAR, count(*) FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 2""")
+def facet_counts(spark, sf_dir):
+    return catalogue.facets(table(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"], {"c_mktsegment": "BUILDING", "c_nationkey": 3})
+
+
+@query("""SELECT r_name AS city, n_name AS library, count(*) AS n, CAST(CASE grouping(r_name, n_name) WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS INTEGER) AS level
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
+def place_rollup(spark, sf_dir):
+    nation = F.broadcast(table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")))  # 25 rows
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return catalogue.places(rows.select(F.col("r_name").alias("city"), F.col("n_name").alias("library")), "city", "library")
+
+
+@query("""SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND contains(lower(c_name), '00012')""")
+def catalogue_search(spark, sf_dir):
+    return catalogue.search(table(spark, sf_dir, "customer"), "00012", ["c_name"], {"c_mktsegment": "BUILDING"}).select("c_custkey")
+
+
+@query("""SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host FROM pages""")
+def url_parts(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("host"))
+
+
+@query("""SELECT event_id, k AS key, json_extract_string(props, '$.' || k) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""")
+def json_map_explode(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
