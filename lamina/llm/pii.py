@@ -35,6 +35,7 @@ from lamina.llm import _common as C
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 4_000, 20_000
 FEATURES, ROUNDS = 1 << 12, 10
+N_FEATURES = 11  # of a unit
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -122,7 +123,7 @@ def graph(texts: list[str]):
                     skip.add((j, i))
                 seen[key] = i
     both = [np.array(sorted(x), np.int64).reshape(-1, 2) for x in (chain, skip)]
-    return units, np.array(labels, np.int64), np.array(features, np.int64).reshape(len(units), -1), both[0], both[1], base
+    return units, np.array(labels, np.int64), np.array(features, np.int64).reshape(len(units), N_FEATURES), both[0], both[1], base
 
 
 class Field:
