@@ -46,13 +46,13 @@ def confidence(members: DataFrame, key: str, form: str) -> DataFrame:
     return distinct.select(key).distinct().join(least, key, "left").select(key, F.coalesce("s", F.lit(1.0)).alias("confidence"))
 
 
-def mint_ids(groups: DataFrame, order: list[Column], used: DataFrame, prefix: str = "n", digits: int = 3) -> DataFrame:
+def mint_ids(groups: DataFrame, order: list[Column], used: DataFrame, prefix: str = "n", digits: int = 3, start: int = 1) -> DataFrame:
     """Gives groups in order the free ids prefix001, prefix002, ... that `used` (column id) lacks."""
     from lamina.operators.fields import number
 
     ranked = number(groups.select("*", F.struct(*order).alias("__o")), "__k", ["__o"]).drop("__o")
     n = ranked.count() + used.count()
-    ids = groups.sparkSession.range(1, n + 1).select(F.format_string(f"{prefix}%0{digits}d", "id").alias("id"), F.col("id").alias("__i")).join(used, "id", "left_anti")
+    ids = groups.sparkSession.range(start, n + start).select(F.format_string(f"{prefix}%0{digits}d", "id").alias("id"), F.col("id").alias("__i")).join(used, "id", "left_anti")
     return ranked.join(number(ids, "__k", ["__i"]).select("id", "__k"), "__k").drop("__k")
 
 
