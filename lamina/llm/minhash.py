@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD)
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         """Links among pairs (a, b) of representatives that outlived the sequential test."""
-        needed = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"needed{name}")
+        needed = scratch.save(pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct(), f"needed{name}")
         held = scratch.save(texts.join(C.small(needed), "doc_id", "left_semi"), f"texts{name}")
         links = scratch.save(confirm(pairs.join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b"), size, threshold), f"links{name}")
         scratch.drop(f"texts{name}")
