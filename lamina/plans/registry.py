@@ -38,9 +38,15 @@ def joined(c: str, sep: str = "|"):
     return F.array_join(c, sep)
 
 
-_NORM = F.lower(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")))
+def _norm():
+    return F.lower(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")))
+
+
+def _tokens():
+    return F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda t: t != "")
+
+
 _NORM_SQL = r"lower(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')))"
-_TOKENS = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda t: t != "")
 _TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda t: t <> '')"
 
 
@@ -49,7 +55,7 @@ _TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda
 SELECT norm_title, array_to_string(list_sort(list(DISTINCT source)), '|') AS clusters FROM d
 WHERE length(norm_title) >= 6 GROUP BY 1 HAVING count(DISTINCT source) > 1""")
 def attribution_conflicts(spark, sf_dir):
-    found = audit.attribution(table(spark, sf_dir, "documents"), _NORM, "source")
+    found = audit.attribution(table(spark, sf_dir, "documents"), _norm(), "source")
     return found.select("norm_title", joined("clusters").alias("clusters"))
 
 
@@ -57,7 +63,7 @@ def attribution_conflicts(spark, sf_dir):
 SELECT lang, norm_title, array_to_string(list_sort(list(DISTINCT source)), '|') AS clusters FROM d
 WHERE lang <> '' AND norm_title <> '' GROUP BY 1, 2 HAVING count(DISTINCT source) > 1""")
 def bundle_conflicts(spark, sf_dir):
-    found = audit.bundle_conflict(table(spark, sf_dir, "documents"), "lang", _NORM, "source")
+    found = audit.bundle_conflict(table(spark, sf_dir, "documents"), "lang", _norm(), "source")
     return found.select("lang", "norm_title", joined("clusters").alias("clusters"))
 
 
@@ -78,7 +84,7 @@ def conservation(spark, sf_dir):
 
 @query(f"SELECT token, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct({_TOKENS_SQL})) AS token FROM documents) GROUP BY 1")
 def token_df(spark, sf_dir):
-    return audit.token_df(table(spark, sf_dir, "documents"), _TOKENS, "doc_id")
+    return audit.token_df(table(spark, sf_dir, "documents"), _tokens(), "doc_id")
 
 
 @query(f"SELECT token, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct({_TOKENS_SQL})) AS token FROM documents) GROUP BY 1 HAVING count(*) <= 3")
@@ -295,7 +301,7 @@ k AS (SELECT word FROM e GROUP BY 1 HAVING count(*) > 3), u AS (SELECT * FROM e
 SELECT word, count(*) AS titles, CAST(sum(CASE WHEN c = 1 THEN 1 ELSE 0 END) AS BIGINT) AS unlocks FROM u JOIN n USING (doc_id) GROUP BY 1""")
 def unlock_rank(spark, sf_dir):
     known = token_df(spark, sf_dir).where("df > 3").select(F.col("token").alias("word"))
-    return lexicon.unlocks(table(spark, sf_dir, "documents"), _TOKENS, known, "doc_id")
+    return lexicon.unlocks(table(spark, sf_dir, "documents"), _tokens(), known, "doc_id")
 
 
 @query("""SELECT * FROM (VALUES ('t1', 'composed', 'risālat manāzil'), ('t2', 'contested', NULL), ('t3', 'unknown', NULL), ('t4', 'varies', NULL), ('t5', 'composed', 'al-risālah manāzil')) AS t(id, status, value)""")
