@@ -235,3 +235,18 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD) -> Data
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(C.table(spark, sf_dir, "documents"), size=2)
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+f AS (SELECT g, count(*) AS df FROM s GROUP BY 1),
+p AS (SELECT doc_id, g, n FROM (SELECT doc_id, g, n, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS k FROM s JOIN f USING (g) JOIN n USING (doc_id)) WHERE k <= n - (80 * n + 99) // 100 + 1),
+c AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb FROM p x JOIN p y ON x.g = y.g AND x.doc_id < y.doc_id),
+l AS (SELECT a, b FROM (SELECT c.a, c.b, c.na, c.nb, count(*) AS i FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b AND y.g = x.g GROUP BY ALL) WHERE 100 * i >= 80 * (na + nb - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+k AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM k LEFT JOIN n USING (doc_id)
+"""

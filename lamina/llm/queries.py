@@ -16,4 +16,4 @@ QUERIES = {
     "op9_simhash": simhash.op9_simhash,
     "op10_decontamination": decontam.op10_decontamination,
 }
-ORACLE: dict[str, str] = {"op8_warc_zip": warc_zip.OP8_SQL}
+ORACLE: dict[str, str] = {"op3_minhash": minhash.OP3_SQL, "op8_warc_zip": warc_zip.OP8_SQL, "op10_decontamination": decontam.OP10_SQL}

@@ -398,3 +398,16 @@ def test_pipeline_keeps_clean_documents(spark):
 def test_flat_columns():
     data, ends = C.flat(pa.array(["a", None, "é"]).slice(1))
     assert data.tobytes() == "é".encode() and ends.tolist() == [0, 0, 2]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, SF)
+    columns = sorted(df.columns)
+    got = sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
+    assert got == sorted(map(repr, con.execute(f"SELECT {', '.join(columns)} FROM ({queries.ORACLE[name]})").fetchall()))
