@@ -19,7 +19,7 @@ class the score is the labelled base rate (0.5 if there are none) everywhere.
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lamina.llm import _common as C
 
-SAMPLE, SAMPLE_CHARS = 1_500, 50_000
+SAMPLE, SAMPLE_CHARS = 400, 20_000
 THRESHOLD = 0.3
 PREFIXES = (3, 4, 5, 6, 7)
 WORD = C.members((48, 57), (97, 122), (128, 255))
@@ -145,38 +145,42 @@ def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 30
     learn = np.arange(len(labels)) % 4 != 3
     _, _, _, _, text, words, which = words_of(pa.array([t for t, x in zip(texts, learn, strict=True) if x]))
     toxic = labels[learn] == 1
-    lists = [features(w) for w in words]
-    names = Counter(f for fs in lists for f in fs)
-    number = {f: i for i, f in enumerate(names)}
-    flat = np.array([number[f] for fs in lists for f in fs], np.int64)
-    of = np.repeat(np.arange(len(lists)), [len(fs) for fs in lists])
+    number: dict[str, int] = {}
+    flat, begin = array("i"), array("i", [0])
+    for w in words:
+        flat.extend(number.setdefault(f, len(number)) for f in features(w))
+        begin.append(len(flat))
+    flat, begin = np.array(flat, np.int64), np.array(begin, np.int64)
+    of = np.repeat(np.arange(len(words)), np.diff(begin))
     # in how many documents of each class is a feature?
     pair = np.unique(text.astype(np.int64) * len(words) + which)
     doc, word = pair // len(words), pair % len(words)
-    begin = np.append(0, np.cumsum(np.bincount(of, minlength=len(words))))
     counts = np.diff(begin)[word]
     seen = np.unique(np.repeat(doc, counts) * len(number) + C.gather(flat, begin[word], counts))
     by_toxic = [np.bincount((seen % len(number))[toxic[seen // len(number)] == c], minlength=len(number)) for c in (False, True)]
     odds = np.log((by_toxic[1] + 0.5) / (toxic.sum() + 1)) - np.log((by_toxic[0] + 0.5) / ((~toxic).sum() + 1))
     # words that only copies of a few documents share are no evidence
     used = by_toxic[1] + by_toxic[0] >= max(4, 0.01 * len(toxic))
-    marked = (odds > 3) & (by_toxic[1] >= max(4, 0.03 * toxic.sum()))  # twenty times as common where toxic
+    marked = (odds > 3) & (by_toxic[1] >= max(4, 0.03 * toxic.sum(), min(12, 0.15 * toxic.sum())))  # twenty times as common where toxic
     word_marked = np.zeros(len(words), bool)
     np.logical_or.at(word_marked, of, marked[flat])
     gold = word_marked[which] & toxic[text]
     keep = used[flat]
-    of, flat = of[keep], flat[keep]
+    of, flat = of[keep], (np.cumsum(used) - 1)[flat[keep]]
+    names = [f for f, i in number.items() if used[i]]
+    n_words = len(words)
+    del number, words, seen, pair, doc, word, counts, begin, odds, by_toxic
     first = np.append(True, text[1:] != text[:-1])
-    weights, grads = np.zeros(len(number)), np.full(len(number), 1e-8)
+    weights, grads = np.zeros(len(names)), np.full(len(names), 1e-8)
     bias, bias_grad = -3.0, 1e-8
     table, start = np.log(np.array([[0.95, 0.05], [0.7, 0.3]])), np.log(np.array([0.95, 0.05]))
-    gold_words = np.bincount(which, gold, len(words))
+    gold_words = np.bincount(which, gold, n_words)
     is_toxic = gold.astype(np.int64)
     for _ in range(rounds):
-        emission = bias + np.bincount(of, weights[flat], len(words))
+        emission = bias + np.bincount(of, weights[flat], n_words)
         marginal, pairs, later = chain(emission[which], first, np.exp(table), np.exp(start))
-        off = np.bincount(which, marginal, len(words)) - gold_words
-        gradient = np.bincount(flat, off[of], len(number)) + 0.5 * weights
+        off = np.bincount(which, marginal, n_words) - gold_words
+        gradient = np.bincount(flat, off[of], len(names)) + 0.5 * weights
         grads += gradient**2
         weights -= 1.0 * gradient / np.sqrt(grads)
         bias_grad += off.sum() ** 2
