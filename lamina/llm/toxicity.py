@@ -161,7 +161,7 @@ def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 30
     odds = np.log((by_toxic[1] + 0.5) / (toxic.sum() + 1)) - np.log((by_toxic[0] + 0.5) / ((~toxic).sum() + 1))
     # words that only copies of a few documents share are no evidence
     used = by_toxic[1] + by_toxic[0] >= max(4, 0.01 * len(toxic))
-    marked = (odds > 3) & (by_toxic[1] >= max(4, 0.03 * toxic.sum(), min(12, 0.15 * toxic.sum())))  # twenty times as common where toxic
+    marked = (odds > 3) & (by_toxic[1] >= max(4, 0.06 * toxic.sum(), min(15, 0.15 * toxic.sum())))  # twenty times as common where toxic
     word_marked = np.zeros(len(words), bool)
     np.logical_or.at(word_marked, of, marked[flat])
     gold = word_marked[which] & toxic[text]
