@@ -77,3 +77,8 @@ def totals(**worklists: DataFrame) -> DataFrame:
         one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("worklist"), "n")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def unsettled(worklist: DataFrame, merges: DataFrame, on: str) -> DataFrame:
+    """A worklist without what named merges (column norm) have settled."""
+    return worklist.join(merges.select(F.col("norm").alias(on)), on, "left_anti")

@@ -107,3 +107,9 @@ def provenance(rows: DataFrame, value: str, proposal: str) -> DataFrame:
 def combinations(readings_per_key: Column) -> Column:
     """Every way to take one of each array's values, joined by spaces; null parts make it null."""
     return F.aggregate(readings_per_key, F.array(F.lit("")), lambda done, options: F.flatten(F.transform(done, lambda d: F.transform(options, lambda o: F.trim(F.concat(d, F.lit(" "), o))))))
+
+
+def record_suggestions(shown: DataFrame, rows: DataFrame, field: str = "title_translit") -> DataFrame:
+    """id, field, proposal for what was shown for that row and field and whose field now has a value."""
+    own = rows.where(F.trim(F.coalesce(F.col(field), F.lit(""))) != "").select("id")
+    return shown.where(F.col("field") == field).join(own, "id", "left_semi").select("id", "field", "proposal")

@@ -93,3 +93,42 @@ def collisions(cards: DataFrame, proposed: Column, key: str = "id") -> DataFrame
     from lamina.operators.audit import several
 
     return norm.join(several(norm, ["norm"], "id", "all"), "norm").select("id", F.array_remove("all", F.col("id")).alias("collides_with"))
+
+
+def preview(text: Column, word: Column, proposed: Column) -> Column:
+    """For display only: the ingest replaces whole tokens."""
+    return F.replace(text, word, proposed)
+
+
+def witness_items(cards: DataFrame, rows: DataFrame, keeps: DataFrame) -> DataFrame:
+    """cards (id, row, current, ...) whose current reading still stands in the row's transliteration and
+    that no keep rules out."""
+    own = rows.select(F.col("id").alias("row"), F.split(F.coalesce("title_translit", F.lit("")), " ").alias("__t"))
+    return pending(cards.join(own, "row").where(F.array_contains("__t", F.col("current"))).drop("__t"), keeps)
+
+
+def shadda_items(rows: DataFrame, covered: DataFrame) -> DataFrame:
+    """word, proposed, translits: words that stand unmarked where their romanization doubles a consonant
+    that has one place in the word; words that a card of another kind covers are left out."""
+    from lamina.operators.lexicon import aligned
+
+    pairs = aligned(rows, X.words(F.coalesce("title", F.lit(""))), X.tokens(F.coalesce("title_translit", F.lit(""))))
+    bare = pairs.where(F.col("l") == X.bare(F.col("l"))).groupBy(F.col("l").alias("word")).agg(F.array_sort(F.collect_set("r")).alias("translits"))
+    latin = F.get(geminated(F.array_join("translits", " ")), F.lit(0))
+    found = bare.withColumn("letter", X.mapped(latin, CONSONANTS)).where("letter IS NOT NULL")
+    return found.withColumn("proposed", place_shadda(F.col("word"), F.col("letter"))).where("proposed IS NOT NULL").join(covered.select("word"), "word", "left_anti").select("word", "proposed", "translits")
+
+
+def hamza_items(rows: DataFrame, names: DataFrame, covered: DataFrame) -> DataFrame:
+    """word, verdict, proposed, rows for words that open with a bare alif in titles, authors or names."""
+    title = rows.select("id", F.explode(X.words(F.coalesce("title", F.lit("")))).alias("w"))
+    author = rows.select("id", F.explode(X.words(F.coalesce("author", F.lit("")))).alias("w"))
+    name = names.select(F.lit(None).cast("string").alias("id"), F.explode(X.words(F.coalesce("name", F.lit("")))).alias("w"))
+    from lamina.operators.lexicon import aligned
+
+    readings = aligned(rows, X.words(F.coalesce("title", F.lit(""))), X.tokens(F.coalesce("title_translit", F.lit("")))).groupBy(X.bare(F.col("l")).alias("word")).agg(F.array_sort(F.collect_set("r")).alias("translits"))
+    seen = title.unionByName(author).unionByName(name).select("id", X.bare(F.col("w")).alias("word")).where(F.col("word").rlike("^(?:ال)?ا")).distinct()
+    per = seen.groupBy("word").agg(F.array_sort(F.collect_set("id")).alias("rows")).join(readings, "word", "left")
+    judged = per.withColumn("verdict", hamza_verdict(F.col("word"), F.coalesce("translits", F.expr("cast(array() as array<string>)"))))
+    proposed = F.when(F.col("verdict").isNotNull() & (F.col("verdict") != "wasl"), carry_hamza(F.col("word"), F.col("verdict")))
+    return judged.withColumn("proposed", proposed).join(covered.select("word"), "word", "left_anti").select("word", "verdict", "proposed", "rows")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lamina.functions import names as N
 from lamina.functions import similarity as S
 from lamina.functions import textnorm as X
-from lamina.operators import adjudicate, audit, candidates, catalogue, fields, lexicon, resolve, worklist
+from lamina.operators import adjudicate, audit, candidates, catalogue, fields, lexicon, resolve, windows, worklist
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -394,6 +394,36 @@ def place_marks(spark, sf_dir):
     return rows.select("word", "letter", worklist.place_shadda(F.col("word"), F.col("letter")).alias("marked"))
 
 
+@query("""SELECT * FROM (VALUES ('النوري', 'النّوري', 'al-nnūrī')) AS t(word, proposed, translits)""")
+def shadda_items(spark, sf_dir):
+    rows = spark.createDataFrame([("r1", "النوري", "al-nnūrī"), ("r2", "كتاب", "kitāb"), ("r3", "مدد كتاب", "maddad")], "id string, title string, title_translit string")
+    found = worklist.shadda_items(rows, spark.createDataFrame([("x",)], "word string"))
+    return found.select("word", "proposed", joined("translits").alias("translits"))
+
+
+@query("""SELECT * FROM (VALUES ('الاخبار', 'أ', 'الأخبار', 'r1'), ('ابن', 'wasl', NULL, 'r2'), ('اسلم', NULL, NULL, '')) AS t(word, verdict, proposed, rows)""")
+def hamza_items(spark, sf_dir):
+    rows = spark.createDataFrame([("r1", "الاخبار", "al-aḫbār", ""), ("r2", "كتاب", "kitāb", "ابن")], "id string, title string, title_translit string, author string")
+    found = worklist.hamza_items(rows, spark.createDataFrame([("اسلم",)], "name string"), spark.createDataFrame([("x",)], "word string"))
+    return found.select("word", "verdict", "proposed", joined("rows").alias("rows"))
+
+
+@query("""SELECT * FROM (VALUES ('w1', 'r1', 'al-awal')) AS t(id, row, current)""")
+def witness_items(spark, sf_dir):
+    cards = spark.createDataFrame([("w1", "r1", "al-awal"), ("w2", "r1", "kitāb"), ("w3", "r4", "risālat")], "id string, row string, current string")
+    return worklist.witness_items(cards, _rows(spark), spark.createDataFrame([("w3",)], "id string")).select("id", "row", "current")
+
+
+@query("""SELECT CAST(min(v) AS BIGINT) AS first, CAST(max(v) AS BIGINT) AS last, count(*) AS n, u AS user_id FROM (SELECT user_id AS u, event_id AS v, event_id - row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM (SELECT DISTINCT user_id, event_id FROM events)) GROUP BY u, g""")
+def islands(spark, sf_dir):
+    return windows.islands(table(spark, sf_dir, "events"), "event_id", ["user_id"])
+
+
+@query("""SELECT * FROM (VALUES (1552, 1562, 11), (1600, 1600, 1), (1611, 1631, 21), (1648, 1648, 1), (1750, 1756, 7), (1759, 1764, 6), (1767, 1768, 2), (1770, 1773, 4)) AS t(first, last, n)""")
+def mark_ranges(spark, sf_dir):
+    return windows.mark_ranges(spark)
+
+
 # -- read layer -----------------------------------------------------------------------------------
 @query("""SELECT count(*) AS n_rows, count(DISTINCT nullif(trim(c_mktsegment), '')) AS n_libraries, count(DISTINCT nullif(trim(n_name), '')) AS n_cities, count(DISTINCT c_nationkey) AS n_authors, count_if(c_mktsegment = 'BUILDING') AS n_published
 FROM customer JOIN nation ON c_nationkey = n_nationkey""")

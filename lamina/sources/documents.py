@@ -119,3 +119,8 @@ def snapshot(df: DataFrame, folder: str, date: str) -> None:
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
+
+
+def script_safe(payload: Column) -> Column:
+    """JSON of a payload that can stand inside a script element."""
+    return F.replace(F.to_json(payload), F.lit("</"), F.lit("<\\/"))
