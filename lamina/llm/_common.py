@@ -24,6 +24,8 @@ def prepare(spark: SparkSession, rows_per_batch: int = 1000) -> SparkSession:
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
+    # idle workers give freed memory back, so those of earlier stages don't add up
+    env |= {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "262144", "MALLOC_MMAP_THRESHOLD_": "262144"}
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_per_batch))
     return spark
 

@@ -28,7 +28,7 @@ from lamina.llm import _common as C
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces in each of a worker's two generations of remembered pieces; the older one is dropped when
 #: the newer is full. Bounds the worker's memory, not what is encoded.
-REMEMBERED = 250_000
+REMEMBERED = 80_000
 
 
 def default_vocabulary() -> str:
@@ -53,22 +53,10 @@ class Coder:
     """Encodes and decodes by a rank file. One for each worker and file."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        from tokenizers import Tokenizer, models, pre_tokenizers
-
         with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        shown = byte_characters()
-        spell = lambda token: "".join(shown[b] for b in token)
-        # ranks decide by the merged token alone, so every split of it into two tokens is a merge
-        merges = [(spell(t[:i]), spell(t[i:])) for t, _ in sorted(ranks.items(), key=lambda x: x[1]) for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        self.tokenizer = Tokenizer(models.BPE(vocab={spell(t): r for t, r in ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0))
-        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # \s in the rank file's library is the White_Space property
-        self.pattern = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        size = max(ranks.values()) + 1
-        tokens = [b""] * size
-        for token, rank in ranks.items():
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        tokens = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
             tokens[rank] = token
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -76,6 +64,26 @@ class Coder:
         self.newer: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    @functools.cached_property
+    def tokenizer(self):
+        """Built for encoding only: workers that decode do without."""
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        ranks, shown = self.ranks, byte_characters()
+        spell = lambda token: "".join(shown[b] for b in token)
+        # ranks decide by the merged token alone, so every split of it into two tokens is a merge
+        merges = [(spell(t[:i]), spell(t[i:])) for t, _ in sorted(ranks.items(), key=lambda x: x[1]) for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        made = Tokenizer(models.BPE(vocab={spell(t): r for t, r in ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0))
+        made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        return made
+
+    @functools.cached_property
+    def pattern(self):
+        import public_tokenizers
+
+        # \s in the rank file's library is the White_Space property
+        return regex.compile(public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, one after the other, and how many each has."""
         if len(self.newer) > REMEMBERED:
