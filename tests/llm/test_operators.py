@@ -230,6 +230,20 @@ def test_passages(spark):
     assert passages.find(empty(spark)).count() == 0
 
 
+def test_passages_whose_lines_others_hold(spark):
+    lines = [[prose(17, 2000 + 3 * i + k) for k in range(3)] for i in range(30)]
+    alone = lambda at: [prose(30, at + i) + " " + line + " " + prose(30, at + 500 + i) for i, line in enumerate(x for own in lines for x in own)]
+    shared = [" ".join(own) for own in lines]
+    # each line is held by a smaller and a larger doc_id of its own, each passage by two documents between them
+    texts = [*alone(3000), *(prose(40, 5000 + i + k) + " " + s + " " + prose(40, 6000 + i + k) for k in (0, 500) for i, s in enumerate(shared)), *alone(4000)]
+    got = {r["doc_id"]: r for r in passages.find(docs(spark, texts)).collect()}
+    for i, s in enumerate(shared):
+        for me, other in ((91 + i, 121 + i), (121 + i, 91 + i)):
+            assert any(s in texts[me - 1][x["start"] : x["end"]] for x in got[me]["spans"]), i
+            assert other in got[me]["partners"]
+    assert all(got[i]["spans"] == [] for i in (*range(1, 91), *range(151, 241)))
+
+
 def test_chains_take_the_best_order():
     matches = [(0, 100), (8, 108), (16, 5), (16, 116), (24, 124), (200, 10), (208, 18)]
     found = sorted(passages.chains(matches), key=len)
