@@ -244,6 +244,30 @@ def test_passages_whose_lines_others_hold(spark):
     assert all(got[i]["spans"] == [] for i in (*range(1, 91), *range(151, 241)))
 
 
+def planted(spark, size, rate, n=100):
+    """Pairs of documents that share a passage with substituted words: of those that brute force over
+    50-word windows of all diagonals finds, the share that find() does."""
+    own = random.Random(size + round(100 * rate))
+    texts, want = [], []
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    some = lambda k: [own.choice(vocabulary) for _ in range(k)]
+    for _ in range(n):
+        shared = some(size)
+        x, y = some(40) + shared + some(40), some(25) + [w if own.random() >= rate else own.choice(vocabulary) for w in shared] + some(55)
+        alike = np.array(x)[:, None] == np.array(y)
+        diagonals = (np.append(0, np.cumsum(np.diagonal(alike, k))) for k in range(-len(x) + 50, len(y) - 49))
+        want.append(any((d[50:] - d[:-50] >= 40).any() for d in diagonals))
+        texts += [" ".join(x), " ".join(y)]
+    got = {r["doc_id"]: r["partners"] for r in passages.find(docs(spark, texts)).collect()}
+    found = [got[2 * i + 1] == [2 * i + 2] for i in range(n)]
+    return sum(f and w for f, w in zip(found, want)) / sum(want), sum(want)
+
+
+@pytest.mark.parametrize(("size", "rate", "least"), [(60, 0.05, 0.95), (60, 0.15, 0.8), (100, 0.15, 0.9)])
+def test_fuzzy_passages_against_brute_force(spark, size, rate, least):
+    assert planted(spark, size, rate)[0] >= least
+
+
 def test_chains_take_the_best_order():
     matches = [(0, 100), (8, 108), (16, 5), (16, 116), (24, 124), (200, 10), (208, 18)]
     found = sorted(passages.chains(matches), key=len)
