@@ -244,6 +244,19 @@ def test_passages_whose_lines_others_hold(spark):
     assert all(got[i]["spans"] == [] for i in (*range(1, 91), *range(151, 241)))
 
 
+def test_passages_name_all_their_holders(spark):
+    one, two = prose(60, 7000), prose(60, 7001)
+    texts = [prose(30, 7100 + i) + " " + (one if i % 2 else two) + " " + prose(30, 7200 + i) for i in range(14)] + [prose(60, 7300)]
+    texts.append(texts[3])
+    got = {r["doc_id"]: r["passages"] for r in passages.find(docs(spark, texts)).collect()}
+    held = {}
+    for i, found in got.items():
+        for p in found:
+            held.setdefault((p["passage_id"], p["n_holders"]), set()).add(i)
+    assert sorted(map(sorted, held.values())) == [list(range(1, 15, 2)), [*range(2, 15, 2), 16]]
+    assert sorted(n for _, n in held) == [7, 8] and got[15] == []
+
+
 def planted(spark, size, rate, n=100):
     """Pairs of documents that share a passage with substituted words: of those that brute force over
     50-word windows of all diagonals finds, the share that find() does."""
