@@ -2,13 +2,15 @@
 
 Base spans are the leftmost non-overlapping matches of three patterns, kept where long enough. The
 battery then looks at every run of 16 or more characters of [A-Za-z0-9+/_-] with a digit and a
-letter. The smallest encoding that covers a run is inferred (hexadecimal of either case, upper-case
-letters and digits, letters and digits, base 64); against it three statistics are taken: chi-squared
-uniformity of the symbols, runs above and below the middle of the alphabet, and serial correlation at
-lag 1. A run passes if the sum of their squared normal scores (of uniformity only an excess counts)
-is under BATTERY. How unlike ordinary text it is gives its p-value: under LETTERS, 1 in x runs has a
-likelihood ratio of x or more of uniform symbols against letters, so p = ENCODINGS / ratio, which
-shrinks with length. The p-values of all runs of the table are held to a false-discovery rate of
+letter. The smallest encoding that covers a run is inferred (hexadecimal, base 32, and letters with
+digits, each of either case, letters of both cases with digits, base 64); against it three statistics are taken:
+chi-squared uniformity of the symbols, runs above and below the middle of the alphabet, and serial
+correlation at lag 1. The sum of their squared normal scores (of uniformity only an excess counts) has
+the battery's p-value b, how seldom random symbols of that encoding fare worse, by a bound on the tail of chi-squared
+with 3 degrees of freedom. How unlike ordinary text a run is gives its p-value: under LETTERS, 1 in x runs
+has a likelihood ratio of x or more of a density against letters. The density is that of uniform
+symbols times b ** POWER, so a run that fails the battery loses weight against random ones; p = ENCODINGS / ratio,
+which shrinks with length. The p-values of all runs of the table are held to a false-discovery rate of
 `rate` by the Benjamini-Hochberg rule within each length class, over counts of at most a few thousand
 bins, whatever the table's size.
 
@@ -35,13 +37,13 @@ BASE = {
 KINDS = (*BASE, "random")
 RUN = r"(?<![A-Za-z0-9+/_-])(?=[0-9+/_-]*[A-Za-z])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}"
 _LOW, _UP, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-ALPHABETS = (_DIGITS + "abcdef", _DIGITS + "ABCDEF", _DIGITS + _UP, _DIGITS + _UP + _LOW, _DIGITS + _UP + _LOW + "+/-_")
+ALPHABETS = (_DIGITS + "abcdef", _DIGITS + "ABCDEF", _LOW + "234567", _UP + "234567", _DIGITS + _LOW, _DIGITS + _UP, _DIGITS + _UP + _LOW, _DIGITS + _UP + _LOW + "+/-_")
 ENCODINGS = len(ALPHABETS)
 #: Per cent of each letter from a to z in ordinary Latin-script text, in alphabetical order.
 LETTERS = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.2, 0.8, 4.0, 2.4, 6.7, 7.5, 1.9, 0.1, 6.0, 6.3, 9.1, 2.8, 1.0, 2.4, 0.2, 2.0, 0.1)
 #: Shares of lower-case letters, upper-case letters, digits and the signs + / - _ in ordinary words.
 SHARES = (0.88, 0.05, 0.05, 0.02)
-BATTERY = 16.27  # chi-squared with 3 degrees of freedom passes it once in a thousand times
+POWER = 3
 LENGTHS = (24, 40, 80)
 TOP_BIN = 3000
 
@@ -72,31 +74,36 @@ def _log_ordinary() -> Column:
 
 
 def judge(run: Column) -> Column:
-    """struct<size, battery, bin>: a run's length, the battery's sum, and floor(-10 log10 p)."""
-    kind = F.when(run.rlike("^[0-9a-f]+$"), 0).when(run.rlike("^[0-9A-F]+$"), 1).when(run.rlike("^[0-9A-Z]+$"), 2).when(run.rlike("^[0-9A-Za-z]+$"), 3).otherwise(4)
-    alphabet = F.element_at(F.array(*map(F.lit, ALPHABETS)), kind + 1)
-    symbols = F.split(run, "")
-    n, size = F.length(run).cast("double"), F.length(alphabet).cast("double")
+    """struct<size, bin>: a run's length and floor(-10 log10 p)."""
+    kind = F.when(run.rlike("^[0-9a-f]+$"), 0).when(run.rlike("^[0-9A-F]+$"), 1).when(run.rlike("^[a-z2-7]+$"), 2).when(run.rlike("^[A-Z2-7]+$"), 3).when(run.rlike("^[0-9a-z]+$"), 4).when(run.rlike("^[0-9A-Z]+$"), 5).when(run.rlike("^[0-9A-Za-z]+$"), 6).otherwise(7)
+    let = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  x is worked out once
     total = lambda xs, f: F.aggregate(xs, F.lit(0.0), lambda a, x: a + f(x))
-    ranks = F.transform(symbols, lambda c: F.call_function("locate", c, alphabet).cast("double") - 1)
-    counts = F.transform(F.array_distinct(symbols), lambda c: F.pow(n - F.length(F.replace(run, c, F.lit(""))), 2))
-    chi = total(counts, lambda x: x) * size / n - n
-    uniform = F.greatest((chi - (size - 1)) / F.sqrt(2 * (size - 1)), F.lit(0.0))
-    high = F.transform(ranks, lambda r: F.when(r >= size / 2, 1.0).otherwise(0.0))
-    above = total(high, lambda x: x)
-    below = n - above
-    changes = total(F.zip_with(F.slice(high, 2, F.length(run)), high, lambda a, b: F.abs(a - b)), lambda x: F.coalesce(x, F.lit(0.0)))
-    expected = 2 * above * below / n + 1
-    spread = F.sqrt(F.greatest((expected - 1) * (expected - 2) / (n - 1), F.lit(1e-9)))
-    mean = total(ranks, lambda x: x) / n
-    variance = F.greatest(total(ranks, lambda x: F.pow(x - mean, 2)), F.lit(1e-9))
-    # the pair beyond the end is null and counts as nothing
-    lagged = total(F.zip_with(F.slice(ranks, 2, F.length(run)), ranks, lambda a, b: (a - mean) * (b - mean)), lambda x: F.coalesce(x, F.lit(0.0)))
-    runs, serial = (changes + 1 - expected) / spread, lagged / variance * F.sqrt(n)
-    log_ratio = -n * F.log(size) - total(symbols, lambda c: F.element_at(_log_ordinary(), c))
-    p = F.least(F.lit(float(math.log(ENCODINGS))) - log_ratio, F.lit(0.0))
+    n = F.length(run).cast("double")
+
+    def battery(alphabet: Column, symbols: Column, ranks: Column, mean: Column) -> Column:
+        size = F.length(alphabet).cast("double")
+        counts = F.transform(F.array_distinct(symbols), lambda c: F.pow(n - F.length(F.replace(run, c, F.lit(""))), 2))
+        chi = total(counts, lambda x: x) * size / n - n
+        uniform = F.greatest((chi - (size - 1)) / F.sqrt(2 * (size - 1)), F.lit(0.0))
+        high = F.transform(ranks, lambda r: F.when(r >= size / 2, 1.0).otherwise(0.0))
+        # the pair beyond the end is null and counts as nothing
+        changes = total(F.zip_with(F.slice(high, 2, F.length(run)), high, lambda a, b: F.abs(a - b)), lambda x: F.coalesce(x, F.lit(0.0)))
+        expected = let(total(high, lambda x: x), lambda above: 2 * above * (n - above) / n + 1)
+        runs = let(expected, lambda e: (changes + 1 - e) / F.sqrt(F.greatest((e - 1) * (e - 2) / (n - 1), F.lit(1e-9))))
+        variance = F.greatest(total(ranks, lambda x: F.pow(x - mean, 2)), F.lit(1e-9))
+        lagged = total(F.zip_with(F.slice(ranks, 2, F.length(run)), ranks, lambda a, b: (a - mean) * (b - mean)), lambda x: F.coalesce(x, F.lit(0.0)))
+        return F.pow(uniform, 2) + F.pow(runs, 2) + F.pow(lagged / variance * F.sqrt(n), 2)
+
+    def log_p(alphabet: Column, symbols: Column) -> Column:
+        ranks = F.transform(symbols, lambda c: F.call_function("locate", c, alphabet).cast("double") - 1)
+        sums = let(ranks, lambda r: let(total(r, lambda x: x) / n, lambda mean: battery(alphabet, symbols, r, mean)))
+        tail = let(sums, lambda x: F.least(F.log(1 + F.sqrt(2 * x / math.pi)) - x / 2, F.lit(0.0)))
+        log_ratio = -n * F.log(F.length(alphabet).cast("double")) - total(symbols, lambda c: F.element_at(_log_ordinary(), c))
+        return F.least(F.lit(float(math.log(ENCODINGS))) - log_ratio - POWER * tail, F.lit(0.0))
+
+    p = let(F.element_at(F.array(*map(F.lit, ALPHABETS)), kind + 1), lambda alphabet: let(F.split(run, ""), lambda symbols: log_p(alphabet, symbols)))
     bin_ = F.least(F.floor(-10 * p / F.log(F.lit(10.0))), F.lit(TOP_BIN)).cast("int")
-    return F.struct(F.length(run).alias("size"), (uniform * uniform + runs * runs + serial * serial).alias("battery"), bin_.alias("bin"))
+    return F.struct(F.length(run).alias("size"), bin_.alias("bin"))
 
 
 def length_class(size: Column) -> Column:
@@ -135,7 +142,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text
     runs = found.select(F.explode("__runs").alias("r")).select(length_class(F.col("r.is.size")).alias("class"), F.col("r.is.bin").alias("bin"))
     least = F.broadcast(scratch.save(bounds(runs, rate), "bounds"))  # one row
     free = lambda r: ~F.exists("__base", lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"]))
-    discovery = lambda r: (r["is"]["battery"] < BATTERY) & (r["is"]["bin"] >= F.coalesce(F.element_at("__least", length_class(r["is"]["size"])), F.lit(TOP_BIN + 1))) & free(r)
+    discovery = lambda r: (r["is"]["bin"] >= F.coalesce(F.element_at("__least", length_class(r["is"]["size"])), F.lit(TOP_BIN + 1))) & free(r)
     random = F.transform(F.filter("__runs", discovery), lambda r: F.struct(r["start"].alias("start"), F.lit(len(BASE)).alias("kind"), r["end"].alias("end")))
     return found.join(least).select(*keep, F.array_sort(F.concat("__base", random)).alias("spans"))
 

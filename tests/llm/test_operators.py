@@ -208,6 +208,30 @@ def test_secret_spans(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def recall_of_random(spark, kinds, n=50):
+    """The share of random runs found for each (symbols, size), and of words with a number."""
+    own = random.Random(5)
+    runs = ["".join(own.choice(symbols) for _ in range(size)) for symbols, size in kinds for _ in range(n)]
+    dull = [prose(3, i).replace(" ", "-") + "-version" + str(i) for i in range(n)]
+    found = secret_scan.scan(docs(spark, ["k " + x for x in [*runs, *dull]], 0)).collect()
+    hits = np.bincount([r["doc_id"] // n for r in found if r["spans"]], minlength=len(kinds) + 1) / n
+    return hits[:-1].tolist(), hits[-1]
+
+
+def test_random_runs_of_each_encoding(spark):
+    low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    kinds = [(symbols, size) for symbols in (digits + low, low + "234567", low.upper() + "234567") for size in (48, 96)]
+    right, wrong = recall_of_random(spark, kinds)
+    assert min(right) >= 0.95 and wrong <= 0.02, (right, wrong)
+
+
+def test_the_battery_enters_the_p_value(spark):
+    # as many of each symbol, in order: as unlike ordinary text as random ones
+    rows = spark.createDataFrame([("0123456789abcdef" * 2,), ("90e4a7c2b81f3d5608ce5a7139fd2b64",)], "run string")
+    ordered, mixed = [r[0]["bin"] for r in rows.select(secret_scan.judge(F.col("run"))).collect()]
+    assert ordered + 50 < mixed
+
+
 def test_secrets_are_redacted(spark):
     d = docs(spark, ["é token=abcdef, é", "clean", None])
     got = secret_scan.redact(d)
