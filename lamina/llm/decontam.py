@@ -7,7 +7,8 @@ BLOCK_CHARS characters of benchmark are broadcast at a time; a larger benchmark
 block and the hits are united, so nothing is dropped and no broadcast outgrows the bound. Windows
 are found by a rolling hash and each hit is verified on the words themselves.
 
-Null or empty texts have no words and no hits; items without words have no windows. Repeated items,
+Null or empty texts have no words and no hits; items without words have no windows. Items
+without an id count for hits and spans, but are in no list of items. Repeated items,
 repeated rows and columns beyond those named don't matter. Rows are independent of each other.
 """
 
@@ -33,7 +34,7 @@ class Windows:
     """The windows of a block of items: for each length a sorted array of hashes, the word numbers
     of each window, and the items that hold it."""
 
-    def __init__(self, items: list[tuple[int, str | None]], window: int):
+    def __init__(self, items: list[tuple[int | None, str | None]], window: int):
         self.words: dict[bytes, int] = {}
         held: dict[tuple[int, ...], set[int]] = {}
         for item, text in items:
@@ -42,7 +43,7 @@ class Windows:
             ids = [self.words.setdefault(w, len(self.words)) for w in own.to_pylist()]
             size = min(window, len(ids))
             for i in range(len(ids) - size + 1 if size else 0):
-                held.setdefault(tuple(ids[i : i + size]), set()).add(item)
+                held.setdefault(tuple(ids[i : i + size]), set()).update(() if item is None else (item,))
         self.sizes: dict[int, tuple[int, np.ndarray, np.ndarray, list[list[int]]]] = {}
         for size in sorted({len(w) for w in held}):
             own = [w for w in held if len(w) == size]
@@ -56,9 +57,9 @@ class Windows:
             order = np.argsort(hashes)
             self.sizes[size] = mix, hashes[order], ids[order], [sorted(held[own[i]]) for i in order]
 
-    def hits(self, ids: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def hits(self, ids: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """ids: the number of each word, -1 if no item has it. For each occurrence of a window and
-        each item that holds it: the first word, the end and the item."""
+        each item that holds it: the first word, the end, the item and whether it has an id."""
         n, found = len(ids), []
         broken = np.append(0, np.cumsum(ids < 0))
         numbers = ids.astype(np.uint64)
@@ -73,8 +74,8 @@ class Windows:
             same = hashes[place] == own
             at, place = at[same], place[same]
             same = (numbers[at[:, None] + np.arange(size)] == words[place]).all(axis=1)
-            found += [(a, a + size, item) for a, p in zip(at[same].tolist(), place[same].tolist(), strict=True) for item in items[p]]
-        return tuple(np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+            found += [(a, a + size, item or 0, item is not None) for a, p in zip(at[same].tolist(), place[same].tolist(), strict=True) for item in items[p] or [None]]
+        return tuple(np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4
 
 
 def rolling(ids: np.ndarray, at: np.ndarray, size: int, mix: int) -> np.ndarray:
@@ -95,8 +96,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id
     state = docs.select(*keep, *(F.lit(None).cast(kind).alias(c) for c, kind in found.items()), F.col(text).cast("string").alias("__text"))
     scratch = C.Scratch(spark, "decontam")
     for k in range(blocks):
-        own = benchmark.where(F.pmod(F.xxhash64(item), F.lit(blocks)) == k) if blocks > 1 else benchmark
-        rows = own.select(F.col(item).cast("long"), F.col(item_text).cast("string")).where(F.col(item).isNotNull()).collect()  # bounded by block_chars
+        own = benchmark.where(F.pmod(F.xxhash64(F.coalesce(F.col(item), F.xxhash64(item_text))), F.lit(blocks)) == k) if blocks > 1 else benchmark
+        rows = own.select(F.col(item).cast("long"), F.col(item_text).cast("string")).collect()  # bounded by block_chars
         state = state.mapInArrow(_meet(spark.sparkContext.broadcast(Windows([tuple(r) for r in rows], window)), state.columns, first=not k), state.schema)
         if k + 1 < blocks:  # one block at a time is in memory
             state = scratch.save(state, f"block{k}")
@@ -114,12 +115,12 @@ def _meet(part, names: list[str], first: bool):
             data, ends = C.flat(batch.column(batch.num_columns - 1))
             starts, stops, texts, own = C.runs(C.lower_ascii(data), ends, WORD)
             ids = np.array([get(w, -1) for w in own.dictionary.to_pylist()], np.int64)[own.indices.to_numpy()] if len(starts) else starts
-            a, b, items = windows.hits(ids, texts)
+            a, b, items, named = windows.hits(ids, texts)
             hit = np.zeros(len(starts) + 1, np.int64)
             np.add.at(hit, a, 1)
             np.add.at(hit, b, -1)
             hit = np.cumsum(hit)[:-1] > 0
-            pairs = np.stack([texts[a], items], axis=1)
+            pairs = np.stack([texts[a], items], axis=1)[named > 0]
             if not first:
                 old_items, old_spans = batch.column(batch.num_columns - 3), batch.column(batch.num_columns - 2)
                 pairs = np.concatenate([pairs, np.stack([np.repeat(np.arange(n), old_items.value_lengths().to_numpy()), old_items.flatten().to_numpy()], axis=1)])

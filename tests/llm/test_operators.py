@@ -456,6 +456,16 @@ def test_windows_equal_brute_force(spark):
     assert decontam.scan(empty(spark), bench).count() == 0 and decontam.scan(docs(spark, texts), bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_items_without_an_id_are_hit(spark):
+    text = prose(12, 60)
+    bench = spark.createDataFrame([(None, text), (None, prose(12, 61)), (0, prose(12, 62)), (2, prose(12, 63))], "item_id long, text string")
+    d = docs(spark, [prose(5, 1) + " " + text, prose(12, 62), prose(30, 9)])
+    for block in (decontam.BLOCK_CHARS, 60):
+        got = {r["doc_id"]: (r["n_hit"], r["items"], len(r["spans"])) for r in decontam.scan(d, bench, block_chars=block).collect()}
+        assert got == {1: (12, [], 1), 2: (12, [0], 1), 3: (0, [], 0)}
+        assert {r["doc_id"] for r in decontam.remove_documents(d, bench, block_chars=block).collect()} == {3}
+
+
 # -- queries ----------------------------------------------------------------------------------------
 def test_queries_are_registered():
     assert [re.match(r"op\d+", n)[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
