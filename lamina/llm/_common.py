@@ -15,18 +15,21 @@ from pyspark.sql import functions as F
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def prepare(spark: SparkSession, rows_per_batch: int = 1000) -> SparkSession:
-    """Lets Python workers import this package, and keeps Arrow batches small.
+#: Arrow batches have at most so many rows, and end with the row that takes them beyond so many bytes.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
-    A batch of 1,000 documents holds a few MB, so a worker's memory doesn't grow with the table.
-    """
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package, and keeps Arrow batches small, so a worker's memory
+    doesn't grow with the table or the number of long texts."""
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
     # idle workers give freed memory back, so those of earlier stages don't add up
     env |= {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "262144", "MALLOC_MMAP_THRESHOLD_": "262144"}
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_per_batch))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -88,11 +91,12 @@ def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return data[np.repeat(starts - at, lengths) + np.arange(total)]
 
 
-def slices(batches, rows: int = 1000):
-    """Record batches of at most `rows` rows."""
+def slices(batches, rows: int = BATCH_ROWS):
+    """Record batches of at most `rows` rows and some bytes, none of them empty."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        each = max(1, min(rows, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, each):
+            yield batch.slice(at, each)
 
 
 def runs(data: np.ndarray, ends: np.ndarray, member: np.ndarray):

@@ -306,9 +306,70 @@ def test_fuzzy_passages_against_brute_force(spark, size, rate, least):
 
 
 def test_chains_take_the_best_order():
-    matches = [(0, 100), (8, 108), (16, 5), (16, 116), (24, 124), (200, 10), (208, 18)]
-    found = sorted(passages.chains(matches), key=len)
-    assert found[-1] == [(0, 100), (8, 108), (16, 116), (24, 124)] and [(200, 10), (208, 18)] in found
+    matches = [(0, 100), (8, 108), (16, 5), (16, 116), (27, 124), (200, 10), (208, 18)]
+    a, b = np.array(matches).T
+    _, *parts = passages.segments(np.zeros(len(a), np.int64), a, b)
+    parts = list(zip(*(x.tolist() for x in parts)))
+    assert parts == [(0, 100, 22, 18), (16, 5, 6, 6), (27, 124, 6, 6), (200, 10, 14, 12)]
+    found = sorted([[parts[i][:2] for i in chain] for chain in passages.chains(parts)], key=len)
+    assert found[-1] == [(0, 100), (27, 124)] and [(200, 10)] in found and [(16, 5)] in found
+
+
+def test_links_against_brute_force(spark):
+    """Whatever two documents share 50 words in a row, a passage of each has the same id; words counted
+    are those in such windows at least, and nothing where no two documents share 20 words."""
+    own = random.Random(17)
+    lines = [prose(own.choice((12, 17, 25, 51, 60)), 9000 + i).split() for i in range(24)]
+    texts = []
+    for i in range(90):
+        parts = [own.choice(lines) for _ in range(own.randint(0, 5))]
+        for at in range(len(parts) + 1, 0, -1):
+            parts.insert(at - 1, prose(own.choice((0, 3, 12)), 100 * i + at).split())
+        texts.append(" ".join(w for p in parts for w in p))
+    texts += [prose(90, 77), None, "", "one"]
+    got = {r["doc_id"]: r for r in passages.find(docs(spark, texts)).collect()}
+    held = {}
+    for i, t in enumerate(texts, 1):
+        w = (t or "").split()
+        for k in range(len(w) - 49):
+            held.setdefault(tuple(w[k : k + 50]), []).append((i, k))
+    least = {}
+    n = 0
+    for window in held.values():
+        if len({i for i, _ in window}) < 2:
+            continue
+        for i, k in window:
+            least.setdefault(i, set()).update(range(k, k + 50))
+        for i, k in window:
+            n += 1
+            at = lambda i, k: {p["passage_id"] for p in got[i]["passages"] if p["start"] <= len(" ".join(texts[i - 1].split()[:k])) + (k > 0) < p["end"]}
+            classes = {j: got[j]["class_id"] for j, _ in window}
+            if len(set(classes.values())) > 1:
+                assert len(at(i, k)) == 1 and at(i, k) == at(*window[0]), (i, k)
+    assert n > 200
+    for i, t in enumerate(texts, 1):
+        assert got[i]["n_repeated"] >= len(least.get(i, ())), i
+    assert [got[i]["n_repeated"] for i in (91, 92, 93, 94)] == [0] * 4
+
+
+def test_passages_between_holders_of_single_seeds(spark):
+    """A passage shared word for word by two documents, each of whose shingles others hold too."""
+    shared = prose(70, 8000).split()
+    decoys = [" ".join([f"x{k}", *shared[k : k + 8], f"y{k}"]) for k in range(63)]
+    texts = [*decoys, prose(20, 8001) + " " + " ".join(shared), " ".join(shared) + " " + prose(20, 8002), *(d + " z" for d in decoys)]
+    got = {r["doc_id"]: r for r in passages.find(docs(spark, texts)).collect()}
+    assert (got[64]["n_repeated"], got[65]["n_repeated"]) == (70, 70)
+    assert got[64]["partners"] == [65] and got[65]["partners"] == [64]
+    assert all(got[i]["n_repeated"] == 0 for i in got if i not in (64, 65))
+
+
+def test_passages_of_odd_rows(spark):
+    one, two = prose(60, 8100), prose(60, 8200)
+    rows = [(1, one), (1, one), (1, two + " a"), (2, "b " + two), (3, "c " + one), (None, one), (None, None), (4, "w " * 30_000), (5, None)]
+    d = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, n_words int")
+    got = sorted(((r["doc_id"], r["n_words"], r["n_repeated"]) for r in passages.find(d).collect()), key=repr)
+    want = [(1, 60, 60), (1, 60, 60), (1, 61, 60), (2, 61, 60), (3, 61, 60), (None, 60, 0), (None, 0, 0), (4, 30_000, 0), (5, 0, 0)]
+    assert got == sorted(want, key=repr)
 
 
 def test_edits():
