@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -41,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lamina-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -68,6 +72,14 @@ class Scratch:
         hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def kept(df: DataFrame, keep: tuple[str, ...], *made: str) -> list[T.StructField]:
+    """The fields of the columns to keep; refuses names that the results take, whatever their case."""
+    fields = df.select(*keep).schema.fields
+    if taken := {f.name.lower() for f in fields} & {m.lower() for m in made}:
+        raise ValueError(f"columns to keep clash with the results: {sorted(taken)}")
+    return fields
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and the n + 1 offsets into them; null is empty."""
     if column.null_count:

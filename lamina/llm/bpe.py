@@ -7,7 +7,7 @@ are encoded once, and a worker remembers a bounded number of pieces.
 
 Null and empty texts have no tokens. Texts of any length are encoded whole. Rows are independent, so
 ties, repeated rows and extra columns don't matter; input columns other than those named are dropped
-unless listed in `keep`.
+unless listed in `keep`, which refuses the names of the results. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -175,16 +175,15 @@ _SORT[48:58] = _DIGIT
 _SORT[[9, 10, 11, 12, 13, 32]] = _SPACE
 
 
-def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), offsets: bool = False, vocabulary: str | None = None) -> DataFrame:
+def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), offsets: bool = False, vocabulary: str | None = None, decoded: bool = False) -> DataFrame:
     """The columns of `keep` and ids array<int>; with offsets also starts and ends array<int>, the
-    characters (code points) that each token touches, end exclusive."""
+    characters (code points) that each token touches, end exclusive; with decoded also decoded
+    binary, what the ids give by decode(), made in the same pass."""
     C.prepare(df.sparkSession)
     path = vocabulary or default_vocabulary()
-    kept = df.select(*keep).schema.fields
-    if taken := {"ids", "starts", "ends"} & {f.name for f in kept}:
-        raise ValueError(f"columns to keep clash with the results: {sorted(taken)}")
+    kept = C.kept(df, keep, "ids", "starts", "ends", "decoded")
     ints = T.ArrayType(T.IntegerType(), False)
-    schema = T.StructType([*kept, T.StructField("ids", ints)] + [T.StructField(c, ints) for c in ("starts", "ends") if offsets])
+    schema = T.StructType([*kept, T.StructField("ids", ints)] + [T.StructField(c, ints) for c in ("starts", "ends") if offsets] + [T.StructField("decoded", T.BinaryType())] * decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
@@ -198,6 +197,8 @@ def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
                 columns += [C.lists((a - before).astype(np.int32), at), C.lists((b - before).astype(np.int32), at)]
             elif offsets:
                 columns += [C.lists(ids, at)] * 2
+            if decoded:
+                columns.append(_binary(*own.decode(ids, at)))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
@@ -209,8 +210,7 @@ def decode(df: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",),
     vocabulary is an error."""
     C.prepare(df.sparkSession)
     path = vocabulary or default_vocabulary()
-    kept = df.select(*keep).schema.fields
-    schema = T.StructType([*kept, T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType([*C.kept(df, keep, "decoded"), T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
@@ -220,17 +220,20 @@ def decode(df: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",),
             counts = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
             if len(values) and not (0 <= values.min() and values.max() < len(own.lengths)):
                 raise ValueError("an id is outside the vocabulary")
-            data, ends = own.decode(values, np.append(0, np.cumsum(counts)))
-            made = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+            made = _binary(*own.decode(values, np.append(0, np.cumsum(counts))))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=schema.names)
 
     return df.select(*keep, F.col(ids).alias("__ids")).mapInArrow(run, schema)
 
 
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
 def digests(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encodes and decodes every text; the counts and digests of both."""
-    encoded = encode(df, text, (key,)).select(key, "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
-    return decode(encoded, "ids", (key, "n_tokens", "ids_sha256")).select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = encode(df, text, (key,), decoded=True)
+    return both.select(key, F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

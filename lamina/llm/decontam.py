@@ -9,7 +9,8 @@ are found by a rolling hash and each hit is verified on the words themselves.
 
 Null or empty texts have no words and no hits; items without words have no windows. Items
 without an id count for hits and spans, but are in no list of items. Repeated items,
-repeated rows and columns beyond those named don't matter. Rows are independent of each other.
+repeated rows and columns beyond those named don't matter; `keep` refuses the names of the results.
+Rows are independent of each other; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -92,6 +93,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id
     size = benchmark.agg(F.coalesce(F.sum(F.length(item_text)), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // block_chars))
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    C.kept(docs, keep, "n_words", "n_hit", "items", "spans", "__text")
     found = {"n_words": "bigint", "n_hit": "bigint", "items": "array<bigint>", "spans": span}
     state = docs.select(*keep, *(F.lit(None).cast(kind).alias(c) for c, kind in found.items()), F.col(text).cast("string").alias("__text"))
     scratch = C.Scratch(spark, "decontam")

@@ -218,7 +218,7 @@ def scan(docs: DataFrame, field: Field, keep: tuple[str, ...] = ("doc_id",), tex
     spark = C.prepare(docs.sparkSession)
     part = spark.sparkContext.broadcast(field)  # 160 kB
     kind = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "kind", "end")]))
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("base", kind), T.StructField("added", kind)])
+    schema = T.StructType([*C.kept(docs, keep, "base", "added"), T.StructField("base", kind), T.StructField("added", kind)])
     span = pa.list_(pa.struct([(c, pa.int32()) for c in ("start", "kind", "end")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

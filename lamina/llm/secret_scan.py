@@ -15,7 +15,7 @@ which shrinks with length. The p-values of all runs of the table are held to a f
 bins, whatever the table's size.
 
 Null and empty texts have no spans. Rows are independent but for the false-discovery bounds; ties,
-repeated rows and extra columns don't matter, and an empty table gives no rows. Positions are code
+repeated rows and extra columns don't matter, and an empty table gives no rows; `keep` refuses the names of the results. Positions are code
 points, ends exclusive.
 """
 
@@ -133,6 +133,7 @@ def bounds(judged: DataFrame, rate: float) -> DataFrame:
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", rate: float = 0.01) -> DataFrame:
     """The columns of `keep` and spans array<struct<start,kind,end>> by start and kind, where kind is
     a place in KINDS. A random run that overlaps a base span adds none."""
+    C.kept(docs, keep, "spans", "__base", "__runs", "__least")
     scratch = C.Scratch(docs.sparkSession, "secrets")
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
     of_kind = lambda k: lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end"))

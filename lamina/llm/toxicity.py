@@ -13,7 +13,8 @@ doc_id, of at most SAMPLE_CHARS characters each; it is the one bounded sample he
 every word of every text. Labels, lang, source and doc_id are no inputs of a score.
 
 Null and empty texts have no words and the score of a text without toxic words. Rows are scored one
-by one: ties, repeated rows and extra columns don't matter. Without a labelled document of either
+by one: ties, repeated rows and extra columns don't matter; `keep` refuses the names of the results. An
+empty table gives no rows. Without a labelled document of either
 class the score is the labelled base rate (0.5 if there are none) everywhere.
 """
 
@@ -35,6 +36,8 @@ THRESHOLD = 0.3
 PREFIXES = (3, 4, 5, 6, 7)
 WORD = C.members((48, 57), (97, 122), (128, 255))
 BLOCK = 64
+#: Words that share a prefix, and the log of how many times as common they are, for the prefix to count.
+VARIED, RATE = 6, 2.5
 
 
 def features(word: bytes) -> list[str]:
@@ -161,7 +164,14 @@ def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 30
     odds = np.log((by_toxic[1] + 0.5) / (toxic.sum() + 1)) - np.log((by_toxic[0] + 0.5) / ((~toxic).sum() + 1))
     # words that only copies of a few documents share are no evidence
     used = by_toxic[1] + by_toxic[0] >= max(4, 0.01 * len(toxic))
-    marked = (odds > 3) & (by_toxic[1] >= max(4, 0.06 * toxic.sum(), min(15, 0.15 * toxic.sum())))  # twenty times as common where toxic
+    # twenty times as common where toxic, by documents, or by words if several words share the prefix in
+    # several documents: a few documents that are copies of each other share few words of any prefix
+    often = (odds > 3) & (by_toxic[1] >= max(4, 0.06 * toxic.sum(), min(15, 0.15 * toxic.sum())))
+    in_class = [np.bincount(which[toxic[text] == c], minlength=len(words)) for c in (False, True)]
+    by_words = [np.bincount(flat, c[of], len(number)) + 0.5 for c in in_class]
+    rates = np.log(by_words[1] / in_class[1].sum()) - np.log(by_words[0] / in_class[0].sum())
+    varied = np.bincount(flat, (in_class[1] > 0)[of], len(number)) >= VARIED
+    marked = often | (varied & (rates > RATE) & (by_toxic[1] >= max(4, 0.01 * toxic.sum())))
     word_marked = np.zeros(len(words), bool)
     np.logical_or.at(word_marked, of, marked[flat])
     gold = word_marked[which] & toxic[text]
@@ -242,7 +252,7 @@ def tag(docs: DataFrame, tagger: Tagger, keep: tuple[str, ...] = ("doc_id",), te
     that are likelier toxic than not, in characters."""
     spark = C.prepare(docs.sparkSession)
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("score", T.DoubleType()), T.StructField("spans", span)])
+    schema = T.StructType([*C.kept(docs, keep, "score", "spans"), T.StructField("score", T.DoubleType()), T.StructField("spans", span)])
     part = spark.sparkContext.broadcast(tagger)  # of bounded size: it grows with the sample only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
