@@ -4,7 +4,7 @@ marginals add up to a document's score and give the offending offsets.
 Labels are of documents, so the words they are learned from are labelled first: in a toxic document,
 a word is toxic if it, or a prefix of it, stands out in the toxic training documents by
 document-frequency log-odds; every other word isn't. The field has two states, weights on a word's
-identity and its prefixes of 3 to 7 characters, and transitions; it maximises the labels' conditional
+identity and its prefixes of 4 to 7 characters, and transitions; it maximises the labels' conditional
 likelihood. A logistic layer on (log expected number, highest marginal, expected share), fitted on
 training documents that the field hasn't seen and weighted to the labelled base rate, makes the score.
 
@@ -31,13 +31,13 @@ from pyspark.sql import types as T
 
 from lamina.llm import _common as C
 
-SAMPLE, SAMPLE_CHARS = 400, 20_000
+SAMPLE, SAMPLE_CHARS = 700, 20_000
 THRESHOLD = 0.3
-PREFIXES = (3, 4, 5, 6, 7)
+PREFIXES = (4, 5, 6, 7)
 WORD = C.members((48, 57), (97, 122), (128, 255))
 BLOCK = 64
 #: Words that share a prefix, and the log of how many times as common they are, for the prefix to count.
-VARIED, RATE = 6, 2.5
+VARIED, RATE = 12, 2.5
 
 
 def features(word: bytes) -> list[str]:
