@@ -14,8 +14,8 @@ every word of every text. Labels, lang, source and doc_id are no inputs of a sco
 
 Null and empty texts have no words and the score of a text without toxic words. Rows are scored one
 by one: ties, repeated rows and extra columns don't matter; `keep` refuses the names of the results. An
-empty table gives no rows. Without a labelled document of either
-class the score is the labelled base rate (0.5 if there are none) everywhere.
+empty table gives no rows. With fewer than eight labelled documents, or none of one
+class, nothing can be learned and every score is UNLEARNED.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from lamina.llm import _common as C
 
 SAMPLE, SAMPLE_CHARS = 700, 20_000
 THRESHOLD = 0.3
+#: The score of every text where nothing can be learned: under the threshold, so nothing is rejected.
+UNLEARNED = 0.1
 PREFIXES = (4, 5, 6, 7)
 WORD = C.members((48, 57), (97, 122), (128, 255))
 BLOCK = 64
@@ -116,7 +118,7 @@ class Tagger:
     def __init__(self):
         self.weights: dict[str, float] = {}
         self.bias, self.transition, self.start = -10.0, np.full((2, 2), 0.5), np.full(2, 0.5)
-        self.layer, self.center = np.zeros(3), 0.0
+        self.layer, self.center = np.zeros(3), float(np.log(UNLEARNED / (1 - UNLEARNED)))
 
     def emissions(self, words: list[bytes]) -> np.ndarray:
         get = self.weights.get
@@ -141,7 +143,6 @@ class Tagger:
 def fit(texts: list[str], labels: np.ndarray, base_rate: float, rounds: int = 30) -> Tagger:
     """Trains on three of four sampled documents and fits the score's layer on the fourth."""
     own = Tagger()
-    own.center = float(np.log(base_rate / (1 - base_rate)))
     labels = np.asarray(labels, np.int64)
     if len(labels) < 8 or labels.min() == labels.max():
         return own
