@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD)
     signed = scratch.save(sign(docs, size), "signed")
     linkable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = scratch.save(linkable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n")), "classes")
-    stand = scratch.save(linkable.join(classes, "digest").where("doc_id = rep").select("rep", "n", "bands", "signature").dropDuplicates(["rep", "n"]), "stand")
+    stand = scratch.save(linkable.join(classes, "digest").where("doc_id = rep").select("digest", "rep", "n", "bands", "signature").dropDuplicates(["digest"]).drop("digest"), "stand")  # a doc_id with different texts stands once for each
     rows = stand.select(F.explode("bands").alias("band"), "rep", "n")
     crowded = rows.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("crowd")).where("lo < hi").select("band", "crowd")
     shared = scratch.save(rows.join(crowded, "band").select("band", "rep", "n", "crowd"), "shared")
@@ -196,12 +196,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD)
 
     def sifted(pairs: DataFrame, name: str) -> DataFrame:
         met = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
-        return scratch.save(met.where(alive("sa", "sb", threshold)).select("a", "b"), name)
+        return scratch.save(met.where(alive("sa", "sb", threshold)).select("a", "b").distinct(), name)
 
     pair = lambda x, y: (F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
     hubs = placed.groupBy("band").agg(F.max_by("rep", "central").alias("hub"))
     tested = scratch.save(placed.join(hubs, "band").where("rep <> hub").select(*pair("rep", "hub")).distinct(), "tested")
     links = verify(sifted(tested, "alive"), "1")
+    # the texts of one doc_id are one document
+    reps = linkable.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("doc_id", "lo")
+    same = linkable.select("doc_id", "digest").join(reps, "doc_id").join(classes, "digest").where("rep > lo").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
+    links = links.unionByName(scratch.save(same.distinct(), "same"))
     labels = scratch.save(components(links, scratch, "first"), "labels1")
 
     # buckets with more than one component
@@ -209,8 +213,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD)
     mixed = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
     apart = scratch.save(labelled.join(mixed, "band"), "apart")
     left = scratch.save(apart.select(F.col("rep").alias("doc_id")).distinct(), "left")
-    fine = scratch.save(_fine(texts.join(C.small(left), "doc_id", "left_semi"), size).dropDuplicates(["rep"]), "fine")
-    apart = apart.join(fine.join(stand.select("rep", "bands"), "rep"), "rep").withColumn("at", F.array_position("bands", F.col("band")).cast("int"))
+    fine = scratch.save(_fine(texts.join(C.small(left), "doc_id", "left_semi"), size).distinct(), "fine")
+    apart = apart.join(fine.join(stand.select("rep", "bands"), "rep"), "rep").withColumn("at", F.array_position("bands", F.col("band")).cast("int")).where("at > 0")
     x, y = apart.alias("x"), apart.alias("y")
     ratio = f"100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)"  # else the sets can't reach the threshold
     first = "NOT exists(zip_with(slice(x.bands, 1, x.at - 1), slice(y.bands, 1, x.at - 1), (p, q) -> p = q), same -> same)"
