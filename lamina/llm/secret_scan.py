@@ -34,6 +34,8 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),  # a longer run always matches whole, a shorter one would be dropped
 }
+#: What a text must hold, in lower case, to hold a match; these are far cheaper to look for.
+HINTS = {"assign": ("password", "passwd", "secret", "token", "apikey", "api_key"), "access": ("akia",)}
 KINDS = (*BASE, "random")
 RUN = r"(?<![A-Za-z0-9+/_-])(?=[0-9+/_-]*[A-Za-z])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}"
 _LOW, _UP, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -48,8 +50,19 @@ LENGTHS = (24, 40, 80)
 TOP_BIN = 3000
 
 
-def places(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
-    """array<struct<start,end>> of the leftmost non-overlapping matches whose group is long enough."""
+def hinted(text: Column, kind: str) -> Column:
+    """Whether a text may hold a match of the kind."""
+    if kind == "random":
+        return text.rlike("[A-Za-z0-9+/_-]{16}")
+    out = F.lit(kind not in HINTS)
+    for hint in HINTS.get(kind, ()):
+        out = out | F.contains(F.lower(text), F.lit(hint))
+    return out
+
+
+def places(text: Column, pattern: str, group: int = 0, least: int = 0, ready: Column | None = None) -> Column:
+    """array<struct<start,end>> of the leftmost non-overlapping matches whose group is long enough, in texts
+    that are ready to be searched."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))  # the last gap has no match
@@ -62,7 +75,7 @@ def places(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column
         return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= least, F.concat(state["found"], own)).otherwise(state["found"]).alias("found"))
 
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
-    return F.when(text.rlike(pattern), F.aggregate(zipped, empty, step, lambda s: s["found"])).otherwise(none)
+    return F.when((F.lit(True) if ready is None else ready) & text.rlike(pattern), F.aggregate(zipped, empty, step, lambda s: s["found"])).otherwise(none)
 
 
 def _log_ordinary() -> Column:
@@ -137,8 +150,8 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text
     scratch = C.Scratch(docs.sparkSession, "secrets")
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
     of_kind = lambda k: lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end"))
-    base = F.concat(*(F.transform(places(own, *BASE[kind]), of_kind(k)) for k, kind in enumerate(BASE)))
-    judged = F.transform(places(own, RUN), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), judge(F.substr(own, s["start"] + 1, s["end"] - s["start"])).alias("is")))
+    base = F.concat(*(F.transform(places(own, *BASE[kind], hinted(own, kind)), of_kind(k)) for k, kind in enumerate(BASE)))
+    judged = F.transform(places(own, RUN, ready=hinted(own, "random")), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), judge(F.substr(own, s["start"] + 1, s["end"] - s["start"])).alias("is")))
     found = scratch.save(docs.select(*keep, base.alias("__base"), judged.alias("__runs")), "found")
     runs = found.select(F.explode("__runs").alias("r")).select(length_class(F.col("r.is.size")).alias("class"), F.col("r.is.bin").alias("bin"))
     least = F.broadcast(scratch.save(bounds(runs, rate), "bounds"))  # one row
