@@ -3,9 +3,11 @@
 A batch of changes holds signed rows: an insert adds a document and its tokens, a delete takes them
 away, a revision takes the old count away and adds the new one. A batch is summed to one row for each
 (source, lang, tokenizer) before it is written, so what is kept grows with the number of keys and
-batches and not with the documents. Commits are idempotent: a batch is written aside and renamed to
-the name of its id, and an id that is there already changes nothing. Totals are the sums over the
-committed batches, the same in whatever order they came. One writer commits at a time.
+batches and not with the documents. Commits are idempotent and whole: a batch is written to a folder of its own,
+and then a mark with the batch's id, made only if there is none, names that folder. What has no mark is never read, so a
+writer that is lost half-way leaves nothing, and of two writers of one id one commits. Totals are the sums over the
+committed batches, the same in whatever order they came. compact() sums what is committed into one folder, whose mark
+lists the batches that it stands for.
 
 Null texts count as empty; null sources and languages are keys of their own. Repeated rows are
 repeated changes and count each. Empty batches commit and add nothing. Extra columns are ignored.
@@ -13,6 +15,9 @@ repeated changes and count each. Empty batches commit and add nothing. Extra col
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,37 +47,71 @@ def revisions(rows: DataFrame, old: str, new: str) -> DataFrame:
 
 
 class Rollup:
-    """Committed batches in a directory that all executors share."""
+    """Committed batches in a directory that all executors share: data/ has folders, commits/ and bases/ marks."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
         jvm = spark.sparkContext._jvm
         self.path = jvm.org.apache.hadoop.fs.Path
         self.fs = self.path(directory).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self.fs.mkdirs(self.path(directory))
+        for part in ("commits", "bases", "data"):
+            self.fs.mkdirs(self.path(f"{directory}/{part}"))
+
+    def _names(self, part: str) -> list[str]:
+        return sorted(x.getPath().getName() for x in self.fs.listStatus(self.path(f"{self.directory}/{part}")))
+
+    def _lines(self, part: str, names: list[str]) -> list[str]:
+        return [r["value"] for r in self.spark.read.text([f"{self.directory}/{part}/{n}" for n in names]).collect()] if names else []  # short marks
+
+    def _mark(self, part: str, name: str, *lines: str) -> bool:
+        """Makes a mark; False if there is one of that name."""
+        try:
+            out = self.fs.create(self.path(f"{self.directory}/{part}/{name}"), False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        out.writeBytes("\n".join(lines))
+        out.close()
+        return True
 
-    def _place(self, batch: str):
-        if not batch.replace("-", "").replace("_", "").isalnum():
-            raise ValueError(f"a batch id has letters, digits, - and _: {batch!r}")
-        return f"{self.directory}/batch={batch}"
+    def _write(self, rows: DataFrame, name: str) -> str:
+        folder = f"{name}-{uuid.uuid4().hex}"
+        rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{self.directory}/data/{folder}")
+        return folder
 
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Adds a batch; False if it was committed before, and then nothing changes."""
-        place = self._place(batch)
-        if self.fs.exists(self.path(place)):
+        if not batch.replace("-", "").replace("_", "").isalnum():
+            raise ValueError(f"a batch id has letters, digits, - and _: {batch!r}")
+        if self.fs.exists(self.path(f"{self.directory}/commits/{batch}")):
             return False
-        aside = f"{self.directory}/_aside-{batch}"  # what a failed attempt left is overwritten
-        rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.mode("overwrite").parquet(aside)
-        if not self.fs.rename(self.path(aside), self.path(place)):
-            raise OSError(f"can't commit {place}")
-        return True
+        folder = self._write(rows, batch)
+        done = self._mark("commits", batch, f"{batch} {folder}")
+        if not done:
+            self.fs.delete(self.path(f"{self.directory}/data/{folder}"), True)
+        return done
 
     def batches(self) -> list[str]:
-        return sorted(x.getPath().getName().removeprefix("batch=") for x in self.fs.listStatus(self.path(self.directory)) if x.getPath().getName().startswith("batch="))
+        return self._names("commits")
+
+    def _folders(self) -> list[str]:
+        """The folders whose sum is the total: the last base, and the batches that it doesn't stand for."""
+        base = self._lines("bases", self._names("bases")[-1:])
+        held = set(base[1:])
+        marks = dict(x.split() for x in self._lines("commits", [b for b in self.batches() if b not in held]) if x)
+        return base[:1] + sorted(marks.values())
+
+    def compact(self) -> None:
+        """Sums all committed batches into one folder. Folders that older bases or batches name stay, for readers
+        that have begun; a compaction that is lost half-way changes nothing."""
+        batches, bases = self.batches(), self._names("bases")
+        folder = self._write(self.totals(), "base")
+        self._mark("bases", f"{len(bases):09d}", folder, *batches)
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; keys whose documents are all gone have none."""
-        places = [self._place(b) for b in self.batches()]
+        places = [f"{self.directory}/data/{x}" for x in self._folders()]
         rows = self.spark.read.schema(CHANGES).parquet(*places) if places else self.spark.createDataFrame([], CHANGES)
         summed = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return summed.where("n_docs <> 0 OR n_tokens <> 0")
