@@ -3,24 +3,29 @@
 The nodes of a document's field are its units: address-like words, dotted quads and number groups of
 seven digits or more, each labelled none, email, ip, card or phone. Neighbouring units share a chain
 potential. Units that repeat (the same letters and digits, the same last ten digits) or nearly do
-(one digit differs) share a skip potential, however far apart. Equal units are linked one to the
-next, so a document with many of them has as many edges. Sum-product messages pass over all edges
-of a batch at once, ROUNDS times, half of each message kept; units that a base span covers are
+(one digit or the domain differs) share a skip potential, however far apart: each is linked to the first
+unit with its key, so a document with many of them has as many edges and what is known of one reaches all
+others in two steps. Sum-product messages pass over all edges of a batch at once, half of each message
+kept, until they settle or ROUNDS times; units that a base span covers are
 observed. A unit likelier of a kind than none adds its span.
 
-Weights: a softmax layer on a unit's shape, and both potentials as smoothed log ratios of label pairs,
-fitted on the units of at most SAMPLE documents (those with the lowest hash of doc_id, of at most
-SAMPLE_CHARS characters), labelled by the base spans. That sample is the only bounded one; every text
-is scanned whole.
+Weights: those of a unit's shape and both kinds of potential are fitted together, by the gradient of the field's
+pseudo-likelihood (each unit's label given its neighbours'), on the units of at most SAMPLE documents (those with
+the lowest hash of doc_id among those of at most SAMPLE_CHARS characters; of rows that share a doc_id, the least text), labelled by
+the base spans. A unit that no base span covers may yet be of a kind, so what it was next to counts half. That sample is the
+only bounded one; every text is scanned whole.
 
 Null and empty texts have no spans. Rows are independent; ties, repeated rows and extra columns don't
-matter, and an empty table gives no rows. Positions are code points, ends exclusive.
+matter, and an empty table gives no rows; `keep` refuses the names of the results. Positions are code
+points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +39,7 @@ from lamina.llm import _common as C
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 4_000, 20_000
-FEATURES, ROUNDS = 1 << 12, 10
+FEATURES, ROUNDS, SETTLED = 1 << 12, 50, 1e-3
 N_FEATURES = 11  # of a unit
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -92,10 +97,10 @@ def shape(unit: str, before: str) -> list[int]:
 def keys(unit: str) -> list[tuple]:
     """Units that share a key are linked."""
     if "@" in unit:
-        return [("@", unit.lower())]
+        return [("@", unit.lower()), ("@", unit.lower().partition("@")[0])]
     digits = NOT_DIGIT.sub("", unit)
     if unit.count(".") == 3:
-        return [("ip", unit)]
+        return [("ip", unit), *(("ip", i, unit[:i] + unit[i + 1 :]) for i in range(len(unit)))]
     out: list[tuple] = [("d", digits[-10:])]
     return out + [("x", i, digits[:i] + digits[i + 1 :]) for i in range(len(digits))] if len(digits) <= 24 else out
 
@@ -109,19 +114,20 @@ def graph(texts: list[str]):
         base.append(own)
         seen: dict[tuple, int] = {}
         first = len(units)
+        reach = list(accumulate((e for _, _, e in own), max))
         for m in UNIT.finditer(text):
             i = len(units)
             a, b = m.span()
-            cover = next((kind + 1 for s, kind, e in own if s < b and a < e), 0)
+            i_own = bisect_right(reach, a)  # the first base span that ends behind a
+            cover = own[i_own][1] + 1 if i_own < len(own) and own[i_own][0] < b else 0
             units.append((k, a, b))
             labels.append(cover)
             features.append(shape(m[0], text[max(0, a - 24) : a].split()[-1:][0] if text[max(0, a - 24) : a].split() else ""))
             if i > first:
                 chain.add((i - 1, i))
             for key in keys(m[0]):
-                if (j := seen.get(key)) is not None:
+                if (j := seen.setdefault(key, i)) != i:
                     skip.add((j, i))
-                seen[key] = i
     both = [np.array(sorted(x), np.int64).reshape(-1, 2) for x in (chain, skip)]
     return units, np.array(labels, np.int64), np.array(features, np.int64).reshape(len(units), N_FEATURES), both[0], both[1], base
 
@@ -135,29 +141,33 @@ class Field:
         self.chain, self.skip = np.zeros((n, n)), 2.0 * np.eye(n)
 
     def fit(self, labels: np.ndarray, features: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = 150) -> Field:
+        """Ascends the pseudo-likelihood, with a ridge towards where the field stands."""
         if not len(labels):
             return self
         n = len(KINDS) + 1
         gold = np.eye(n)[labels]
-        grads = np.full_like(self.weights, 1e-8)
+        weight = np.where(labels == 0, 0.5, 1.0)[:, None]
+        start = {name: getattr(self, name).copy() for name in ("weights", "chain", "skip")}
+        sums = {name: np.full_like(x, 1e-8) for name, x in start.items()}
+
+        def around(edges: np.ndarray) -> np.ndarray:
+            """How many neighbours of each label each unit has."""
+            out = np.zeros((len(labels), n))
+            for a, b in ((0, 1), (1, 0)):
+                np.add.at(out, edges[:, a], gold[edges[:, b]])
+            return out
+
+        near = {"chain": around(chain), "skip": around(skip)}
         for _ in range(rounds):
-            score = self.weights[features].sum(axis=1)
-            p = np.exp(score - score.max(axis=1, keepdims=True))
-            off = p / p.sum(axis=1, keepdims=True) - gold
-            gradient = 0.05 * self.weights
-            np.add.at(gradient, features.ravel(), np.repeat(off, features.shape[1], axis=0))
-            grads += gradient**2
-            self.weights -= 0.3 * gradient / np.sqrt(grads)
-        share = np.bincount(labels, minlength=n) + 1.0
-        share /= share.sum()
-        for name, edges in (("chain", chain), ("skip", skip)):
-            pairs = np.bincount(labels[edges[:, 0]] * n + labels[edges[:, 1]], minlength=n * n).reshape(n, n) + 1.0
-            pairs = pairs + pairs.T
-            # a unit that no base span covers may yet be of a kind: what it was next to says nothing
-            ratio = np.log(pairs / pairs.sum() / np.outer(share, share))
-            if name == "skip":
-                ratio[0, 1:] = ratio[1:, 0] = np.minimum(ratio[0, 1:], 0)
-            setattr(self, name, np.clip(ratio, -4, 4))
+            score = self.weights[features].sum(axis=1) + sum(x @ getattr(self, name) for name, x in near.items())
+            off = weight * (_softmax(score) - gold)
+            gradients = {name: (x.T @ off + off.T @ x) / 2 for name, x in near.items()}
+            gradients["weights"] = np.zeros_like(self.weights)
+            np.add.at(gradients["weights"], features.ravel(), np.repeat(off, features.shape[1], axis=0))
+            for name, gradient in gradients.items():
+                gradient += 0.05 * (getattr(self, name) - start[name])
+                sums[name] += gradient**2
+                setattr(self, name, getattr(self, name) - 0.3 * gradient / np.sqrt(sums[name]))
         return self
 
     def marginals(self, labels: np.ndarray, features: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
@@ -177,12 +187,15 @@ class Field:
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         message = np.zeros((len(source), n))
         for _ in range(ROUNDS):
+            before = message
             belief = unary.copy()
             np.add.at(belief, target, message)
             out = (belief[source] - message[back])[:, :, None] + potential
             top = out.max(axis=1)
             fresh = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
             message = 0.5 * message + 0.5 * (fresh - fresh.max(axis=1, keepdims=True))
+            if np.abs(message - before).max() < SETTLED:
+                break
         belief = unary.copy()
         np.add.at(belief, target, message)
         return _softmax(belief)
@@ -208,7 +221,7 @@ def find(texts: list[str], field: Field) -> list[tuple[list[tuple[int, int, int]
 def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike("@|[0-9]{2}"))
     chosen = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = [r["text"] for r in rows.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").select("text").limit(2 * sample).toLocalIterator()]  # bounded: sample documents
+    texts = [r["text"] for r in rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").toLocalIterator()]  # a text for each document of the sample
     _, labels, features, chain, skip, _ = graph(texts)
     return Field().fit(labels, features, chain, skip)
 
