@@ -39,6 +39,8 @@ ARCHIVE_BYTES = 32 << 20
 #: Neighbouring records are fetched together, up to so many bytes.
 FETCH_BYTES = 4 << 20
 LEAST_PAYLOAD = 100
+#: What Arrow calls the schemes of Spark's readers; others have one name in both.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -106,10 +108,17 @@ def write(classified: DataFrame, directory: str) -> DataFrame:
     return classified.select("page_id", "url", "html", "payload_digest", "refers_to").mapInArrow(run, "path string, n_records bigint, n_bytes bigint")
 
 
+def file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system and path of an archive: local folders that all executors share, hdfs, and object stores
+    by the schemes that Spark's readers know them under."""
+    scheme, _, rest = uri.partition("://")
+    return pyarrow.fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}" if rest else uri)
+
+
 class _Writer:
     def __init__(self, directory: str):
         self.uri = f"{directory}/{uuid.uuid4().hex}.zip"
-        fs, path = pyarrow.fs.FileSystem.from_uri(self.uri)
+        fs, path = file_system(self.uri)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
         self.out = fs.open_output_stream(path)
         self.zip = zipfile.ZipFile(_Forward(self.out), "w", zipfile.ZIP_STORED)
@@ -192,7 +201,7 @@ def directory(read, size: int) -> dict[str, tuple[int, int]]:
 
 def records(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """The records of an archive in the order of its index, by ranges of its file."""
-    fs, path = pyarrow.fs.FileSystem.from_uri(uri)
+    fs, path = file_system(uri)
     with fs.open_input_file(path) as file:
         found = directory(lambda at, n: file.read_at(n, at), file.size())
         data_at, data_size = found[DATA]
