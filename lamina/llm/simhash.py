@@ -12,7 +12,8 @@ whole, and there is a table for each choice of EXTRA blocks. Equal fingerprints
 
 Null and empty texts, and blank ones, have the fingerprint of no votes, all zeros. Equal texts have
 equal fingerprints. Extra columns are ignored. Rows that share a doc_id are each a row of the result;
-their order among themselves is open. A row without a doc_id has no next document, nor is it one.
+their order among themselves is open. A row without a doc_id has no next document, nor is it one. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from lamina.llm import _common as C
 
 BITS, HALF = 64, 32
 MAX_WEIGHT = 8
-#: A task puts the documents of so many consecutive doc_ids in order; it never has more of them.
-SPAN = 4096
+#: A range of doc_ids that one task puts in order has about so many, while there are RANGES ranges at most.
+SPAN, RANGES = 1024, 4096
 EXTRA = 2
 
 
@@ -55,31 +56,44 @@ def shown(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), BITS // 4, "0"))
 
 
-def _followers(ids: DataFrame) -> DataFrame:
-    """b and nxt, the next lower b (after the lowest: the highest), for a column b of distinct
-    integers. Tasks order at most SPAN of them; then as many times fewer heads of such groups."""
-    grouped = ids.withColumn("__g", F.floor(F.col("b") / SPAN))
-    own = grouped.withColumn("nxt", F.lead("b").over(Window.partitionBy("__g").orderBy(F.desc("b"))))
-    tops = grouped.groupBy("__g").agg(F.max("b").alias("__top"))
-    order = Window.orderBy(F.desc("__g"))  # one row for each SPAN ** 2 doc_ids
-    tops = tops.select("__g", F.coalesce(F.lead("__top").over(order), F.first("__top").over(order)).alias("__below"))
-    return own.join(tops, "__g").select("b", F.coalesce("nxt", "__below").alias("nxt"))
-
-
-def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
-    """bucket, place, guest, doc_id, text and next_text, clustered by bucket and ordered by place.
-    Buckets hold consecutive doc_ids, the highest first; a guest repeats the head of the next bucket.
-    The texts are shuffled once."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.floor(F.col("doc_id") / SPAN).alias("bucket"))
-    ring = rows.where("doc_id IS NOT NULL")
+def _bounds(ids: DataFrame) -> list[int]:
+    """Ascending bounds that part the ids (column doc_id) in ranges of about SPAN each, RANGES at most, from a
+    quantile sketch of bounded size. However the ids are spread, a range has about as many."""
+    n = ids.count()
+    parts = max(1, min(RANGES, -(-n // SPAN)))
+    if parts == 1:
+        return []
+    cuts = ids.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10 * parts).alias("cuts")).first()["cuts"]
+    return sorted({int(x) for x in cuts})
+
+
+def _bucket(bounds: list[int]) -> Column:
+    """How many bounds are at most doc_id, by bisection."""
+    if not bounds:
+        return F.lit(0)
+    cuts, top = F.array(*map(F.lit, bounds)), len(bounds).bit_length() - 1
+    at = lambda lo, k: lo + F.shiftleft(F.lit(1), top - k)
+    step = lambda lo, k: F.when((at(lo, k) <= len(bounds)) & (F.get(cuts, at(lo, k) - 1) <= F.col("doc_id")), at(lo, k)).otherwise(lo)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(top)), F.lit(0), step)
+
+
+def with_next(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """bucket, place, guest, doc_id, text and next_text, clustered by bucket and ordered by place; and the
+    same of the rows without a doc_id. Buckets hold ranges of doc_ids, the highest first; a guest repeats the
+    head of the next bucket. The texts are shuffled once."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    ids = rows.select("doc_id").where("doc_id IS NOT NULL")
+    ring = rows.where("doc_id IS NOT NULL").withColumn("bucket", _bucket(_bounds(ids)))
     scratch = C.Scratch(docs.sparkSession, "simhash")
     heads = scratch.save(ring.groupBy("bucket").agg(F.max("doc_id").alias("head")), "heads")
-    targets = scratch.save(_followers(heads.select(F.col("bucket").alias("b"))).join(heads.withColumnRenamed("bucket", "nxt"), "nxt").select(F.col("head").alias("doc_id"), F.col("b").alias("target")), "targets")
-    guests = ring.join(C.small(targets), "doc_id").select("doc_id", "text", F.col("target").alias("bucket"), F.lit(1).alias("guest"))
+    order = Window.orderBy(F.desc("bucket"))  # RANGES rows at most
+    targets = scratch.save(heads.select(F.col("bucket").alias("target"), F.coalesce(F.lead("head").over(order), F.first("head").over(order)).alias("doc_id")), "targets")
+    guests = ring.drop("bucket").join(F.broadcast(targets), "doc_id").groupBy("doc_id", "target").agg(F.min("text").alias("text"))  # RANGES rows at most
+    guests = guests.select("doc_id", "text", F.col("target").alias("bucket"), F.lit(1).alias("guest"))
     order = Window.partitionBy("bucket").orderBy("guest", F.desc("doc_id"))
     all_rows = ring.withColumn("guest", F.lit(0)).unionByName(guests)
     in_ring = all_rows.select("bucket", F.row_number().over(order).alias("place"), "guest", "doc_id", "text", F.lead("text").over(order).alias("next_text"))
-    alone = rows.where("doc_id IS NULL").select(F.xxhash64("text").alias("bucket"), (-F.monotonically_increasing_id() - 1).alias("place"), F.lit(0).alias("guest"), "doc_id", "text", F.lit(None).cast("string").alias("next_text"))
+    alone = rows.where("doc_id IS NULL").select(F.xxhash64("text").cast("int").alias("bucket"), (-F.monotonically_increasing_id() - 1).alias("place"), F.lit(0).alias("guest"), "doc_id", "text", F.lit(None).cast("string").alias("next_text"))
     return in_ring, alone
 
 
@@ -105,6 +119,17 @@ def pairs_within(marked: DataFrame, radius: int = 3) -> DataFrame:
     return met.select(F.col("x.fingerprint").alias("fingerprint_a"), F.col("y.fingerprint").alias("fingerprint_b"), distance.alias("distance")).distinct()
 
 
+def near(marked: DataFrame, radius: int = 3) -> DataFrame:
+    """fingerprint, class_id (the smallest doc_id with that fingerprint), n_links (how many other values are within
+    the radius) and nearest_id (the smallest class_id among those and itself) of each value of marked
+    (doc_id, fingerprint). Links are counted as they are met: no pair is written out."""
+    classes = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"))
+    pairs = pairs_within(classes.select("fingerprint"), radius)
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("fingerprint_a").alias("fingerprint"), F.col("fingerprint_b").alias("other")), F.struct(F.col("fingerprint_b").alias("fingerprint"), F.col("fingerprint_a").alias("other")))).alias("e")).select("e.*")
+    met = ends.join(classes.select(F.col("fingerprint").alias("other"), F.col("class_id").alias("__id")), "other").groupBy("fingerprint").agg(F.count("*").alias("n_links"), F.min("__id").alias("__least"))
+    return classes.join(met, "fingerprint", "left").select("fingerprint", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.least("class_id", "__least").alias("nearest_id"))
+
+
 def compare(docs: DataFrame) -> DataFrame:
     """For each document its fingerprint, its edited text's, and their and the next one's likeness."""
 
@@ -123,6 +148,12 @@ def compare(docs: DataFrame) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = compare(C.table(spark, sf_dir, "documents"))
+    scratch = C.Scratch(spark, "op9")
+    found = scratch.save(compare(C.table(spark, sf_dir, "documents")), "found")
+    close = scratch.save(near(found.select("doc_id", F.col("own").alias("fingerprint"))), "near")
+    rows = found.join(C.small(close.withColumnRenamed("fingerprint", "own")), "own")
     own, changed, following = F.col("own"), F.col("changed"), F.col("following")
-    return found.select("doc_id", "n_chars", "edited_sha256", shown(own).alias("fingerprint"), shown(changed).alias("edited_fingerprint"), likeness(own, changed).alias("near_edited"), likeness(own, following).alias("near_next"))
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", shown(own).alias("fingerprint"), shown(changed).alias("edited_fingerprint"), likeness(own, changed).alias("near_edited"), likeness(own, following).alias("near_next"),
+        "class_id", "n_links", "nearest_id",
+    )
