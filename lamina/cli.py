@@ -1,4 +1,8 @@
-"""Command line: python -m lamina.cli COMMAND CORPUS [OUT] ...; previews unless --write is given."""
+"""Command line: python -m lamina.cli COMMAND INPUT ...; previews unless --write is given.
+
+INPUT is the corpus document, but for extract (a JSON file with a cell of page, table, row, col, text on each line) and
+cluster (raw rows, one on each line).
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import textnorm as X
-from lamina.operators import lexicon
+from lamina.operators import fields, lexicon
 from lamina.plans import jobs
 from lamina.sources import documents as D
 
@@ -26,18 +30,41 @@ def _words(spark: SparkSession, path: str | None) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("command", choices=("audit", "groups", "words", "compose", "ingest", "provenance"))
+    parser.add_argument("command", choices=("extract", "cluster", "harvest", "audit", "groups", "words", "compose", "cards", "ingest", "provenance"))
     parser.add_argument("corpus")
     parser.add_argument("--decisions", help="word decisions, or for ingest the export")
     parser.add_argument("--words", help="word decisions for ingest")
     parser.add_argument("--task", default="translit-adjudication")
     parser.add_argument("--field", default="title_translit")
     parser.add_argument("--proposals", help="JSON with machine_suggestions, for provenance")
+    parser.add_argument("--captions", default="", help="captions of header cells, separated by |, for extract")
+    parser.add_argument("--authority", help="authorities of earlier harvests, for cluster")
+    parser.add_argument("--baseline", help="the corpus as it was built, for harvest")
+    parser.add_argument("--merges", help="CSV of variant, cluster_id, for harvest")
+    parser.add_argument("--json", action="store_true", help="print JSON lines")
+    parser.add_argument("--list", action="store_true", help="provenance of each row too")
     parser.add_argument("--write", metavar="FOLDER")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    rows, clusters = _corpus(spark, args.corpus)
     bad = 0
+    if args.command == "extract":
+        found = jobs.extract(spark.read.schema("page int, table int, row int, col int, text string").json(args.corpus), tuple(filter(None, args.captions.split("|"))))
+        return _out({"rows": found, "stats": fields.extraction_stats(found)}, args)
+    if args.command == "cluster":
+        known = D.document(spark, args.authority or "/nowhere", D.AUTHORITIES, optional=True)
+        pins = D.entries(known, "variant_to_cluster", "variant").select(X.normalize_ar(F.col("variant")).alias("norm"), F.col("value").alias("cluster_id"))
+        overrides = D.entries(known, "row_overrides", "id").select("id", F.col("value").alias("values"))
+        empty = spark.createDataFrame([], "name string, translit string")
+        built = jobs.build(spark.read.schema(D.RAW_ROWS).json(args.corpus), pins, D.entries(known, "clusters", "cluster_id"), overrides, empty, {}, {}, {})
+        return _out(dict(zip(("rows", "clusters", "detached"), built, strict=True)), args)
+    rows, clusters = _corpus(spark, args.corpus)
+    if args.command == "harvest":
+        merges = D.csv_worklists(spark, args.merges) if args.merges else spark.createDataFrame([], "variant string, cluster_id string")
+        found = jobs.harvest(rows, clusters, _corpus(spark, args.baseline)[0], merges)
+        return _out(dict(zip(("pins", "authority", "overrides", "conflicts"), found, strict=True)), args)
+    if args.command == "cards":
+        kept = D.entries(D.document(spark, args.decisions or "/nowhere", D.KEEPS, optional=True), "keeps", "id").select("id")
+        return _out(jobs.cards(rows, clusters, kept, _words(spark, args.words)), args)
     if args.command == "audit":
         out = jobs.audit_all(rows, clusters)
     elif args.command == "groups":
@@ -48,15 +75,26 @@ def main(argv: list[str] | None = None) -> int:
         filled, status = jobs.compose_titles(rows, clusters, _words(spark, args.decisions))
         out = {"rows": filled, "status": status}
     elif args.command == "ingest":
-        state, ledger, faulty = jobs.ingest(rows, D.decisions(spark, args.decisions, args.task), _words(spark, args.words))
-        out = {"rows": state, "ledger": ledger, "unconserved": faulty}
-        bad = int(not ledger.where("status = 'quarantine'").isEmpty())
+        out = jobs.ingest(rows, D.decisions(spark, args.decisions, args.task), _words(spark, args.words), clusters)
+        bad = int(not out["ledger"].where("status = 'quarantine'").isEmpty())
     else:
         proposed = D.document(spark, args.proposals, D.AUTHORITIES).select(F.explode("machine_suggestions").alias("id", "values")).select("id", F.try_element_at("values", F.lit(args.field)).alias("proposal"))
-        out = {"provenance": lexicon.provenance(rows.join(proposed, "id", "left"), args.field, "proposal")}
-    for name, df in out.items():
+        met = rows.join(proposed, "id", "left")
+        out = {"provenance": lexicon.provenance(met, args.field, "proposal")}
+        if args.list:
+            filled = met.where(F.trim(F.coalesce(args.field, F.lit(""))) != "")
+            out["rows"] = filled.select("id", lexicon.classify(F.trim(args.field), F.col("proposal")).alias("verdict"), F.trim(args.field).alias("value"), "proposal")
+    return _out(out, args, bad)
+
+
+def _out(found: dict[str, DataFrame], args: argparse.Namespace, bad: int = 0) -> int:
+    """Writes the results, prints them as JSON lines, or shows the first of each."""
+    for name, df in found.items():
         if args.write:
             D.write_version(df, f"{args.write}/{name}")
+        elif args.json:
+            for line in df.select(F.to_json(F.struct(F.lit(name).alias("table"), "*")).alias("line")).toLocalIterator():
+                print(line["line"])
         else:
             df.show(20, truncate=60)
     return bad

@@ -65,6 +65,11 @@ def bare(c: Column) -> Column:
     return F.regexp_replace(c, rf"[\p{{M}}{TATWEEL}]", "")
 
 
+def app_key(c: Column) -> Column:
+    """A word's Arabic letters without marks and tatweel, no letter folded; empty for a word of another script."""
+    return F.regexp_replace(bare(c), r"[^\u0621-\u065F\u0670-\u06D3]", "")
+
+
 def words(c: Column) -> Column:
     """Arabic word tokens, marks and tatweel inside."""
     return F.regexp_extract_all(c, F.lit(WORD), F.lit(0))

@@ -11,7 +11,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import textnorm as X
@@ -67,9 +67,10 @@ def _replace(text: str, word: str, target: str) -> tuple[str, list[int]]:
     return _WORD.sub(turn, text), places
 
 
-def _fold_ortho(title: str, translit: str, author: str, decisions: list[dict]) -> tuple[str, str, str, list[tuple]]:
+def _fold_ortho(own: dict, decisions: list) -> tuple[dict, list[tuple]]:
+    title, translit, author = own["title"], own["title_translit"], own["author"]
     ledger: list[tuple] = []
-    for d in sorted(decisions, key=lambda d: d["ord"]):
+    for d in decisions:
         word, target = d["word"], d["target"]
         if d["surface"] == "author":
             fresh, places = _replace(author, word, target)
@@ -94,7 +95,7 @@ def _fold_ortho(title: str, translit: str, author: str, decisions: list[dict]) -
             parts[i] = d["translit"][:-2] + "at" if bound else d["translit"]
         translit = " ".join(parts) if parts else translit
         ledger.append((d["id"], "ortho", "applied", None, False))
-    return title, translit, author, ledger
+    return {"title": title, "title_translit": translit, "author": author}, ledger
 
 
 LEDGER = "array<struct<id:string,stratum:string,status:string,reason:string,partial:boolean>>"
@@ -109,100 +110,208 @@ def apply_ortho(rows: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataF
     none = F.expr("cast(array() as array<string>)")
     on = lambda c, surface: judged.where("reason IS NULL AND target <> word").select("ord", "id", "word", "target", "translit", F.lit(surface).alias("surface"), F.explode(F.coalesce(c, none)).alias("row"))
     each = on("rows", "title").unionByName(on("authors", "author"))
-    missing = each.join(rows.select(F.col("id").alias("row")), "row", "left_anti").select("row", "id", F.lit("ortho").alias("stratum"), F.lit("quarantine").alias("status"), F.lit("no such row").alias("reason"), F.lit(False).alias("partial"))
-    per_row = each.groupBy("row").agg(F.collect_list(F.struct("ord", "id", "word", "target", "translit", "surface")).alias("__d"))
-    joined = rows.join(per_row.withColumnRenamed("row", "id"), "id", "left")
-    columns = [c for c in rows.columns]
-
-    @F.pandas_udf(f"title string, title_translit string, author string, ledger {LEDGER}")
-    def fold(title: pd.Series, translit: pd.Series, author: pd.Series, ds: pd.Series) -> pd.DataFrame:
-        out = [_fold_ortho(t or "", l or "", a or "", list(d) if d is not None else []) for t, l, a, d in zip(title, translit, author, ds, strict=True)]
-        return pd.DataFrame([(t, l, a, [dict(zip(("id", "stratum", "status", "reason", "partial"), x, strict=True)) for x in led]) for t, l, a, led in out], columns=["title", "title_translit", "author", "ledger"])
-
-    done = joined.withColumn("__f", fold("title", "title_translit", "author", "__d"))
-    fresh = done.select(*(F.col(f"__f.{c}").alias(c) if c in ("title", "title_translit", "author") else F.col(c) for c in columns))
-    ledger = done.where("__d IS NOT NULL").select(F.col("id").alias("row"), F.explode("__f.ledger").alias("l")).select("row", "l.*")
-    return fresh, ledger.unionByName(rejected).unionByName(kept).unionByName(missing)
-
-
-def _guarded(status: Column, reason: Column, stratum: str, row: str = "row") -> list[Column]:
-    return [F.col(row), F.col("did").alias("id"), F.lit(stratum).alias("stratum"), status.alias("status"), reason.alias("reason"), F.lit(False).alias("partial")]
+    fresh, ledger = _fold_rows(rows, each, ("title", "title_translit", "author"), _fold_ortho)
+    return fresh, ledger.unionByName(rejected).unionByName(kept)
+
+
+def _fold_rows(rows: DataFrame, decisions: DataFrame, fields: tuple[str, ...], fold, key: str = "id", stratum: str = "ortho") -> tuple[DataFrame, DataFrame]:
+    """Rows whose fields went through fold(values, decisions in order) -> (values, ledger), and the
+    ledger. decisions: row, ord, id and what the fold reads. Rows without a decision don't
+    reach Python; a row's decisions are folded together because each sees what the last one left."""
+    others = [c for c in decisions.columns if c != "row"]
+    per_row = decisions.groupBy(F.col("row").alias(key)).agg(F.collect_list(F.struct(*others)).alias("__d"))
+    kinds = dict(rows.select(*fields).dtypes)
+    made = ", ".join(f"{c} {kinds[c]}" for c in fields)
+
+    @F.pandas_udf(f"{made}, ledger {LEDGER}")
+    def folded(values: pd.DataFrame, ds: pd.Series) -> pd.DataFrame:
+        out = []
+        for own, d in zip(values.to_dict("records"), ds, strict=True):
+            fresh, ledger = fold({c: own[c] if own[c] is not None else "" for c in fields}, sorted(d, key=lambda x: x["ord"]))
+            out.append({c: fresh[c] for c in fields} | {"ledger": [dict(zip(("id", "stratum", "status", "reason", "partial"), x, strict=True)) for x in ledger]})
+        return pd.DataFrame(out, columns=[*fields, "ledger"])
+
+    touched = rows.join(per_row, key).withColumn("__f", folded(F.struct(*fields), F.col("__d")))
+    rest = rows.join(per_row.select(key), key, "left_anti")
+    fresh = rest.select(*rows.columns).unionByName(touched.select(*(F.col(f"__f.{c}").alias(c) if c in fields else F.col(c) for c in rows.columns)))
+    ledger = touched.select(F.col(key).alias("row"), F.explode("__f.ledger").alias("l")).select("row", "l.*")
+    missing = decisions.join(rows.select(F.col(key).alias("row")), "row", "left_anti")
+    lost = missing.select("row", "id", F.lit(stratum).alias("stratum"), F.lit("quarantine").alias("status"), F.lit("no such row" if key == "id" else "no such cluster").alias("reason"), F.lit(False).alias("partial"))
+    return fresh, ledger.unionByName(lost)
+
+
+def apply_ortho_names(clusters: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clusters (cluster_id, canonical_ar, variants, ...) whose names the spelling decisions rewrite, and
+    the ledger. decisions: as for apply_ortho, with clusters array<string>. Variants stay distinct and
+    in order; a name that doesn't hold the word is left as it is."""
+    judged = reject_ortho(decisions).where("reason IS NULL AND target <> word")
+    each = judged.select("ord", "id", "word", "target", F.explode(F.coalesce("clusters", F.expr("cast(array() as array<string>)"))).alias("row"))
+
+    def fold(own: dict, ds: list) -> tuple[dict, list[tuple]]:
+        ledger = []
+        for d in ds:
+            name = _replace(own["canonical_ar"], d["word"], d["target"])[0]
+            variants = sorted({_replace(v, d["word"], d["target"])[0] for v in own["variants"]})
+            changed = name != own["canonical_ar"] or any(_replace(v, d["word"], d["target"])[0] != v for v in own["variants"])
+            own = {"canonical_ar": name, "variants": variants if changed else list(own["variants"])}
+            ledger.append((d["id"], "ortho", "applied" if changed else "unchanged", None, False))
+        return own, ledger
+
+    return _fold_rows(clusters, each, ("canonical_ar", "variants"), fold, "cluster_id")
+
+
+def _with(decisions: DataFrame, **kinds: str) -> DataFrame:
+    """id, row, ord and the named columns, null where the decisions lack one."""
+    has = set(decisions.columns)
+    own = [F.col(c).cast(k).alias(c) if c in has else F.lit(None).cast(k).alias(c) for c, k in kinds.items()]
+    return decisions.select("id", F.coalesce("row", "id").alias("row"), (F.col("ord") if "ord" in has else F.lit(0)).cast("int").alias("ord"), *own)
+
+
+def _fold_witness(own: dict, decisions: list) -> tuple[dict, list[tuple]]:
+    parts, ledger = own["title_translit"].split(), []
+    for d in decisions:
+        target, was = (d["target"] or "").strip(), d["was"] or None
+        if d["action"] == "keep":
+            verdict = "unchanged", None
+        elif not target:
+            verdict = "quarantine", "no reading recorded"
+        elif " ".join(parts) == target or (target in parts and was not in parts):
+            verdict = "unchanged", None
+        elif was and was not in parts:
+            verdict = "quarantine", "the row no longer reads what was corrected"
+        else:
+            parts, verdict = [target if w == was else w for w in parts], ("applied", None)
+        ledger.append((d["id"], "witness", *verdict, False))
+    changed = any(x[2] == "applied" for x in ledger)
+    return {"title_translit": " ".join(parts) if changed else own["title_translit"]}, ledger
 
 
 def apply_witness(rows: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """decisions: id, row, was, target, one a row. A word of the transliteration is replaced where it
-    still reads `was`; one that already reads the target, or keeps what it was, is unchanged."""
-    d = decisions.select(F.col("id").alias("did"), "row", "was", F.trim("target").alias("target"))
-    parts = F.split(F.coalesce("title_translit", F.lit("")), " ")
-    joined = d.join(rows.select(F.col("id").alias("row"), "title_translit").withColumn("found", F.lit(True)), "row", "left")
-    has = lambda c: F.array_contains(parts, F.col(c))
-    status = F.when(F.col("found").isNull() | (F.col("target") == ""), "quarantine").when(F.col("target") == F.col("was"), "unchanged").when(has("was"), "applied").when(has("target"), "unchanged").otherwise("quarantine")
-    reason = F.when(F.col("found").isNull(), "no such row").when(F.col("target") == "", "no reading recorded").when((F.col("target") != F.col("was")) & ~has("was") & ~has("target"), "the row no longer reads what was corrected")
-    judged = joined.withColumn("s", status).withColumn("r", reason)
-    change = judged.where("s = 'applied'").select(F.col("row").alias("id"), F.col("was").alias("__was"), F.col("target").alias("__to"))
-    turned = F.array_join(F.transform(parts, lambda t: F.when(t == F.col("__was"), F.col("__to")).otherwise(t)), " ")
-    fresh = rows.join(change, "id", "left").withColumn("title_translit", F.when(F.col("__was").isNotNull(), turned).otherwise(F.col("title_translit"))).drop("__was", "__to")
-    return fresh, judged.select(*_guarded(F.col("s"), F.col("r"), "witness"))
+    """decisions: id, row, was, target, and if given action and ord; a row may have several. A word of the
+    transliteration is replaced where it still reads `was`; one that already reads the target, and
+    what is to be kept, is unchanged."""
+    d = _with(decisions, action="string", was="string", target="string")
+    return _fold_rows(rows, d, ("title_translit",), _fold_witness, stratum="witness")
+
+
+def _key(s: str) -> str:
+    """normalize_ar of one value."""
+    s = "".join(c for c in unicodedata.normalize("NFKC", s) if not unicodedata.category(c).startswith("M"))
+    return " ".join(s.translate(_LETTERS).split())
+
+
+_LETTERS = str.maketrans("آأإٱىة", "ااااي" + "ه", X.TATWEEL)
+_LATIN = re.compile(X.LATIN_OR_DIGIT)
+ATTRIBUTED = ("title", "title_translit", "catalog_note", "discrepancy_note")
+
+
+def _moved(note: str, tail: str, translit: str | None) -> str:
+    own = f"Title as catalogued ends «{tail}»" + (f" ({translit})" if translit else "") + "."
+    return f"{note.strip()} {own}".strip()
+
+
+def _set_title(own: dict, d: dict, target: str, tail: str) -> dict | str:
+    """The row's fields with the title that was written for it, or why it can't stand."""
+    to, has = (d["target_translit"] or "").strip(), bool(own["title_translit"].strip())
+    if _LATIN.search(target):
+        return "the title has Latin characters"
+    if d["was"] and d["was"].strip() and _key(own["title"]) != _key(d["was"]):
+        return "the title is no longer the one corrected"
+    if has and not to:
+        return "the row has a transliteration and the new title none"
+    note = _moved(own["catalog_note"], tail, d["tail_translit"]) if tail and tail not in target else own["catalog_note"]
+    return own | {"title": target, "title_translit": to or own["title_translit"], "catalog_note": note}
+
+
+def _strip_tail(own: dict, d: dict, target: str, tail: str) -> dict | str:
+    """The row's fields without the tail's words at the end of the title as it stands now."""
+    title = own["title"].strip()
+    starts, n = [m.start() for m in _WORD.finditer(title)], len(_WORD.findall(tail))
+    if not n or len(starts) <= n:
+        return "the title no longer ends with the tail"
+    short = title[: starts[-n]].strip()
+    if _key(short) != _key(target):
+        return "without the tail the title isn't the one decided on"
+    out = own | {"title": short, "catalog_note": _moved(own["catalog_note"], tail, d["tail_translit"])}
+    if d["target_translit"]:
+        parts, last = own["title_translit"].split(), len((d["tail_translit"] or "").split())
+        out["title_translit"] = " ".join(parts[:-last]) if 0 < last < len(parts) else d["target_translit"]
+    elif not d["aligned"]:
+        out["discrepancy_note"] = f"{own['discrepancy_note'].strip()} title_translit not trimmed with the removed tail «{tail}» — word counts did not align.".strip()
+    return out
+
+
+def _fold_attribution(own: dict, decisions: list) -> tuple[dict, list[tuple]]:
+    ledger = []
+    for d in decisions:
+        target, tail = (d["target"] or "").strip(), (d["tail"] or "").strip()
+        done = {"set_title": _set_title, "strip_tail": _strip_tail}.get(d["action"])
+        if d["action"] == "keep":
+            verdict = "unchanged", None
+        elif done is None:
+            verdict = "quarantine", "unknown action"
+        elif not target:
+            verdict = "quarantine", "no title recorded"
+        elif _key(own["title"]) == _key(target):
+            verdict = "unchanged", None
+        elif isinstance(fresh := done(own, d, target, tail), str):
+            verdict = "quarantine", fresh
+        else:
+            own, verdict = fresh, ("applied", None)
+        ledger.append((d["id"], "attribution", *verdict, False))
+    return own, ledger
 
 
 def apply_attribution(rows: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """decisions: id, row, action, was, target, target_translit, tail, tail_translit, one a row.
+    """decisions: id, row, action, was, target, target_translit, tail, tail_translit, and if given aligned
+    and ord; a row may have several.
 
     keep leaves the row; set_title assigns a title where the row still has the one it was made for,
-    and needs a transliteration where the row has one; strip_tail takes the tail off the title, if it
-    ends with it, and moves it to catalog_note, as it does the transliteration's tail if that ends with
-    it (else the note says that it was left). Other actions are refused.
+    and needs a transliteration where the row has one; strip_tail takes as many words as the tail has
+    off the current title, where that gives the title decided on, and off the transliteration, where one was
+    decided on (else a note says that it was left). A tail that goes is moved to catalog_note. Other
+    actions are refused.
     """
-    d = decisions.select(F.col("id").alias("did"), "row", "action", "was", F.trim(F.coalesce("target", F.lit(""))).alias("target"), F.trim(F.coalesce("target_translit", F.lit(""))).alias("to"), F.trim(F.coalesce("tail", F.lit(""))).alias("tail"), F.trim(F.coalesce("tail_translit", F.lit(""))).alias("lt"))
-    own = rows.select(F.col("id").alias("row"), F.coalesce("title", F.lit("")).alias("t"), F.coalesce("title_translit", F.lit("")).alias("l"), F.coalesce("catalog_note", F.lit("")).alias("n"))
-    j = d.join(own, "row", "left")
-    same = lambda a, b: X.normalize_ar(F.col(a)) == X.normalize_ar(F.col(b))
-    ends = F.col("t").endswith(F.concat(F.lit(" "), F.col("tail"))) & (F.col("tail") != "")
-    noted = F.contains("n", F.col("tail")) & (F.col("tail") != "")
-    setting, strip = F.col("action") == "set_title", F.col("action") == "strip_tail"
-    reason = (
-        F.when(F.col("t").isNull(), "no such row")
-        .when(~F.coalesce(F.col("action").isin("keep", "set_title", "strip_tail"), F.lit(False)), "unknown action")
-        .when(setting & (F.col("target") == ""), "no title recorded")
-        .when(setting & ~same("t", "target") & ~same("t", "was"), "the title is no longer the one corrected")
-        .when(setting & (F.col("l") != "") & (F.col("to") == ""), "the row has a transliteration and the new title none")
-        .when(strip & ~ends & ~noted, "the title no longer ends with the tail")
-    )
-    status = F.when(reason.isNotNull(), "quarantine").when(F.col("action") == "keep", "unchanged").when(setting & (F.col("t") == F.col("target")), "unchanged").when(strip & ~ends, "unchanged").otherwise("applied")
-    judged = j.withColumn("r", reason).withColumn("s", status)
-    cut = lambda x, tail: F.trim(F.substr(F.col(x), F.lit(1), F.length(x) - F.length(tail)))
-    aligned = (F.col("lt") != "") & F.col("l").endswith(F.concat(F.lit(" "), F.col("lt")))
-    note = F.when((F.col("l") != "") & ~aligned, F.concat(F.col("tail"), F.lit(" (transliteration left)"))).otherwise(F.col("tail"))
-    change = judged.where("s = 'applied'").select(
-        F.col("row").alias("id"), F.lit(True).alias("__x"),
-        F.when(setting, F.col("target")).otherwise(cut("t", "tail")).alias("__t"),
-        F.when(setting, F.when(F.col("to") != "", F.col("to")).otherwise(F.col("l"))).when(aligned, cut("l", "lt")).otherwise(F.col("l")).alias("__l"),
-        F.when(strip, F.concat_ws("; ", F.nullif("n", F.lit("")), note)).otherwise(F.col("n")).alias("__n"),
-    )
-    fresh = rows.join(change, "id", "left")
-    fresh = fresh.withColumns({c: F.when(F.col("__x"), F.col(x)).otherwise(F.col(c)) for c, x in (("title", "__t"), ("title_translit", "__l"), ("catalog_note", "__n"))}).drop("__x", "__t", "__l", "__n")
-    return fresh, judged.select(*_guarded(F.col("s"), F.col("r"), "attribution"))
+    d = _with(decisions, action="string", was="string", target="string", target_translit="string", tail="string", tail_translit="string", aligned="boolean")
+    missing = [c for c in ATTRIBUTED if c not in rows.columns]
+    fresh, ledger = _fold_rows(rows.withColumns({c: F.lit("") for c in missing}) if missing else rows, d, ATTRIBUTED, _fold_attribution, stratum="attribution")
+    return fresh, ledger
 
 
 def apply_homograph(rows: DataFrame, decisions: DataFrame, lex: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """decisions: id, row, readings map<key, reading>, one a row. Composes the title from the chosen
-    readings and the lexicon; a row that has a transliteration is unchanged; a word that neither
-    settles is refused."""
+    """decisions: id, row, readings map<key, reading>, and if given ord; a row may have several. Composes
+    the title from the chosen readings and the lexicon, by the first decision that can be; a row that has a
+    transliteration is unchanged; a reading left open, and a word that nothing settles, is refused."""
     from lamina.operators.lexicon import construct
 
-    d = decisions.select(F.col("id").alias("did"), "row", "readings")
+    d = decisions.select(F.col("id").alias("did"), F.coalesce("row", "id").alias("row"), "readings", (F.col("ord") if "ord" in decisions.columns else F.lit(0)).alias("ord"))
     own = rows.select(F.col("id").alias("row"), F.coalesce("title", F.lit("")).alias("t"), F.trim(F.coalesce("title_translit", F.lit(""))).alias("l"))
     j = d.join(own, "row", "left").withColumn("w", X.word_keys(F.col("t")))
-    words = j.select("did", F.posexplode_outer("w").alias("pos", "key")).join(lex, "key", "left")
-    per = words.groupBy("did").agg(F.array_sort(F.collect_list(F.struct("pos", "reading"))).alias("p"))
-    k = j.join(per, "did").withColumn("parts", F.transform("p", lambda x: F.coalesce(F.nullif(F.try_element_at("readings", F.get("w", x["pos"])), F.lit("")), x["reading"])))
-    open_ = F.exists("parts", lambda x: x.isNull())
-    reason = F.when(F.col("t").isNull(), "no such row").when((F.col("l") == "") & open_, "a word is not settled")
-    status = F.when(reason.isNotNull(), "quarantine").when(F.col("l") != "", "unchanged").otherwise("applied")
-    judged = k.withColumn("r", reason).withColumn("s", status)
-    change = judged.where("s = 'applied'").select(F.col("row").alias("id"), F.array_join(construct(F.col("parts"), F.col("w")), " ").alias("__v"))
-    fresh = rows.join(change, "id", "left").withColumn("title_translit", F.coalesce("__v", "title_translit")).drop("__v")
-    return fresh, judged.select(*_guarded(F.col("s"), F.col("r"), "homograph"))
+    words = j.select("did", "row", F.posexplode_outer("w").alias("pos", "key")).join(lex, "key", "left")
+    per = words.groupBy("did", "row").agg(F.array_sort(F.collect_list(F.struct("pos", "reading"))).alias("p"))
+    k = j.join(per, ["did", "row"]).withColumn("parts", F.transform("p", lambda x: F.coalesce(F.nullif(F.try_element_at("readings", F.get("w", x["pos"])), F.lit("")), x["reading"])))
+    blank = F.exists(F.map_values(F.coalesce("readings", F.expr("cast(map() as map<string,string>)"))), lambda v: F.coalesce(v, F.lit("")) == "")
+    reason = (
+        F.when(F.col("t").isNull(), "no such row")
+        .when((F.col("l") == "") & blank, "a reading was left open")
+        .when((F.col("l") == "") & F.exists("parts", lambda x: F.coalesce(x, F.lit("")) == ""), "a word is not settled")
+    )
+    judged = k.withColumn("r", reason).withColumn("can", reason.isNull() & (F.col("l") == ""))
+    first = judged.where("can").groupBy("row").agg(F.min_by(F.struct("did", F.array_join(construct(F.col("parts"), F.col("w")), " ").alias("value")), F.struct("ord", "did")).alias("first"))
+    ledger = judged.join(first, "row", "left").select("row", F.col("did").alias("id"), F.lit("homograph").alias("stratum"), F.when(F.col("r").isNotNull(), "quarantine").when(F.col("did") == F.col("first.did"), "applied").otherwise("unchanged").alias("status"), F.col("r").alias("reason"), F.lit(False).alias("partial"))
+    fresh = rows.join(first.select(F.col("row").alias("id"), F.col("first.value").alias("__v")), "id", "left").withColumn("title_translit", F.coalesce("__v", "title_translit")).drop("__v")
+    return fresh, ledger
+
+
+def keeps(decisions: DataFrame) -> DataFrame:
+    """id, stratum, word, row, kept, note: resolved decisions that leave things as they are, so that
+    their cards don't come back."""
+    resolved, _ = live(decisions)
+    target = F.trim(F.coalesce("target", F.lit("")))
+    ortho = (F.col("stratum") == "ortho") & (target != "") & (target == F.col("word"))
+    other = F.col("stratum").isin("witness", "attribution") & (F.col("action") == "keep")
+    own = F.coalesce("row", "id")
+    return resolved.where(ortho | other).select("id", "stratum", F.when(ortho, F.col("word")).alias("word"), F.when(other, own).alias("row"), F.when(ortho, target).otherwise(F.col("was")).alias("kept"), F.coalesce("note", F.lit("")).alias("note"))
 
 
 def unconserved(rows: DataFrame, ledger: DataFrame, decisions: DataFrame) -> DataFrame:

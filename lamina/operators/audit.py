@@ -57,7 +57,7 @@ def title_forms(rows: DataFrame, title: str, norm: Column) -> DataFrame:
 
 def over_merge(forms: DataFrame, rare_tokens: DataFrame, cluster: str = "cluster_id", form: str = "form", canonical: str = "canonical") -> DataFrame:
     """cluster, form_a, form_b, severity, reasons: forms of a cluster that name different people, or
-    that nothing distinctive ties together; grounds against outweigh weak ties. The rare tokens meet
+    that nothing distinctive ties together; grounds against outweigh weak ties and come first. The rare tokens meet
     the forms by a join on the token."""
     distinct = forms.select(cluster, form, canonical).distinct().withColumn("p", N.parse(X.normalize_ar(F.col(form)))).withColumn("c", N.parse(X.normalize_ar(F.col(canonical))))
     each = distinct.select(cluster, form, F.explode_outer(N.folded(F.col("p"))).alias("token")).join(rare_tokens.select("token").distinct().withColumn("r", F.col("token")), "token", "left")
@@ -68,7 +68,7 @@ def over_merge(forms: DataFrame, rare_tokens: DataFrame, cluster: str = "cluster
     pairs = a.join(b, (F.col(f"a.{cluster}") == F.col(f"b.{cluster}")) & (F.col(f"a.{form}") < F.col(f"b.{form}")))
     judged = pairs.select(F.col(f"a.{cluster}").alias(cluster), F.col(f"a.{form}").alias("form_a"), F.col(f"b.{form}").alias("form_b"), N.refute(F.col("a.p"), F.col("b.p")).alias("refuted"), N.weak_link(F.col("a.p"), F.col("b.p"), F.col("a.rare")).alias("weak"))
     against = judged.select(cluster, "form_a", "form_b", F.when(F.size("refuted") > 0, "refute").otherwise("weak").alias("severity"), F.when(F.size("refuted") > 0, F.col("refuted")).otherwise(F.array("weak")).alias("reasons")).where("severity = 'refute' OR reasons[0] IS NOT NULL")
-    return against.unionByName(lone)
+    return against.unionByName(lone).orderBy(F.col("severity") != "refute", cluster, "form_a", "form_b")
 
 
 def totals(**worklists: DataFrame) -> DataFrame:

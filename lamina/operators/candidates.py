@@ -42,10 +42,10 @@ def groups(keyed: DataFrame, record: str = "id", max_df: int = MAX_DF) -> DataFr
 
 def rank(grouped: DataFrame, records: DataFrame, record: str = "id") -> DataFrame:
     """Adds label, n_confirmed, suggested_keep (confirmed, full name, highest count) and bare (whether a
-    member has no full name), in order: bare first, fewer members, longer label."""
+    member has no full name) and by_count (the members, those with the highest count first), in order: bare first, fewer members, longer label."""
     members = grouped.withColumn("__m", F.explode("members")).join(records.withColumnRenamed(record, "__m"), "__m")
     best = F.struct(~F.col("user_confirmed"), F.coalesce("full_name", F.lit("")) == "", -F.col("count"), F.col("__m"))
-    out = members.groupBy("members", "labels").agg(F.sum(F.col("user_confirmed").cast("int")).alias("n_confirmed"), F.min_by("__m", best).alias("suggested_keep"), F.max(F.coalesce("full_name", F.lit("")) == "").alias("bare"))
+    out = members.groupBy("members", "labels").agg(F.sum(F.col("user_confirmed").cast("int")).alias("n_confirmed"), F.min_by("__m", best).alias("suggested_keep"), F.max(F.coalesce("full_name", F.lit("")) == "").alias("bare"), F.transform(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("c"), F.col("__m").alias("m")))), lambda x: x["m"]).alias("by_count"))
     out = out.withColumn("label", F.get("labels", F.lit(0)))
     return out.orderBy(F.desc("bare"), F.size("members"), F.desc(F.length("label")), "members")
 

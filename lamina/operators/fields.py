@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.functions import textnorm as X
+from lamina.operators.graph import scratch_dir
 
+# Patterns of folio marks, extents and shelfmark classes.
 _MARK = r"\b(?:fols?|ff?|pp?)\."
 _FOLIO = rf"(?iU){_MARK}\s*,?\s*(?=\d)"
 _EXTENT = r"(?iU)^\d+\s+(?:folios?|ff?\.?|pages?)\b"
@@ -89,10 +92,24 @@ def defaults(rows: DataFrame, values: dict[str, str]) -> DataFrame:
     return rows.withColumns({c: F.coalesce(F.col(c), F.lit(v)) if c in rows.columns else F.lit(v) for c, v in values.items()})
 
 
+def without_blank(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows of which at least one of the columns isn't blank."""
+    return rows.where(F.trim(F.concat_ws("", *(F.trim(F.coalesce(F.col(c), F.lit(""))) for c in columns))) != "")
+
+
+def extraction_stats(rows: DataFrame) -> DataFrame:
+    """One row: n_rows, rows without an author, distinct cities and libraries that aren't blank."""
+    some = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
+    return rows.agg(F.count("*").alias("n_rows"), F.count_if(some("author").isNull()).alias("n_blank_authors"), F.count_distinct(some("city")).alias("n_cities"), F.count_distinct(some("library")).alias("n_libraries"))
+
+
 def number(rows: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """Adds 1, 2, ... in the given order without one task that sees all rows: rows are ranged over
-    partitions, counted, and numbered within each."""
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    """Adds 1, 2, ... in the given order without one task that sees all rows. Rows are ranged over
+    partitions and saved with their range, since ranges are drawn anew each time they are worked out;
+    then counted and numbered within each. Equal rows are numbered in any order."""
+    spark, folder = rows.sparkSession, scratch_dir(rows.sparkSession)
+    rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()).write.parquet(folder)
+    placed = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("__p", T.IntegerType())])).parquet(folder)
     counts = {r["__p"]: r["n"] for r in placed.groupBy("__p").agg(F.count("*").alias("n")).collect()}  # a row a partition
     offset, offsets = 0, []
     for p in sorted(counts):

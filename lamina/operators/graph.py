@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A folder below spark.checkpoint.dir, or below one of our own where that is unset."""
+    """A folder below spark.checkpoint.dir, or in local mode below one of our own where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lamina-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/lamina-{uuid.uuid4().hex}"

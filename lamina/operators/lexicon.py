@@ -87,6 +87,35 @@ def unlocks(titles: DataFrame, words: Column, known: DataFrame, key: str = "id")
     return counted.groupBy("word").agg(F.count("*").alias("titles"), F.sum((F.col("__n") == 1).cast("long")).alias("unlocks"))
 
 
+def known_sample(lex: DataFrame, k: int = 40) -> DataFrame:
+    """The first k keys of a lexicon, in order."""
+    return lex.orderBy("key").limit(k)
+
+
+def app_lexicon(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """key, reading of an editor's own suggestions: titles and transliterations (id, title, title_translit), then
+    cluster names (cluster_id, canonical_ar, canonical_translit), word by word where both have as many; the first
+    writer wins. Keys keep their letters and lose their marks only."""
+    def pairs(df: DataFrame, key: str, ar: str, latin: str, first: int) -> DataFrame:
+        words = F.filter(F.transform(X.tokens(X.squeeze(F.coalesce(ar, F.lit("")))), X.app_key), lambda w: w != "")
+        own = aligned(df.withColumn("__id", F.col(key).cast("string")), words, X.tokens(X.squeeze(F.coalesce(latin, F.lit("")))), ("__id",))
+        return own.withColumn("__first", F.lit(first))
+
+    both = pairs(rows, "id", "title", "title_translit", 0).unionByName(pairs(names, "cluster_id", "canonical_ar", "canonical_translit", 1))
+    return first_reading(both, ["__first", "__id", "pos"])
+
+
+def suggestions(rows: DataFrame, lex: DataFrame, field: str = "title_translit", source: str = "title") -> DataFrame:
+    """id, field and proposal for rows whose every word has a reading; none for a field that isn't a transliteration,
+    nor where a word is unknown: half a suggestion would be accepted by reflex."""
+    if not field.endswith("_translit"):
+        rows = rows.limit(0)
+    words = F.filter(F.transform(X.tokens(X.squeeze(F.coalesce(source, F.lit("")))), X.app_key), lambda w: w != "")
+    each = rows.select("id", F.posexplode(words).alias("pos", "key")).join(lex.select("key", "reading"), "key", "left")
+    found = each.groupBy("id").agg(F.max(F.col("reading").isNull()).alias("open"), F.array_sort(F.collect_list(F.struct("pos", "reading"))).alias("p")).where("NOT open")
+    return found.select("id", F.lit(field).alias("field"), F.array_join(F.transform("p", lambda x: x["reading"]), " ").alias("proposal"))
+
+
 def gloss(words: Column, lex: Column) -> Column:
     """Each word's value in a map, or an ellipsis."""
     return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(lex, w), F.lit("…"))), " ")

@@ -14,14 +14,18 @@ def subset_edges(names: DataFrame, name: str = "name", particles: str = "ابو|
     """Pairs a < b of distinct names of which one's tokens hold all of the other's, which share a
     distinctive token, neither of which is a co-attribution ("-"), and whose kunyas don't differ.
 
-    Sharing a distinctive token is part of the rule, so joining on it loses nothing.
+    A name whose tokens another holds shares all of its distinctive tokens with it, so its rarest one
+    is met with all of the other's: nothing is lost, and a frequent token meets itself only where it is
+    all that a name has.
     """
     base = names.select(F.col(name).alias("n")).where(F.col("n").isNotNull() & (F.instr("n", "-") == 0)).distinct()
     keyed = base.select("n", F.array_distinct(X.tokens(F.col("n"))).alias("t"), X.kunya(F.col("n"), particles).alias("k"), F.explode(X.distinctive(F.col("n"), generic)).alias("d"))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    nested = (F.size(F.array_except("a.t", "b.t")) == 0) | (F.size(F.array_except("b.t", "a.t")) == 0)
+    df = keyed.groupBy("d").agg(F.count("*").alias("df"))
+    rarest = keyed.join(df, "d").groupBy("n").agg(F.min_by(F.struct("t", "k", "d"), F.struct("df", "d")).alias("x")).select("n", "x.*")
+    a, b = rarest.alias("a"), keyed.alias("b")
     differ = F.coalesce(F.col("a.k") != F.col("b.k"), F.lit(False))
-    return a.join(b, (F.col("a.d") == F.col("b.d")) & (F.col("a.n") < F.col("b.n")) & nested & ~differ).select(F.col("a.n").alias("a"), F.col("b.n").alias("b")).distinct()
+    within = a.join(b, (F.col("a.d") == F.col("b.d")) & (F.col("a.n") != F.col("b.n")) & (F.size(F.array_except("a.t", "b.t")) == 0) & ~differ)
+    return within.select(F.least("a.n", "b.n").alias("a"), F.greatest("a.n", "b.n").alias("b")).distinct()
 
 
 def cluster_names(names: DataFrame, name: str = "name", **rule) -> DataFrame:
@@ -117,7 +121,7 @@ def pick_translit(members: DataFrame, key: str, form: str, curated: DataFrame, o
     curated: name, translit. A trailing role in brackets is looked up without and put back translated."""
     role = F.trim(F.regexp_extract(form, r"\(([^)]*)\)\s*$", 1))
     base = F.trim(F.regexp_replace(form, r"\s*\([^)]*\)\s*$", ""))
-    c = F.broadcast(curated)
+    c = curated
     looked = members.withColumn("__base", base).withColumn("__role", role)
     hit = looked.join(c.select(F.col("name").alias(form), F.col("translit").alias("__t")), form, "left").join(c.select(F.col("name").alias("__base"), F.col("translit").alias("__bt")), "__base", "left")
     named = X.mapped(F.col("__role"), roles)

@@ -7,49 +7,79 @@ from pyspark.sql import functions as F
 
 from lamina.functions import textnorm as X
 
-#: Latin consonants and the letters they stand for, for placing a doubling mark. Fixed values.
-CONSONANTS = dict(zip("btṯǧḥḫdḏrzsšṣḍṭẓʿġfqklmnhwy", "بتثجحخدذرزسشصضطظعغفقكلمنهوي", strict=True))
+# The letters that consonants stand for, the proclitics of a romanization, and what
+# tells a joining alif from a carrier.
+CONSONANTS = {
+    "b": "ب", "t": "ت", "ṯ": "ث", "ǧ": "ج", "ḥ": "ح", "ḫ": "خ", "d": "د", "ḏ": "ذ", "r": "ر", "z": "ز", "s": "س", "š": "ش", "ṣ": "ص", "ḍ": "ض",
+    "ṭ": "ط", "ẓ": "ظ", "ʿ": "ع", "ġ": "غ", "f": "ف", "q": "ق", "k": "ك", "l": "ل", "m": "م", "n": "ن", "h": "ه", "w": "و", "y": "ي",
+}
 SHADDA = "ّ"
+PROCLITICS = ("wa-l-", "li-l-", "bi-l-", "wa-", "al-", "li-", "bi-", "la-")
+JOINING_WORDS = ("ابن", "ابنة", "اسم", "امرؤ", "امرأة", "اثنان", "اثنين", "الله", "اللهم")
+JOINING_OPENINGS = ("ست", "صط", "ضط", "طط", "ظط", "زد", "دد", "ذذ", "ثث", "ن")
+CARRIERS = "أإآٱ"
 
 
 def geminated(translit: Column) -> Column:
-    """The doubled consonants of a romanization in order of first appearance; long vowels before their
-    semivowel count."""
-    found = F.regexp_extract_all(translit, F.lit(r"(īy|uww|iyy|ayy)|(\p{L}\p{M}*)\2"), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda x: F.when(x.isin("īy", "iyy", "ayy"), "y").when(x == "uww", "w").otherwise(F.substr(x, F.lit(1), F.lit(1)))))
+    """The consonants that a romanization doubles: the semivowels of īy, iyy, ayy and uww, then any
+    consonant that stands twice, each once, in order."""
+    low = F.lower(translit)
+    vowels = F.transform(F.regexp_extract_all(low, F.lit("īy|uww|iyy|ayy"), F.lit(0)), lambda x: F.substr(x, F.lit(-1)))
+    twice = F.regexp_extract_all(low, F.lit(f"([{''.join(CONSONANTS)}])\\1"), F.lit(1))
+    return F.array_distinct(F.concat(vowels, twice))
+
+
+def _article(word: Column) -> Column:
+    """Letters of the article that opens the word; a word of three letters has none."""
+    return F.when(word.startswith("ال") & (F.length(word) > 3), 2).otherwise(0)
 
 
 def place_shadda(word: Column, letter: Column) -> Column:
-    """The word with a doubling mark on the letter's only place outside the article, else null. A final
-    ya of an adjective takes it first."""
-    body_at = F.when(word.startswith("ال"), 3).otherwise(1)
-    head, body = F.substr(word, F.lit(1), body_at - 1), F.substr(word, body_at)
+    """The word with a doubling mark on the letter, where it stands once after the article, or once in
+    the word if not after it; null where that is open. The ya before a final ta marbuta takes it
+    first, however many others there are."""
+    head, body = F.substr(word, F.lit(1), _article(word)), F.substr(word, _article(word) + 1)
     times = lambda s: F.length(s) - F.length(F.replace(s, letter, F.lit("")))
     marked = lambda s: F.replace(s, letter, F.concat(letter, F.lit(SHADDA)))
-    nisba = word.endswith("ي") & (letter == "ي")
-    return F.when(nisba, F.concat(word, F.lit(SHADDA))).when(times(body) == 1, F.concat(head, marked(body))).when((times(body) == 0) & (times(word) == 1), marked(word))
+    relative = F.concat(F.substr(word, F.lit(1), F.length(word) - 1), F.lit(SHADDA + "ة"))
+    return F.when((letter == "ي") & word.endswith("ية"), relative).when(times(body) == 1, F.concat(head, marked(body))).when((times(body) == 0) & (times(word) == 1), marked(word))
+
+
+def without_proclitic(translit: Column) -> Column:
+    """In lower case, past the longest proclitic."""
+    return F.regexp_replace(F.lower(translit), f"^(?:{'|'.join(PROCLITICS)})", "")
 
 
 def initial_vowel(translit: Column) -> Column:
-    """The first letter after the longest proclitic, lower-cased; null for none."""
-    tail = F.regexp_replace(F.lower(translit), r"^(?:wa-l-|bi-l-|fa-l-|ka-l-|li-l-|wa-|bi-|li-|fa-|ka-|al-|l-)", "")
-    return F.nullif(F.substr(tail, F.lit(1), F.lit(1)), F.lit(""))
+    """The first letter past the longest proclitic, lower-cased; null for none."""
+    return F.nullif(F.substr(without_proclitic(translit), F.lit(1), F.lit(1)), F.lit(""))
+
+
+def stem(word: Column) -> Column:
+    return F.substr(word, _article(word) + 1)
 
 
 def hamza_verdict(word: Column, translits: Column) -> Column:
-    """The carrier that a bare opening alif takes by the vowels of its romanizations, `wasl` for a
-    joining one, null where they disagree or say nothing."""
-    vowels = F.array_distinct(F.filter(F.transform(translits, initial_vowel), lambda v: v.isNotNull()))
-    stem = F.regexp_replace(word, "^ال", "")
-    only = lambda *vs: (F.size(vowels) > 0) & F.forall(vowels, lambda v: v.isin(*vs))
-    opens = stem.startswith("ا")
-    return F.when(opens & stem.rlike("^(?:ابن|اسم|است|انف|افت|اجت|اقت)"), "wasl").when(opens & only("a", "u"), "أ").when(opens & only("i", "ī"), "إ").when(opens & only("ā"), "آ")
+    """The carrier of a bare opening alif by the vowels of its romanizations, `wasl` for a joining one, `?`
+    where they disagree or say nothing; null for a word that opens otherwise.
+
+    A long a is an alif with a madda; a and u never join. With an i it joins if the stem opens as forms VII, VIII
+    and X do. An infixed t after the first root letter alone doesn't tell form VIII from IV: the first
+    has a second i.
+    """
+    own = stem(word)
+    vowels = F.transform(translits, initial_vowel)
+    only = lambda *vs: (F.size(translits) > 0) & F.forall(vowels, lambda v: F.coalesce(v.isin(*vs), F.lit(False)))
+    infix = own.rlike("^ا.ت")
+    second = F.exists(translits, lambda t: without_proclitic(t).rlike("^i[^i]*i"))
+    opening = own.rlike(f"^ا(?:{'|'.join(JOINING_OPENINGS)})")
+    by_i = F.when(infix & second, "wasl").when(opening & ~infix, "wasl").otherwise("إ")
+    return F.when(own.startswith("ا"), F.when(own.isin(*JOINING_WORDS), "wasl").when(only("ā"), "آ").when(only("a", "u"), "أ").when(only("i", "ī"), by_i).otherwise("?"))
 
 
 def carry_hamza(word: Column, carrier: Column) -> Column:
     """The word with the carrier for the alif that opens it, after the article if it has one."""
-    at = F.when(word.startswith("ال"), 3).otherwise(1)
-    return F.overlay(word, carrier, at.cast("int"), F.lit(1))
+    return F.overlay(word, carrier, _article(word) + 1, F.lit(1))
 
 
 def fingerprint(*fields: Column) -> Column:
@@ -87,6 +117,39 @@ def homographs(titles: DataFrame, words: Column, found: DataFrame, key: str = "i
     return titles.select(key, F.explode(F.array_distinct(words)).alias("key")).join(found.where("contested").select("key", F.col("readings").alias("options")), "key")
 
 
+def homograph_items(rows: DataFrame, pairs: DataFrame, lex: DataFrame, contested: DataFrame) -> DataFrame:
+    """id, keys and compositions of each row without a transliteration whose title holds contested words.
+
+    keys: array<struct<key, raw (the spelling in this title), options: array<struct<value, n_witnesses,
+    witnesses (the first three rows that read it so)>>>>, in order of the words. compositions: a row's title for
+    each choice of readings (joined by |), null where another word is open. A title has few
+    contested words, so the choices are bounded by its own. pairs: id, l, r of aligned words.
+    """
+    from lamina.operators.lexicon import combinations, construct
+    from lamina.operators.resolve import first_k
+
+    open_ = contested.select("key")
+    title = F.coalesce("title", F.lit(""))
+    todo = rows.where((F.trim(title) != "") & (F.trim(F.coalesce("title_translit", F.lit(""))) == "")).select("id", X.words(title).alias("raws"), X.word_keys(title).alias("w"))
+    each = todo.select("id", F.posexplode(F.arrays_zip("raws", "w")).alias("pos", "x")).select("id", "pos", F.col("x.raws").alias("raw"), F.col("x.w").alias("key"))
+    seen = pairs.select(F.concat_ws("|", "l", "r").alias("reading"), "l", "r", "id").distinct()
+    shown = first_k(seen, "reading", "id", 3, "id").join(seen.select("reading", "l", "r").distinct(), "reading")
+    options = shown.groupBy(F.col("l").alias("key")).agg(F.array_sort(F.collect_list(F.struct(F.col("r").alias("value"), (F.size("ids") + F.col("more")).cast("long").alias("n_witnesses"), F.col("ids").alias("witnesses")))).alias("options"))
+    hits = each.join(open_, "key").groupBy("id", "key").agg(F.min(F.struct("pos", "raw")).alias("at")).join(options, "key")
+    keys = hits.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("at.pos").alias("pos"), "key", X.bare(F.col("at.raw")).alias("raw"), "options"))).alias("keys"))
+    settled = each.join(lex.select("key", "reading"), "key", "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "reading"))).alias("p"))
+    cards = todo.join(keys, "id").join(settled, "id")
+    values = F.transform("keys", lambda k: F.transform(k["options"], lambda o: F.replace(o["value"], F.lit(" "), F.lit("\u00a0"))))
+    choice = F.transform(combinations(values), lambda c: F.transform(F.split(c, " "), lambda v: F.replace(v, F.lit("\u00a0"), F.lit(" "))))
+    chosen = cards.select("id", "w", "keys", F.transform("p", lambda x: x["reading"]).alias("settled"), F.explode(choice).alias("choice"))
+    at = F.transform("keys", lambda k: k["key"])
+    parts = F.zip_with("w", "settled", lambda w, r: F.coalesce(F.get("choice", F.array_position(at, w).cast("int") - 1), r))
+    value = F.when(~F.exists("parts", lambda x: F.coalesce(x, F.lit("")) == ""), F.array_join(construct(F.col("parts"), F.col("w")), " "))
+    made = chosen.withColumn("parts", parts).groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.array_join("choice", "|").alias("choice"), value.alias("value"))))).alias("compositions"))
+    shown_keys = F.transform("keys", lambda k: F.struct(k["key"].alias("key"), k["raw"].alias("raw"), k["options"].alias("options")))
+    return cards.select("id", shown_keys.alias("keys")).join(made, "id")
+
+
 def collisions(cards: DataFrame, proposed: Column, key: str = "id") -> DataFrame:
     """Cards whose proposals fold to one title, with the others' ids."""
     norm = cards.select(F.col(key).alias("id"), X.fold(proposed).alias("norm"))
@@ -100,35 +163,109 @@ def preview(text: Column, word: Column, proposed: Column) -> Column:
     return F.replace(text, word, proposed)
 
 
-def witness_items(cards: DataFrame, rows: DataFrame, keeps: DataFrame) -> DataFrame:
+def witness_items(cards: DataFrame, rows: DataFrame, keeps: DataFrame, homographs: DataFrame | None = None) -> DataFrame:
     """cards (id, row, current, ...) whose current reading still stands in the row's transliteration and
-    that no keep rules out."""
+    that no keep rules out; with homographs (id, key) and a column word also unblocks, how many rows wait for that word."""
     own = rows.select(F.col("id").alias("row"), F.split(F.coalesce("title_translit", F.lit("")), " ").alias("__t"))
-    return pending(cards.join(own, "row").where(F.array_contains("__t", F.col("current"))).drop("__t"), keeps)
+    found = pending(cards.join(own, "row").where(F.array_contains("__t", F.col("current"))).drop("__t"), keeps)
+    if homographs is None:
+        return found
+    waiting = homographs.groupBy("key").agg(F.count_distinct("id").alias("unblocks"))
+    return found.withColumn("key", X.normalize_ar(F.col("word"))).join(waiting, "key", "left").withColumn("unblocks", F.coalesce("unblocks", F.lit(0)).cast("long")).drop("key")
 
 
-def shadda_items(rows: DataFrame, covered: DataFrame) -> DataFrame:
-    """word, proposed, translits: words that stand unmarked where their romanization doubles a consonant
-    that has one place in the word; words that a card of another kind covers are left out."""
+def aligned_words(rows: DataFrame) -> DataFrame:
+    """id, pos, l, r: words of a title and of its transliteration, place by place."""
     from lamina.operators.lexicon import aligned
 
-    pairs = aligned(rows, X.words(F.coalesce("title", F.lit(""))), X.tokens(F.coalesce("title_translit", F.lit(""))))
-    bare = pairs.where(F.col("l") == X.bare(F.col("l"))).groupBy(F.col("l").alias("word")).agg(F.array_sort(F.collect_set("r")).alias("translits"))
-    latin = F.get(geminated(F.array_join("translits", " ")), F.lit(0))
-    found = bare.withColumn("letter", X.mapped(latin, CONSONANTS)).where("letter IS NOT NULL")
-    return found.withColumn("proposed", place_shadda(F.col("word"), F.col("letter"))).where("proposed IS NOT NULL").join(covered.select("word"), "word", "left_anti").select("word", "proposed", "translits")
-
-
-def hamza_items(rows: DataFrame, names: DataFrame, covered: DataFrame) -> DataFrame:
-    """word, verdict, proposed, rows for words that open with a bare alif in titles, authors or names."""
-    title = rows.select("id", F.explode(X.words(F.coalesce("title", F.lit("")))).alias("w"))
-    author = rows.select("id", F.explode(X.words(F.coalesce("author", F.lit("")))).alias("w"))
-    name = names.select(F.lit(None).cast("string").alias("id"), F.explode(X.words(F.coalesce("name", F.lit("")))).alias("w"))
-    from lamina.operators.lexicon import aligned
+    return aligned(rows, X.words(F.coalesce("title", F.lit(""))), X.tokens(F.coalesce("title_translit", F.lit(""))))
+
+
+def occurrences(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """surface (title, author or cluster), id, raw and word (raw without marks) of every word of titles,
+    authors and cluster names (cluster_id, name), each once a row."""
+    of = lambda df, key, c, surface: df.select(F.lit(surface).alias("surface"), F.col(key).alias("id"), F.explode(X.words(F.coalesce(c, F.lit("")))).alias("raw"))
+    each = of(rows, "id", "title", "title").unionByName(of(rows, "id", "author", "author")).unionByName(of(names, "cluster_id", "name", "cluster"))
+    return each.distinct().withColumn("word", X.bare(F.col("raw")))
+
+
+def _counted(found: DataFrame, by: list[str]) -> DataFrame:
+    """How many titles, authors and clusters of each key; the rows themselves aren't gathered."""
+    each = found.select(*by, "surface", "id").distinct()
+    return each.groupBy(*by).agg(*(F.count_if(F.col("surface") == s).alias(f"n_{s}s") for s in ("title", "author", "cluster")))
+
+
+def shadda_items(rows: DataFrame, covered: DataFrame, fixes: DataFrame | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """word, proposed, translit, translits, confidence, n_rows: words that stand unmarked in n_rows titles and
+    whose romanizations double a consonant. A mark is proposed where there is one romanization that doubles one
+    letter with one place. A ya with a hamza isn't doubled. Words that a card of another kind covers
+    are left out. fixes: word and the corrected romanization that is offered instead."""
+    pairs = aligned_words(rows).select("id", X.bare(F.col("l")).alias("word"), "r", F.contains("l", F.lit(SHADDA)).alias("marked"))
+    per = pairs.groupBy("word").agg(F.array_sort(F.collect_set("r")).alias("translits"), F.count_distinct(F.when(~F.col("marked"), F.col("id"))).alias("n_rows"))
+    doubled = F.array_distinct(F.flatten(F.transform("translits", geminated)))
+    found = per.where((F.col("n_rows") > 0) & ~F.col("word").isin("", *exclude)).withColumn("doubled", doubled)
+    found = found.where((F.size("doubled") > 0) & ~((F.array_join("doubled", "") == "y") & F.contains("word", F.lit("يئ")))).join(covered.select("word").distinct(), "word", "left_anti")
+    sure = (F.size("doubled") == 1) & (F.size("translits") == 1)
+    found = found.withColumn("proposed", F.when(sure, place_shadda(F.col("word"), X.mapped(F.get("doubled", F.lit(0)), CONSONANTS))))
+    fixed = (fixes if fixes is not None else rows.sparkSession.createDataFrame([], "word string, fix string")).select(X.bare(F.col("word")).alias("word"), F.col(fixes.columns[1] if fixes is not None else "fix").alias("__fix")).dropDuplicates(["word"])
+    offered = F.coalesce("__fix", F.when(F.size("translits") == 1, F.get("translits", F.lit(0))))
+    return found.join(fixed, "word", "left").select("word", "proposed", offered.alias("translit"), "translits", F.when(F.col("proposed").isNotNull(), "shadda").otherwise("shadda-manual").alias("confidence"), "n_rows")
+
+
+def hamza_items(rows: DataFrame, names: DataFrame, covered: DataFrame, known: dict[str, str] | None = None) -> DataFrame:
+    """word, verdict, proposed, translits, confidence, n_titles, n_authors, n_clusters for words that open with a
+    bare alif in titles, authors or names (cluster_id, name) and may need a carrier. A word that no
+    romanization is aligned with takes its form from `known`, else none is proposed; one that joins is left out."""
+    readings = aligned_words(rows).groupBy(X.bare(F.col("l")).alias("word")).agg(F.array_sort(F.collect_set("r")).alias("translits"))
+    seen = occurrences(rows, names).where(stem(F.col("word")).startswith("ا") & ~F.col("word").rlike(f"[{CARRIERS}]"))
+    per = _counted(seen, ["word"]).join(covered.select("word").distinct(), "word", "left_anti").join(readings, "word", "left")
+    none = F.expr("cast(array() as array<string>)")
+    judged = per.withColumn("translits", F.coalesce("translits", none)).withColumn("verdict", F.when(F.size("translits") > 0, hamza_verdict(F.col("word"), F.col("translits"))).otherwise("?"))
+    named = F.when(F.col("word").isin("", *(known or {})), X.mapped(F.col("word"), known or {}))
+    proposed = F.when(F.size("translits") == 0, named).when(F.col("verdict") != "?", carry_hamza(F.col("word"), F.col("verdict")))
+    out = judged.where("verdict <> 'wasl'").withColumn("proposed", proposed)
+    return out.select("word", "verdict", "proposed", "translits", F.when(F.col("proposed").isNotNull(), "hamza").otherwise("hamza-manual").alias("confidence"), "n_titles", "n_authors", "n_clusters")
+
+
+def ortho_scope(cards: DataFrame, rows: DataFrame, names: DataFrame) -> DataFrame:
+    """card, surface, id: where the fault of each card (id, word, proposed, only_rows) still stands, mark-blind but
+    for what already reads as proposed. A card with only_rows reaches those rows' titles alone."""
+    c = cards.select(F.col("id").alias("card"), "word", "proposed", "only_rows")
+    met = c.join(occurrences(rows, names), "word").where(F.col("proposed").isNull() | (F.col("raw") != F.col("proposed")))
+    own = F.col("only_rows").isNull() | ((F.col("surface") == "title") & F.array_contains("only_rows", F.col("id")))
+    return met.where(own).select("card", "surface", "id").distinct()
+
+
+def ortho_items(cards: DataFrame, rows: DataFrame, names: DataFrame, keeps: DataFrame, lex: DataFrame) -> DataFrame:
+    """id, word, proposed, key_changes, row_scoped, translit_was, n_titles, n_authors, n_clusters of the cards whose fault
+    still stands somewhere and that no keep rules out. lex: key, reading."""
+    counted = _counted(ortho_scope(pending(cards, keeps), rows, names), ["card"]).withColumnRenamed("card", "id")
+    own = cards.join(counted, "id").withColumn("key", X.normalize_ar(F.col("word")))
+    changes = F.coalesce(F.col("key") != X.normalize_ar(F.col("proposed")), F.lit(False))
+    return own.join(lex.select("key", F.col("reading").alias("translit_was")), "key", "left").select("id", "word", "proposed", changes.alias("key_changes"), F.col("only_rows").isNotNull().alias("row_scoped"), "translit_was", "n_titles", "n_authors", "n_clusters")
+
+
+def card_list(hand: DataFrame, derived: DataFrame) -> DataFrame:
+    """Cards written by hand and derived ones as one list, with a flag; only a hand card keeps its only_rows."""
+    cards = hand.withColumn("hand", F.lit(True)).unionByName(derived.withColumn("hand", F.lit(False)), allowMissingColumns=True)
+    rows = F.col("only_rows") if "only_rows" in cards.columns else F.lit(None).cast("array<string>")
+    return cards.withColumn("only_rows", F.when(F.col("hand"), rows))
+
+
+def attribution_items(marks: DataFrame, rows: DataFrame, keeps: DataFrame) -> DataFrame:
+    """id, row, verdict, tail, tail_translit, proposed_title, proposed_translit, aligned, collides_with for each mark
+    (row, marker, verdict) whose row still holds the marker: the tail begins at its first place, and what is left
+    of the title is proposed. collides_with: the other rows of the batch whose proposals are the same title."""
+    from lamina.operators.audit import several
 
-    readings = aligned(rows, X.words(F.coalesce("title", F.lit(""))), X.tokens(F.coalesce("title_translit", F.lit("")))).groupBy(X.bare(F.col("l")).alias("word")).agg(F.array_sort(F.collect_set("r")).alias("translits"))
-    seen = title.unionByName(author).unionByName(name).select("id", X.bare(F.col("w")).alias("word")).where(F.col("word").rlike("^(?:ال)?ا")).distinct()
-    per = seen.groupBy("word").agg(F.array_sort(F.collect_set("id")).alias("rows")).join(readings, "word", "left")
-    judged = per.withColumn("verdict", hamza_verdict(F.col("word"), F.coalesce("translits", F.expr("cast(array() as array<string>)"))))
-    proposed = F.when(F.col("verdict").isNotNull() & (F.col("verdict") != "wasl"), carry_hamza(F.col("word"), F.col("verdict")))
-    return judged.withColumn("proposed", proposed).join(covered.select("word"), "word", "left_anti").select("word", "verdict", "proposed", "rows")
+    title = F.coalesce("title", F.lit(""))
+    own = marks.withColumn("id", F.concat("row", F.lit("-attr"))).withColumn("marker", X.normalize_ar(F.col("marker"))).join(rows.select(F.col("id").alias("row"), title.alias("title"), X.words(title).alias("w"), X.word_keys(title).alias("k"), F.split(title, X.WORD, -1).alias("gaps"), X.tokens(F.coalesce("title_translit", F.lit(""))).alias("l")), "row")
+    at = pending(own, keeps).withColumn("at", F.array_position("k", F.col("marker")).cast("int") - 1).where("at >= 0")
+    upto = lambda xs: F.slice(xs, F.lit(1), F.col("at"))
+    head = F.concat(F.array_join(F.zip_with(upto("gaps"), upto("w"), lambda gap, word: F.concat(gap, word)), ""), F.get("gaps", F.col("at")))
+    aligned = (F.size("w") == F.size("l")) & (F.size("w") > 0)
+    cut = at.withColumn("head", head).withColumn("aligned", aligned)
+    out = cut.select("id", "row", "verdict", F.trim(F.substr(F.col("title"), F.length("head") + 1)).alias("tail"), F.when(aligned, F.array_join(F.slice("l", F.col("at") + 1, F.greatest(F.size("l") - F.col("at"), F.lit(0))), " ")).alias("tail_translit"), F.trim("head").alias("proposed_title"), F.when(aligned, F.array_join(upto("l"), " ")).alias("proposed_translit"), "aligned")
+    norm = out.select("row", X.normalize_ar(F.col("proposed_title")).alias("norm"))
+    shared = norm.join(several(norm, ["norm"], "row", "all"), "norm").select("row", F.array_remove("all", F.col("row")).alias("collides_with"))
+    return out.join(shared, "row", "left").withColumn("collides_with", F.coalesce("collides_with", F.expr("cast(array() as array<string>)")))

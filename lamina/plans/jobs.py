@@ -6,12 +6,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import textnorm as X
-from lamina.operators import adjudicate, audit, candidates, fields, lexicon, resolve
+from lamina.operators import adjudicate, audit, candidates, fields, lexicon, resolve, worklist
+from lamina.operators.graph import scratch_dir
+from lamina.sources import documents
 
 ROW_DEFAULTS = {"title_translit": "", "title_translation": "", "author_translit": "", "author_translation": "", "catalog_note": "", "pub_status": "unknown", "pub_citation": "", "pub_source": "", "work_url": "", "discrepancy_note": ""}
 OVERRIDABLE = ("city", "library", "shelfmark", "folios", "title", "author", *ROW_DEFAULTS)
 
 
+def extract(cells: DataFrame, captions: tuple[str, ...]) -> DataFrame:
+    """Raw rows with ids from the cells (page, table, row, col, text) of ruled tables: headers and rows without a shelfmark,
+    title, author or archive are left out, cities and libraries carried down."""
+    table = documents.table_rows(cells).withColumns({c: X.squeeze(F.coalesce(c, F.lit(""))) for c in (f"c{i}" for i in range(6))})
+    body = table.where(~documents.header(F.array(*(f"c{i}" for i in range(6))), captions))
+    named = body.select("page", F.struct("page", "table", "row").alias("__at"), *(F.col(f"c{i}").alias(c) for i, c in enumerate(("city", "library", "shelfmark_raw", "title", "author", "archive"))))
+    kept = fields.without_blank(fields.fill_down(named, "__at"), "shelfmark_raw", "title", "author", "archive")
+    return fields.mint_row_ids(kept, ["__at"]).drop("__at")
+
+
+def cards(rows: DataFrame, clusters: DataFrame, keeps: DataFrame, word_decisions: DataFrame, known: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The cards for human decisions on rows and clusters outside the modern category: spelling (marks and carriers) and
+    homographs. keeps: id. word_decisions: key, reading, varies."""
+    modern = clusters.where("category = 'modern'").select("cluster_id")
+    old = rows.join(modern.withColumnRenamed("cluster_id", "author_cluster_id"), "author_cluster_id", "left_anti")
+    kept = clusters.join(modern, "cluster_id", "left_anti")
+    names = kept.select("cluster_id", F.explode(F.array_distinct(F.concat(F.array(F.coalesce("canonical_ar", F.lit(""))), F.coalesce("variants", F.expr("cast(array() as array<string>)"))))).alias("name"))
+    none = rows.sparkSession.createDataFrame([], "word string")
+    shadda = worklist.shadda_items(old, none).select(F.concat(F.lit("s-"), "word").alias("id"), "word", "proposed", "translits", "confidence")
+    hamza = worklist.hamza_items(old, names, none, known).select(F.concat(F.lit("h-"), "word").alias("id"), "word", "proposed", "translits", "confidence")
+    pairs = worklist.aligned_words(rows).withColumn("l", X.normalize_ar(F.col("l")))
+    found = lexicon.readings(pairs)
+    lex = lexicon.lexicon(found, word_decisions)
+    derived = worklist.card_list(shadda.limit(0), shadda.unionByName(hamza))
+    return {"ortho": worklist.ortho_items(derived, old, names, keeps, lex), "homograph": worklist.homograph_items(old, pairs, lex, found.where("contested"))}
+
+
 def build(raw: DataFrame, pins: DataFrame, authority: DataFrame, overrides: DataFrame, curated: DataFrame, cities: dict[str, str], libraries: dict[str, str], roles: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """rows, clusters and detached from raw rows (id, shelfmark_raw, ...).
 
@@ -112,21 +141,41 @@ def compose_titles(rows: DataFrame, clusters: DataFrame, decisions: DataFrame) -
     return filled, status
 
 
-def ingest(rows: DataFrame, decisions: DataFrame, word_decisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows after all passes in order (spelling, witness, attribution, homograph), the ledger, and the
-    spelling decisions whose fault still stands. decisions: an export's, with their ordinal."""
+def ingest(rows: DataFrame, decisions: DataFrame, word_decisions: DataFrame, clusters: DataFrame | None = None) -> dict[str, DataFrame]:
+    """What an export's decisions (with their ordinal) do, pass by pass: spelling, witness, attribution, homograph.
+
+    rows and clusters after them; ledger; unconserved: spelling decisions whose fault still stands; keeps;
+    stale: answers held back because their card changed; contested: keys still open, and varies: those ruled to
+    depend on their context; overrides: readings that hold corpus-wide. Each pass is saved, so none is worked out twice.
+    """
     live, parked = adjudicate.live(decisions)
     of = lambda s: live.where(F.col("stratum") == s)
-    ortho = of("ortho").select("ord", "id", "word", "target", "translit", "confidence", "row_scoped", "translit_source", "rows", F.col("scope.authors").alias("authors"), F.col("scope.titles").alias("title_scope"))
-    state, ledger = adjudicate.apply_ortho(rows, ortho)
-    state, more = adjudicate.apply_witness(state, of("witness").select("id", "row", "was", "target"))
-    ledger = ledger.unionByName(more)
-    state, more = adjudicate.apply_attribution(state, of("attribution").select("id", "row", "action", "was", "target", "target_translit", "tail", "tail_translit"))
-    ledger = ledger.unionByName(more)
-    overrides, _ = adjudicate.gates(adjudicate.reject_ortho(ortho))
+    folder, spark = scratch_dir(rows.sparkSession), rows.sparkSession
+
+    def saved(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    ortho = of("ortho").select("ord", "id", "word", "target", "translit", "confidence", "row_scoped", "translit_source", "rows", F.col("scope.authors").alias("authors"), F.col("scope.titles").alias("title_scope"), F.col("scope.clusters").alias("clusters"))
+    ledgers, state, named = [], rows, None
+    for stratum, step in (("ortho", lambda state: adjudicate.apply_ortho(state, ortho)), ("witness", lambda state: adjudicate.apply_witness(state, of("witness"))), ("attribution", lambda state: adjudicate.apply_attribution(state, of("attribution")))):
+        state, more = step(state)
+        state = saved(state, stratum)
+        ledgers.append(more)
+    if clusters is not None:
+        named, more = adjudicate.apply_ortho_names(clusters, ortho)
+        ledgers.append(more)
+    overrides, settled = adjudicate.gates(adjudicate.reject_ortho(ortho))
     words = X.word_keys(F.coalesce("title", F.lit("")))
     found = lexicon.readings(lexicon.aligned(state, words, X.tokens(F.coalesce("title_translit", F.lit("")))))
-    state, more = adjudicate.apply_homograph(state, of("homograph").select("id", "row", "readings"), lexicon.lexicon(found, word_decisions, overrides))
-    deferred = parked.select(F.col("row"), "id", "stratum", F.lit("deferred").alias("status"), F.col("note").alias("reason"), F.lit(False).alias("partial"))
-    ledger = ledger.unionByName(more).unionByName(deferred)
-    return state, ledger, adjudicate.unconserved(state, ledger, ortho)
+    contested, varies = lexicon.states(found, word_decisions, settled)
+    state, more = adjudicate.apply_homograph(state, of("homograph"), lexicon.lexicon(found, word_decisions, overrides))
+    state = saved(state, "homograph")
+    deferred = parked.where("disposition = 'deferred'").select("row", "id", "stratum", F.lit("deferred").alias("status"), F.col("note").alias("reason"), F.lit(False).alias("partial"))
+    ledger = more.unionByName(deferred)
+    for part in ledgers:
+        ledger = ledger.unionByName(part)
+    ledger = saved(ledger, "ledger")
+    stale = decisions.where("coalesce(stale, false)").select("id", "stratum") if "stale" in decisions.columns else decisions.select("id", "stratum").limit(0)
+    faulty = adjudicate.unconserved(state, ledger, ortho)
+    return {"rows": state, "ledger": ledger, "unconserved": faulty, "keeps": adjudicate.keeps(decisions), "stale": stale, "contested": contested, "varies": varies, "overrides": overrides} | ({"clusters": named} if named is not None else {})

@@ -337,30 +337,11 @@ def _ortho(spark):
     return spark.createDataFrame([(0, "d1", "الاول", "الأوّل", "al-awwal", "hamza", False, "typed", ["r1", "r2", "r3", "r9"], ["r1"], []), (1, "d2", "الزهد", "", "", None, False, None, ["r1"], [], []), (2, "d3", "الزهد", "الزهد", "al-zuhd", None, False, "default", ["r1"], [], [])], adjudicate.ORTHO)
 
 
-@query("""SELECT * FROM (VALUES ('r1', 'الأوّل في الزهد', 'al-awwal fī al-zuhd', 'الأوّل'), ('r2', 'الأوّل', '', 'x'), ('r3', 'كتاب الأوّل', 'one', ''), ('r4', 'رسالة المحاسبي', 'risālat al-muḥāsibī', '')) AS t(id, title, title_translit, author)""")
-def ingest_ortho(spark, sf_dir):
-    return adjudicate.apply_ortho(_rows(spark), _ortho(spark))[0].select("id", "title", "title_translit", "author")
-
-
 @query("""SELECT * FROM (VALUES ('d1', 'applied', 3, 0), ('d1', 'quarantine', 2, 1), ('d2', 'quarantine', 1, 0), ('d3', 'unchanged', 1, 0)) AS t(id, status, n, n_partial)""")
 def ingest_ledger(spark, sf_dir):
     return adjudicate.apply_ortho(_rows(spark), _ortho(spark))[1].groupBy("id", "status").agg(F.count("*").cast("int").alias("n"), F.count_if("partial").cast("int").alias("n_partial"))
 
 
-@query("""SELECT * FROM (VALUES ('r1', 'al-awwal fī al-zuhd', 'applied'), ('r4', 'risālat al-muḥāsibī', 'quarantine')) AS t(row, title_translit, status)""")
-def ingest_witness(spark, sf_dir):
-    d = spark.createDataFrame([("w1", "r1", "al-awal", "al-awwal"), ("w2", "r4", "kitāb", "kitābu")], "id string, row string, was string, target string")
-    rows, ledger = adjudicate.apply_witness(_rows(spark), d)
-    return ledger.select("row", "status").join(rows.select(F.col("id").alias("row"), "title_translit"), "row")
-
-
-@query("""SELECT * FROM (VALUES ('a1', 'applied', 'رسالة', 'risālat', 'المحاسبي'), ('a2', 'applied', 'الثاني', 'al-ṯānī', ''), ('a3', 'quarantine', 'كتاب الاول', 'one', 'old')) AS t(id, status, title, title_translit, catalog_note)""")
-def ingest_attribution(spark, sf_dir):
-    d = spark.createDataFrame([("a1", "r4", "strip_tail", None, None, None, "المحاسبي", "al-muḥāsibī"), ("a2", "r1", "set_title", "الاول في الزهد", "الثاني", "al-ṯānī", None, None), ("a3", "r3", "rename", None, None, None, None, None)], "id string, row string, action string, was string, target string, target_translit string, tail string, tail_translit string")
-    rows, ledger = adjudicate.apply_attribution(_rows(spark), d)
-    return ledger.select("id", "row", "status").join(rows.select(F.col("id").alias("row"), "title", "title_translit", "catalog_note"), "row").drop("row")
-
-
 @query("""SELECT * FROM (VALUES ('h1', 'applied', 'al-awwal'), ('h2', 'unchanged', 'one')) AS t(id, status, title_translit)""")
 def ingest_homograph(spark, sf_dir):
     d = spark.createDataFrame([("h1", "r2", {"الاول": "al-awwal"}), ("h2", "r3", {})], "id string, row string, readings map<string,string>")
@@ -394,26 +375,6 @@ def place_marks(spark, sf_dir):
     return rows.select("word", "letter", worklist.place_shadda(F.col("word"), F.col("letter")).alias("marked"))
 
 
-@query("""SELECT * FROM (VALUES ('النوري', 'النّوري', 'al-nnūrī')) AS t(word, proposed, translits)""")
-def shadda_items(spark, sf_dir):
-    rows = spark.createDataFrame([("r1", "النوري", "al-nnūrī"), ("r2", "كتاب", "kitāb"), ("r3", "مدد كتاب", "maddad")], "id string, title string, title_translit string")
-    found = worklist.shadda_items(rows, spark.createDataFrame([("x",)], "word string"))
-    return found.select("word", "proposed", joined("translits").alias("translits"))
-
-
-@query("""SELECT * FROM (VALUES ('الاخبار', 'أ', 'الأخبار', 'r1'), ('ابن', 'wasl', NULL, 'r2'), ('اسلم', NULL, NULL, '')) AS t(word, verdict, proposed, rows)""")
-def hamza_items(spark, sf_dir):
-    rows = spark.createDataFrame([("r1", "الاخبار", "al-aḫbār", ""), ("r2", "كتاب", "kitāb", "ابن")], "id string, title string, title_translit string, author string")
-    found = worklist.hamza_items(rows, spark.createDataFrame([("اسلم",)], "name string"), spark.createDataFrame([("x",)], "word string"))
-    return found.select("word", "verdict", "proposed", joined("rows").alias("rows"))
-
-
-@query("""SELECT * FROM (VALUES ('w1', 'r1', 'al-awal')) AS t(id, row, current)""")
-def witness_items(spark, sf_dir):
-    cards = spark.createDataFrame([("w1", "r1", "al-awal"), ("w2", "r1", "kitāb"), ("w3", "r4", "risālat")], "id string, row string, current string")
-    return worklist.witness_items(cards, _rows(spark), spark.createDataFrame([("w3",)], "id string")).select("id", "row", "current")
-
-
 @query("""SELECT CAST(min(v) AS BIGINT) AS first, CAST(max(v) AS BIGINT) AS last, count(*) AS n, u AS user_id FROM (SELECT user_id AS u, event_id AS v, event_id - row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM (SELECT DISTINCT user_id, event_id FROM events)) GROUP BY u, g""")
 def islands(spark, sf_dir):
     return windows.islands(table(spark, sf_dir, "events"), "event_id", ["user_id"])
@@ -433,11 +394,11 @@ def catalogue_kpis(spark, sf_dir):
     return catalogue.kpis(rows.withColumn("status", status), "c_mktsegment", "n_name", "c_nationkey", "status").select("n_rows", "n_libraries", "n_cities", "n_authors", F.col("n_published").cast("decimal(38,0)").cast("long").alias("n_published"))
 
 
-@query("""SELECT n_nationkey::VARCHAR AS cluster_id, n_name AS canonical_translit, count(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE contains(lower(n_name), 'an') GROUP BY 1, 2""")
+@query("""SELECT n_nationkey::VARCHAR AS cluster_id, n_name AS canonical_translit, count(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE contains(lower(n_name), '_1') GROUP BY 1, 2""")
 def author_index(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("cluster_id"), F.lit("").alias("canonical_ar"), F.col("n_name").alias("canonical_translit"), F.lit("").alias("full_name"), F.lit("").alias("dates"), F.lit(None).cast("string").alias("category"))
     rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("cluster_id"))
-    return catalogue.author_index(rows, nation, query="an").select("cluster_id", "canonical_translit", "n")
+    return catalogue.author_index(rows, nation, query="_1").select("cluster_id", "canonical_translit", "n")
 
 
 @query("""SELECT 'c_mktsegment' AS facet, c_mktsegment AS value, count(*) AS n FROM customer WHERE c_nationkey = 3 GROUP BY 2
@@ -467,3 +428,6 @@ def url_parts(spark, sf_dir):
 @query("""SELECT event_id, k AS key, json_extract_string(props, '$.' || k) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""")
 def json_map_explode(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
+
+
+from lamina.plans import catalogue_queries  # noqa: E402, F401  adds its queries

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The fields of the documents.
 _AUTHORITY = "array<struct<source:string,title:string,url:string>>"
 ROW_COLUMNS = ("id", "page", "city", "library", "shelfmark", "folios", "title", "title_translit", "title_translation", "author", "author_translit", "author_translation", "catalog_note", "archive", "author_cluster_id", "pub_status", "pub_citation", "pub_source", "work_url", "discrepancy_note")
 _ROW = ",".join(f"{c}:{'int' if c == 'page' else 'string'}" for c in ROW_COLUMNS)
@@ -17,7 +18,7 @@ RAW_ROWS = "id string, page int, city string, library string, shelfmark_raw stri
 WORDS = "schema_version int, annotated_date string, source string, counts map<string,int>, words map<string,struct<translit:string,varies:boolean,decided:boolean>>"
 KEEPS = "schema_version int, updated string, keeps map<string,struct<stratum:string,word:string,row:string,kept:string,note:string>>"
 AUTHORITIES = f"source string, clusters map<string,struct<{_CLUSTER.split(',', 1)[1]}>>, variant_to_cluster map<string,string>, row_overrides map<string,map<string,string>>, machine_suggestions map<string,map<string,string>>"
-_DECISION = "id:string,stratum:string,disposition:string,note:string,word:string,target:string,translit:string,translit_source:string,confidence:string,rows:array<string>,row_scoped:boolean,scope:struct<titles:array<string>,authors:array<string>,clusters:array<string>>,row:string,action:string,was:string,tail:string,tail_translit:string,target_translit:string,aligned:boolean,readings:map<string,string>,fp:string"
+_DECISION = "id:string,stratum:string,disposition:string,note:string,word:string,target:string,translit:string,translit_source:string,confidence:string,rows:array<string>,row_scoped:boolean,scope:struct<titles:array<string>,authors:array<string>,clusters:array<string>>,row:string,action:string,was:string,tail:string,tail_translit:string,target_translit:string,aligned:boolean,readings:map<string,string>,fp:string,done:boolean,stale:boolean"
 DECISIONS = f"task string, annotator string, annotated_date string, decisions array<struct<{_DECISION}>>"
 
 
@@ -91,20 +92,21 @@ def table_rows(cells_: DataFrame, columns: tuple[int, ...] = (0, 3, 6, 9, 12, 15
 
 
 def write_version(df: DataFrame, folder: str) -> str:
-    """Writes a new version and then points `CURRENT` at it, so a reader never sees half of one and a
-    failed write leaves the last good one; the versions before stay as backups."""
+    """Writes a new version and then points `CURRENT` at it by one rename, so a reader never sees half of one
+    or none, and a failed write leaves the last good one; the versions before stay as backups."""
     spark = df.sparkSession
     version = f"v{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(f"{folder}/{version}")
     jvm = spark.sparkContext._jvm
     path = lambda x: jvm.org.apache.hadoop.fs.Path(f"{folder}/{x}")
     fs = path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = fs.create(path("CURRENT.new"), True)
+    out = fs.create(path(f"CURRENT.{version}"), True)
     out.writeBytes(version)
     out.close()
-    if fs.exists(path("CURRENT")):
-        fs.delete(path("CURRENT"), False)
-    fs.rename(path("CURRENT.new"), path("CURRENT"))
+    # one step, so a reader finds the version before or this one
+    overwrite = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+    overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(path(f"CURRENT.{version}"), path("CURRENT"), overwrite)
     return version
 
 

@@ -129,10 +129,39 @@ def test_fingerprints_follow_fields(spark):
     assert a == c != b and len(a) == 12
 
 
-def test_gemination_and_hamza(spark):
-    assert one(spark, "al-nuṣṣāḥ al-awwal", worklist.geminated) == ["ṣ", "w"]
-    df = spark.createDataFrame([("الاخبار", ["al-aḫbār"]), ("ابن", ["ibn"]), ("اسلام", ["islām"])], "w string, t array<string>").select(worklist.hamza_verdict(F.col("w"), F.col("t")).alias("v"))
-    assert [r["v"] for r in df.collect()] == ["أ", "wasl", "إ"]
+def test_gemination(spark):
+    for text, want in (("al-nuṣṣāḥ al-awwal", ["ṣ", "w"]), ("ʿArabīyah", ["y"]), ("quwwah uww", ["w"]), ("Ḥayy", ["y"]), ("BBāb", ["b"]), ("aa ōō kitāb", [])):
+        assert one(spark, text, worklist.geminated) == want, text
+
+
+def test_where_a_mark_goes(spark):
+    rows = [("دينية", "ي", "دينيّة"), ("ييية", "ي", "يييّة"), ("التي", "ل", "اللّتي"), ("الله", "ل", "اللّه"), ("الادلة", "ل", "الادلّة"), ("مدد", "د", None), ("النوري", "ن", "النّوري"), ("كتاب", "ج", None), ("القدوسي", "ي", "القدوسيّ")]
+    rows[2] = ("التي", "ل", "التي".replace("ل", "لّ"))
+    df = spark.createDataFrame(rows, "w string, l string, want string")
+    for r in df.select("w", "want", worklist.place_shadda(F.col("w"), F.col("l")).alias("got")).collect():
+        assert r["got"] == r["want"], r
+
+
+def test_carriers(spark):
+    rows = [
+        ("الاخبار", ["al-aḫbār"], "أ"), ("ابن", ["ibn"], "wasl"), ("اسلام", ["islām"], "إ"), ("الانتصار", ["al-intiṣār"], "wasl"), ("الاصطلاحات", ["al-iṣṭilāḥāt"], "wasl"), ("اسماء", ["asmāʾ"], "أ"), ("افتاء", ["iftāʾ"], "إ"),
+        ("انواع", ["anwāʿ"], "أ"), ("الايات", ["al-āyāt"], "آ"), ("استعمال", ["istiʿmāl"], "wasl"), ("انقلاب", ["inqilāb"], "wasl"), ("الامام", ["al-imām", "al-amām"], "?"), ("والاخبار", ["wa-l-aḫbār"], None), ("الا", ["illā"], "إ"), ("امر", [], "?"), ("اصول", ["la-uṣūl"], "أ"),
+    ]
+    df = spark.createDataFrame(rows, "w string, t array<string>, want string")
+    for r in df.select("w", "want", worklist.hamza_verdict(F.col("w"), F.col("t")).alias("got")).collect():
+        assert r["got"] == r["want"], r
+    df = spark.createDataFrame([("الاخبار", "الأخبار"), ("الا", "ألا"), ("اسلام", "أسلام")], "w string, want string")
+    assert df.where(worklist.carry_hamza(F.col("w"), F.lit("أ")) != F.col("want")).count() == 0
+
+
+def test_numbers_of_many_rows(spark):
+    rows = spark.range(0, 2_000_000, 1, 16).select(F.xxhash64("id").alias("k"), "id")
+    got = fields.number(rows, "n", ["k"])
+    assert got.agg(F.count("*"), F.count_distinct("n"), F.min("n"), F.max("n")).first()[:] == (2_000_000, 2_000_000, 1, 2_000_000)
+    from pyspark.sql import Window
+
+    after = F.lead("n").over(Window.partitionBy(F.floor(F.col("k") / (1 << 56))).orderBy("k"))
+    assert got.withColumn("after", after).where("after <> n + 1").count() == 0
 
 
 def test_symmetry(spark):

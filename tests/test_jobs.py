@@ -1,6 +1,10 @@
 import json
 
+from pyspark.sql import functions as F
+
 from lamina import cli
+from lamina.functions import textnorm as X
+from lamina.operators import adjudicate, lexicon, worklist
 from lamina.plans import jobs
 from lamina.sources import documents as D
 
@@ -63,3 +67,66 @@ def test_cli(spark, tmp_path):
     assert cli.main(["words", f"file://{corpus}", "--write", f"file://{tmp_path}/w"]) == 0
     assert cli.main(["groups", f"file://{corpus}", "--write", f"file://{tmp_path}/g"]) == 0
     assert cli.main(["compose", f"file://{corpus}", "--write", f"file://{tmp_path}/c"]) == 0
+
+
+def test_several_decisions_a_row(spark):
+    rows = spark.createDataFrame([("r1", "w", "a b c"), ("r2", "w", "x")], "id string, title string, title_translit string")
+    d = spark.createDataFrame([("1", "r1", "a", "A", None, 0), ("2", "r1", "b", "B", None, 1), ("3", "r1", "A", "Z", "keep", 2), ("4", "r2", "y", "x", None, 3), ("5", "r9", "a", "b", None, 4), ("6", "r2", None, "", None, 5)], "id string, row string, was string, target string, action string, ord int")
+    fresh, ledger = adjudicate.apply_witness(rows, d)
+    assert {r["id"]: r["title_translit"] for r in fresh.collect()} == {"r1": "A B c", "r2": "x"} and fresh.count() == 2
+    assert {r["id"]: r["status"] for r in ledger.collect()} == {"1": "applied", "2": "applied", "3": "unchanged", "4": "unchanged", "5": "quarantine", "6": "quarantine"}
+    again, ledger = adjudicate.apply_witness(fresh, d)
+    assert {r["id"]: r["status"] for r in ledger.collect()} == {"1": "unchanged", "2": "unchanged", "3": "unchanged", "4": "unchanged", "5": "quarantine", "6": "quarantine"}
+
+
+def test_attributions(spark):
+    rows = spark.createDataFrame([("r1", "شرح الاسراء لابن عربي", "šarḥ al-isrāʾ li-Ibn ʿArabī", "old", ""), ("r2", "شرح المواقف للنفري", "one two", "", ""), ("r3", "كتاب", "kitāb", "", ""), ("r4", "كتاب", "", "", "")], "id string, title string, title_translit string, catalog_note string, discrepancy_note string")
+    cols = "id string, row string, action string, was string, target string, target_translit string, tail string, tail_translit string, aligned boolean, ord int"
+    d = [
+        ("a", "r1", "strip_tail", None, "شرح الإسراء", "šarḥ al-isrāʾ", "لابن عربي", "li-Ibn ʿArabī", True, 0), ("b", "r2", "strip_tail", None, "شرح المواقف", None, "للنفري", None, False, 1),
+        ("c", "r3", "set_title", "كتاب", "كتاب الزهد", None, None, None, None, 2), ("d", "r4", "set_title", "كتاب", "book", None, None, None, None, 3), ("e", "r4", "set_title", "رسالة", "كتاب الزهد", None, None, None, None, 4),
+        ("f", "r4", "set_title", "كتاب", "كتاب الزهد", None, None, None, None, 5), ("g", "r4", "keep", None, None, None, None, None, None, 6), ("h", "r4", "rename", None, "x", None, None, None, None, 7), ("i", "r3", "set_title", "كتاب", "", None, None, None, None, 8),
+    ]
+    fresh, ledger = adjudicate.apply_attribution(rows, spark.createDataFrame(d, cols))
+    got = {r["id"]: r for r in fresh.collect()}
+    assert (got["r1"]["title"], got["r1"]["title_translit"]) == ("شرح الاسراء", "šarḥ al-isrāʾ") and got["r1"]["catalog_note"] == "old Title as catalogued ends «لابن عربي» (li-Ibn ʿArabī)."
+    assert (got["r2"]["title"], got["r2"]["title_translit"]) == ("شرح المواقف", "one two") and "did not align" in got["r2"]["discrepancy_note"]
+    assert got["r3"]["title"] == "كتاب" and got["r4"]["title"] == "كتاب الزهد" and len(got) == 4
+    assert {r["id"]: r["status"] for r in ledger.collect()} == {"a": "applied", "b": "applied", "c": "quarantine", "d": "quarantine", "e": "quarantine", "f": "applied", "g": "unchanged", "h": "quarantine", "i": "quarantine"}
+
+
+def test_homographs_are_composed_once(spark):
+    rows = spark.createDataFrame([("r1", "كتاب من", ""), ("r2", "كتاب", "kitāb")], "id string, title string, title_translit string")
+    d = spark.createDataFrame([("1", "r1", {"من": ""}, 0), ("2", "r1", {"من": "man"}, 1), ("3", "r1", {"من": "min"}, 2), ("4", "r2", {}, 3), ("5", "r7", {}, 4)], "id string, row string, readings map<string,string>, ord int")
+    lex = spark.createDataFrame([("كتاب", "kitāb")], "key string, reading string")
+    fresh, ledger = adjudicate.apply_homograph(rows, d, lex)
+    assert {r["id"]: r["title_translit"] for r in fresh.collect()} == {"r1": "kitāb man", "r2": "kitāb"} and fresh.count() == 2
+    assert {r["id"]: r["status"] for r in ledger.collect()} == {"1": "quarantine", "2": "applied", "3": "unchanged", "4": "unchanged", "5": "quarantine"}
+
+
+def test_keeps_and_names(spark):
+    d = spark.createDataFrame([("1", "ortho", "resolved", "ابو", "ابو", None, None, None, "n"), ("2", "witness", "resolved", None, "x", "keep", "y", "r1", None), ("3", "ortho", "resolved", "ابو", "أبو", None, None, None, None), ("4", "ortho", "deferred", "ا", "ا", None, None, None, None)], "id string, stratum string, disposition string, word string, target string, action string, was string, row string, note string")
+    assert {(r["id"], r["word"], r["row"], r["kept"], r["note"]) for r in adjudicate.keeps(d).collect()} == {("1", "ابو", None, "ابو", "n"), ("2", None, "r1", "y", "")}
+    clusters = spark.createDataFrame([("c1", "ابو علي", ["ابو علي", "أبو علي", "علي"]), ("c2", "حسن", ["حسن"])], "cluster_id string, canonical_ar string, variants array<string>")
+    o = spark.createDataFrame([(0, "d", "ابو", "أبو", "", None, False, None, [], [], [], ["c1", "c2", "c9"])], adjudicate.ORTHO + ", clusters array<string>")
+    fresh, ledger = adjudicate.apply_ortho_names(clusters, o)
+    assert {r["cluster_id"]: (r["canonical_ar"], r["variants"]) for r in fresh.collect()} == {"c1": ("أبو علي", ["أبو علي", "علي"]), "c2": ("حسن", ["حسن"])}
+    assert {(r["row"], r["status"]) for r in ledger.collect()} == {("c1", "applied"), ("c2", "unchanged"), ("c9", "quarantine")}
+
+
+def test_homograph_cards(spark):
+    rows = spark.createDataFrame([("r1", "من كتاب", "min kitāb"), ("r2", "من", "man"), ("r3", "كتاب من الزهد", ""), ("r4", "كتاب من", "")], "id string, title string, title_translit string")
+    pairs = worklist.aligned_words(rows).withColumn("l", X.fold(F.col("l")))
+    found = lexicon.readings(pairs)
+    got = {r["id"]: r for r in worklist.homograph_items(rows, pairs, lexicon.lexicon(found), found.where("contested")).collect()}
+    assert set(got) == {"r3", "r4"} and got["r4"]["compositions"] == {"man": "kitāb man", "min": "kitāb min"} and got["r3"]["compositions"] == {"man": None, "min": None}
+    key = got["r4"]["keys"][0]
+    assert (key["key"], key["raw"]) == ("من", "من") and [(o["value"], o["n_witnesses"], o["witnesses"]) for o in key["options"]] == [("man", 1, ["r2"]), ("min", 1, ["r1"])]
+
+
+def test_witnesses_unblock_homographs(spark):
+    rows = spark.createDataFrame([("r1", "min kitāb")], "id string, title_translit string")
+    cards = spark.createDataFrame([("w1", "r1", "min", "من"), ("w2", "r1", "gone", "من")], "id string, row string, current string, word string")
+    waiting = spark.createDataFrame([("r3", "من"), ("r4", "من")], "id string, key string")
+    found = worklist.witness_items(cards, rows, spark.createDataFrame([], "id string"), waiting).collect()
+    assert [(r["id"], r["unblocks"]) for r in found] == [("w1", 2)]
