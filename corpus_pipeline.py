@@ -1,4 +1,9 @@
-"""From documents to token ids: five stages, each written and read again before the next."""
+"""From documents to token ids: five stages, each written and read again before the next.
+
+Null and empty texts have no words, so no stage rejects, groups or changes them, and they have no tokens. Rows that
+repeat a doc_id are one document: they are kept or dropped together. An empty table gives an empty one. Further
+columns, whatever their names, pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
