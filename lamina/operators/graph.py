@@ -21,13 +21,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/lamina-{uuid.uuid4().hex}"
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and component (the smallest node it reaches) for the nodes of edges (a, b).
+def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
+    """node and component (the smallest node it reaches, itself included) for the nodes of edges (a, b). Self-loops
+    and repeated edges don't matter; no edges give no rows.
 
-    Each round is written to the shared folder, so plans stay short and a lost executor costs one
+    Each round is written to the folder, by default a new one below spark.checkpoint.dir, so plans stay short and a lost executor costs one
     round. Rounds grow with the logarithm of the longest path. Hubs are split by the joins.
     """
-    spark, folder = edges.sparkSession, scratch_dir(edges.sparkSession)
+    spark = edges.sparkSession
+    folder = folder or scratch_dir(spark)
     ordered = lambda df: df.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
     def save(df: DataFrame, name: str) -> DataFrame:
@@ -35,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     now, seen, k = save(ordered(edges), "0"), None, 0
-    while (mark := tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())) != seen and mark[0]:
+    while (mark := tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())) != seen and mark[0]:
         seen, k = mark, k + 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

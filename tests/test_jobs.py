@@ -130,3 +130,31 @@ def test_witnesses_unblock_homographs(spark):
     waiting = spark.createDataFrame([("r3", "من"), ("r4", "من")], "id string, key string")
     found = worklist.witness_items(cards, rows, spark.createDataFrame([], "id string"), waiting).collect()
     assert [(r["id"], r["unblocks"]) for r in found] == [("w1", 2)]
+
+
+def test_commands_from_cells_to_cards(spark, tmp_path, capsys):
+    cells = [(1, 0, r, 3 * c, text) for r, row in enumerate([["City", "Library", "x", "Title", "y", "z"], ["Caire", "Dar", "Laleli 3", "كتاب الاخبار", "المحاسبي", ""], ["", "", "4", "رسالة", "المحاسبي", ""]]) for c, text in enumerate(row)]
+    with open(tmp_path / "cells.json", "w") as f:
+        f.writelines(json.dumps(dict(zip(("page", "table", "row", "col", "text"), c)), ensure_ascii=False) + "\n" for c in cells)
+    assert cli.main(["extract", f"file://{tmp_path}/cells.json", "--captions", "City|Library|Title", "--write", f"file://{tmp_path}/raw"]) == 0
+    raw = D.read_version(spark, f"file://{tmp_path}/raw/rows")
+    assert raw.count() == 2 and D.read_version(spark, f"file://{tmp_path}/raw/stats").first()["n_cities"] == 1
+    raw.write.json(f"file://{tmp_path}/rows")
+    assert cli.main(["cluster", f"file://{tmp_path}/rows", "--write", f"file://{tmp_path}/built"]) == 0
+    rows, clusters = (D.read_version(spark, f"file://{tmp_path}/built/{n}") for n in ("rows", "clusters"))
+    assert clusters.count() == 1 and {r["author_cluster_id"] for r in rows.collect()} == {"n000"}
+    doc = {"rows": [r.asDict(True) | {"title_translit": "kitāb al-aḫbār" if r["id"] == "r0001" else ""} for r in rows.collect()], "clusters": [c.asDict(True) for c in clusters.collect()]}
+    corpus = tmp_path / "data.json"
+    corpus.write_text(json.dumps(doc, ensure_ascii=False))
+    assert cli.main(["cards", f"file://{corpus}", "--write", f"file://{tmp_path}/cards"]) == 0
+    cards = {r["id"]: r for r in D.read_version(spark, f"file://{tmp_path}/cards/ortho").collect()}
+    assert cards["h-الاخبار"]["proposed"] == "الأخبار" and cards["h-الاخبار"]["n_titles"] == 1 and not cards["h-الاخبار"]["key_changes"]
+    base = tmp_path / "base.json"
+    base.write_text(json.dumps({"rows": [r.asDict(True) for r in rows.collect()], "clusters": []}, ensure_ascii=False))
+    assert cli.main(["harvest", f"file://{corpus}", "--baseline", f"file://{base}", "--write", f"file://{tmp_path}/h"]) == 0
+    assert [(r["id"], r["values"]) for r in D.read_version(spark, f"file://{tmp_path}/h/overrides").collect()] == [("r0001", {"title_translit": "kitāb al-aḫbār"})]
+    (tmp_path / "p.json").write_text(json.dumps({"machine_suggestions": {"r0001": {"title_translit": "x"}}}))
+    capsys.readouterr()
+    assert cli.main(["provenance", f"file://{corpus}", "--proposals", f"file://{tmp_path}/p.json", "--list", "--json"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert {"table": "rows", "id": "r0001", "verdict": "overridden", "value": "kitāb al-aḫbār", "proposal": "x"} in lines and lines[0]["verdict"] == "overridden"

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.sources import documents as D
+from lamina.plans import jobs
 from lamina.streaming import decisions as stream
 
 
@@ -63,5 +64,24 @@ def test_stream_upserts_once(spark, tmp_path):
     source = tmp_path / "in"
     spark.createDataFrame([("a", "1"), ("b", "1"), ("a", "1")], "id string, note string").write.parquet(f"file://{source}")
     rows = spark.readStream.schema("id string, note string").parquet(f"file://{source}")
-    stream.upsert_keeps(rows, f"file://{tmp_path}/store", f"file://{tmp_path}/check").awaitTermination(60)
-    assert spark.read.parquet(f"file://{tmp_path}/store/batch-0").agg(F.count("*")).first()[0] == 2
+    store, schema = f"file://{tmp_path}/store", "id string, note string"
+    stream.upsert_keeps(rows, store, f"file://{tmp_path}/check").awaitTermination(60)
+    assert stream.read_keeps(spark, store, schema).count() == 2 and len(stream.versions(spark, store)) == 1
+    # more rows, then a stream that starts anew: the store goes on
+    spark.createDataFrame([("c", "2")], schema).write.mode("append").parquet(f"file://{source}")
+    stream.upsert_keeps(rows, store, f"file://{tmp_path}/check").awaitTermination(60)
+    assert {r["id"] for r in stream.read_keeps(spark, store, schema).collect()} == {"a", "b", "c"}
+    other = tmp_path / "other"
+    spark.createDataFrame([("a", "9"), ("d", "3")], schema).write.parquet(f"file://{other}")
+    stream.upsert_keeps(spark.readStream.schema(schema).parquet(f"file://{other}"), store, f"file://{tmp_path}/check2").awaitTermination(60)
+    assert {r["id"]: r["note"] for r in stream.read_keeps(spark, store, schema).collect()} == {"a": "9", "b": "1", "c": "2", "d": "3"}
+    assert [v[0] for v in stream.versions(spark, store)] == [0, 1, 2]
+    assert stream.read_keeps(spark, f"{store}/none", schema).count() == 0
+
+
+def test_extraction_of_tables(spark):
+    """Cells of ruled tables to raw rows: headers and blank rows go, places are carried down, ids are in order."""
+    table = [["City", "Library", "Shelfmark", "Title", "Author", "Archive"], ["Cairo", "Dar", "1", "t1", "a1", ""], ["", "", "2", "t2", "", ""], ["", "", "", "", "", ""], ["Paris", "", "3", " t3  x", "a3", "A"]]
+    cells = [(1, 0, r, 3 * c, text) for r, row in enumerate(table) for c, text in enumerate(row)]
+    got = jobs.extract(spark.createDataFrame(cells, "page int, table int, row int, col int, text string"), ("City", "Library", "Title")).orderBy("id").collect()
+    assert [(r["id"], r["city"], r["library"], r["shelfmark_raw"], r["title"], r["author"]) for r in got] == [("r0001", "Cairo", "Dar", "1", "t1", "a1"), ("r0002", "Cairo", "Dar", "2", "t2", ""), ("r0003", "Paris", "", "3", "t3 x", "a3")]
