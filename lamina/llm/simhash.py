@@ -72,7 +72,7 @@ def _bucket(bounds: list[int]) -> Column:
     if not bounds:
         return F.lit(0)
     cuts, top = F.array(*map(F.lit, bounds)), len(bounds).bit_length() - 1
-    at = lambda lo, k: lo + F.shiftleft(F.lit(1), top - k)
+    at = lambda lo, k: lo + F.call_function("shiftleft", F.lit(1), F.lit(top) - k)
     step = lambda lo, k: F.when((at(lo, k) <= len(bounds)) & (F.get(cuts, at(lo, k) - 1) <= F.col("doc_id")), at(lo, k)).otherwise(lo)
     return F.aggregate(F.sequence(F.lit(0), F.lit(top)), F.lit(0), step)
 
@@ -93,7 +93,7 @@ def with_next(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame
     order = Window.partitionBy("bucket").orderBy("guest", F.desc("doc_id"))
     all_rows = ring.withColumn("guest", F.lit(0)).unionByName(guests)
     in_ring = all_rows.select("bucket", F.row_number().over(order).alias("place"), "guest", "doc_id", "text", F.lead("text").over(order).alias("next_text"))
-    alone = rows.where("doc_id IS NULL").select(F.xxhash64("text").cast("int").alias("bucket"), (-F.monotonically_increasing_id() - 1).alias("place"), F.lit(0).alias("guest"), "doc_id", "text", F.lit(None).cast("string").alias("next_text"))
+    alone = rows.where("doc_id IS NULL").select(F.hash("text").alias("bucket"), (-F.monotonically_increasing_id() - 1).alias("place"), F.lit(0).alias("guest"), "doc_id", "text", F.lit(None).cast("string").alias("next_text"))
     return in_ring, alone
 
 
