@@ -12,8 +12,9 @@ observed. A unit likelier of a kind than none adds its span.
 Weights: those of a unit's shape and both kinds of potential are fitted together, by the gradient of the field's
 pseudo-likelihood (each unit's label given its neighbours'), on the units of at most SAMPLE documents (those with
 the lowest hash of doc_id among those of at most SAMPLE_CHARS characters; of rows that share a doc_id, the least text), labelled by
-the base spans. A unit that no base span covers may yet be of a kind, so what it was next to counts half. That sample is the
-only bounded one; every text is scanned whole.
+the base spans. A unit that no base span covers may yet be of a kind, so it counts half, and not at all if it
+repeats one that a span covers: what such a pair's labels are is for the field to say. Before any data, repeats share a
+label by odds of AGREE. That sample is the only bounded one; every text is scanned whole.
 
 Null and empty texts have no spans. Rows are independent; ties, repeated rows and extra columns don't
 matter, and an empty table gives no rows; `keep` refuses the names of the results. Positions are code
@@ -41,6 +42,8 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 4_000, 20_000
 FEATURES, ROUNDS, SETTLED = 1 << 12, 50, 1e-3
 N_FEATURES = 11  # of a unit
+#: Log odds, before any data, that repeats have one label.
+AGREE = 4.0
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -138,15 +141,20 @@ class Field:
     def __init__(self):
         n = len(KINDS) + 1
         self.weights = np.zeros((FEATURES, n))
-        self.chain, self.skip = np.zeros((n, n)), 2.0 * np.eye(n)
+        self.chain, self.skip = np.zeros((n, n)), AGREE * np.eye(n)
 
     def fit(self, labels: np.ndarray, features: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = 150) -> Field:
         """Ascends the pseudo-likelihood, with a ridge towards where the field stands."""
         if not len(labels):
             return self
         n = len(KINDS) + 1
-        gold = np.eye(n)[labels]
-        weight = np.where(labels == 0, 0.5, 1.0)[:, None]
+        # a unit that no base span covers but that repeats one that a span does is of unknown label: left out
+        hidden = np.zeros(len(labels), bool)
+        for a, b in ((0, 1), (1, 0)):
+            hidden[skip[labels[skip[:, b]] > 0, a]] = True
+        hidden &= labels == 0
+        gold = np.eye(n)[labels] * ~hidden[:, None]
+        weight = np.where(hidden, 0.0, np.where(labels == 0, 0.5, 1.0))[:, None]
         start = {name: getattr(self, name).copy() for name in ("weights", "chain", "skip")}
         sums = {name: np.full_like(x, 1e-8) for name, x in start.items()}
 
