@@ -64,18 +64,33 @@ def places(text: Column, pattern: str, group: int = 0, least: int = 0, ready: Co
     """array<struct<start,end>> of the leftmost non-overlapping matches whose group is long enough, in texts
     that are ready to be searched."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))  # the last gap has no match
-    empty = F.expr("named_struct('at', 0, 'found', cast(array() as array<struct<start:int,end:int>>))")
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
+    size = lambda c: F.coalesce(F.length(c), F.lit(0))  # noqa: E731  the last gap has no match
+    sized = F.transform(F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value")), lambda x: F.struct(size(x["gap"]).alias("gap"), size(x["hit"]).alias("hit"), F.length(x["value"]).alias("value")))
+    before = lambda xs: running(F.transform(xs, lambda x: x["gap"] + x["hit"]), lambda a, x: a + x)
+    spans = lambda xs: F.zip_with(xs, before(xs), lambda x, at: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["hit"]).alias("end"), (F.coalesce(x["value"], F.lit(-1)) >= max(0, least)).alias("fine")))
+    found = _let(sized, lambda xs: F.transform(F.filter(spans(xs), lambda s: s["fine"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    return F.when((F.lit(True) if ready is None else ready) & text.rlike(pattern), found).otherwise(none)
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        own = F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= least, F.concat(state["found"], own)).otherwise(state["found"]).alias("found"))
 
-    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
-    return F.when((F.lit(True) if ready is None else ready) & text.rlike(pattern), F.aggregate(zipped, empty, step, lambda s: s["found"])).otherwise(none)
+def _let(x: Column, f) -> Column:
+    """f(x), x worked out once."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def running(xs: Column, step, block: int = 256) -> Column:
+    """What step(state, x) makes, from 0, of all that is before each of an array's integers. Blocks are worked
+    out apart, so the work grows with the array's length and not with its square."""
+
+    def along(ys: Column) -> Column:
+        state = F.expr("named_struct('at', 0, 'out', cast(array() as array<int>))")
+        return F.aggregate(ys, state, lambda s, y: F.struct(step(s["at"], y).cast("int").alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))
+
+    starts = F.sequence(F.lit(0), F.greatest(F.floor((F.size(xs) - 1) / block).cast("int"), F.lit(0)))
+    blocks = F.transform(starts, lambda b: along(F.slice(xs, b * block + 1, F.lit(block))))
+    ahead = lambda bs: along(F.transform(bs, lambda b: b["at"]))["out"]
+    return _let(blocks, lambda bs: F.flatten(F.zip_with(bs, ahead(bs), lambda b, at: F.transform(b["out"], lambda x: step(at, x).cast("int")))))
 
 
 def _log_ordinary() -> Column:
@@ -89,7 +104,7 @@ def _log_ordinary() -> Column:
 def judge(run: Column) -> Column:
     """struct<size, bin>: a run's length and floor(-10 log10 p)."""
     kind = F.when(run.rlike("^[0-9a-f]+$"), 0).when(run.rlike("^[0-9A-F]+$"), 1).when(run.rlike("^[a-z2-7]+$"), 2).when(run.rlike("^[A-Z2-7]+$"), 3).when(run.rlike("^[0-9a-z]+$"), 4).when(run.rlike("^[0-9A-Z]+$"), 5).when(run.rlike("^[0-9A-Za-z]+$"), 6).otherwise(7)
-    let = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  x is worked out once
+    let = _let
     total = lambda xs, f: F.aggregate(xs, F.lit(0.0), lambda a, x: a + f(x))
     n = F.length(run).cast("double")
 
@@ -170,14 +185,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text: str = "text", **option
     """docs with each span of its texts, or stretch of overlapping spans, replaced by the mark."""
     row = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text))
     found = scan(row, keep=("__row",), text=text, **options).withColumn("__text", F.col(f"__row.{text}"))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substr(F.col("__text"), state["at"] + 1, s["start"] - state["at"])
-        fresh = s["start"] >= state["at"]
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"))
-
-    clean = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substr(F.col("__text"), s["at"] + 1, F.length("__text"))))
+    ends = F.transform("spans", lambda s: s["end"])
+    reach = running(ends, F.greatest)  # how far the spans before each go
+    piece = lambda s, at: F.when(s["start"] >= at, F.concat(F.substr(F.col("__text"), at + 1, s["start"] - at), F.lit(mark))).otherwise("")
+    clean = F.concat(F.array_join(F.zip_with("spans", reach, piece), ""), F.substr(F.col("__text"), F.array_max(ends) + 1, F.length("__text")))
     return found.select(*(F.when(F.size("spans") > 0, clean).otherwise(F.col("__text")).alias(c) if c == text else F.col(f"__row.{c}").alias(c) for c in docs.columns))
 
 
