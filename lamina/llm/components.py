@@ -1,33 +1,13 @@
-"""Connected components by alternating large and small stars, each step a saved table of edges."""
+"""Connected components on tables saved with an operator's other steps."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lamina.llm import _common as C
+from lamina.operators import graph
 
 
 def components(edges: DataFrame, scratch: C.Scratch, name: str = "cc") -> DataFrame:
-    """node, label: the smallest node that each node of an edge (a, b) reaches, itself included.
-
-    Nothing is collected: a node's neighbours meet in joins, which split a hub with many of them.
-    Self-loops and repeated edges don't matter; no edges give no rows.
-    """
-    canonical = lambda df: df.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = scratch.save(canonical(edges), f"{name}0")
-    before, k = None, 0
-    while True:
-        mark = tuple(now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
-        if mark == before or not mark[0]:
-            break
-        before, k = mark, k + 1
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = scratch.save(canonical(large), f"{name}{k}large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        stars = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        now = scratch.save(canonical(stars), f"{name}{k}")
-    heads = now.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("label"))
-    return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(heads)
+    """node, label: the smallest node that each node of an edge (a, b) reaches, itself included."""
+    return graph.components(edges, scratch.path(name)).withColumnRenamed("component", "label")
