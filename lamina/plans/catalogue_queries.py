@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lamina.functions import textnorm as X
 from lamina.operators import adjudicate, audit, candidates, catalogue, fields, lexicon, resolve, worklist
 from lamina.operators.graph import scratch_dir
+from lamina.plans import jobs
 from lamina.plans.registry import _TOKENS_SQL, _tokens, joined, query, table
 from lamina.sources import documents as D
 from lamina.streaming import decisions as S
@@ -386,9 +387,9 @@ def cell_texts(spark, sf_dir):
 
 # -- text functions -------------------------------------------------------------------------------
 @query(r"""SELECT doc_id, sha256(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;')) AS escaped, regexp_matches(text, '[A-Za-z0-9]') AS latin, sha256(trim(replace(text, chr(160), ' '), ' ')) AS cleaned,
-sha256(trim(regexp_replace(text, '\s+', ' ', 'g'), ' ')) AS squeezed, sha256(array_to_string(list_filter(string_split(text, ' '), lambda t: t <> ''), '|')) AS tokens FROM documents WHERE NOT regexp_matches(text, '[\x85\xA0\p{Z}--\x20]')""".replace(r"[\x85\xA0\p{Z}--\x20]", r"[\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"))
+sha256(trim(regexp_replace(text, '\s+', ' ', 'g'), ' ')) AS squeezed, sha256(array_to_string(list_filter(string_split(text, ' '), lambda t: t <> ''), '|')) AS tokens FROM documents""")
 def text_functions(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[\x0B\x1C-\x1F\x85\xA0  -     　]"))  # of other white space the two engines differ
+    docs = table(spark, sf_dir, "documents")
     sha = lambda c: F.sha2(c, 256)
     c = F.col("text")
     return docs.select("doc_id", sha(X.escape_html(c)).alias("escaped"), X.latin_in_arabic(c).alias("latin"), sha(X.clean(c)).alias("cleaned"), sha(X.squeeze(c)).alias("squeezed"), sha(F.array_join(X.tokens(c), "|")).alias("tokens"))
@@ -420,6 +421,87 @@ def glossed_titles(spark, sf_dir):
     return of.join(own, "id", "left").select("id", lexicon.gloss(F.col("ws"), F.coalesce("lex", F.expr("cast(map() as map<string,string>)"))).alias("gloss"))
 
 
+_MARKED = ("aiudhst", "āīūḏḫšṯ")
+
+
+@query(f"""WITH {_ROWS_SQL}, w AS (SELECT DISTINCT r FROM pairs),
+q AS (SELECT r, array_to_string(list_transform(string_split(r, ''), lambda c: CASE c WHEN 'd' THEN 'dh' WHEN 'h' THEN 'kh' WHEN 's' THEN 'sh' WHEN 't' THEN 'th' ELSE c END), '') AS plain FROM w),
+t AS (SELECT r, plain, CASE WHEN prefix(plain, 'al') AND length(plain) > 3 THEN substr(plain, 3) ELSE plain END AS token FROM q)
+SELECT r, 'al-' || plain || ' ibn' AS plain, 'al|' || token || '|ibn' AS tokens, CASE WHEN length(token) > 1 AND token NOT IN ('al', 'b', 'bn', 'ibn', 'abu', 'abi', 'abd', 'umm', 'bint', 'ben', 'el', 'ed', 'of', 'the', 'and', 'le', 'la') THEN token ELSE '' END AS content FROM t WHERE plain NOT IN ('al')""")
+def latin_keys(spark, sf_dir):
+    """Romanized words with marked letters, to plain letters, tokens and content tokens."""
+    words = worklist.aligned_words(_rows(spark, sf_dir)).select("r").distinct()
+    marked = F.concat(F.lit("al-"), F.translate("r", *_MARKED), F.lit(" ibn"))
+    return words.select("r", X.strip_diacritics(marked).alias("plain"), joined(X.translit_tokens(marked)).alias("tokens"), joined(X.content_tokens(marked)).alias("content")).where("plain <> 'al-al ibn'")
+
+
+@query(f"""WITH {_ROWS_SQL}, w AS (SELECT DISTINCT word FROM pairs)
+SELECT word, word AS kunya, 'الجيلاني ' || word AS folded, CASE WHEN word IN ('بن', 'ابن', 'ابو', 'ابي', 'ام', 'بنت', 'عبد', 'ال') THEN '' ELSE CASE WHEN left(word, 2) = 'ال' AND length(word) > 3 THEN CASE WHEN substr(word, 3) IN ('بن', 'ابن', 'ابو', 'ابي', 'ام', 'بنت', 'عبد', 'ال') THEN '' ELSE substr(word, 3) END ELSE word END END AS content,
+word || 'ّ 1' AS without_orphans, word || ' 12 ' || word AS spaced, ' ' || word || 'abc' AS logical FROM w""")
+def arabic_keys(spark, sf_dir):
+    """What the folding functions make of names and titles around each word."""
+    words = worklist.aligned_words(_rows(spark, sf_dir)).select(F.col("l").alias("word")).distinct()
+    w, mark = F.col("word"), F.lit(worklist.SHADDA)
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    return words.select(
+        "word", X.kunya(text("ابو ", w, " بن ابو")).alias("kunya"), X.fold_orthography(text("الكيلاني ", w)).alias("folded"), joined(X.ar_tokens(text("ابن ", w))).alias("content"),
+        X.strip_orphan_marks(text(mark, w, mark, " ", mark, "1", mark)).alias("without_orphans"), X.space_letters_digits(text(w, " 12", w)).alias("spaced"), X.visual_to_logical(text(F.reverse(w), " abc")).alias("logical"),
+    )
+
+
+@query("""SELECT o_orderkey::VARCHAR AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS note FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0""")
+def merged_keeps(spark, sf_dir):
+    keys = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("id"))
+    of = lambda k, note: keys.where(f"o_orderkey % {k} = 0").select("id", F.lit(note).alias("note"))
+    return worklist.merge_keeps(of(2, "old"), of(3, "new"))
+
+
+@query(f"""WITH {_ROWS_SQL} SELECT id, sha256(replace(title, 'ف', 'فّ')) AS after FROM rows WHERE title IS NOT NULL""")
+def previews(spark, sf_dir):
+    rows = _rows(spark, sf_dir).where("title IS NOT NULL")
+    return rows.select("id", F.sha2(worklist.preview(F.col("title"), F.lit("ف"), F.lit("فّ")), 256).alias("after"))
+
+
+@query("""SELECT p_name AS norm, string_agg(DISTINCT p_brand, '|' ORDER BY p_brand) AS brands FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 500 = 0) GROUP BY 1 HAVING count(DISTINCT p_brand) > 1""")
+def unsettled(spark, sf_dir):
+    part = table(spark, sf_dir, "part").withColumn("norm", F.col("p_name"))
+    found = audit.several(part, ["norm"], "p_brand", "brands")
+    return audit.unsettled(found, part.where("p_partkey % 500 = 0").select("norm").distinct(), "norm").withColumn("brands", joined("brands"))
+
+
+@query("""SELECT o_orderkey, coalesce(o_orderstatus = 'F', false) AS live FROM orders""")
+def live_decisions(spark, sf_dir):
+    d = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "resolved").when(F.col("o_orderstatus") == "P", "deferred").alias("disposition"))
+    resolved, rest = adjudicate.live(d)
+    return resolved.select("o_orderkey", F.lit(True).alias("live")).unionByName(rest.select("o_orderkey", F.lit(False).alias("live")))
+
+
+@query(f"""WITH {_ROWS_SQL}, f AS (SELECT id, a, a[1] AS word FROM rows WHERE len(a) > 0) SELECT id AS row, 'd-' || id AS id FROM f WHERE id::BIGINT % 2 = 0""")
+def unconserved(spark, sf_dir):
+    """Decisions on each title's first word that the ledger calls applied; half of the titles still have the fault."""
+    rows = _rows(spark, sf_dir).where("title <> ''").withColumn("word", F.get(F.split("title", " "), F.lit(0)))
+    fixed = F.array_join(F.transform(F.split("title", " "), lambda w: F.when(w == F.col("word"), F.concat(w, F.lit(worklist.SHADDA))).otherwise(w)), " ")
+    state = rows.withColumn("title", F.when(F.col("doc_id") % 2 == 0, F.col("title")).otherwise(fixed)).withColumn("author", F.lit(""))
+    d = rows.select(F.concat(F.lit("d-"), "id").alias("id"), "word", F.concat("word", F.lit(worklist.SHADDA)).alias("target"))
+    ledger = rows.select(F.col("id").alias("row"), F.concat(F.lit("d-"), "id").alias("id"), F.lit("ortho").alias("stratum"), F.lit("applied").alias("status"))
+    return adjudicate.unconserved(state, ledger, d)
+
+
+@query(f"""WITH {_ROWS_SQL}, k AS (SELECT DISTINCT word FROM pairs), t AS (SELECT id, list_distinct(a) AS ws FROM rows WHERE title_translit = '' AND title <> ''),
+u AS (SELECT id, unnest(ws) AS word FROM t), o AS (SELECT * FROM u WHERE word NOT IN (SELECT word FROM k)), n AS (SELECT id, count(*) AS c FROM o GROUP BY 1)
+SELECT word, count(*) AS titles, CAST(sum((c = 1)::INT) AS BIGINT) AS unlocks, least(count(*), 8)::BIGINT AS shown, greatest(count(*) - 8, 0) AS more FROM o JOIN n USING (id) GROUP BY 1""")
+def word_worklist(spark, sf_dir):
+    none = spark.createDataFrame([], "key string, reading string, varies boolean")
+    found = jobs.word_worklist(_rows(spark, sf_dir), none)
+    return found.select("word", "titles", "unlocks", F.size("occurrences").cast("long").alias("shown"), "more")
+
+
+@query("""SELECT p_partkey, p_brand || ' ' || p_name || '|' || p_type || ' ' || p_name AS combined FROM part""")
+def reading_products(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", joined(lexicon.combinations(F.array(F.array("p_brand", "p_type"), F.array("p_name")))).alias("combined"))
+
+
 # -- read layer and streams -----------------------------------------------------------------------
 def _clusters(spark, sf_dir):
     key = F.col("n_nationkey")
