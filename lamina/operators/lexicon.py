@@ -83,8 +83,9 @@ def unlocks(titles: DataFrame, words: Column, known: DataFrame, key: str = "id")
     """word, titles (that hold it), unlocks (of which it is the only unknown word), for unknown words,
     most frequent first in `(-titles, word)` order left to the caller."""
     each = titles.select(key, F.explode(F.array_distinct(words)).alias("word")).join(known.select("word"), "word", "left_anti")
-    counted = each.withColumn("__n", F.count("*").over(Window.partitionBy(key)))
-    return counted.groupBy("word").agg(F.count("*").alias("titles"), F.sum((F.col("__n") == 1).cast("long")).alias("unlocks"))
+    per = each.groupBy(key).agg(F.collect_list("word").alias("ws"))  # a title's own words
+    counted = per.select(F.explode("ws").alias("word"), (F.size("ws") == 1).cast("long").alias("alone"))
+    return counted.groupBy("word").agg(F.count("*").alias("titles"), F.sum("alone").alias("unlocks"))
 
 
 def known_sample(lex: DataFrame, k: int = 40) -> DataFrame:
