@@ -20,17 +20,43 @@ _CLASS = r"(?iuU)^(?:arabe|syriaque|syr|persan|h[eé]breu|turc|copte)\b"
 def fill_down(rows: DataFrame, order: str, city: str = "city", library: str = "library", partition: str | None = None) -> DataFrame:
     """Carries the last city and library down; a row that names another city starts without library.
 
-    Give a partition (volume, file) for large inputs: a fill runs in one task per partition.
+    With a partition (volume, file) each is filled by itself, in one task. Without one, rows are ranged and saved; each
+    range is filled by itself, and what the ones before hand on to it is worked out from a row for each range.
     """
-    by = Window.partitionBy(partition) if partition else Window.partitionBy(F.lit(0))
-    w = by.orderBy(order)
     value = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
-    filled = rows.withColumn("__city", F.last(value(city), True).over(w))
-    turned = F.when(~F.col("__city").eqNullSafe(F.lag("__city").over(w)), 1).otherwise(0)
+    by, carried = partition, rows.withColumns({"__c": F.lit(None).cast("string"), "__l": F.lit(None).cast("string")})
+    if partition is None:
+        by, ranged = "__p", _ranged(rows, [order])
+        carried = ranged.join(F.broadcast(_handed(ranged, order, value(city), value(library))), "__p")  # a row a range
+    w = Window.partitionBy(by).orderBy(order)
+    filled = carried.withColumn("__city", F.coalesce(F.last(value(city), True).over(w), "__c"))
+    before = F.when(F.row_number().over(w) == 1, F.col("__c")).otherwise(F.lag("__city").over(w))
+    turned = F.when(~F.col("__city").eqNullSafe(before), 1).otherwise(0)
     run = filled.withColumn("__turn", turned).withColumn("__run", F.sum("__turn").over(w))
-    in_run = (Window.partitionBy(partition, "__run") if partition else Window.partitionBy("__run")).orderBy(order)
-    lib = F.coalesce(F.last(value(library), True).over(in_run), F.lit(""))
-    return run.withColumn(library, lib).withColumn(city, F.coalesce("__city", F.lit(""))).drop("__city", "__turn", "__run")
+    in_run = Window.partitionBy(by, "__run").orderBy(order)
+    lib = F.coalesce(F.last(value(library), True).over(in_run), F.when(F.col("__run") == 0, F.col("__l")), F.lit(""))
+    return run.withColumn(library, lib).withColumn(city, F.coalesce("__city", F.lit(""))).select(*rows.columns)
+
+
+def _handed(ranged: DataFrame, order: str, city: Column, library: Column) -> DataFrame:
+    """__p, __c, __l: the city and the library that hold where each range begins."""
+    w = Window.partitionBy("__p").orderBy(order)
+    local = ranged.select("__p", order, city.alias("named"), library.alias("lib")).withColumn("c", F.last("named", True).over(w))
+    runs = local.withColumn("run", F.sum(F.when(~F.col("c").eqNullSafe(F.lag("c").over(w)), 1).otherwise(0)).over(w))
+    at = F.struct(order, "lib")
+    per = runs.groupBy("__p", "run").agg(F.first("c", True).alias("c"), F.max(F.when(F.col("lib").isNotNull(), at)).alias("lib"))
+    ends = per.groupBy("__p").agg(F.min(F.when(F.col("c").isNotNull(), F.col("run"))).alias("first"), F.max("run").alias("last"), F.max_by("c", "run").alias("city"), F.min_by("c", F.when(F.col("c").isNotNull(), F.col("run"))).alias("named"), F.max_by("lib.lib", "run").alias("lib"), F.max(F.when(F.col("c").isNull(), F.col("lib.lib"))).alias("before"))
+    out, c, lib = [], None, None
+    for r in sorted(ends.collect(), key=lambda r: r["__p"]):  # a row a range
+        out.append((r["__p"], c, lib))
+        ahead = r["before"] or lib
+        if r["first"] is None:
+            lib = ahead
+        elif r["first"] == r["last"]:
+            c, lib = r["city"], r["lib"] or (ahead if r["named"] == c else None)
+        else:
+            c, lib = r["city"], r["lib"]
+    return ranged.sparkSession.createDataFrame(out, "__p int, __c string, __l string")
 
 
 def clean_shelfmark(c: Column) -> Column:
@@ -103,13 +129,18 @@ def extraction_stats(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("n_rows"), F.count_if(some("author").isNull()).alias("n_blank_authors"), F.count_distinct(some("city")).alias("n_cities"), F.count_distinct(some("library")).alias("n_libraries"))
 
 
+def _ranged(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows ranged over partitions by the order and saved with the number of their range, __p."""
+    spark, folder = rows.sparkSession, scratch_dir(rows.sparkSession)
+    rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()).write.parquet(folder)
+    return spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("__p", T.IntegerType())])).parquet(folder)
+
+
 def number(rows: DataFrame, name: str, order: list[str]) -> DataFrame:
     """Adds 1, 2, ... in the given order without one task that sees all rows. Rows are ranged over
     partitions and saved with their range, since ranges are drawn anew each time they are worked out;
     then counted and numbered within each. Equal rows are numbered in any order."""
-    spark, folder = rows.sparkSession, scratch_dir(rows.sparkSession)
-    rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()).write.parquet(folder)
-    placed = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("__p", T.IntegerType())])).parquet(folder)
+    placed = _ranged(rows, order)
     counts = {r["__p"]: r["n"] for r in placed.groupBy("__p").agg(F.count("*").alias("n")).collect()}  # a row a partition
     offset, offsets = 0, []
     for p in sorted(counts):

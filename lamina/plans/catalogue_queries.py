@@ -304,6 +304,17 @@ def extraction_stats(spark, sf_dir):
     return fields.extraction_stats(rows)
 
 
+@query("""WITH e AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority ELSE '' END AS city, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS library FROM orders),
+a AS (SELECT *, last_value(nullif(city, '') IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS c FROM e), b AS (SELECT *, CASE WHEN c IS DISTINCT FROM lag(c) OVER (ORDER BY o_orderkey) THEN 1 ELSE 0 END AS t FROM a),
+r AS (SELECT *, sum(t) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS run FROM b)
+SELECT o_orderkey, coalesce(c, '') AS city, coalesce(last_value(library IGNORE NULLS) OVER (PARTITION BY run ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING), '') AS library FROM r""")
+def ffill_ranges(spark, sf_dir):
+    """One sequence over the whole table, filled range by range."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k, F.when(k % 5 == 0, F.col("o_orderpriority")).otherwise("").alias("city"), F.when(k % 3 == 0, F.col("o_orderstatus")).alias("library"))
+    return fields.fill_down(rows, "o_orderkey")
+
+
 # -- fields and sources ---------------------------------------------------------------------------
 @query("""WITH r AS (SELECT c_custkey, trim(c_mktsegment) AS seg, c_nationkey AS n FROM customer)
 SELECT c_custkey, CASE WHEN n % 3 = 0 THEN 'Arabe ' || n WHEN n % 3 = 1 THEN 'Laleli ' || n ELSE '' END AS shelfmark, CASE WHEN n % 3 = 1 THEN 'fol.3-9' WHEN n % 3 = 2 THEN n || ' folios' ELSE '' END AS folios,

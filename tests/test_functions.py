@@ -112,6 +112,26 @@ def test_fill_down_resets_the_library(spark):
     assert [(r["city"], r["library"]) for r in got] == [("Paris", "BN"), ("Paris", "BN"), ("Cairo", ""), ("Cairo", "Dar")]
 
 
+@pytest.mark.parametrize("ranges", [1, 5, 40])
+def test_fill_down_over_ranges(spark, ranges):
+    own = random.Random(ranges)
+    rows = [(i, own.choice(["", "", "", "A", "B", None]), own.choice(["", "", "x", "y", " "])) for i in range(300)]
+    want, city, library = {}, "", ""
+    for i, c, lib in rows:
+        if c and c != city:
+            city, library = c, ""
+        library = (lib or "").strip() or library
+        want[i] = city, library
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = fields.fill_down(spark.createDataFrame(rows, "i int, city string, library string"), "i")
+        assert {r["i"]: (r["city"], r["library"]) for r in got.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_class_never_overrides_another_library(spark):
     raw = spark.createDataFrame([("Syriaque 3", "Rome", "BAV", "", ""), ("Arabe 5", "", "BN", "", "n/a")], "shelfmark_raw string, city string, library string, title string, author string")
     got = fields.normalize_rows(raw, {"Rome": "Roma"}, {"BAV": "Vatican"}).orderBy("shelfmark").collect()
