@@ -6,7 +6,9 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +56,11 @@ class Scratch:
     """Tables written to the shared folder to cut lineage: a lost executor costs no recomputation
     of what was written, and each later read is of the same rows."""
 
+    made: ClassVar[list[Scratch]] = []
+
     def __init__(self, spark: SparkSession, what: str):
         self.spark, self.dir = spark, f"{shared_dir(spark)}/lamina-{what}-{uuid.uuid4().hex}"
+        Scratch.made.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.dir}/{name}"
@@ -72,6 +77,18 @@ class Scratch:
         hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+@contextmanager
+def cleaned():
+    """Removes the scratch tables that are made inside, for callers that have saved what they want of them."""
+    before = len(Scratch.made)
+    try:
+        yield
+    finally:
+        for scratch in Scratch.made[before:]:
+            scratch.drop()
+        del Scratch.made[before:]
+
+
 def kept(df: DataFrame, keep: tuple[str, ...], *made: str) -> list[T.StructField]:
     """The fields of the columns to keep; refuses names that the results take, whatever their case."""
     fields = df.select(*keep).schema.fields

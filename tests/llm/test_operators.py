@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 import struct
@@ -831,7 +832,10 @@ def test_pipeline_against_brute_force(spark, tmp_path, reference_coder):
     for r in found[-1].collect():
         t = text[4][r["doc_id"]] or ""
         assert r["n_tokens"] == len(reference_coder.encode_ordinary(t)) and r["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+    shared = C.shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(shared))
     got = sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+    assert {x.split("-")[1] for x in set(os.listdir(shared)) - before if x.startswith("lamina-")} == {"pipeline"}  # the result's own
     assert got == sorted(map(tuple, found[-1].collect()))
 
 
