@@ -47,7 +47,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = _common.Scratch(spark, "pipeline")
     docs = _common.table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        with _common.cleaned():  # what a stage saved on its way goes once its result is there
+            docs = scratch.save(stage(spark, docs, sf_dir), name)
         if k:
             scratch.drop(STAGES[k - 1][0])
     return docs
