@@ -5,7 +5,7 @@ Labels are of documents, so the words they are learned from are labelled first:
 a word is toxic if it, or a prefix of it, stands out in the toxic training documents by
 document-frequency log-odds; every other word isn't. The field has two states, weights on a word's
 identity and its prefixes of 4 to 7 characters, and transitions; it maximises the labels' conditional
-likelihood. A logistic layer on (log expected number, highest marginal, expected share), fitted on
+likelihood. A logistic layer on (log expected number, highest marginal, log expected share), fitted on
 training documents that the field hasn't seen and weighted to the labelled base rate, makes the score.
 
 Training reads at most SAMPLE labelled documents of each class, those with the lowest hash of their
@@ -134,7 +134,7 @@ class Tagger:
         expected, count = np.bincount(text, marginal, n), np.maximum(np.bincount(text, minlength=n), 1)
         highest = np.zeros(n)
         np.maximum.at(highest, text, marginal)
-        return np.stack([np.log1p(expected), highest, expected / count], axis=1), data, ends, starts, stops, text, marginal
+        return np.stack([np.log1p(expected), highest, np.log1p(100 * expected / count)], axis=1), data, ends, starts, stops, text, marginal
 
     def score(self, summary: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(summary @ self.layer + self.center, -30, 30)))
