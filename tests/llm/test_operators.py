@@ -415,6 +415,27 @@ def test_passages_of_odd_rows(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_the_longest_stretch_equals_a_search():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        x = rng.integers(0, 50, rng.integers(50, 140))
+        y = np.where(rng.random(len(x)) < rng.choice([0.7, 0.8, 0.9]), x, 99)
+        shift = int(rng.integers(0, 3))
+        y = np.append(rng.integers(100, 150, shift), y)
+        a = int(rng.integers(0, len(x) - 6))
+        same = x == y[shift:]
+        want = 0
+        for i in np.flatnonzero(same):
+            for j in np.flatnonzero(same) + 1:
+                if j - i >= passages.LEAST and i < a + 6 and j > a and same[i:j].sum() >= passages.IDENTITY * (j - i) - 1e-9:
+                    want = max(want, j - i)
+        got = passages.longest(x, y, a, a + shift, 6)
+        assert (got[1] - got[0] if got else 0) == want
+        assert not got or (got[3] - got[2] == want and got[2] - got[0] == shift)
+    n = 20_000
+    assert passages.longest(np.ones(n), np.ones(n), 500, 500, 6) == (0, n, 0, n)
+
+
 def test_edits():
     assert passages.edits([1, 2, 3], [1, 3]) == 1 and passages.edits([], [1]) == 1 and passages.edits([1, 2], [2, 1]) == 2
 
