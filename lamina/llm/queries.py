@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, decontam, minhash, passages, pii, secret_scan, simhash, simhash_dedup, token_rollup, toxicity, warc_zip
+from lamina.llm import bpe, decontam, minhash, passages, phrases, pii, secret_scan, simhash, simhash_dedup, token_rollup, toxicity, turn_repair, warc_zip
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_warc_zip": warc_zip.op8_warc_zip,
     "op9_simhash": simhash.op9_simhash,
     "op10_decontamination": decontam.op10_decontamination,
+    "op11_turn_repair": turn_repair.op11_turn_repair,
     "op12_simhash_dedup": simhash_dedup.op12_simhash_dedup,
+    "op13_phrases": phrases.op13_phrases,
 }
-ORACLE: dict[str, str] = {"op3_minhash": minhash.OP3_SQL, "op8_warc_zip": warc_zip.OP8_SQL, "op10_decontamination": decontam.OP10_SQL}
+ORACLE: dict[str, str] = {"op3_minhash": minhash.OP3_SQL, "op8_warc_zip": warc_zip.OP8_SQL, "op10_decontamination": decontam.OP10_SQL, "op13_phrases": phrases.OP13_SQL}
