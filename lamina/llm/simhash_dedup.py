@@ -38,7 +38,7 @@ from lamina.llm import _common as C
 from lamina.llm.components import components
 
 BITS, SHINGLE, SEED = 64, 4, 42
-RADIUS, WIDTH, EXTRA = 4, 2, 3
+RADIUS, WIDTH, EXTRA = 4, 2, 4
 WORD = ~C.members((9, 13), (32, 32))
 #: So many hashes are unpacked to bits at a time.
 VOTES = 1 << 16
@@ -132,7 +132,7 @@ def linked(values: DataFrame, scratch: C.Scratch, more: DataFrame | None = None,
 
     labelled = met.select("cell", "fingerprint", "e").join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
     mixed = labelled.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("cell")
-    apart = scratch.save(labelled.join(mixed, "cell"), "apart")
+    apart = scratch.save(labelled.join(mixed, "cell", "left_semi"), "apart")
     x, y = apart.alias("x"), apart.alias("y")
     near = (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") < F.col("y.label")) & (differing("x.e", "y.e") <= radius) & (differing("x.fingerprint", "y.fingerprint") <= radius)
     found = x.join(y, near).groupBy(F.col("x.fingerprint").alias("a"), F.col("y.label").alias("__l")).agg(F.min("y.fingerprint").alias("b"))
