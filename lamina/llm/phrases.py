@@ -6,7 +6,8 @@ candidate, and so are all parts of it. Where a candidate of count a is cut in tw
 the cut scores floor(1000 * a * n / (l * r)), with n the words of the language; the lowest cut counts.
 
 Counting takes three passes, so that what is written grows with what is frequent. The first counts words.
-The second counts pairs of neighbours that are both frequent, by 64-bit hashes of the pairs. What either
+The second counts pairs of neighbours that are both frequent, by the first 40 bits of a hash of each pair: a shard's
+hashes are sorted and sent as differences, packed by ranges, and each range's are merged. What either
 finds frequent is kept as a bit field of fixed size, FIELD bits, whatever the corpus; a bit set by chance
 lets a phrase through that the last count then drops, so a full field costs time and no result. In the
 third pass each shard (SHARD bytes of text of one language) builds a trie of runs of frequent pairs, at
@@ -40,7 +41,9 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 BREAK = C.members((10, 13), *((ord(c), ord(c)) for c in ".,;:!?"))
 WORD = ~(BREAK | C.members((9, 9), (32, 32)))
 #: Bytes of text that are counted together; bits of a field (16 MB).
-SHARD, FIELD = 16 << 20, 1 << 27
+SHARD, FIELD = 12 << 20, 1 << 27
+#: Characters of text whose pairs share a range of hashes; the highest bytes of a hash that are kept.
+RANGE_CHARS, KEPT = 2_000_000, 5
 SEED = 42
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,7 +93,7 @@ class Field:
 
     def __init__(self, spark: SparkSession, keys: DataFrame):
         """keys has a column key; what comes to the driver is one number for each 64 bits, whatever the table."""
-        at = F.col("key").bitwiseAND(F.lit(FIELD - 1))
+        at = F.shiftrightunsigned("key", 65 - FIELD.bit_length())
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
         found = keys.select(F.shiftright(at, 6).alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
         bits = np.zeros(FIELD // 64, np.uint64)
@@ -99,7 +102,7 @@ class Field:
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         bits = self.shared.value
-        at = keys & np.uint64(64 * len(bits) - 1)
+        at = keys >> np.uint64(65 - (64 * len(bits)).bit_length())
         return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -115,21 +118,64 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "lang string, phrase string, count bigint").groupBy("lang", "phrase").agg(F.sum("count").alias("count"))
 
 
-def count_pairs(texts: DataFrame, words: Field) -> DataFrame:
-    """key and count: how often each pair of frequent neighbours comes."""
-    size = SHARD
+PACKED = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("steps", pa.binary()), ("counts", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _planes(x: np.ndarray, size: int) -> bytes:
+    """Numbers as their first bytes, then their second, ...: high bytes that are all zero take no room compressed."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def _numbers(raw: bytes, n: int, size: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(size, n).T
+    return out.view("<u8").ravel()
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, ascending, with the sum of its counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[head], np.add.reduceat(counts, head) if len(head) else counts
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Ascending keys of 8 * KEPT bits as rows of PACKED, a row for each range that has some."""
+    edges = np.searchsorted(keys, [(k << 8 * KEPT) // buckets for k in range(1, buckets)]).tolist()
+    spans = [(k, a, b) for k, (a, b) in enumerate(zip([0, *edges], [*edges, len(keys)], strict=True)) if b > a]
+    steps = [_planes(np.diff(keys[a:b], prepend=np.uint64(0)), KEPT) for _, a, b in spans]
+    columns = [[k for k, _, _ in spans], [b - a for _, a, b in spans], steps, [_planes(counts[a:b], 4) for _, a, b in spans]]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PACKED, strict=True)], schema=PACKED)
+
+
+def frequent_pairs(texts: DataFrame, words: Field, least: int, chars: int) -> DataFrame:
+    """key: the hashes, whose last bytes are zero, of pairs of frequent neighbours that come `least` times or more, and of pairs whose hashes
+    begin like theirs. chars: how many there are in all texts."""
+    size, buckets = SHARD, max(1, chars // RANGE_CHARS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, held in shards(batches, size):
             ids, dictionary, follows = tokens(held)
             hashed = word_hashes(lang, dictionary)
             known = words.holds(hashed)[ids]
             at = np.flatnonzero(follows[:-1] & known[:-1] & known[1:]) if len(ids) else ids
-            pairs, count = np.unique(ids[at] * len(hashed) + ids[at + 1], return_counts=True)
+            pairs, counts = np.unique(ids[at] * len(hashed) + ids[at + 1], return_counts=True)
             first, second = np.divmod(pairs, max(1, len(hashed)))
-            yield pa.RecordBatch.from_arrays([pa.array(pair_hashes(hashed[first], hashed[second]).view(np.int64)), pa.array(count)], names=["key", "count"])
+            keys = pair_hashes(hashed[first], hashed[second]) >> np.uint64(64 - 8 * KEPT)
+            yield _packed(*_summed(keys, counts), buckets)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        for batch in batches:
+            for n, steps, c in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                keys.append(np.cumsum(_numbers(steps, n, KEPT)))
+                counts.append(_numbers(c, n, 4))
+        own, total = _summed(np.concatenate(keys), np.concatenate(counts))
+        yield pa.RecordBatch.from_arrays([pa.array((own[total >= least] << np.uint64(64 - 8 * KEPT)).view(np.int64))], names=["key"])
 
-    return texts.mapInArrow(run, "key bigint, count bigint").groupBy("key").agg(F.sum("count").alias("count"))
+    packed = texts.mapInArrow(count, "bucket int, n int, steps binary, counts binary")
+    return packed.repartition(buckets, "bucket").mapInArrow(merge, "key bigint")
 
 
 def trie(ids: np.ndarray, goes_on: np.ndarray, words: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -218,7 +264,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     totals = scratch.save(words.groupBy("lang").agg(F.sum("count").alias("n")), "totals")
     often = words.where(F.col("count") >= least)
     known = Field(spark, often.select(F.xxhash64("lang", "phrase").alias("key")))
-    pairs = Field(spark, count_pairs(texts, known).where(F.col("count") >= least).select("key"))
+    chars = texts.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
+    pairs = Field(spark, frequent_pairs(texts, known, least, chars))
     tries = scratch.save(count_phrases(texts, known, pairs, longest), "tries")
     merged = tries.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("count").alias("count")).where(F.col("count") >= least)
     phrases = scratch.save(often.select("lang", "phrase", "count").unionByName(merged), "phrases")
