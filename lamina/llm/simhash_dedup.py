@@ -123,16 +123,16 @@ def linked(values: DataFrame, scratch: C.Scratch, more: DataFrame | None = None,
     by steps within the radius or by the further links (a, b)."""
     masks = grids(radius, width, extra)
     keys = F.array(*(F.xxhash64(F.lit(k), F.col("e").bitwiseAND(F.lit(m))) for k, m in enumerate(masks)))
-    rows = values.select("fingerprint").distinct().withColumn("e", embedding("fingerprint", width)).select("fingerprint", "e", F.explode(keys).alias("cell"))
-    crowded = rows.groupBy("cell").agg(F.min("fingerprint").alias("hub"), F.max("fingerprint").alias("__hi")).where("hub < __hi").drop("__hi")
+    rows = values.select("fingerprint").distinct().withColumn("e", embedding("fingerprint", width)).select("fingerprint", F.explode(keys).alias("cell"))
+    crowded = rows.groupBy("cell").agg(F.min("fingerprint").alias("hub"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
     met = scratch.save(rows.join(crowded, "cell"), "met")
     first = met.where((F.col("fingerprint") > F.col("hub")) & (differing("fingerprint", "hub") <= radius)).select(F.col("fingerprint").alias("a"), F.col("hub").alias("b"))
     links = scratch.save((first.unionByName(more) if more is not None else first).distinct(), "links1")
     labels = scratch.save(components(links, scratch, "first"), "labels1").withColumnRenamed("node", "fingerprint")
 
-    labelled = met.select("cell", "fingerprint", "e").join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
+    labelled = met.select("cell", "fingerprint").join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
     mixed = labelled.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("cell")
-    apart = scratch.save(labelled.join(mixed, "cell", "left_semi"), "apart")
+    apart = scratch.save(labelled.join(mixed, "cell", "left_semi").withColumn("e", embedding("fingerprint", width)), "apart")
     x, y = apart.alias("x"), apart.alias("y")
     near = (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") < F.col("y.label")) & (differing("x.e", "y.e") <= radius) & (differing("x.fingerprint", "y.fingerprint") <= radius)
     found = x.join(y, near).groupBy(F.col("x.fingerprint").alias("a"), F.col("y.label").alias("__l")).agg(F.min("y.fingerprint").alias("b"))
