@@ -3,18 +3,31 @@
 A batch of changes holds signed rows: an insert adds a document and its tokens, a delete takes them
 away, a revision takes the old count away and adds the new one. A batch is summed to one row for each
 (source, lang, tokenizer) before it is written, so what is kept grows with the number of keys and
-batches and not with the documents. Commits are idempotent and whole: a batch is written to a folder of its own,
-and then a mark with the batch's id, made only if there is none, names that folder. What has no mark is never read, so a
-writer that is lost half-way leaves nothing, and of two writers of one id one commits. Totals are the sums over the
-committed batches, the same in whatever order they came. compact() sums what is committed into one folder, whose mark
-lists the batches that it stands for.
-
-Null texts count as empty; null sources and languages are keys of their own. Repeated rows are
-repeated changes and count each. Empty batches commit and add nothing. Extra columns are ignored.
+batches and not with the documents.
+
+Commits are idempotent and whole. A batch is written to a folder of its own; then a claim, an empty file that
+names the folder, is made; then the batch's registration, a file with the folder's name that is written elsewhere and
+renamed into place, which fails if there is one. The rename is the commit. A claim counts only if its batch is
+registered with its folder, so a writer that is lost at any step before has done nothing, one that is lost after has
+committed, a retry can't commit twice, and of two writers of one id one commits. (The file system must rename a file
+at once and refuse a name that is taken, as HDFS does.)
+
+compact() takes one listing, sums exactly the folders in it into a base, and makes that the next base by the same
+rename, so a batch that is committed meanwhile stays a claim, and of two compactions one counts. A base's mark lists the
+claims that it took up, which are then removed; older ones are gone already. So what is listed and read
+is bounded by the batches since the last base. Registrations stay, in folders by hash, and are only looked up by name.
+Readers look whether the base is still the same after listing, and list again if not. Totals are
+the sums over base and claims, the same in whatever order batches came.
+
+Null texts count as empty; null sources and languages are keys of their own. Very long texts are counted whole, in a
+task's memory. Repeated rows are repeated changes and count each. Empty batches commit and add nothing. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -47,74 +60,124 @@ def revisions(rows: DataFrame, old: str, new: str) -> DataFrame:
 
 
 class Rollup:
-    """Committed batches in a directory that all executors share: data/ has folders, commits/ and bases/ marks."""
+    """Committed batches in a directory that all executors share: data/ has folders; claims/, ids/ and bases/ small files."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
-        jvm = spark.sparkContext._jvm
-        self.path = jvm.org.apache.hadoop.fs.Path
-        self.fs = self.path(directory).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for part in ("commits", "bases", "data"):
+        self.jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self.path = self.jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path(directory).getFileSystem(conf)
+        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(directory).toUri(), conf)
+        for part in ("claims", "ids", "bases", "data", "made"):
             self.fs.mkdirs(self.path(f"{directory}/{part}"))
 
-    def _names(self, part: str) -> list[str]:
-        return sorted(x.getPath().getName() for x in self.fs.listStatus(self.path(f"{self.directory}/{part}")))
+    def _at(self, *parts: str):
+        return self.path("/".join((self.directory, *parts)))
 
-    def _lines(self, part: str, names: list[str]) -> list[str]:
-        return [r["value"] for r in self.spark.read.text([f"{self.directory}/{part}/{n}" for n in names]).collect()] if names else []  # short marks
+    def _names(self, part: str) -> list[str]:
+        return sorted(x.getPath().getName() for x in self.fs.listStatus(self._at(part)))
 
-    def _mark(self, part: str, name: str, *lines: str) -> bool:
-        """Makes a mark; False if there is one of that name."""
+    def _read(self, *parts: str) -> list[str] | None:
+        """The lines of a small file, None if there is none."""
         try:
-            out = self.fs.create(self.path(f"{self.directory}/{part}/{name}"), False)
+            stream = self.fs.open(self._at(*parts))
         except Py4JJavaError as error:
-            if "AlreadyExists" in error.java_exception.getClass().getName():
-                return False
+            if "NotFound" in error.java_exception.getClass().getName():
+                return None
             raise
-        out.writeBytes("\n".join(lines))
+        try:
+            return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode().splitlines()
+        finally:
+            stream.close()
+
+    def _place(self, lines: list[str], *parts: str) -> bool:
+        """Writes a small file elsewhere and renames it into place; False if that is taken."""
+        made = self._at("made", uuid.uuid4().hex)
+        out = self.fs.create(made, False)
+        out.write("\n".join(lines).encode())
         out.close()
+        rename = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        try:
+            self.fs.mkdirs(self._at(*parts[:-1]))
+            self.context.rename(made, self._at(*parts), self.spark.sparkContext._gateway.new_array(rename, 0))
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            self.fs.delete(made, False)
+            return False
         return True
 
     def _write(self, rows: DataFrame, name: str) -> str:
-        folder = f"{name}-{uuid.uuid4().hex}"
+        folder = f"{name}.{uuid.uuid4().hex}"
         rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{self.directory}/data/{folder}")
         return folder
 
+    def _registered(self, batch: str) -> str | None:
+        found = self._read("ids", _shard(batch), batch)
+        return found[0] if found else None
+
+    def _claim(self, folder: str) -> None:
+        self.fs.create(self._at("claims", folder), False).close()
+
+    def _register(self, batch: str, folder: str) -> bool:
+        return self._place([folder], "ids", _shard(batch), batch)
+
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Adds a batch; False if it was committed before, and then nothing changes."""
-        if not batch.replace("-", "").replace("_", "").isalnum():
-            raise ValueError(f"a batch id has letters, digits, - and _: {batch!r}")
-        if self.fs.exists(self.path(f"{self.directory}/commits/{batch}")):
+        if not re.fullmatch("[A-Za-z0-9_-]+", batch):
+            raise ValueError(f"a batch id has letters from A to Z, digits, - and _: {batch!r}")
+        if self._registered(batch):
             return False
         folder = self._write(rows, batch)
-        done = self._mark("commits", batch, f"{batch} {folder}")
+        self._claim(folder)
+        done = self._register(batch, folder)
         if not done:
-            self.fs.delete(self.path(f"{self.directory}/data/{folder}"), True)
+            self.fs.delete(self._at("claims", folder), False)
+            self.fs.delete(self._at("data", folder), True)
         return done
 
-    def batches(self) -> list[str]:
-        return self._names("commits")
-
-    def _folders(self) -> list[str]:
-        """The folders whose sum is the total: the last base, and the batches that it doesn't stand for."""
-        base = self._lines("bases", self._names("bases")[-1:])
-        held = set(base[1:])
-        marks = dict(x.split() for x in self._lines("commits", [b for b in self.batches() if b not in held]) if x)
-        return base[:1] + sorted(marks.values())
-
-    def compact(self) -> None:
-        """Sums all committed batches into one folder. Folders that older bases or batches name stay, for readers
-        that have begun; a compaction that is lost half-way changes nothing."""
-        batches, bases = self.batches(), self._names("bases")
-        folder = self._write(self.totals(), "base")
-        self._mark("bases", f"{len(bases):09d}", folder, *batches)
+    def committed(self, batch: str) -> bool:
+        return self._registered(batch) is not None
+
+    def _listing(self) -> tuple[int, str | None, list[str], list[str]]:
+        """How many bases there are, the last one's folder, the claims it took up, and the folders committed since."""
+        while True:
+            bases = self._names("bases")
+            base = self._read("bases", bases[-1]) if bases else []
+            claims = [c for c in self._names("claims") if c not in set(base[1:])]
+            since = [c for c in claims if self._registered(c.split(".")[0]) == c]
+            if self._names("bases") == bases:
+                return len(bases), (base or [None])[0], base[1:], since
+
+    def _sum(self, folders: list[str]) -> DataFrame:
+        rows = self.spark.read.schema(CHANGES).parquet(*(f"{self.directory}/data/{x}" for x in folders)) if folders else self.spark.createDataFrame([], CHANGES)
+        return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+
+    def _drop_claims(self, claims: list[str]) -> None:
+        for claim in claims:
+            self.fs.delete(self._at("claims", claim), False)
+
+    def compact(self) -> bool:
+        """Sums what is committed into one folder; False if another compaction came first. Folders that older bases or
+        claims name stay, for readers that have begun; a compaction that is lost half-way changes nothing."""
+        number, base, taken, since = self._listing()
+        self._drop_claims(taken)  # a compaction that was lost may have left some
+        folder = self._write(self._sum([base, *since] if base else since), "base")
+        done = self._place([folder, *since], "bases", f"{number:09d}")
+        if done:
+            self._drop_claims(since)
+        else:
+            self.fs.delete(self._at("data", folder), True)
+        return done
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; keys whose documents are all gone have none."""
-        places = [f"{self.directory}/data/{x}" for x in self._folders()]
-        rows = self.spark.read.schema(CHANGES).parquet(*places) if places else self.spark.createDataFrame([], CHANGES)
-        summed = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return summed.where("n_docs <> 0 OR n_tokens <> 0")
+        _, base, _, since = self._listing()
+        return self._sum([base, *since] if base else since).where("n_docs <> 0 OR n_tokens <> 0")
+
+
+def _shard(batch: str) -> str:
+    return hashlib.sha256(batch.encode()).hexdigest()[:3]
 
 
 def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

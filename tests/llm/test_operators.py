@@ -347,6 +347,79 @@ def test_fuzzy_passages_against_brute_force(spark, size, rate, least):
     assert planted(spark, size, rate)[0] >= least
 
 
+def altered(own, shared, rate, kind, vocabulary):
+    """shared with words substituted, inserted or deleted at the rate."""
+    out = []
+    for w in shared:
+        hit = own.random() < rate
+        if kind == "sub" or (kind == "mix" and own.random() < 0.5):
+            out.append(own.choice(vocabulary) if hit else w)
+        elif own.random() < 0.5:
+            out += [w, own.choice(vocabulary)] if hit else [w]
+        else:
+            out += [] if hit else [w]
+    return out
+
+
+def linked_pairs(spark, size, rate, kind, decoys, n=40):
+    """Of n pairs of documents that share a passage whose words are altered, how many have one passage_id. decoys: None, `around`
+    (documents with smaller and larger doc_ids hold pieces of 11 words of the passage, each word in ten or more of them), or
+    `before` (the one holds such pieces ahead of the passage itself)."""
+    own = random.Random(f"{size} {rate} {kind} {decoys}")
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    some = lambda k: [own.choice(vocabulary) for _ in range(k)]
+    rows, extra = [], []
+    for k in range(n):
+        shared = some(size)
+        pieces = [shared[i : i + 11] for i in range(0, size - 10, 3)]
+        x, y = some(40) + shared + some(40), some(25) + altered(own, shared, rate, kind, vocabulary) + some(55)
+        if decoys == "before":
+            x = [w for p in pieces[::2] for w in some(3) + p] + x
+        if decoys == "around":
+            for at in (-1, 1):
+                for _ in range(3):
+                    extra += [(at * (len(extra) + 1_000_000), " ".join(some(12) + p + some(12))) for p in pieces]
+        rows += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(y))]
+    table = spark.createDataFrame([*rows, *extra], "doc_id long, text string")
+    got = {r["doc_id"]: {p["passage_id"] for p in r["passages"]} for r in passages.find(table).where("doc_id between 0 and 1000000").collect()}
+    return sum(bool(got[2 * k] & got[2 * k + 1]) for k in range(n))
+
+
+@pytest.mark.parametrize(("size", "rate", "kind", "decoys"), [(80, 0.1, "sub", "around"), (80, 0.1, "sub", "before"), (80, 0.05, "indel", None), (80, 0.1, "indel", None), (80, 0.15, "indel", None), (80, 0.1, "mix", "around"), (100, 0.15, "mix", "before")])
+def test_fuzzy_passages_whose_pieces_others_hold(spark, size, rate, kind, decoys):
+    assert linked_pairs(spark, size, rate, kind, decoys) >= 36
+
+
+def test_extensions_equal_a_search():
+    """The best path of any kind within the band, where the search isn't cut off."""
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        m = int(rng.integers(1, 12))
+        x, y = rng.integers(0, 4, m), rng.integers(0, 4, m)
+        best, found = 0, {(0, 0): (0, 0)}
+        for i in range(m + 1):
+            for j in range(m + 1):
+                steps = [(found[i - 1, j][0] - 2, found[i - 1, j][1] + 1)] if i and abs(j - i + 1) <= passages.BAND and (i - 1, j) in found else []
+                steps += [(found[i, j - 1][0] - 2, found[i, j - 1][1] + 1)] if j and (i, j - 1) in found else []
+                if i and j and (i - 1, j - 1) in found:
+                    alike = x[i - 1] == y[j - 1]
+                    steps.append((found[i - 1, j - 1][0] + (1 if alike else -2), found[i - 1, j - 1][1] + (not alike)))
+                if i or j:
+                    live = [s for s in steps if abs(j - i) <= passages.BAND]
+                    if not live:
+                        continue
+                    found[i, j] = max(live, key=lambda s: (s[0], -s[1]))
+                best = max(best, found[i, j][0])
+        a, b, wrong = (int(v[0]) for v in passages.extend(x[None].astype(np.int32), y[None].astype(np.int32)))
+        assert found[a, b][0] == best and found[a, b][1] == wrong
+
+
+def test_neighbours_are_runs_side_by_side():
+    seed, doc = np.array([1, 1, 1, 1, 2, 2, 3]), np.array([5, 5, 6, 7, 7, 8, 8])
+    a, b = passages._neighbours(seed, doc)
+    assert sorted(zip(a.tolist(), b.tolist())) == [(0, 2), (1, 2), (2, 3), (4, 5)]
+
+
 def test_chains_take_the_best_order():
     matches = [(0, 100), (8, 108), (16, 5), (16, 116), (27, 124), (200, 10), (208, 18)]
     a, b = np.array(matches).T
@@ -458,17 +531,89 @@ def test_rollup_is_idempotent_and_signed(spark, tmp_path):
     want = {("s1", "en", "words-v1"): (1, 7), ("s1", "en", "words-v2"): (1, 3), ("s2", None, "words-v1"): (1, 0), ("s2", None, "byte-bpe-multi-50k"): (1, 0)}
     got = totals()
     assert {k: v for k, v in got.items() if k in want} == want and len(got) == 4
-    assert rollup.batches() == ["1", "2", "3"]
-    rollup.compact()
+    assert all(map(rollup.committed, "123")) and not rollup.committed("4")
+    assert rollup.compact()
     assert totals() == got and not rollup.commit("3", token_rollup.changes(one, 1)) and rollup.commit("4", token_rollup.changes(one, 1))
     assert totals()[("s0", "en", "words-v1")] == (1, 3)
-    # what a lost writer leaves has no mark
-    token_rollup.Rollup(spark, f"file://{tmp_path}/r")._write(token_rollup.changes(one, 1), "5")
-    assert totals()[("s0", "en", "words-v1")] == (1, 3)
     rollup.compact()
     assert totals()[("s0", "en", "words-v1")] == (1, 3) and rollup.commit("5", token_rollup.changes(one, 1).limit(0))
-    with pytest.raises(ValueError, match="batch id"):
-        rollup.commit("../x", token_rollup.changes(one, 1))
+    for bad in ("../x", "ж1", "", "a.b"):
+        with pytest.raises(ValueError, match="batch id"):
+            rollup.commit(bad, token_rollup.changes(one, 1))
+
+
+def summed(rollup):
+    return sum(r["n_tokens"] for r in rollup.totals().collect())
+
+
+def change(spark, n):
+    return spark.createDataFrame([("s", "en", "t", 1, n)], token_rollup.CHANGES)
+
+
+@pytest.mark.parametrize("step", ["_write", "_claim", "_place", "rename"])
+def test_rollup_with_a_writer_lost_at_each_step(spark, tmp_path, step, monkeypatch):
+    """What is lost before the rename is absent and can be retried; what is lost after it is there once."""
+    rollup = token_rollup.Rollup(spark, f"file://{tmp_path}/r")
+    rollup.commit("1", change(spark, 10))
+    if step == "rename":  # the file is written, and the rename fails
+        broken = token_rollup.Rollup(spark, f"file://{tmp_path}/r")
+        broken.context = None
+        with pytest.raises(AttributeError):
+            broken.commit("2", change(spark, 5))
+    else:
+        with monkeypatch.context() as m:
+            real = getattr(token_rollup.Rollup, step)
+
+            def lost(*args):
+                if step != "_place":
+                    real(*args)
+                raise OSError("lost")
+
+            m.setattr(token_rollup.Rollup, step, lost)
+            with pytest.raises(OSError, match="lost"):
+                rollup.commit("2", change(spark, 5))
+    assert summed(rollup) == 10 and not rollup.committed("2")
+    assert rollup.compact() and summed(rollup) == 10
+    assert rollup.commit("2", change(spark, 5)) and not rollup.commit("2", change(spark, 5))
+    assert summed(rollup) == 15 and rollup.compact() and summed(rollup) == 15
+
+
+def test_rollup_with_two_writers_of_one_batch(spark, tmp_path):
+    one, two = (token_rollup.Rollup(spark, f"file://{tmp_path}/r") for _ in range(2))
+    folder = two._write(change(spark, 5), "1")  # the other begins, and is overtaken
+    two._claim(folder)
+    assert one.commit("1", change(spark, 5)) and not two._register("1", folder)
+    assert summed(one) == summed(two) == 5
+    assert one.compact() and summed(two) == 5
+
+
+def test_rollup_commits_within_a_compaction(spark, tmp_path, monkeypatch):
+    rollup = token_rollup.Rollup(spark, f"file://{tmp_path}/r")
+    rollup.commit("1", change(spark, 10))
+    real = token_rollup.Rollup._write
+
+    def write(self, rows, name):
+        if name == "base":
+            monkeypatch.setattr(token_rollup.Rollup, "_write", real)
+            assert rollup.commit("2", change(spark, 5))
+            assert token_rollup.Rollup(spark, f"file://{tmp_path}/r").compact()  # another compaction comes first
+        return real(self, rows, name)
+
+    monkeypatch.setattr(token_rollup.Rollup, "_write", write)
+    assert not rollup.compact()
+    assert summed(rollup) == 15 and rollup.compact() and summed(rollup) == 15
+    assert rollup.commit("3", change(spark, 1)) and not rollup.commit("1", change(spark, 1)) and summed(rollup) == 16
+    assert len(rollup._names("claims")) == 1
+
+
+def test_rollup_after_a_compaction_that_left_its_claims(spark, tmp_path, monkeypatch):
+    rollup = token_rollup.Rollup(spark, f"file://{tmp_path}/r")
+    rollup.commit("1", change(spark, 10))
+    with monkeypatch.context() as m:
+        m.setattr(token_rollup.Rollup, "_drop_claims", lambda self, claims: None)
+        assert rollup.compact()
+    assert rollup._names("claims") and summed(rollup) == 10
+    assert rollup.commit("2", change(spark, 5)) and rollup.compact() and summed(rollup) == 15 and not rollup._names("claims")
 
 
 def test_rollup_equals_a_recount(spark, tmp_path):
