@@ -17,6 +17,7 @@ TATWEEL = "ـ"
 WORD = r"[\u0621-\u065F\u0670-\u06D3]+"
 ARABIC_BLOCK = r"[\u0600-\u06FF]"
 ARABIC_ANY = r"[\u0600-\u06FF\u0750-\u077F\u08A0-\u08FF\uFB50-\uFDFF\uFE70-\uFEFF]"
+ARABIC_TYPED = r"[\u0600-\u06FF\u0750-\u077F]"
 ARABIC_LETTER = r"[\u0621-\u064A\u0671-\u06D3]"
 LATIN_OR_DIGIT = r"[A-Za-z0-9]"
 DIGRAPHS = {"ḫ": "kh", "ḵ": "kh", "ḡ": "gh", "ġ": "gh", "ṯ": "th", "ḏ": "dh", "š": "sh", "ǧ": "j", "ž": "zh", "č": "ch"}
@@ -137,6 +138,16 @@ def is_arabic(c: Column) -> Column:
     return c.rlike(ARABIC_ANY)
 
 
+def typed_arabic(c: Column) -> Column:
+    """What a field for a transliteration must not hold."""
+    return c.rlike(ARABIC_TYPED)
+
+
+def has_letter(c: Column) -> Column:
+    """A letter, and not only marks, digits or punctuation of the script."""
+    return c.rlike(ARABIC_LETTER)
+
+
 def latin_in_arabic(c: Column) -> Column:
     return c.rlike(LATIN_OR_DIGIT)
 

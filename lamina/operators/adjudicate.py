@@ -29,7 +29,7 @@ def reject_ortho(d: DataFrame) -> DataFrame:
     """Adds reason: why a spelling decision can't stand, null if it can."""
     target, translit = F.trim(F.coalesce("target", F.lit(""))), F.trim(F.coalesce("translit", F.lit("")))
     derived = F.coalesce("confidence", F.lit("")).rlike("^(?:hamza|shadda)")
-    in_titles = (F.coalesce(F.size("rows"), F.lit(0)) > 0) | (F.coalesce(F.size("title_scope"), F.lit(0)) > 0)
+    in_titles = (F.coalesce(F.size("rows"), F.lit(0)) > 0) | (F.coalesce(F.size("title_scope"), F.lit(0)) > 0) | ((F.coalesce("n_titles", F.lit(0)) > 0) if "n_titles" in d.columns else F.lit(False))
     reason = (
         F.when(target == "", "no canonical form recorded")
         .when(X.latin_in_arabic(target), "the Arabic form has Latin characters")
@@ -101,15 +101,19 @@ def _fold_ortho(own: dict, decisions: list) -> tuple[dict, list[tuple]]:
 LEDGER = "array<struct<id:string,stratum:string,status:string,reason:string,partial:boolean>>"
 
 
-def apply_ortho(rows: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def apply_ortho(rows: DataFrame, decisions: DataFrame, scope: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows (id, title, title_translit, author, ...) after the spelling decisions, and the ledger (row,
-    id, stratum, status, reason, partial). A decision whose target is its word is a keep and unchanged."""
+    id, stratum, status, reason, partial). A decision whose target is its word is a keep and unchanged. scope: card, surface and id, what
+    each decision reaches besides what it lists itself."""
     judged = reject_ortho(decisions)
     rejected = judged.where("reason IS NOT NULL").select(F.lit(None).cast("string").alias("row"), "id", F.lit("ortho").alias("stratum"), F.lit("quarantine").alias("status"), "reason", F.lit(False).alias("partial"))
     kept = judged.where("reason IS NULL AND target = word").select(F.lit(None).cast("string").alias("row"), "id", F.lit("ortho").alias("stratum"), F.lit("unchanged").alias("status"), F.lit(None).cast("string").alias("reason"), F.lit(False).alias("partial"))
     none = F.expr("cast(array() as array<string>)")
     on = lambda c, surface: judged.where("reason IS NULL AND target <> word").select("ord", "id", "word", "target", "translit", F.lit(surface).alias("surface"), F.explode(F.coalesce(c, none)).alias("row"))
     each = on("rows", "title").unionByName(on("authors", "author"))
+    if scope is not None:
+        reached = scope.where("surface <> 'cluster'").select(F.col("card").alias("id"), "surface", F.col("id").alias("row"))
+        each = each.unionByName(judged.where("reason IS NULL AND target <> word").select("ord", "id", "word", "target", "translit").join(reached, "id")).dropDuplicates(["ord", "id", "surface", "row"])
     fresh, ledger = _fold_rows(rows, each, ("title", "title_translit", "author"), _fold_ortho)
     return fresh, ledger.unionByName(rejected).unionByName(kept)
 
@@ -140,12 +144,15 @@ def _fold_rows(rows: DataFrame, decisions: DataFrame, fields: tuple[str, ...], f
     return fresh, ledger.unionByName(lost)
 
 
-def apply_ortho_names(clusters: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def apply_ortho_names(clusters: DataFrame, decisions: DataFrame, scope: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Clusters (cluster_id, canonical_ar, variants, ...) whose names the spelling decisions rewrite, and
     the ledger. decisions: as for apply_ortho, with clusters array<string>. Variants stay distinct and
     in order; a name that doesn't hold the word is left as it is."""
     judged = reject_ortho(decisions).where("reason IS NULL AND target <> word")
     each = judged.select("ord", "id", "word", "target", F.explode(F.coalesce("clusters", F.expr("cast(array() as array<string>)"))).alias("row"))
+    if scope is not None:
+        reached = scope.where("surface = 'cluster'").select(F.col("card").alias("id"), F.col("id").alias("row"))
+        each = each.unionByName(judged.select("ord", "id", "word", "target").join(reached, "id")).dropDuplicates(["ord", "id", "row"])
 
     def fold(own: dict, ds: list) -> tuple[dict, list[tuple]]:
         ledger = []
@@ -314,6 +321,12 @@ def keeps(decisions: DataFrame) -> DataFrame:
     return resolved.where(ortho | other).select("id", "stratum", F.when(ortho, F.col("word")).alias("word"), F.when(other, own).alias("row"), F.when(ortho, target).otherwise(F.col("was")).alias("kept"), F.coalesce("note", F.lit("")).alias("note"))
 
 
+def reverted(faulty: DataFrame) -> DataFrame:
+    """Ledger entries for what unconserved() gives: an edit that a later pass has undone is in quarantine, though a pass
+    has truthfully called it applied."""
+    return faulty.select("row", "id", F.lit("ortho").alias("stratum"), F.lit("quarantine").alias("status"), F.lit("a later pass has undone the edit").alias("reason"), F.lit(False).alias("partial"))
+
+
 def unconserved(rows: DataFrame, ledger: DataFrame, decisions: DataFrame) -> DataFrame:
     """Applied spelling decisions whose word is still in a row they touched."""
     d = decisions.select(F.col("id").alias("id"), "word", F.trim("target").alias("target"))

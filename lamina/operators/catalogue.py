@@ -20,7 +20,8 @@ def kpis(rows: DataFrame, library: str, city: str, cluster: str, status: str) ->
 
 def author_index(rows: DataFrame, clusters: DataFrame, query: str = "", with_metadata: bool = False, sort: str = "count", skip: tuple[str, ...] = (), cluster: str = "cluster_id") -> DataFrame:
     """Clusters with rows, searched, filtered and sorted by count, name or death year; blank names and
-    unknown years come last."""
+    unknown years come last. Names are in the order of the Unicode collation: accents and case count only between names that
+    are alike without them."""
     counts = rows.groupBy(cluster).agg(F.count("*").alias("n"))
     out = clusters.join(counts, cluster).where((F.coalesce("category", F.lit("")) != "modern") & ~F.col(cluster).isin(*skip, ""))
     name = F.coalesce("full_name", "canonical_translit", F.lit(""))
@@ -28,7 +29,7 @@ def author_index(rows: DataFrame, clusters: DataFrame, query: str = "", with_met
         out = out.where(F.contains(F.lower(F.concat_ws(" ", "canonical_ar", "canonical_translit", "full_name", "dates")), F.lit(query.lower())))
     if with_metadata:
         out = out.where((F.coalesce("full_name", F.lit("")) != "") | (F.coalesce("dates", F.lit("")) != ""))
-    order = {"count": [F.desc("n")], "name": [(name == "").cast("int"), F.lower(name)], "death": [X.death_year(F.col("dates"))]}[sort]
+    order = {"count": [F.desc("n")], "name": [(name == "").cast("int"), F.collate(name, "UNICODE")], "death": [X.death_year(F.col("dates"))]}[sort]
     return out.orderBy(*order, cluster)
 
 

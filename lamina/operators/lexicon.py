@@ -139,6 +139,52 @@ def combinations(readings_per_key: Column) -> Column:
     return F.aggregate(readings_per_key, F.array(F.lit("")), lambda done, options: F.flatten(F.transform(done, lambda d: F.transform(options, lambda o: F.trim(F.concat(d, F.lit(" "), o))))))
 
 
+def best_choices(options: Column, k: int) -> Column:
+    """array<struct<weight, values>>: the k best ways to take one of each array's options (struct<value, weight>), the greatest
+    sum of weights first, then by the values. One array after the other is added and the best k so far are kept,
+    which is exact, because what comes later adds the same to each; so memory is bounded by k and one array, however many ways there are."""
+    none = F.array(F.struct(F.lit(0).cast("long").alias("cost"), F.expr("cast(array() as array<string>)").alias("values")))
+
+    def add(done: Column, more: Column) -> Column:
+        longer = lambda d: F.transform(more, lambda o: F.struct((d["cost"] - o["weight"]).alias("cost"), F.concat(d["values"], F.array(o["value"])).alias("values")))
+        return F.slice(F.array_sort(F.flatten(F.transform(done, longer))), 1, k)
+
+    return F.transform(F.aggregate(options, none, add), lambda x: F.struct((-x["cost"]).alias("weight"), x["values"].alias("values")))
+
+
+def n_choices(options: Column) -> Column:
+    """How many ways there are, as a decimal of 38 digits; null beyond."""
+    size = lambda o: F.size(o).cast("decimal(38,0)")
+    return F.aggregate(options, F.lit(1).cast("decimal(38,0)"), lambda n, o: F.try_multiply(n, size(o)).cast("decimal(38,0)"))
+
+
+def merge_suggestions(prior: DataFrame, new: DataFrame) -> DataFrame:
+    """id, field, proposal: what was proposed before and now, the new for the same id and field. A harvest that is done again
+    changes nothing."""
+    both = prior.select("id", "field", "proposal", F.lit(1).alias("__p")).unionByName(new.select("id", "field", "proposal", F.lit(0).alias("__p")))
+    return both.groupBy("id", "field").agg(F.min_by("proposal", F.struct("__p", "proposal")).alias("proposal"))
+
+
+def live_suggestions(suggestions: DataFrame, rows: DataFrame) -> DataFrame:
+    """Those whose row still has a value in the field: without one there is nothing to compare a proposal with.
+    Fields that the rows lack are blank."""
+    fields = [c for c, kind in rows.dtypes if kind == "string" and c != "id"]
+    filled = F.array_compact(F.array(*(F.when(F.trim(F.coalesce(c, F.lit(""))) != "", F.lit(c)) for c in fields)))
+    own = rows.select("id", filled.alias("__fields"))
+    return suggestions.join(own, "id").where(F.array_contains("__fields", F.col("field"))).drop("__fields")
+
+
+def suggestion_entries(doc: DataFrame, field: str = "machine_suggestions") -> DataFrame:
+    """id, field, proposal of a document's nested maps."""
+    each = doc.select(F.explode(field).alias("id", "__v"))
+    return each.select("id", F.explode("__v").alias("field", "proposal"))
+
+
+def suggestion_maps(suggestions: DataFrame) -> DataFrame:
+    """id and a map field -> proposal, as a document holds them."""
+    return suggestions.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "proposal")))).alias("values"))  # a row's own fields
+
+
 def record_suggestions(shown: DataFrame, rows: DataFrame, field: str = "title_translit") -> DataFrame:
     """id, field, proposal for what was shown for that row and field and whose field now has a value."""
     own = rows.where(F.trim(F.coalesce(F.col(field), F.lit(""))) != "").select("id")

@@ -41,13 +41,51 @@ def canonical(forms: DataFrame, key: list[str], form: str) -> DataFrame:
     return counted.groupBy(*key).agg(F.min_by(form, order).alias("canonical"), F.sum("n").alias("count"))
 
 
+def _letters(form: str, width: str) -> Column:
+    """The letters of a form as an array without repeats: each with the stretch of `width` places it is in and a number."""
+    places = F.transform(F.filter(F.split(form, ""), lambda c: c != ""), lambda c, i: F.concat(c, F.lit(":"), F.floor(i / F.col(width)).cast("string")))
+    return F.transform(places, lambda x, i: F.concat(x, F.lit(":"), F.size(F.filter(F.slice(places, F.lit(1), i), lambda y: y == x)).cast("string")))
+
+
+def least_similarity(members: DataFrame, key: str, form: str) -> DataFrame:
+    """key, least (the least Jaro-Winkler similarity of two forms; null for one form), n_forms and n_compared (pairs for which it was worked
+    out) without working it out for all pairs.
+
+    Letters at places less than half the shorter form's length apart can be matched, so two forms match in at least as many letters as
+    they share by stretches of that length, which bounds the similarity from below. Distances in shared letters from one form of the key
+    bound those of all pairs by sums. First that form and the one farthest from it are compared with all; then the
+    pairs whose bounds, by the sums and after that by the letters they share, don't exceed what was found.
+    """
+    distinct = members.select(key, F.col(form).alias("f")).where(F.col(form).isNotNull()).distinct()
+    sizes = distinct.groupBy(key).agg(F.count("*").alias("n_forms"), F.min("f").alias("pivot"), F.greatest(F.floor(F.min(F.length("f")) / 2), F.lit(1)).alias("__w"))
+    lettered = distinct.join(sizes, key).withColumn("n", F.length("f")).withColumn("l", F.when(F.col("n") > 0, _letters("f", "__w")).otherwise(F.expr("cast(array() as array<string>)")))
+    pivots = lettered.where("f = pivot").select(key, F.col("l").alias("__pl"), F.col("n").alias("__pn"))
+    far = lettered.join(pivots, key).withColumn("d", F.col("n") + F.col("__pn") - 2 * F.size(F.array_intersect("l", "__pl"))).drop("__pl", "__pn")
+    ends = far.groupBy(key).agg(F.max_by("f", F.struct("d", "f")).alias("__far"))
+    seen = far.join(ends, key)
+    against = lambda c: seen.where(F.col("f") != F.col(c)).select(key, "f", F.col(c).alias("g"))
+    first = against("pivot").unionByName(against("__far")).select(key, F.least("f", "g").alias("f"), F.greatest("f", "g").alias("g")).distinct().withColumn("s", jaro_winkler(F.col("f"), F.col("g")))
+    best = first.groupBy(key).agg(F.min("s").alias("__best"), F.count("*").alias("n_first"))
+    ready = seen.join(best, key).select(key, "f", "n", "l", "d", "__best", "pivot", "__far")
+    x, y = ready.alias("x"), ready.alias("y")
+
+    def bound(matched: Column) -> Column:
+        """From below, by the letters that match at least."""
+        m = F.greatest(matched, F.lit(0))
+        return F.when(m <= 0, 0.0).otherwise((m / F.col("x.n") + m / F.col("y.n") + 0.5) / 3)
+
+    by_sums = bound((F.col("x.n") + F.col("y.n") - F.col("x.d") - F.col("y.d")) / 2) <= F.col("x.__best")
+    fresh = ~F.col("x.f").isin(F.col("x.pivot"), F.col("x.__far")) & ~F.col("y.f").isin(F.col("x.pivot"), F.col("x.__far"))
+    met = x.join(y, (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.f") < F.col("y.f")) & by_sums & fresh)
+    met = met.where(bound(F.size(F.array_intersect("x.l", "y.l"))) <= F.col("x.__best"))
+    rest = met.select(F.col(f"x.{key}").alias(key), jaro_winkler(F.col("x.f"), F.col("y.f")).alias("s")).groupBy(key).agg(F.min("s").alias("__rest"), F.count("*").alias("n_rest"))
+    out = sizes.join(best, key, "left").join(rest, key, "left")
+    return out.select(key, F.least("__best", "__rest").alias("least"), "n_forms", (F.coalesce("n_first", F.lit(0)) + F.coalesce("n_rest", F.lit(0))).alias("n_compared"))
+
+
 def confidence(members: DataFrame, key: str, form: str) -> DataFrame:
     """The least Jaro-Winkler similarity within each key, to 3 places, ties to even; 1 for one form."""
-    distinct = members.select(key, form).distinct()
-    a, b = distinct.alias("a"), distinct.alias("b")
-    pairs = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{form}") < F.col(f"b.{form}")))
-    least = pairs.select(F.col(f"a.{key}").alias(key), jaro_winkler(F.col(f"a.{form}"), F.col(f"b.{form}")).alias("s")).groupBy(key).agg(F.bround(F.min("s"), 3).alias("s"))
-    return distinct.select(key).distinct().join(least, key, "left").select(key, F.coalesce("s", F.lit(1.0)).alias("confidence"))
+    return least_similarity(members, key, form).select(key, F.coalesce(F.bround("least", 3), F.lit(1.0)).alias("confidence"))
 
 
 def mint_ids(groups: DataFrame, order: list[Column], used: DataFrame, prefix: str = "n", digits: int = 3, start: int = 1) -> DataFrame:
@@ -109,10 +147,11 @@ def prune_suggestions(suggestions: DataFrame, rows: DataFrame, key: str = "id")
 
 
 def first_k(rows: DataFrame, group: str, order: str, k: int, value: str) -> DataFrame:
-    """The first k values of each group in order, and how many more there are."""
-    w = Window.partitionBy(group).orderBy(order)
-    ranked = rows.withColumn("__k", F.row_number().over(w)).withColumn("__n", F.count("*").over(Window.partitionBy(group)))
-    top = ranked.where(F.col("__k") <= k).groupBy(group).agg(F.array_sort(F.collect_list(F.struct("__k", value))).alias("xs"), F.max("__n").alias("n"))
+    """The first k values of each group in order, and how many more there are. Each task passes on k rows a group and
+    counts the rest, so a frequent group meets nowhere."""
+    ranked = rows.select(group, order, value).withColumn("__k", F.row_number().over(Window.partitionBy(group).orderBy(order)))
+    first = ranked.where(F.col("__k") <= k).groupBy(group).agg(F.array_sort(F.collect_list(F.struct("__k", value))).alias("xs"))
+    top = first.join(rows.groupBy(F.col(group).alias("__g")).agg(F.count("*").alias("n")), F.col(group).eqNullSafe(F.col("__g")))
     return top.select(group, F.transform("xs", lambda x: x[value]).alias(f"{value}s"), F.greatest(F.lit(0), F.col("n") - k).alias("more"))
 
 

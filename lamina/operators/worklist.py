@@ -117,20 +117,27 @@ def homographs(titles: DataFrame, words: Column, found: DataFrame, key: str = "i
     return titles.select(key, F.explode(F.array_distinct(words)).alias("key")).join(found.where("contested").select("key", F.col("readings").alias("options")), "key")
 
 
-def homograph_items(rows: DataFrame, pairs: DataFrame, lex: DataFrame, contested: DataFrame) -> DataFrame:
-    """id, keys and compositions of each row without a transliteration whose title holds contested words.
+#: So many ways to read a title are composed beforehand, those with the most witnesses first.
+COMPOSED = 64
+
+
+def homograph_items(rows: DataFrame, pairs: DataFrame, lex: DataFrame, contested: DataFrame, k: int = COMPOSED) -> DataFrame:
+    """id, title, keys, words, settled, n_compositions and compositions of each row without a transliteration whose title
+    holds contested words.
 
     keys: array<struct<key, raw (the spelling in this title), options: array<struct<value, n_witnesses,
-    witnesses (the first three rows that read it so)>>>>, in order of the words. compositions: a row's title for
-    each choice of readings (joined by |), null where another word is open. A title has few
-    contested words, so the choices are bounded by its own. pairs: id, l, r of aligned words.
+    witnesses (the first three rows that read it so)>>>>, in order of the words. words and settled: the title's keys and
+    the reading of each that has one. Together these are a lattice of the title's readings. n_compositions: how
+    many ways there are to read it. compositions: the title for each choice of readings (joined by |), null where another
+    word is open: all of them, or the k whose readings have the most witnesses in sum. Any other is composed
+    when it is asked for, by composed(). pairs: id, l, r of aligned words.
     """
-    from lamina.operators.lexicon import combinations, construct
+    from lamina.operators.lexicon import best_choices, n_choices
     from lamina.operators.resolve import first_k
 
     open_ = contested.select("key")
     title = F.coalesce("title", F.lit(""))
-    todo = rows.where((F.trim(title) != "") & (F.trim(F.coalesce("title_translit", F.lit(""))) == "")).select("id", X.words(title).alias("raws"), X.word_keys(title).alias("w"))
+    todo = rows.where((F.trim(title) != "") & (F.trim(F.coalesce("title_translit", F.lit(""))) == "")).select("id", "title", X.words(title).alias("raws"), X.word_keys(title).alias("w"))
     each = todo.select("id", F.posexplode(F.arrays_zip("raws", "w")).alias("pos", "x")).select("id", "pos", F.col("x.raws").alias("raw"), F.col("x.w").alias("key"))
     seen = pairs.select(F.concat_ws("|", "l", "r").alias("reading"), "l", "r", "id").distinct()
     shown = first_k(seen, "reading", "id", 3, "id").join(seen.select("reading", "l", "r").distinct(), "reading")
@@ -138,16 +145,30 @@ def homograph_items(rows: DataFrame, pairs: DataFrame, lex: DataFrame, contested
     hits = each.join(open_, "key").groupBy("id", "key").agg(F.min(F.struct("pos", "raw")).alias("at")).join(options, "key")
     keys = hits.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("at.pos").alias("pos"), "key", X.bare(F.col("at.raw")).alias("raw"), "options"))).alias("keys"))
     settled = each.join(lex.select("key", "reading"), "key", "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "reading"))).alias("p"))
-    cards = todo.join(keys, "id").join(settled, "id")
-    values = F.transform("keys", lambda k: F.transform(k["options"], lambda o: F.replace(o["value"], F.lit(" "), F.lit("\u00a0"))))
-    choice = F.transform(combinations(values), lambda c: F.transform(F.split(c, " "), lambda v: F.replace(v, F.lit("\u00a0"), F.lit(" "))))
-    chosen = cards.select("id", "w", "keys", F.transform("p", lambda x: x["reading"]).alias("settled"), F.explode(choice).alias("choice"))
-    at = F.transform("keys", lambda k: k["key"])
-    parts = F.zip_with("w", "settled", lambda w, r: F.coalesce(F.get("choice", F.array_position(at, w).cast("int") - 1), r))
-    value = F.when(~F.exists("parts", lambda x: F.coalesce(x, F.lit("")) == ""), F.array_join(construct(F.col("parts"), F.col("w")), " "))
-    made = chosen.withColumn("parts", parts).groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.array_join("choice", "|").alias("choice"), value.alias("value"))))).alias("compositions"))
+    cards = todo.join(keys, "id").join(settled, "id").withColumn("settled", F.transform("p", lambda x: x["reading"]))
+    options = F.transform("keys", lambda k: F.transform(k["options"], lambda o: F.struct(o["value"].alias("value"), o["n_witnesses"].alias("weight"))))
+    keyed = F.transform("keys", lambda k: k["key"])
+    made = lambda c: F.struct(F.array_join(c["values"], "|").alias("choice"), _composed(F.col("w"), F.col("settled"), keyed, c["values"]).alias("value"))
+    compositions = F.map_from_entries(F.array_sort(F.transform(best_choices(options, k), made)))
     shown_keys = F.transform("keys", lambda k: F.struct(k["key"].alias("key"), k["raw"].alias("raw"), k["options"].alias("options")))
-    return cards.select("id", shown_keys.alias("keys")).join(made, "id")
+    return cards.select("id", "title", shown_keys.alias("keys"), F.col("w").alias("words"), "settled", n_choices(options).alias("n_compositions"), compositions.alias("compositions"))
+
+
+def _composed(words: Column, settled: Column, keys: Column, values: Column) -> Column:
+    """The title from settled readings and a value for each of some keys; null where a word has neither."""
+    from lamina.operators.lexicon import construct
+
+    parts = F.zip_with(words, settled, lambda w, r: F.coalesce(F.get(values, F.array_position(keys, w).cast("int") - 1), r))
+    return F.when(~F.exists(parts, lambda x: F.coalesce(x, F.lit("")) == ""), F.array_join(construct(parts, words), " "))
+
+
+def composed(cards: DataFrame, choices: DataFrame) -> DataFrame:
+    """id, choice and value for the choices asked for (id and values, a reading for each of the card's keys in order), from the
+    cards' lattices. Values that aren't among the options give null."""
+    met = choices.select("id", F.col("values").alias("__v")).join(cards, "id")
+    keyed = F.transform("keys", lambda k: k["key"])
+    offered = (F.size("__v") == F.size("keys")) & F.forall(F.zip_with("keys", "__v", lambda k, v: F.exists(k["options"], lambda o: o["value"] == v)), lambda x: F.coalesce(x, F.lit(False)))
+    return met.select("id", F.array_join("__v", "|").alias("choice"), F.when(offered, _composed(F.col("words"), F.col("settled"), keyed, F.col("__v"))).alias("value"))
 
 
 def collisions(cards: DataFrame, proposed: Column, key: str = "id") -> DataFrame:
@@ -166,7 +187,7 @@ def preview(text: Column, word: Column, proposed: Column) -> Column:
 def witness_items(cards: DataFrame, rows: DataFrame, keeps: DataFrame, homographs: DataFrame | None = None) -> DataFrame:
     """cards (id, row, current, ...) whose current reading still stands in the row's transliteration and
     that no keep rules out; with homographs (id, key) and a column word also unblocks, how many rows wait for that word."""
-    own = rows.select(F.col("id").alias("row"), F.split(F.coalesce("title_translit", F.lit("")), " ").alias("__t"))
+    own = rows.select(F.col("id").alias("row"), X.tokens(F.coalesce("title_translit", F.lit(""))).alias("__t"))
     found = pending(cards.join(own, "row").where(F.array_contains("__t", F.col("current"))).drop("__t"), keeps)
     if homographs is None:
         return found
@@ -232,17 +253,33 @@ def ortho_scope(cards: DataFrame, rows: DataFrame, names: DataFrame) -> DataFram
     for what already reads as proposed. A card with only_rows reaches those rows' titles alone."""
     c = cards.select(F.col("id").alias("card"), "word", "proposed", "only_rows")
     met = c.join(occurrences(rows, names), "word").where(F.col("proposed").isNull() | (F.col("raw") != F.col("proposed")))
-    own = F.col("only_rows").isNull() | ((F.col("surface") == "title") & F.array_contains("only_rows", F.col("id")))
+    own = F.coalesce(F.size("only_rows") == 0, F.lit(True)) | ((F.col("surface") == "title") & F.array_contains("only_rows", F.col("id")))
     return met.where(own).select("card", "surface", "id").distinct()
 
 
-def ortho_items(cards: DataFrame, rows: DataFrame, names: DataFrame, keeps: DataFrame, lex: DataFrame) -> DataFrame:
+def ortho_items(cards: DataFrame, rows: DataFrame, names: DataFrame, keeps: DataFrame, lex: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """id, word, proposed, key_changes, row_scoped, translit_was, n_titles, n_authors, n_clusters of the cards whose fault
-    still stands somewhere and that no keep rules out. lex: key, reading."""
+    still stands somewhere and that no keep rules out. lex: key, reading. found: key and readings, of which a single one
+    tells how a word is romanized today where the lexicon doesn't."""
     counted = _counted(ortho_scope(pending(cards, keeps), rows, names), ["card"]).withColumnRenamed("card", "id")
     own = cards.join(counted, "id").withColumn("key", X.normalize_ar(F.col("word")))
     changes = F.coalesce(F.col("key") != X.normalize_ar(F.col("proposed")), F.lit(False))
-    return own.join(lex.select("key", F.col("reading").alias("translit_was")), "key", "left").select("id", "word", "proposed", changes.alias("key_changes"), F.col("only_rows").isNotNull().alias("row_scoped"), "translit_was", "n_titles", "n_authors", "n_clusters")
+    known = own.join(lex.select("key", F.col("reading").alias("translit_was")), "key", "left")
+    if found is not None:
+        single = found.where(F.size("readings") == 1).select("key", F.get("readings", F.lit(0)).alias("__single"))
+        known = known.join(single, "key", "left").withColumn("translit_was", F.coalesce("translit_was", "__single"))
+    scoped = F.coalesce(F.size("only_rows") > 0, F.lit(False))
+    return known.select("id", "word", "proposed", changes.alias("key_changes"), scoped.alias("row_scoped"), "translit_was", "n_titles", "n_authors", "n_clusters")
+
+
+def ortho_rows(cards: DataFrame, rows: DataFrame, names: DataFrame, keeps: DataFrame) -> DataFrame:
+    """card, surface, id, text, after and translit: what each card would change, a row for each title and author that it
+    reaches and each cluster (without a text). A card may reach a third of all rows, so they aren't gathered."""
+    met = ortho_scope(pending(cards, keeps), rows, names).join(cards.select(F.col("id").alias("card"), "word", "proposed"), "card")
+    own = rows.select("id", "title", "author", F.coalesce("title_translit", F.lit("")).alias("translit"))
+    text = F.when(F.col("surface") == "title", F.col("title")).when(F.col("surface") == "author", F.col("author"))
+    shown = met.join(own, "id", "left").withColumn("text", text)
+    return shown.select("card", "surface", "id", "text", preview(F.col("text"), F.col("word"), F.col("proposed")).alias("after"), F.when(F.col("surface") == "title", F.col("translit")).alias("translit"))
 
 
 def card_list(hand: DataFrame, derived: DataFrame) -> DataFrame:
@@ -253,19 +290,19 @@ def card_list(hand: DataFrame, derived: DataFrame) -> DataFrame:
 
 
 def attribution_items(marks: DataFrame, rows: DataFrame, keeps: DataFrame) -> DataFrame:
-    """id, row, verdict, tail, tail_translit, proposed_title, proposed_translit, aligned, collides_with for each mark
-    (row, marker, verdict) whose row still holds the marker: the tail begins at its first place, and what is left
+    """id, row, verdict, tail, tail_translit, proposed_title, proposed_translit, aligned, collides_with, and marker, title and
+    title_translit as they are, for each mark (row, marker, verdict) whose row still holds the marker: the tail begins at its first place, and what is left
     of the title is proposed. collides_with: the other rows of the batch whose proposals are the same title."""
     from lamina.operators.audit import several
 
     title = F.coalesce("title", F.lit(""))
-    own = marks.withColumn("id", F.concat("row", F.lit("-attr"))).withColumn("marker", X.normalize_ar(F.col("marker"))).join(rows.select(F.col("id").alias("row"), title.alias("title"), X.words(title).alias("w"), X.word_keys(title).alias("k"), F.split(title, X.WORD, -1).alias("gaps"), X.tokens(F.coalesce("title_translit", F.lit(""))).alias("l")), "row")
-    at = pending(own, keeps).withColumn("at", F.array_position("k", F.col("marker")).cast("int") - 1).where("at >= 0")
+    own = marks.withColumn("id", F.concat("row", F.lit("-attr"))).withColumn("__m", X.normalize_ar(F.col("marker"))).join(rows.select(F.col("id").alias("row"), title.alias("title"), F.coalesce("title_translit", F.lit("")).alias("title_translit"), X.words(title).alias("w"), X.word_keys(title).alias("k"), F.split(title, X.WORD, -1).alias("gaps"), X.tokens(F.coalesce("title_translit", F.lit(""))).alias("l")), "row")
+    at = pending(own, keeps).withColumn("at", F.array_position("k", F.col("__m")).cast("int") - 1).where("at >= 0")
     upto = lambda xs: F.slice(xs, F.lit(1), F.col("at"))
     head = F.concat(F.array_join(F.zip_with(upto("gaps"), upto("w"), lambda gap, word: F.concat(gap, word)), ""), F.get("gaps", F.col("at")))
     aligned = (F.size("w") == F.size("l")) & (F.size("w") > 0)
     cut = at.withColumn("head", head).withColumn("aligned", aligned)
-    out = cut.select("id", "row", "verdict", F.trim(F.substr(F.col("title"), F.length("head") + 1)).alias("tail"), F.when(aligned, F.array_join(F.slice("l", F.col("at") + 1, F.greatest(F.size("l") - F.col("at"), F.lit(0))), " ")).alias("tail_translit"), F.trim("head").alias("proposed_title"), F.when(aligned, F.array_join(upto("l"), " ")).alias("proposed_translit"), "aligned")
+    out = cut.select("id", "row", "verdict", F.trim(F.substr(F.col("title"), F.length("head") + 1)).alias("tail"), F.when(aligned, F.array_join(F.slice("l", F.col("at") + 1, F.greatest(F.size("l") - F.col("at"), F.lit(0))), " ")).alias("tail_translit"), F.trim("head").alias("proposed_title"), F.when(aligned, F.array_join(upto("l"), " ")).alias("proposed_translit"), "aligned", "marker", "title", "title_translit")
     norm = out.select("row", X.normalize_ar(F.col("proposed_title")).alias("norm"))
     shared = norm.join(several(norm, ["norm"], "row", "all"), "norm").select("row", F.array_remove("all", F.col("row")).alias("collides_with"))
     return out.join(shared, "row", "left").withColumn("collides_with", F.coalesce("collides_with", F.expr("cast(array() as array<string>)")))

@@ -110,13 +110,13 @@ def _marks(spark, sf_dir):
 
 
 _TAILS_SQL = f"""{_ROWS_SQL}, m AS (SELECT *, list_position(a, a[len(a) // 2 + 1]) - 1 AS cut, title_translit <> '' AS aligned FROM rows WHERE title <> ''),
-tails AS (SELECT id || '-attr' AS id, id AS row, array_to_string(list_slice(a, cut + 1, len(a)), ' ') AS tail, CASE WHEN aligned THEN array_to_string(list_slice(string_split(title_translit, ' '), cut + 1, len(a)), ' ') END AS tail_translit, array_to_string(list_slice(a, 1, cut), ' ') AS proposed_title, CASE WHEN aligned THEN array_to_string(list_slice(string_split(title_translit, ' '), 1, cut), ' ') END AS proposed_translit, aligned, title, title_translit FROM m)"""
+tails AS (SELECT id || '-attr' AS id, id AS row, array_to_string(list_slice(a, cut + 1, len(a)), ' ') AS tail, CASE WHEN aligned THEN array_to_string(list_slice(string_split(title_translit, ' '), cut + 1, len(a)), ' ') END AS tail_translit, array_to_string(list_slice(a, 1, cut), ' ') AS proposed_title, CASE WHEN aligned THEN array_to_string(list_slice(string_split(title_translit, ' '), 1, cut), ' ') END AS proposed_translit, aligned, title, title_translit, a[len(a) // 2 + 1] AS marker FROM m)"""
 
 
 @query(f"""WITH {_TAILS_SQL} SELECT id, row, tail, tail_translit, proposed_title, proposed_translit, aligned, coalesce((SELECT string_agg(o.row, '|' ORDER BY o.row) FROM tails o WHERE o.proposed_title = t.proposed_title AND o.row <> t.row), '') AS collides_with FROM tails t""")
 def attribution_items(spark, sf_dir):
     found = worklist.attribution_items(_marks(spark, sf_dir), _rows(spark, sf_dir), _values(spark, "id"))
-    return found.drop("verdict").withColumn("collides_with", joined("collides_with"))
+    return found.drop("verdict", "marker", "title", "title_translit").withColumn("collides_with", joined("collides_with"))
 
 
 @query(f"""WITH {_TAILS_SQL} SELECT row AS id, CASE WHEN proposed_title = '' THEN title ELSE proposed_title END AS title, CASE WHEN proposed_title = '' OR NOT aligned THEN title_translit ELSE proposed_translit END AS title_translit,
@@ -173,8 +173,13 @@ def ingest_names(spark, sf_dir):
     word = "".join(ARABIC[LATIN.index(c)] for c in "building")
     clusters = segments.where(~F.contains("v", F.lit("ب")) | (F.col("v") == word)).groupBy("cluster_id").agg(F.min("v").alias("canonical_ar"), F.array_sort(F.collect_set("v")).alias("variants"))
     none = F.expr("cast(array() as array<string>)")
-    d = clusters.agg(F.collect_list("cluster_id").alias("clusters")).select(F.lit(0).alias("ord"), F.lit("d").alias("id"), F.lit(word).alias("word"), F.lit(word.replace("ب", "بّ")).alias("target"), F.lit("").alias("translit"), F.lit(None).cast("string").alias("confidence"), F.lit(False).alias("row_scoped"), F.lit(None).cast("string").alias("translit_source"), none.alias("rows"), none.alias("authors"), none.alias("title_scope"), "clusters")
-    return adjudicate.apply_ortho_names(clusters, d)[0].withColumn("variants", joined("variants"))
+    text = lambda value: F.lit(value).cast("string")
+    d = clusters.sparkSession.range(1).select(
+        F.lit(0).alias("ord"), text("d").alias("id"), text(word).alias("word"), text(word.replace("ب", "بّ")).alias("target"), text("").alias("translit"), text(None).alias("confidence"), F.lit(False).alias("row_scoped"),
+        text(None).alias("translit_source"), none.alias("rows"), none.alias("authors"), none.alias("title_scope"), none.alias("clusters"),
+    )
+    scope = clusters.select(F.lit("d").alias("card"), F.lit("cluster").alias("surface"), F.col("cluster_id").alias("id"))
+    return adjudicate.apply_ortho_names(clusters, d, scope)[0].withColumn("variants", joined("variants"))
 
 
 @query(f"""WITH {_ROWS_SQL}, k AS (SELECT id, w[1] AS current FROM rows WHERE len(w) > 0)
@@ -385,12 +390,12 @@ def table_rows(spark, sf_dir):
     return D.table_rows(cells).withColumn("header", D.header(captions, ("City", "Library", "Title"))).drop("table")
 
 
-@query("""SELECT user_id AS page, event_id AS cell, 'ab cd' AS text FROM events""")
+@query("""SELECT user_id AS page, event_id AS cell, left(event_type, 2) || ' ' || substr(event_type, 3, 2) AS text FROM events""")
 def cell_texts(spark, sf_dir):
     """Four characters a cell on two lines, out of order and with one beyond the cell."""
-    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("page"), F.col("event_id").alias("cell"), (F.col("event_id") * 100.0).alias("y"))
-    placed = [("c", 0.0, 20.0), ("a", 0.0, 0.0), ("d", 6.0, 20.5), ("b", 6.0, 0.5), ("z", 60.0, 0.0)]
-    put = F.array(*(F.struct(F.lit(c).alias("c"), F.lit(x).alias("x"), F.lit(dy).alias("dy")) for c, x, dy in placed))
+    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("page"), F.col("event_id").alias("cell"), (F.col("event_id") * 100.0).alias("y"), "event_type")
+    placed = [(3, 0.0, 20.0), (1, 0.0, 0.0), (4, 6.0, 20.5), (2, 6.0, 0.5), (1, 60.0, 0.0)]
+    put = F.array(*(F.struct(F.substr("event_type", F.lit(k), F.lit(1)).alias("c"), F.lit(x).alias("x"), F.lit(dy).alias("dy")) for k, x, dy in placed))
     chars = events.select("page", "y", F.explode(put).alias("p")).select("page", F.col("p.c").alias("c"), F.col("p.x").alias("x0"), (F.col("p.x") + 5).alias("x1"), (F.col("y") + F.col("p.dy")).alias("top"), (F.col("y") + F.col("p.dy") + 8).alias("bottom"))
     boxes = events.select("page", "cell", F.lit(0.0).alias("x0"), F.lit(40.0).alias("x1"), F.col("y").alias("top"), (F.col("y") + 40).alias("bottom"))
     return D.cells(chars, boxes)
@@ -422,14 +427,13 @@ def death_years(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", X.death_year(dates).alias("died"))
 
 
-@query(f"""WITH {_ROWS_SQL}, r AS (SELECT word, min(r) AS v FROM pairs GROUP BY 1) SELECT id, (SELECT string_agg(coalesce(v, '…'), ' ' ORDER BY k) FROM (SELECT unnest(rows.a[1:5]) AS word, unnest(range(5)) AS k) LEFT JOIN r USING (word) WHERE word IS NOT NULL) AS gloss FROM rows WHERE len(a) >= 5""")
+@query(f"""WITH {_ROWS_SQL}, r AS (SELECT word, min(r) AS v FROM pairs GROUP BY 1) SELECT id, sha256(string_agg(coalesce(v, '…'), ' ' ORDER BY k)) AS gloss FROM (SELECT id, unnest(a) AS word, unnest(range(len(a))) AS k FROM rows) LEFT JOIN r USING (word) GROUP BY 1""")
 def glossed_titles(spark, sf_dir):
     rows = _rows(spark, sf_dir)
     lex = worklist.aligned_words(rows).groupBy(F.col("l").alias("w")).agg(F.min("r").alias("v"))
-    words = F.slice(F.split("title", " "), 1, 5)
-    of = rows.where(F.size(F.split("title", " ")) >= 5).select("id", words.alias("ws"))
+    of = rows.where(F.col("title") != "").select("id", F.split("title", " ").alias("ws"))
     own = of.select("id", F.explode("ws").alias("w")).join(lex, "w").groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("w", "v"))).alias("lex"))
-    return of.join(own, "id", "left").select("id", lexicon.gloss(F.col("ws"), F.coalesce("lex", F.expr("cast(map() as map<string,string>)"))).alias("gloss"))
+    return of.join(own, "id", "left").select("id", lexicon.gloss(F.col("ws"), F.coalesce("lex", F.expr("cast(map() as map<string,string>)"))).alias("gloss")).withColumn("gloss", F.sha2("gloss", 256))
 
 
 _MARKED = ("aiudhst", "āīūḏḫšṯ")
@@ -526,7 +530,8 @@ def _by_nation(spark, sf_dir):
 @query("""SELECT row_number() OVER (ORDER BY CASE WHEN k % 4 = 1 THEN k + 1500 ELSE 99999 END, k::VARCHAR) AS place, k::VARCHAR AS cluster_id, n FROM (SELECT n_nationkey AS k, count(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey % 5 <> 0 AND (n_nationkey % 2 = 0 OR n_nationkey % 4 = 1) GROUP BY 1)""")
 def authors_by_death(spark, sf_dir):
     found = catalogue.author_index(_by_nation(spark, sf_dir), _clusters(spark, sf_dir), with_metadata=True, sort="death")
-    return spark.createDataFrame([(i + 1, r["cluster_id"], r["n"]) for i, r in enumerate(found.collect())], "place bigint, cluster_id string, n bigint")  # a nation each
+    order = F.struct(X.death_year(F.col("dates")).alias("died"), "cluster_id")
+    return fields.number(found.withColumn("__o", order), "place", ["__o"]).select("place", "cluster_id", "n")
 
 
 @query("""SELECT c_nationkey = 5 AS collector, count(*) AS n FROM customer WHERE c_nationkey % 5 = 0 GROUP BY 1""")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import textnorm as X
-from lamina.operators import adjudicate, audit, candidates, fields, lexicon, resolve, worklist
+from lamina.operators import adjudicate, audit, candidates, fields, lexicon, resolve, strata, worklist
+from lamina.operators import export as exporting
 from lamina.operators.graph import scratch_dir
 from lamina.sources import documents
 
@@ -24,21 +25,67 @@ def extract(cells: DataFrame, captions: tuple[str, ...]) -> DataFrame:
     return fields.mint_row_ids(kept, ["__at"]).drop("__at")
 
 
-def cards(rows: DataFrame, clusters: DataFrame, keeps: DataFrame, word_decisions: DataFrame, known: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """The cards for human decisions on rows and clusters outside the modern category: spelling (marks and carriers) and
-    homographs. keeps: id. word_decisions: key, reading, varies."""
+#: What is given by hand: cards on spelling, corrections of single rows, and marks at which a tail of a title begins.
+HAND = "id string, word string, proposed string, translit string, translits array<string>, confidence string, reason string, only_rows array<string>"
+WITNESSES = "id string, row string, word string, current string, proposed string, why string"
+MARKS = "row string, marker string, verdict string, note string"
+
+
+def _given(spark, df: DataFrame | None, schema: str) -> DataFrame:
+    """df with the columns of the schema, null where it lacks one; empty for none."""
+    empty = spark.createDataFrame([], schema)
+    if df is None:
+        return empty
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in empty.schema.fields))
+
+
+def cards(
+    rows: DataFrame, clusters: DataFrame, keeps: DataFrame, word_decisions: DataFrame, known: dict[str, str] | None = None,
+    hand: DataFrame | None = None, witnesses: DataFrame | None = None, marks: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The cards for human decisions in four strata, each with its fingerprint (fp): ortho (marks, carriers and cards by hand),
+    homograph, witness and attribution; and scope, what each ortho card reaches.
+
+    keeps: id. word_decisions: key, reading, varies. hand, witnesses and marks have the columns of HAND, WITNESSES
+    and MARKS; ones that are missing are null. A word that a card by hand is about has no derived card, even
+    where that card is ruled out, for it would ask the same again. A corrected row's reading is offered for its word. Cards are derived
+    from rows and clusters outside the modern category; corrections and marks are about any row.
+    """
+    spark = rows.sparkSession
+    hand, witnesses, marks = (_given(spark, *x) for x in ((hand, HAND), (witnesses, WITNESSES), (marks, MARKS)))
     modern = clusters.where("category = 'modern'").select("cluster_id")
     old = rows.join(modern.withColumnRenamed("cluster_id", "author_cluster_id"), "author_cluster_id", "left_anti")
     kept = clusters.join(modern, "cluster_id", "left_anti")
-    names = kept.select("cluster_id", F.explode(F.array_distinct(F.concat(F.array(F.coalesce("canonical_ar", F.lit(""))), F.coalesce("variants", F.expr("cast(array() as array<string>)"))))).alias("name"))
-    none = rows.sparkSession.createDataFrame([], "word string")
-    shadda = worklist.shadda_items(old, none).select(F.concat(F.lit("s-"), "word").alias("id"), "word", "proposed", "translits", "confidence")
-    hamza = worklist.hamza_items(old, names, none, known).select(F.concat(F.lit("h-"), "word").alias("id"), "word", "proposed", "translits", "confidence")
+    written = F.concat(F.array(F.coalesce("canonical_ar", F.lit(""))), F.coalesce("variants", F.expr("cast(array() as array<string>)")))
+    names = kept.select("cluster_id", F.explode(F.array_distinct(written)).alias("name"))
     pairs = worklist.aligned_words(rows).withColumn("l", X.normalize_ar(F.col("l")))
     found = lexicon.readings(pairs)
     lex = lexicon.lexicon(found, word_decisions)
-    derived = worklist.card_list(shadda.limit(0), shadda.unionByName(hamza))
-    return {"ortho": worklist.ortho_items(derived, old, names, keeps, lex), "homograph": worklist.homograph_items(old, pairs, lex, found.where("contested"))}
+
+    covered = hand.select(X.bare(F.col("word")).alias("word")).distinct()
+    shadda = worklist.shadda_items(old, covered, witnesses.select("word", "proposed"))
+    hamza = worklist.hamza_items(old, names, covered, known).withColumn("translit", F.when(F.size("translits") == 1, F.get("translits", F.lit(0))))
+    derived = lambda df, prefix: df.select(F.concat(F.lit(prefix), "word").alias("id"), "word", "proposed", "translit", "translits", "confidence")
+    listed = worklist.card_list(hand, derived(shadda, "s-").unionByName(derived(hamza, "h-")))
+    ortho = worklist.ortho_items(listed, old, names, keeps, lex, found).join(listed.select("id", "translit", "translits", "confidence", "reason", "hand"), "id")
+
+    shown = clusters.select(F.col("cluster_id").alias("author_cluster_id"), F.coalesce(F.nullif("canonical_translit", F.lit("")), F.lit("—")).alias("author"))
+    of_row = rows.select("id", "author_cluster_id").join(shown, "author_cluster_id", "left").select("id", F.coalesce("author", F.lit("—")).alias("author"))
+    homograph = worklist.homograph_items(old, pairs, lex, found.where("contested")).join(of_row, "id", "left")
+    waiting = homograph.select("id", F.explode("keys.key").alias("key"))
+    fixes = witnesses.withColumn("row", F.coalesce("row", "id"))
+    own = rows.select(F.col("id").alias("row"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("title_translit", F.lit("")).alias("title_translit"))
+    witness = worklist.witness_items(fixes, rows, keeps, waiting).join(own, "row")
+    tails = worklist.attribution_items(marks, rows, keeps).join(marks.select("row", "note").dropDuplicates(["row"]), "row").join(of_row.withColumnRenamed("id", "row"), "row", "left")
+    strata_ = {"ortho": ortho, "homograph": homograph, "witness": witness, "attribution": tails}
+    made = {name: strata.fingerprinted(df, name) for name, df in strata_.items()}
+    return made | {"scope": worklist.ortho_rows(listed, old, names, keeps)}
+
+
+def export(made: dict[str, DataFrame], answers: DataFrame) -> dict[str, DataFrame]:
+    """A record for each card with what was answered, and the scope of the spelling decisions, as ingest takes them."""
+    records = exporting.decisions({k: v for k, v in made.items() if k != "scope"}, answers)
+    return {"decisions": records, "scope": made["scope"]}
 
 
 def build(raw: DataFrame, pins: DataFrame, authority: DataFrame, overrides: DataFrame, curated: DataFrame, cities: dict[str, str], libraries: dict[str, str], roles: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -89,6 +136,12 @@ def harvest(rows: DataFrame, clusters: DataFrame, baseline: DataFrame, named_mer
     return pins, authority, overrides, resolve.conflicts(named, "norm", "cluster_id", "ord")
 
 
+def suggestions(rows: DataFrame, prior: DataFrame, new: DataFrame) -> DataFrame:
+    """id, field, proposal of what machines have proposed, accumulated over harvests, for fields that still have a value. They tell of the
+    curation and not of the catalogue, so a harvest adds to them and never replaces them."""
+    return lexicon.live_suggestions(lexicon.merge_suggestions(prior, new), rows)
+
+
 def name_groups(clusters: DataFrame, rows: DataFrame, common: tuple[str, ...] = (), given: tuple[str, ...] = (), common_arabic: tuple[str, ...] = ()) -> DataFrame:
     """Ranked candidate groups of clusters with their members' sample titles."""
     shown = F.coalesce(F.nullif("canonical_translit", F.lit("")), "full_name", F.lit(""))
@@ -104,14 +157,37 @@ def name_groups(clusters: DataFrame, rows: DataFrame, common: tuple[str, ...] =
     return ranked.withColumn("group_id", F.concat(F.lit("g"), F.array_join("members", "_"))).join(sampled, "group_id", "left")
 
 
-def audit_all(rows: DataFrame, clusters: DataFrame) -> dict[str, DataFrame]:
-    """The seven audits over rows and clusters outside the modern category."""
+def members(groups: DataFrame, clusters: DataFrame, rows: DataFrame) -> DataFrame:
+    """group_id, place and the eleven fields that a group shows of each member (cluster_id, canonical_ar, canonical_translit,
+    full_name, dates, count, user_confirmed, category, variants, sample_titles, authorities: their sources), those with
+    the highest count first. groups: group_id and members."""
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    none = F.expr("cast(array() as array<string>)")
+    titled = rows.where("coalesce(title, '') <> '' AND coalesce(author_cluster_id, '') <> ''")
+    titles = resolve.first_k(titled, "author_cluster_id", "id", 4, "title").select(F.col("author_cluster_id").alias("cluster_id"), "titles")
+    sources = F.transform(F.coalesce("authorities", F.expr("cast(array() as array<struct<source:string,title:string,url:string>>)")), lambda a: F.coalesce(a["source"], F.lit("")))
+    shown = clusters.join(titles, "cluster_id", "left").select(
+        "cluster_id", text("canonical_ar"), text("canonical_translit"), text("full_name"), text("dates"), F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+        F.coalesce("user_confirmed", F.lit(False)).alias("user_confirmed"), text("category"), F.coalesce("variants", none).alias("variants"), F.coalesce("titles", none).alias("sample_titles"),
+        sources.alias("authorities"),
+    )
+    each = groups.select("group_id", F.explode("members").alias("cluster_id")).join(shown, "cluster_id")
+    order = F.row_number().over(Window.partitionBy("group_id").orderBy(F.desc("count"), "cluster_id"))  # a group has few members
+    return each.select("group_id", order.alias("place"), *shown.columns)
+
+
+def audit_all(rows: DataFrame, clusters: DataFrame, merges: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The seven audits over rows and clusters outside the modern category. merges (variant): names whose merge was ruled, so the
+    first audit doesn't raise them again."""
     modern = clusters.where("category = 'modern'").select(F.col("cluster_id").alias("author_cluster_id"))
     old = rows.join(modern, "author_cluster_id", "left_anti").withColumn("cluster_id", F.nullif("author_cluster_id", F.lit("")))
     kept = clusters.where("coalesce(category, '') <> 'modern'")
     title = X.normalize_ar(F.coalesce("title", F.lit("")))
-    forms = kept.select("cluster_id", F.explode("variants").alias("form"), F.col("canonical_ar").alias("canonical"))
-    rare = audit.rare(audit.token_df(old, X.tokens(X.normalize_ar(F.coalesce("author", F.lit(""))))))
+    author = F.trim(F.coalesce("author", F.lit("")))
+    written = old.where((author != "") & F.col("cluster_id").isNotNull()).select("cluster_id", author.alias("form")).distinct().withColumn("norm", X.normalize_ar(F.col("form")))
+    settled = merges.select(X.normalize_ar(F.col("variant")).alias("norm")).distinct() if merges is not None else rows.sparkSession.createDataFrame([], "norm string")
+    forms = audit.unsettled(written, settled, "norm").join(kept.select("cluster_id", F.coalesce("canonical_ar", F.lit("")).alias("canonical")), "cluster_id")
+    rare = audit.rare(audit.token_df(old, F.transform(X.tokens(X.normalize_ar(author)), X.strip_article)))
     return {
         "over_merge": audit.over_merge(forms, rare), "conservation": audit.conservation(old), "under_merge": audit.under_merge(kept),
         "attribution": audit.attribution(old, title, "cluster_id"), "cote_conflict": audit.bundle_conflict(old, "archive", title, "cluster_id"),
@@ -141,12 +217,18 @@ def compose_titles(rows: DataFrame, clusters: DataFrame, decisions: DataFrame) -
     return filled, status
 
 
-def ingest(rows: DataFrame, decisions: DataFrame, word_decisions: DataFrame, clusters: DataFrame | None = None) -> dict[str, DataFrame]:
+def composed_suggestions(status: DataFrame) -> DataFrame:
+    """id, field, proposal of the titles that compose_titles composed, so that they stay apart from those written by hand."""
+    return status.where("status = 'composed'").select("id", F.lit("title_translit").alias("field"), F.col("value").alias("proposal"))
+
+
+def ingest(rows: DataFrame, decisions: DataFrame, word_decisions: DataFrame, clusters: DataFrame | None = None, scope: DataFrame | None = None) -> dict[str, DataFrame]:
     """What an export's decisions (with their ordinal) do, pass by pass: spelling, witness, attribution, homograph.
 
-    rows and clusters after them; ledger; unconserved: spelling decisions whose fault still stands; keeps;
-    stale: answers held back because their card changed; contested: keys still open, and varies: those ruled to
-    depend on their context; overrides: readings that hold corpus-wide. Each pass is saved, so none is worked out twice.
+    rows and clusters after them; ledger, in which an edit that a later pass has undone is in quarantine; unconserved: those
+    edits; suggestions: what was composed; keeps; stale: answers held back because their card changed; contested: keys still open, and varies: those ruled to
+    depend on their context; overrides: readings that hold corpus-wide. scope: card, surface, id, if decisions don't list what they
+    reach themselves. Each pass is saved, so none is worked out twice.
     """
     live, parked = adjudicate.live(decisions)
     of = lambda s: live.where(F.col("stratum") == s)
@@ -156,14 +238,17 @@ def ingest(rows: DataFrame, decisions: DataFrame, word_decisions: DataFrame, clu
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    ortho = of("ortho").select("ord", "id", "word", "target", "translit", "confidence", "row_scoped", "translit_source", "rows", F.col("scope.authors").alias("authors"), F.col("scope.titles").alias("title_scope"), F.col("scope.clusters").alias("clusters"))
+    lists = ("rows", "scope.authors", "scope.titles", "scope.clusters")
+    listed = [F.col(c) if c.split(".")[0] in decisions.columns else F.lit(None).cast("array<string>") for c in lists]
+    more = ["n_titles"] if "n_titles" in decisions.columns else []
+    ortho = of("ortho").select("ord", "id", "word", "target", "translit", "confidence", "row_scoped", "translit_source", *(c.alias(name) for c, name in zip(listed, ("rows", "authors", "title_scope", "clusters"), strict=True)), *more)
     ledgers, state, named = [], rows, None
-    for stratum, step in (("ortho", lambda state: adjudicate.apply_ortho(state, ortho)), ("witness", lambda state: adjudicate.apply_witness(state, of("witness"))), ("attribution", lambda state: adjudicate.apply_attribution(state, of("attribution")))):
+    for stratum, step in (("ortho", lambda state: adjudicate.apply_ortho(state, ortho, scope)), ("witness", lambda state: adjudicate.apply_witness(state, of("witness"))), ("attribution", lambda state: adjudicate.apply_attribution(state, of("attribution")))):
         state, more = step(state)
         state = saved(state, stratum)
         ledgers.append(more)
     if clusters is not None:
-        named, more = adjudicate.apply_ortho_names(clusters, ortho)
+        named, more = adjudicate.apply_ortho_names(clusters, ortho, scope)
         ledgers.append(more)
     overrides, settled = adjudicate.gates(adjudicate.reject_ortho(ortho))
     words = X.word_keys(F.coalesce("title", F.lit("")))
@@ -175,7 +260,10 @@ def ingest(rows: DataFrame, decisions: DataFrame, word_decisions: DataFrame, clu
     ledger = more.unionByName(deferred)
     for part in ledgers:
         ledger = ledger.unionByName(part)
-    ledger = saved(ledger, "ledger")
+    ledger = saved(ledger, "passes")
+    faulty = saved(adjudicate.unconserved(state, ledger, ortho), "unconserved")
+    ledger = ledger.unionByName(adjudicate.reverted(faulty))
+    made = ledger.where("stratum = 'homograph' AND status = 'applied'").select(F.col("row").alias("id")).distinct()
+    composed = state.join(made, "id", "left_semi").select("id", F.lit("title_translit").alias("field"), F.col("title_translit").alias("proposal"))
     stale = decisions.where("coalesce(stale, false)").select("id", "stratum") if "stale" in decisions.columns else decisions.select("id", "stratum").limit(0)
-    faulty = adjudicate.unconserved(state, ledger, ortho)
-    return {"rows": state, "ledger": ledger, "unconserved": faulty, "keeps": adjudicate.keeps(decisions), "stale": stale, "contested": contested, "varies": varies, "overrides": overrides} | ({"clusters": named} if named is not None else {})
+    return {"rows": state, "ledger": ledger, "unconserved": faulty, "suggestions": composed, "keeps": adjudicate.keeps(decisions), "stale": stale, "contested": contested, "varies": varies, "overrides": overrides} | ({"clusters": named} if named is not None else {})

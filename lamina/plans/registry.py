@@ -1,7 +1,6 @@
 """Every query of the library by name, and the SQL that gives the same rows.
 
-Operators run over the star schema and the documents where those hold what they need, and over inline
-rows where they need right-to-left script. Lists are compared as joined strings.
+Operators run over the star schema, the documents, and names and titles made of them. Lists are compared as joined strings.
 """
 
 from __future__ import annotations
@@ -11,10 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.functions import names as N
 from lamina.functions import similarity as S
 from lamina.functions import textnorm as X
-from lamina.operators import adjudicate, audit, candidates, catalogue, fields, lexicon, resolve, windows, worklist
+from lamina.operators import audit, candidates, catalogue, fields, lexicon, resolve, windows, worklist
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,6 +49,8 @@ _TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda
 
 
 # -- audits ---------------------------------------------------------------------------------------
+
+
 @query(f"""WITH d AS (SELECT {_NORM_SQL} AS norm_title, source FROM documents)
 SELECT norm_title, array_to_string(list_sort(list(DISTINCT source)), '|') AS clusters FROM d
 WHERE length(norm_title) >= 6 GROUP BY 1 HAVING count(DISTINCT source) > 1""")
@@ -99,29 +99,9 @@ def worklist_totals(spark, sf_dir):
     return audit.totals(attribution=audit.several(part, ["p_name"], "p_brand"), case=customer.where(F.col("c_name") != F.lower("c_name")))
 
 
-_FORMS = [("c1", "علي بن محمد البصري", "علي بن محمد البصري"), ("c1", "حسن بن محمد البصري", "علي بن محمد البصري"), ("c1", "البصري", "علي بن محمد البصري"), ("c2", "ابو الحسن النوري", "ابو الحسن النوري"), ("c2", "الحسن بن علي", "ابو الحسن النوري"), ("c3", "محمد بن احمد", "محمد بن احمد"), ("c3", "احمد بن محمد", "محمد بن احمد"), ("c4", "يزدانيار بن علي", "يزدانيار بن علي"), ("c4", "يازدانيار بن علي", "يزدانيار بن علي")]
-
-
-@query("""SELECT * FROM (VALUES
-('c1', 'حسن بن محمد البصري', 'علي بن محمد البصري', 'refute', 1), ('c2', 'ابو الحسن النوري', 'الحسن بن علي', 'refute', 1),
-('c3', 'احمد بن محمد', 'محمد بن احمد', 'refute', 2), ('c4', 'يازدانيار بن علي', 'يزدانيار بن علي', 'refute', 1))
-AS t(cluster_id, form_a, form_b, severity, n_reasons)""")
-def over_merge(spark, sf_dir):
-    forms = spark.createDataFrame(_FORMS, "cluster_id string, form string, canonical string")
-    rare = audit.rare(audit.token_df(forms.withColumn("id", F.monotonically_increasing_id()), X.tokens(F.col("form"))))
-    return audit.over_merge(forms, rare).where("severity = 'refute'").select("cluster_id", "form_a", "form_b", "severity", F.size("reasons").alias("n_reasons"))
-
-
-@query("""SELECT * FROM (VALUES ('ابو حفص عمر بن علي البصري', 'ابو حفص', 'عمر', 'علي', 'البصري', false),
-('ابن العربي', NULL, NULL, 'العربي', 'العربي', true), ('عبد الله بن عبد الرحمن', NULL, 'عبد الله', 'عبد الرحمن', '', false),
-('الجنيد', NULL, NULL, '', '', false), ('ابو عبد الله محمد', 'ابو عبد الله', NULL, '', '', false))
-AS t(norm, kunya, ism, chain, nisbahs, shuhrah)""")
-def parsed_names(spark, sf_dir):
-    rows = spark.createDataFrame([("ابو حفص عمر بن علي البصري",), ("ابن العربي",), ("عبد الله بن عبد الرحمن",), ("الجنيد",), ("ابو عبد الله محمد",)], "raw string")
-    return rows.select(N.parse(X.normalize_ar(F.col("raw"))).alias("p")).select("p.norm", "p.kunya", "p.ism", joined("p.chain").alias("chain"), joined("p.nisbahs").alias("nisbahs"), "p.shuhrah")
+# -- candidates and similarity --------------------------------------------------------------------
 
 
-# -- candidates and similarity --------------------------------------------------------------------
 @query("""WITH t AS (SELECT DISTINCT p_name AS id, unnest(string_split(p_name, ' ')) AS tok FROM (SELECT DISTINCT p_name FROM part)),
 k AS (SELECT DISTINCT id, 't:' || tok AS key FROM t WHERE length(tok) >= 4 UNION SELECT DISTINCT id, 'p:' || left(tok, 4) FROM t WHERE length(tok) >= 4),
 b AS (SELECT p_name AS id, string_split(p_name, ' ') AS w FROM (SELECT DISTINCT p_name FROM part)),
@@ -157,6 +137,8 @@ def similarity_scores(spark, sf_dir):
 
 
 # -- resolution -----------------------------------------------------------------------------------
+
+
 @query("""WITH RECURSIVE n AS (SELECT DISTINCT p_name AS s, list_distinct(string_split(p_name, ' ')) AS t FROM part),
 e AS (SELECT a.s AS a, b.s AS b FROM n a JOIN n b ON a.s <> b.s AND (list_has_all(a.t, b.t) OR list_has_all(b.t, a.t))
       AND len(list_filter(list_intersect(a.t, b.t), lambda x: length(x) > 2)) > 0),
@@ -202,13 +184,6 @@ def pin_split(spark, sf_dir):
     return pinned.agg(F.count("*").alias("n")).select(F.lit(True).alias("pinned"), "n").unionByName(rest.agg(F.count("*").alias("n")).select(F.lit(False).alias("pinned"), "n"))
 
 
-@query("""SELECT * FROM (VALUES ('c1', 'أبي علي|حسن')) AS t(cluster_id, variants)""")
-def variant_overlay(spark, sf_dir):
-    computed = spark.createDataFrame([("c1", "ابي علي", 0), ("c1", "أبي علي", 1), ("c1", "حسن", 2)], "cluster_id string, variant string, ord int")
-    pinned = spark.createDataFrame([("c1", "أبي علي", 0), ("c1", "محمود", 1)], "cluster_id string, variant string, ord int")
-    return resolve.merge_variants(computed, pinned).select("cluster_id", joined("variants").alias("variants"))
-
-
 @query("""SELECT p_brand, array_to_string(list_sort(list(DISTINCT p_type)), '|') AS clusters, arg_max(p_type, p_partkey) AS winner FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1""")
 def name_conflicts(spark, sf_dir):
     return resolve.conflicts(table(spark, sf_dir, "part"), "p_brand", "p_type", "p_partkey").select("p_brand", joined("clusters").alias("clusters"), "winner")
@@ -226,6 +201,8 @@ def top_clusters(spark, sf_dir):
 
 
 # -- fields ---------------------------------------------------------------------------------------
+
+
 @query("""WITH e AS (SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN 'C' || user_id END AS city, CASE WHEN event_type = 'click' THEN 'L' || user_id END AS library FROM events),
 a AS (SELECT *, last_value(city IGNORE NULLS) OVER (PARTITION BY user_id % 7 ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS c FROM e),
 b AS (SELECT *, CASE WHEN c IS DISTINCT FROM lag(c) OVER (PARTITION BY user_id % 7 ORDER BY event_id) THEN 1 ELSE 0 END AS t FROM a),
@@ -237,29 +214,6 @@ def ffill_reset(spark, sf_dir):
     return fields.fill_down(rows, "event_id", partition="volume").select("event_id", "city", "library")
 
 
-@query("""SELECT * FROM (VALUES (0, 'Arabe 1397', ''), (1, '', '13 folios'), (2, 'Besir aga 36', '(3 vols.)'), (3, '', '(3 vols.)'), (4, 'Isma''il 1571', 'fol.55b-63b'), (5, 'Laleli 12', 'pp.141-145 (2 vols)'), (6, '', ''), (7, '2821 spr 851', 'fol.76v')) AS t(i, shelfmark, folios)""")
-def shelfmark_split(spark, sf_dir):
-    raw = ["Arabe1397", "13 folios", "Besir aga 36 (3 vols.)", "(3 vols.)", "Isma'il  1571, Fol.55b- 63b", "Laleli 12, PP.141 -145 (2 vols)", "", "2821 spr 851 fol.,76v"]
-    rows = spark.createDataFrame(list(enumerate(raw)), "i int, s string")
-    return rows.select("i", fields.split_shelfmark(F.col("s")).alias("x")).select("i", "x.*")
-
-
-@query("""SELECT * FROM (VALUES ('Ritter, hellmut', 'Hellmut Ritter'), ('massignon  louis', 'Massignon Louis'), ('BnF', 'BnF'), ('éluard, paul', 'Paul Éluard')) AS t(raw, tidy)""")
-def latin_name_tidy(spark, sf_dir):
-    return spark.createDataFrame([("Ritter, hellmut",), ("massignon  louis",), ("BnF",), ("éluard, paul",)], "raw string").select("raw", X.latin_author(F.col("raw")).alias("tidy"))
-
-
-@query("""SELECT * FROM (VALUES ('آدم', 'ادم', 'آدم'), ('مُحَمَّد', 'محمد', 'محمد'), ('كـتاب', 'كتاب', 'كتاب'), ('رسالة الهدى', 'رساله الهدي', 'رسالة الهدى')) AS t(raw, key, bare)""")
-def folded_keys(spark, sf_dir):
-    rows = spark.createDataFrame([("آدم",), ("مُحَمَّد",), ("كـتاب",), ("رسالة الهدى",)], "raw string")
-    return rows.select("raw", X.normalize_ar(F.col("raw")).alias("key"), X.bare(F.col("raw")).alias("bare"))
-
-
-@query("""SELECT * FROM (VALUES ('kita:b', 'kitāb'), ('al-h.ikma', 'al-ḥikma'), ('s.u:fi:', 'ṣūfī'), ('d_ t_ g_ h_ s_ j_', 'ḏ ṯ ġ ḫ š ǧ'), ('Kitab al-tawahhum', 'Kitab al-tawahhum')) AS t(typed, full_form)""")
-def shorthand(spark, sf_dir):
-    return spark.createDataFrame([("kita:b",), ("al-h.ikma",), ("s.u:fi:",), ("d_ t_ g_ h_ s_ j_",), ("Kitab al-tawahhum",)], "typed string").select("typed", X.expand_shorthand(F.col("typed")).alias("full_form"))
-
-
 @query("""SELECT printf('r%04d', row_number() OVER (ORDER BY o_orderdate, o_orderkey)) AS id, o_orderkey FROM orders""")
 def row_ids(spark, sf_dir):
     return fields.mint_row_ids(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
@@ -304,14 +258,6 @@ def unlock_rank(spark, sf_dir):
     return lexicon.unlocks(table(spark, sf_dir, "documents"), _tokens(), known, "doc_id")
 
 
-@query("""SELECT * FROM (VALUES ('t1', 'composed', 'risālat manāzil'), ('t2', 'contested', NULL), ('t3', 'unknown', NULL), ('t4', 'varies', NULL), ('t5', 'composed', 'al-risālah manāzil')) AS t(id, status, value)""")
-def compose_titles(spark, sf_dir):
-    rows = spark.createDataFrame([("t1", "رسالة منازل"), ("t2", "منازل علي"), ("t3", "كتاب منازل"), ("t4", "من منازل"), ("t5", "الرسالة منازل")], "id string, title string")
-    lex = spark.createDataFrame([("رساله", "risālah"), ("منازل", "manāzil"), ("الرساله", "al-risālah")], "key string, reading string")
-    one = lambda *ks: spark.createDataFrame([(k,) for k in ks], "key string")
-    return lexicon.compose(rows, X.word_keys(F.col("title")), lex, one("علي"), one("من"))
-
-
 @query("""WITH v AS (SELECT CASE WHEN o_orderpriority = '' THEN 'independent' WHEN o_orderstatus = left(o_orderpriority, 1) THEN 'accepted' ELSE 'overridden' END AS verdict FROM orders WHERE o_orderstatus <> '')
 SELECT verdict, count(*) AS n, round_even(100.0 * count(*) / sum(count(*)) OVER (), 3) AS percent FROM v GROUP BY 1""")
 def provenance_tally(spark, sf_dir):
@@ -326,34 +272,6 @@ def next_word(spark, sf_dir):
 
 
 # -- adjudication ---------------------------------------------------------------------------------
-_ROWS = [("r1", "الاول في الزهد", "al-awal fī al-zuhd", "الاول", ""), ("r2", "الاول", "", "x", ""), ("r3", "كتاب الاول", "one", "", "old"), ("r4", "رسالة المحاسبي", "risālat al-muḥāsibī", "", "")]
-
-
-def _rows(spark):
-    return spark.createDataFrame(_ROWS, "id string, title string, title_translit string, author string, catalog_note string")
-
-
-def _ortho(spark):
-    return spark.createDataFrame([(0, "d1", "الاول", "الأوّل", "al-awwal", "hamza", False, "typed", ["r1", "r2", "r3", "r9"], ["r1"], []), (1, "d2", "الزهد", "", "", None, False, None, ["r1"], [], []), (2, "d3", "الزهد", "الزهد", "al-zuhd", None, False, "default", ["r1"], [], [])], adjudicate.ORTHO)
-
-
-@query("""SELECT * FROM (VALUES ('d1', 'applied', 3, 0), ('d1', 'quarantine', 2, 1), ('d2', 'quarantine', 1, 0), ('d3', 'unchanged', 1, 0)) AS t(id, status, n, n_partial)""")
-def ingest_ledger(spark, sf_dir):
-    return adjudicate.apply_ortho(_rows(spark), _ortho(spark))[1].groupBy("id", "status").agg(F.count("*").cast("int").alias("n"), F.count_if("partial").cast("int").alias("n_partial"))
-
-
-@query("""SELECT * FROM (VALUES ('h1', 'applied', 'al-awwal'), ('h2', 'unchanged', 'one')) AS t(id, status, title_translit)""")
-def ingest_homograph(spark, sf_dir):
-    d = spark.createDataFrame([("h1", "r2", {"الاول": "al-awwal"}), ("h2", "r3", {})], "id string, row string, readings map<string,string>")
-    lex = spark.createDataFrame([("كتاب", "kitāb")], "key string, reading string")
-    rows, ledger = adjudicate.apply_homograph(_rows(spark), d, lex)
-    return ledger.select("id", "row", "status").join(rows.select(F.col("id").alias("row"), "title_translit"), "row").drop("row")
-
-
-@query("""SELECT * FROM (VALUES ('الاول', 'al-awwal', true)) AS t(key, reading, settled)""")
-def ingest_gates(spark, sf_dir):
-    overrides, settled = adjudicate.gates(adjudicate.reject_ortho(_ortho(spark).where("ord = 0")))
-    return overrides.join(settled.withColumn("settled", F.lit(True)), "key", "left")
 
 
 @query("""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
@@ -362,30 +280,14 @@ def keep_antijoin(spark, sf_dir):
     return worklist.pending(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id"), keeps).select(F.col("id").alias("c_custkey"))
 
 
-@query("""SELECT * FROM (VALUES ('i1', 'resolved', 'x', false), ('i2', 'open', NULL, true), ('i3', 'open', NULL, false)) AS t(id, disposition, answer, stale)""")
-def stale_answers(spark, sf_dir):
-    cards = spark.createDataFrame([("i1", "f1"), ("i2", "f2"), ("i3", "f3")], "id string, fp string")
-    answers = spark.createDataFrame([("i1", "f1", "resolved", "x"), ("i2", "f0", "resolved", "y")], "id string, fp string, disposition string, answer string")
-    return worklist.export(cards, answers).drop("fp")
-
-
-@query("""SELECT * FROM (VALUES ('النوري', 'ن', 'النّوري'), ('القدوسي', 'ي', 'القدوسيّ'), ('مدد', 'د', NULL)) AS t(word, letter, marked)""")
-def place_marks(spark, sf_dir):
-    rows = spark.createDataFrame([("النوري", "ن"), ("القدوسي", "ي"), ("مدد", "د")], "word string, letter string")
-    return rows.select("word", "letter", worklist.place_shadda(F.col("word"), F.col("letter")).alias("marked"))
-
-
 @query("""SELECT CAST(min(v) AS BIGINT) AS first, CAST(max(v) AS BIGINT) AS last, count(*) AS n, u AS user_id FROM (SELECT user_id AS u, event_id AS v, event_id - row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM (SELECT DISTINCT user_id, event_id FROM events)) GROUP BY u, g""")
 def islands(spark, sf_dir):
     return windows.islands(table(spark, sf_dir, "events"), "event_id", ["user_id"])
 
 
-@query("""SELECT * FROM (VALUES (1552, 1562, 11), (1600, 1600, 1), (1611, 1631, 21), (1648, 1648, 1), (1750, 1756, 7), (1759, 1764, 6), (1767, 1768, 2), (1770, 1773, 4)) AS t(first, last, n)""")
-def mark_ranges(spark, sf_dir):
-    return windows.mark_ranges(spark)
+# -- read layer -----------------------------------------------------------------------------------
 
 
-# -- read layer -----------------------------------------------------------------------------------
 @query("""SELECT count(*) AS n_rows, count(DISTINCT nullif(trim(c_mktsegment), '')) AS n_libraries, count(DISTINCT nullif(trim(n_name), '')) AS n_cities, count(DISTINCT c_nationkey) AS n_authors, count_if(c_mktsegment = 'BUILDING') AS n_published
 FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def catalogue_kpis(spark, sf_dir):
@@ -430,4 +332,4 @@ def json_map_explode(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
 
 
-from lamina.plans import catalogue_queries  # noqa: E402, F401  adds its queries
+from lamina.plans import catalogue_queries, decision_queries, name_queries  # noqa: E402, F401  add their queries

@@ -13,7 +13,7 @@ ROW_COLUMNS = ("id", "page", "city", "library", "shelfmark", "folios", "title",
 _ROW = ",".join(f"{c}:{'int' if c == 'page' else 'string'}" for c in ROW_COLUMNS)
 _CLUSTER = f"cluster_id:string,canonical_ar:string,canonical_translit:string,full_name:string,dates:string,category:string,variants:array<string>,count:bigint,confidence:double,user_confirmed:boolean,authorities:{_AUTHORITY}"
 #: Schemas are given, never inferred: an object used as a map would become a struct with a field a key.
-CORPUS = f"rows array<struct<{_ROW}>>, clusters array<struct<{_CLUSTER}>>"
+CORPUS = f"rows array<struct<{_ROW}>>, clusters array<struct<{_CLUSTER}>>, machine_suggestions map<string,map<string,string>>"
 RAW_ROWS = "id string, page int, city string, library string, shelfmark_raw string, title string, author string, archive string"
 WORDS = "schema_version int, annotated_date string, source string, counts map<string,int>, words map<string,struct<translit:string,varies:boolean,decided:boolean>>"
 KEEPS = "schema_version int, updated string, keeps map<string,struct<stratum:string,word:string,row:string,kept:string,note:string>>"
@@ -120,9 +120,15 @@ def snapshot(df: DataFrame, folder: str, date: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
+    """A JSON object a line, in files of a folder."""
     df.write.mode("overwrite").json(path)
 
 
+def read_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """The current version of each named table below a folder."""
+    return {name: read_version(spark, f"{folder}/{name}") for name in names}
+
+
 def script_safe(payload: Column) -> Column:
     """JSON of a payload that can stand inside a script element."""
     return F.replace(F.to_json(payload), F.lit("</"), F.lit("<\\/"))
