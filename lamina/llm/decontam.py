@@ -7,7 +7,7 @@ BLOCK_CHARS characters of benchmark are broadcast at a time; a larger benchmark
 block and the hits are united, so nothing is dropped and no broadcast outgrows the bound. Windows
 are found by a rolling hash and each hit is verified on the words themselves.
 
-Null or empty texts have no words and no hits; items without words have no windows. Items
+Null or empty texts have no words and no hits, and long ones are scanned whole, in a task's memory; items without words have no windows. Items
 without an id count for hits and spans, but are in no list of items. Repeated items,
 repeated rows and columns beyond those named don't matter; `keep` refuses the names of the results.
 Rows are independent of each other; an empty table gives no rows.

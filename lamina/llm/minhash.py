@@ -14,7 +14,7 @@ HASHES hashes, the finer one a bit of each of FINE; the latter is made within th
 share much but not enough, as outliers of a large group of copies do with its members, are not written
 out. Survivors are verified on the full sets. Components are found by star contraction on saved tables.
 
-Null, empty and blank texts have empty sets and link with nothing. Rows with one doc_id count as one
+Null, empty and blank texts have empty sets and link with nothing; long ones are hashed whole, in a task's memory. Rows with one doc_id count as one
 document with the links of each; a null doc_id links with nothing. Columns beyond doc_id and text
 are ignored. An empty table gives no rows.
 """

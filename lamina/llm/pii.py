@@ -16,7 +16,7 @@ the base spans. A unit that no base span covers may yet be of a kind, so it coun
 repeats one that a span covers: what such a pair's labels are is for the field to say. Before any data, repeats share a
 label by odds of AGREE. That sample is the only bounded one; every text is scanned whole.
 
-Null and empty texts have no spans. Rows are independent; ties, repeated rows and extra columns don't
+Null and empty texts have no spans; long ones are scanned whole, in a task's memory. Rows are independent; ties, repeated rows and extra columns don't
 matter, and an empty table gives no rows; `keep` refuses the names of the results. Positions are code
 points, ends exclusive.
 """

@@ -14,7 +14,7 @@ which shrinks with length. The p-values of all runs of the table are held to a f
 `rate` by the Benjamini-Hochberg rule within each length class, over counts of at most a few thousand
 bins, whatever the table's size.
 
-Null and empty texts have no spans. Rows are independent but for the false-discovery bounds; ties,
+Null and empty texts have no spans; long ones are scanned whole, in time that grows with their length. Rows are independent but for the false-discovery bounds; ties,
 repeated rows and extra columns don't matter, and an empty table gives no rows; `keep` refuses the names of the results. Positions are code
 points, ends exclusive.
 """
@@ -158,6 +158,20 @@ def bounds(judged: DataFrame, rate: float) -> DataFrame:
     return least.agg(F.map_from_entries(F.collect_list(F.struct("class", "least"))).alias("__least"))
 
 
+def uncovered(base: Column, runs: Column) -> Column:
+    """The runs (start, end) that overlap none of the base spans, ascending by end. Both are put in one order, in which the farthest end of
+    the spans that begin before a run's end tells, so the work grows with their number and not with its square."""
+    event = lambda at, own, reach, s: F.struct(at.cast("int").alias("at"), F.lit(own).alias("own"), reach.cast("int").alias("reach"), s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"))
+    both = F.array_sort(F.concat(F.transform(base, lambda s: event(s["start"], 1, s["end"], s)), F.transform(runs, lambda r: event(r["end"], 0, F.lit(0), r))))
+
+    def free(events: Column) -> Column:
+        reached = F.zip_with(events, running(F.transform(events, lambda e: e["reach"]), F.greatest), lambda e, far: F.struct(e.alias("e"), far.alias("far")))
+        return F.transform(F.filter(reached, lambda x: (x["e"]["own"] == 0) & (x["far"] <= x["e"]["start"])), lambda x: F.struct(x["e"]["start"].alias("start"), x["e"]["end"].alias("end")))
+
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    return F.when(F.size(runs) > 0, _let(both, free)).otherwise(none)
+
+
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", rate: float = 0.01) -> DataFrame:
     """The columns of `keep` and spans array<struct<start,kind,end>> by start and kind, where kind is
     a place in KINDS. A random run that overlaps a base span adds none."""
@@ -170,9 +184,8 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text
     found = scratch.save(docs.select(*keep, base.alias("__base"), judged.alias("__runs")), "found")
     runs = found.select(F.explode("__runs").alias("r")).select(length_class(F.col("r.is.size")).alias("class"), F.col("r.is.bin").alias("bin"))
     least = F.broadcast(scratch.save(bounds(runs, rate), "bounds"))  # one row
-    free = lambda r: ~F.exists("__base", lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"]))
-    discovery = lambda r: (r["is"]["bin"] >= F.coalesce(F.element_at("__least", length_class(r["is"]["size"])), F.lit(TOP_BIN + 1))) & free(r)
-    random = F.transform(F.filter("__runs", discovery), lambda r: F.struct(r["start"].alias("start"), F.lit(len(BASE)).alias("kind"), r["end"].alias("end")))
+    discovery = lambda r: r["is"]["bin"] >= F.coalesce(F.element_at("__least", length_class(r["is"]["size"])), F.lit(TOP_BIN + 1))
+    random = F.transform(uncovered(F.col("__base"), F.filter("__runs", discovery)), lambda r: F.struct(r["start"].alias("start"), F.lit(len(BASE)).alias("kind"), r["end"].alias("end")))
     return found.join(least).select(*keep, F.array_sort(F.concat("__base", random)).alias("spans"))
 
 

@@ -10,7 +10,7 @@ text can hold.
 the bits are cut into radius + EXTRA blocks, of which a pair within the radius shares at least EXTRA
 whole, and there is a table for each choice of EXTRA blocks. Equal fingerprints meet once.
 
-Null and empty texts, and blank ones, have the fingerprint of no votes, all zeros. Equal texts have
+Null and empty texts, and blank ones, have the fingerprint of no votes, all zeros. All words of a long text vote. Equal texts have
 equal fingerprints. Extra columns are ignored. Rows that share a doc_id are each a row of the result;
 their order among themselves is open. A row without a doc_id has no next document, nor is it one. An
 empty table gives no rows.

@@ -12,7 +12,7 @@ Training reads at most SAMPLE labelled documents of each class, those with the l
 doc_id, of at most SAMPLE_CHARS characters each; it is the one bounded sample here. Scoring reads
 every word of every text. Labels, lang, source and doc_id are no inputs of a score.
 
-Null and empty texts have no words and the score of a text without toxic words. Rows are scored one
+Null and empty texts have no words and the score of a text without toxic words. Long texts are tagged whole, in a task's memory. Rows are scored one
 by one: ties, repeated rows and extra columns don't matter; `keep` refuses the names of the results. An
 empty table gives no rows. With fewer than eight labelled documents, or none of one
 class, nothing can be learned and every score is UNLEARNED.

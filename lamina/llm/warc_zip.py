@@ -7,7 +7,7 @@ is one), parses the central directory, takes the place of each stored member fro
 and reads index and records by range.
 
 Pages with equal payloads of at least `least` bytes are one response, that with the smallest page_id,
-and revisits of it. Null html is empty. Pages without a page_id are responses of their own, and rows
+and revisits of it. Null html is empty, long html is one payload in a task's memory, and an empty table gives no archives and no rows. Pages without a page_id are responses of their own, and rows
 that share the smallest page_id all are. Null urls become urn:page:<page_id>. Columns beyond
 page_id, url and html are ignored.
 """

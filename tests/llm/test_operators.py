@@ -274,6 +274,19 @@ def test_the_battery_enters_the_p_value(spark):
     assert ordered + 50 < mixed
 
 
+def test_runs_that_overlap_no_base_span(spark):
+    own = random.Random(4)
+    rows = []
+    for i in range(60):
+        some = lambda n: sorted((a, a + own.randint(1, 9)) for a in (own.randrange(120) for _ in range(own.randint(0, n))))
+        rows.append((i, some(8), some(12)))
+    rows.append((99, [(20 * k, 20 * k + 9) for k in range(4000)], [(20 * k + (5 if k % 2 else 10), 20 * k + 15) for k in range(4000)]))
+    kind = "array<struct<start:int,end:int>>"
+    got = spark.createDataFrame(rows, f"i int, base {kind}, runs {kind}").select("i", secret_scan.uncovered(F.col("base"), F.col("runs")).alias("free")).collect()
+    for (_, base, runs), r in zip(rows, got):
+        assert sorted(map(tuple, r["free"])) == [(a, b) for a, b in runs if not any(s < b and a < e for s, e in base)]
+
+
 def test_secrets_are_redacted(spark):
     d = docs(spark, ["é token=abcdef, é", "clean", None])
     got = secret_scan.redact(d)
