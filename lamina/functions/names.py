@@ -40,6 +40,7 @@ def folded(name: Column) -> Column:
     return F.array_distinct(F.transform(X.tokens(X.fold_orthography(name["norm"])), X.strip_article))
 
 
+# The openings of the reasons below are fixed values: worklists are compared by them.
 def refute(a: Column, b: Column) -> Column:
     """array<string>: the grounds on which two parsed names are of different people; empty if none."""
     other_ism = F.when(key(a["ism"]) != key(b["ism"]), F.concat_ws(" ", F.lit("different ism:"), a["ism"], F.lit("vs"), b["ism"]))

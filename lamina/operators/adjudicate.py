@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from lamina.functions import textnorm as X
 
 _WORD = re.compile(X.WORD)
+# The notes that rows carry about a tail that was taken off a title.
+MOVED = "Title as catalogued ends «{}»"
+UNTRIMMED = "title_translit not trimmed with the removed tail «{}» — word counts did not align."
 ORTHO = "ord int, id string, word string, target string, translit string, confidence string, row_scoped boolean, translit_source string, rows array<string>, authors array<string>, title_scope array<string>"
 
 
@@ -213,7 +216,7 @@ ATTRIBUTED = ("title", "title_translit", "catalog_note", "discrepancy_note")
 
 
 def _moved(note: str, tail: str, translit: str | None) -> str:
-    own = f"Title as catalogued ends «{tail}»" + (f" ({translit})" if translit else "") + "."
+    own = MOVED.format(tail) + (f" ({translit})" if translit else "") + "."
     return f"{note.strip()} {own}".strip()
 
 
@@ -244,7 +247,7 @@ def _strip_tail(own: dict, d: dict, target: str, tail: str) -> dict | str:
         parts, last = own["title_translit"].split(), len((d["tail_translit"] or "").split())
         out["title_translit"] = " ".join(parts[:-last]) if 0 < last < len(parts) else d["target_translit"]
     elif not d["aligned"]:
-        out["discrepancy_note"] = f"{own['discrepancy_note'].strip()} title_translit not trimmed with the removed tail «{tail}» — word counts did not align.".strip()
+        out["discrepancy_note"] = f"{own['discrepancy_note'].strip()} {UNTRIMMED.format(tail)}".strip()
     return out
 
 

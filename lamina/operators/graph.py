@@ -10,15 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A folder below spark.checkpoint.dir, or in local mode below one of our own where that is unset."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, or in local mode one of our own where that is unset, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lamina-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/lamina-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_dir(spark)}/lamina-{uuid.uuid4().hex}"
 
 
 def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
