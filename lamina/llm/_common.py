@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
-import tempfile
 import uuid
 from contextlib import contextmanager
 from pathlib import Path
@@ -16,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.operators.graph import shared_dir
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -41,17 +41,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="lamina-shared-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 class Scratch:
     """Tables written to the shared folder to cut lineage: a lost executor costs no recomputation
     of what was written, and each later read is of the same rows."""
