@@ -21,3 +21,11 @@ def test_places_that_disagree_as_often_count_each(spark):
     forms = spark.createDataFrame([("c", n, names[0]) for n in names], "cluster_id string, form string, canonical string")
     found = audit.disagreements(forms, spark.createDataFrame([], "token string, df long")).collect()
     assert sorted((r["kind"], r["at"], r["n_pairs"]) for r in found) == [("nasab", 0, 1), ("nasab", 1, 1)]
+
+
+def test_long_titles_take_linear_time(spark, tmp_path):
+    sf = documents(spark, tmp_path, ("alpha beta " * 15_000, "src2"), ("gamma gamma", "src1"))
+    began = time.perf_counter()
+    assert sorted(map(tuple, registry.QUERIES["unconserved"](spark, sf).collect())) == [("2", "d-2")]
+    assert sorted(map(tuple, registry.QUERIES["ingest_reverted"](spark, sf).collect())) == [("1", "d-1", "applied"), ("2", "d-2", "applied"), ("2", "d-2", "quarantine")]
+    assert time.perf_counter() - began < 60
