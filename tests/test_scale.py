@@ -4,8 +4,8 @@ import time
 
 from pyspark.sql import functions as F
 
-from lamina.operators import audit
-from lamina.plans import registry
+from lamina.operators import audit, lexicon
+from lamina.plans import jobs, registry
 
 
 def documents(spark, path, *texts):
@@ -29,3 +29,24 @@ def test_long_titles_take_linear_time(spark, tmp_path):
     assert sorted(map(tuple, registry.QUERIES["unconserved"](spark, sf).collect())) == [("2", "d-2")]
     assert sorted(map(tuple, registry.QUERIES["ingest_reverted"](spark, sf).collect())) == [("1", "d-1", "applied"), ("2", "d-2", "applied"), ("2", "d-2", "quarantine")]
     assert time.perf_counter() - began < 60
+
+
+
+
+def test_occurrences_hold_whole_titles(spark):
+    rows = [(f"r{k:02}", f"كتاب جديد{'ا' * (k % 2)}", "", "a") for k in range(12)] + [("r99", "كتاب", "kitāb", "a")]
+    none = spark.createDataFrame([], "key string, reading string, varies boolean")
+    got = {r["word"]: r for r in jobs.word_worklist(spark.createDataFrame(rows, "id string, title string, title_translit string, author string"), none).collect()}
+    assert {w: (r["titles"], r["unlocks"], r["more"], [o["id"] for o in r["occurrences"]]) for w, r in got.items()} == {"جديد": (6, 6, 0, ["r00", "r02", "r04", "r06", "r08", "r10"]), "جديدا": (6, 6, 0, ["r01", "r03", "r05", "r07", "r09", "r11"])}
+    assert {o["title"] for o in got["جديد"]["occurrences"]} == {"كتاب جديد"}
+
+
+def test_titles_pass_no_shuffle_with_each_word(spark):
+    """What is exploded holds a title's key alone: the plan reads no array of words above the generator."""
+    rows = spark.createDataFrame([("r1", "كتاب النور"), ("r2", "")], "id string, title string")
+    lex = spark.createDataFrame([("كتاب", "kitāb"), ("النور", "al-nūr")], "key string, reading string")
+    none = spark.createDataFrame([], "key string")
+    found = lexicon.compose(rows, F.split("title", " "), lex, none, none)
+    assert {r["id"]: (r["status"], r["value"]) for r in found.collect()} == {"r1": ("composed", "kitāb al-nūr"), "r2": ("unknown", None)}
+    generate = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate posexplode" in line]
+    assert generate and all("__w" not in line for line in generate)
