@@ -50,3 +50,47 @@ def test_titles_pass_no_shuffle_with_each_word(spark):
     assert {r["id"]: (r["status"], r["value"]) for r in found.collect()} == {"r1": ("composed", "kitāb al-nūr"), "r2": ("unknown", None)}
     generate = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate posexplode" in line]
     assert generate and all("__w" not in line for line in generate)
+
+
+def test_components_and_fingerprints_broadcast_nothing(spark):
+    """The driver would hold what is broadcast."""
+    from lamina.llm import simhash_dedup
+
+    frame = type(spark.range(1))
+    seen, save = [], frame.write.fget
+
+    def write(df):
+        seen.append(df._jdf.queryExecution().sparkPlan().toString())
+        return save(df)
+
+    docs = spark.createDataFrame([(k, f"one two three four five {k % 3}") for k in range(9)], "doc_id long, text string")
+    frame.write, before = property(write), frame.write
+    try:
+        simhash_dedup.near_duplicates(docs).write.format("noop").mode("overwrite").save()
+    finally:
+        frame.write = before
+    assert len(seen) > 5 and not any("Broadcast" in plan for plan in seen)
+
+
+def test_texts_of_their_own_dont_meet(spark):
+    from lamina.operators import worklist
+
+    rows = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y"), ("d", None)], "id string, norm string")
+    assert sorted(r["id"] for r in worklist.sharing(rows, "norm").collect()) == ["a", "b"]
+
+
+def test_decisions_are_folded_once(spark):
+    from lamina.operators import adjudicate
+
+    rows = spark.createDataFrame([("r1", "a b"), ("r2", "c")], "id string, title_translit string")
+    d = spark.createDataFrame([("d1", "r1", "a", "x"), ("d2", "r9", "a", "x")], "id string, row string, was string, target string")
+    fresh, ledger = adjudicate.apply_witness(rows, d)
+    assert sorted(map(tuple, fresh.collect())) == [("r1", "x b"), ("r2", "c")] and sorted((r["id"], r["status"]) for r in ledger.collect()) == [("d1", "applied"), ("d2", "quarantine")]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (fresh, ledger)]
+    assert not any("EvalPython" in plan for plan in plans)
+
+
+def test_word_that_is_gone_is_in_no_title(spark, tmp_path):
+    sf = documents(spark, tmp_path, ("see 3eee7", "src2"), ("eee", "src2"))
+    got = {r["id"]: (r["status"], r["partial"], r["reason"]) for r in registry.QUERIES["ingest_ledger"](spark, sf).collect()}
+    assert got == {"d1": ("quarantine", False, "the row no longer contains ججج"), "d2": ("quarantine", True, "title and transliteration have 1 and 2 words")}
