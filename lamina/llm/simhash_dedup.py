@@ -14,7 +14,7 @@ so that the Manhattan distance is the number of bits in which two embeddings dif
 
 Only different fingerprints meet, and no pair of a dense group is written out: the fingerprints of a cell
 first meet its smallest one, and then only those of other components, of which each keeps one link for
-each component. EXTRA trades copies of a fingerprint (a row for each grid) for pairs per cell; results are
+each component. No side of a join is broadcast, so the driver's memory doesn't grow with the links. EXTRA trades copies of a fingerprint (a row for each grid) for pairs per cell; results are
 the same for any.
 
 Null, empty and blank texts have the fingerprint zero, linked like any other. Long texts are hashed
@@ -125,17 +125,17 @@ def linked(values: DataFrame, scratch: C.Scratch, more: DataFrame | None = None,
     keys = F.array(*(F.xxhash64(F.lit(k), F.col("e").bitwiseAND(F.lit(m))) for k, m in enumerate(masks)))
     rows = values.select("fingerprint").distinct().withColumn("e", embedding("fingerprint", width)).select("fingerprint", F.explode(keys).alias("cell"))
     crowded = rows.groupBy("cell").agg(F.min("fingerprint").alias("hub"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
-    met = scratch.save(rows.join(crowded, "cell"), "met")
+    met = scratch.save(rows.join(crowded.hint("merge"), "cell"), "met")
     first = met.where((F.col("fingerprint") > F.col("hub")) & (differing("fingerprint", "hub") <= radius)).select(F.col("fingerprint").alias("a"), F.col("hub").alias("b"))
     links = scratch.save((first.unionByName(more) if more is not None else first).distinct(), "links1")
     labels = scratch.save(components(links, scratch, "first"), "labels1").withColumnRenamed("node", "fingerprint")
 
-    labelled = met.select("cell", "fingerprint").join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
+    labelled = met.select("cell", "fingerprint").join(labels.hint("merge"), "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
     mixed = labelled.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("cell")
-    apart = scratch.save(labelled.join(mixed, "cell", "left_semi").withColumn("e", embedding("fingerprint", width)), "apart")
+    apart = scratch.save(labelled.join(mixed.hint("merge"), "cell", "left_semi").withColumn("e", embedding("fingerprint", width)), "apart")
     x, y = apart.alias("x"), apart.alias("y")
     near = (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") < F.col("y.label")) & (differing("x.e", "y.e") <= radius) & (differing("x.fingerprint", "y.fingerprint") <= radius)
-    found = x.join(y, near).groupBy(F.col("x.fingerprint").alias("a"), F.col("y.label").alias("__l")).agg(F.min("y.fingerprint").alias("b"))
+    found = x.join(y.hint("merge"), near).groupBy(F.col("x.fingerprint").alias("a"), F.col("y.label").alias("__l")).agg(F.min("y.fingerprint").alias("b"))
     links = links.unionByName(scratch.save(found.select("a", "b"), "links2"))
     out = scratch.save(components(links, scratch, "last"), "labels2")
     scratch.drop("met")
@@ -150,12 +150,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE, ra
     marked = scratch.save(fingerprints(docs, text, size), "marked")
     values = scratch.save(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "values")
     twice = marked.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fingerprint").alias("b"), F.max("fingerprint").alias("__hi")).where("b < __hi").select("doc_id", "b")
-    same = marked.join(twice, "doc_id").where("fingerprint > b").select(F.col("fingerprint").alias("a"), "b")  # the texts of one doc_id
+    same = marked.join(twice.hint("merge"), "doc_id").where("fingerprint > b").select(F.col("fingerprint").alias("a"), "b")  # the texts of one doc_id
     labels = linked(values, scratch, same, radius, width, extra).withColumnRenamed("node", "fingerprint")
-    joined = values.join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
+    joined = values.join(labels.hint("merge"), "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    parts = scratch.save(joined.join(least, "label").select("fingerprint", "component_id"), "parts")
-    return marked.join(parts, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    parts = scratch.save(joined.join(least.hint("merge"), "label").select("fingerprint", "component_id"), "parts")
+    return marked.join(parts.hint("merge"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
