@@ -1,10 +1,10 @@
 """Decisions applied as they come: a keyed, stateful stream that gives what one run over the whole export gives.
 
-The state of a row is the row as it was and every decision on it, by its stratum, ordinal and id. A batch adds those that are
-new; then all are folded over the row again, spelling first, then witnesses, then attributions, each in the order of
+The state of a row is the set of all decisions on it, by stratum, ordinal and id, as a streaming aggregate. In each batch the rows that
+it reaches meet their decisions so far, and all are folded over the row as it was, spelling first, then witnesses, then attributions, each in the order of
 the ordinals. So it doesn't matter how an export is split, in which order its parts come, and how often one is replayed. What is
 sent on is the row as it stands, its ledger and how many decisions went into it: of a row's versions the one with the
-most holds. The homograph pass needs the lexicon of all rows and stays a job.
+most holds. The table of rows stays as it was while the stream lives. The homograph pass needs the lexicon of all rows and stays a job.
 """
 
 from __future__ import annotations
@@ -12,10 +12,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lamina.operators import adjudicate
 
@@ -57,45 +56,36 @@ def fold(own: dict, decisions: list[tuple[str, dict]]) -> tuple[dict, list[tuple
     return own, ledger
 
 
-class Fold(StatefulProcessor):
-    """The state of one row and what is made of it."""
+def _version(row: str, known: bool, own: dict, taken: list[dict]) -> dict:
+    """The row as it stands after all decisions taken so far (place and JSON), and their ledger; of different ones for one place the least counts."""
+    every = [(place, json.loads(body)) for place, body in {d["place"]: d["decision"] for d in sorted(taken, key=lambda d: d["decision"], reverse=True)}.items()]
+    if known:
+        own, ledger = fold(own, every)
+    else:
+        ledger = [(d["id"], place.split("|")[0], "quarantine", "no such row", False) for place, d in sorted(every, key=lambda x: x[0])]
+    entries = [dict(zip(("id", "stratum", "status", "reason", "partial"), x, strict=True)) for x in ledger]
+    return {"row": row, "version": len(taken), "known": known} | {c: own[c] for c in FIELDS} | {"ledger": entries}
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState("row", "body string")
-        self.taken = handle.getMapState("decisions", "place string", "decision string")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.row.update((initialState["body"].iloc[0],))
+_ENTRY = pa.struct([(c, pa.bool_() if c == "partial" else pa.string()) for c in ("id", "stratum", "status", "reason", "partial")])
+_VERSION = pa.schema([("row", pa.string()), ("version", pa.int64()), ("known", pa.bool_()), *((c, pa.string()) for c in FIELDS), ("ledger", pa.list_(_ENTRY))])
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = False
-        for batch in rows:
-            for place, decision in zip(batch["place"], batch["decision"], strict=True):
-                if not self.taken.containsKey((place,)):
-                    self.taken.updateValue((place,), (decision,))
-                    fresh = True
-        if not fresh:
-            return
-        every = [(place[0], json.loads(decision[0])) for place, decision in self.taken.iterator()]
-        known = self.row.exists()
-        own = {c: "" for c in FIELDS} | (json.loads(self.row.get()[0]) if known else {})
-        if known:
-            own, ledger = fold(own, every)
-        else:
-            ledger = [(d["id"], place.split("|")[0], "quarantine", "no such row", False) for place, d in sorted(every, key=lambda x: x[0])]
-        entries = [dict(zip(("id", "stratum", "status", "reason", "partial"), x, strict=True)) for x in ledger]
-        yield pd.DataFrame([{"row": key[0], "version": len(every), "known": known} | {c: own[c] for c in FIELDS} | {"ledger": entries}])
 
-    def close(self) -> None:
-        pass
+def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, 500):
+            part = batch.slice(k, 500).to_pylist()
+            yield pa.RecordBatch.from_pylist([_version(r["row"], r["known"], {c: r[c] for c in FIELDS}, r["taken"]) for r in part], schema=_VERSION)
 
 
 def versions(decisions: DataFrame, rows: DataFrame) -> DataFrame:
-    """A stream of rows as they stand (VERSIONS) from a stream of decisions and the table of rows. The session's state store must be
-    RocksDB (STATE)."""
-    filled = F.to_json(F.struct(*(F.coalesce(c, F.lit("")).alias(c) for c in FIELDS if c in rows.columns)))
-    first = rows.select(F.col("id").alias("row"), filled.alias("body"))
-    return placed(decisions).groupBy("row").transformWithStateInPandas(statefulProcessor=Fold(), outputStructType=VERSIONS, outputMode="Update", timeMode="None", initialState=first.groupBy("row"))
+    """A stream of rows as they stand (VERSIONS) from a stream of decisions and the table of rows. A row that is reached again by what it has
+    taken already gives its version again."""
+    text = lambda c: F.coalesce(F.col(c), F.lit("")) if c in rows.columns else F.lit("")
+    own = rows.select(F.col("id").alias("row"), F.lit(True).alias("known"), *(text(c).alias(c) for c in FIELDS))
+    taken = placed(decisions).groupBy("row").agg(F.collect_set(F.struct("place", "decision")).alias("taken"))
+    met = taken.join(own, "row", "left").select("row", F.coalesce("known", F.lit(False)).alias("known"), *(F.coalesce(c, F.lit("")).alias(c) for c in FIELDS), "taken")
+    return met.mapInArrow(_versions, VERSIONS)
 
 
 def current(rows: DataFrame, made: DataFrame) -> tuple[DataFrame, DataFrame]:

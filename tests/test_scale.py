@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lamina.operators import audit, lexicon
 from lamina.plans import jobs, registry
+from lamina.streaming import ingest
 
 
 def documents(spark, path, *texts):
@@ -94,3 +95,26 @@ def test_word_that_is_gone_is_in_no_title(spark, tmp_path):
     sf = documents(spark, tmp_path, ("see 3eee7", "src2"), ("eee", "src2"))
     got = {r["id"]: (r["status"], r["partial"], r["reason"]) for r in registry.QUERIES["ingest_ledger"](spark, sf).collect()}
     assert got == {"d1": ("quarantine", False, "the row no longer contains ججج"), "d2": ("quarantine", True, "title and transliteration have 1 and 2 words")}
+
+
+def test_streamed_decisions_of_one_place_hold_in_any_order(spark, tmp_path):
+    """Decisions are a set by row, so neither their order nor Python's state of each row matters."""
+    rows = spark.createDataFrame([("r1", "كتاب", "a b")], "id string, title string, title_translit string")
+    own = "row string, ord int, id string, stratum string, disposition string, action string, was string, target string"
+    wide = "target_translit string, tail string, tail_translit string, aligned boolean, word string, translit string, confidence string, row_scoped boolean, translit_source string, rows array<string>, scope struct<titles:array<string>,authors:array<string>,clusters:array<string>>"
+    of = lambda target: spark.createDataFrame([("r1", 0, "w", "witness", "resolved", "fix", "a", target) + (None,) * 11], f"{own}, {wide}")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ingest.STATE)
+    got = []
+    try:
+        for k, order in enumerate((("x", "y"), ("y", "x"))):
+            url = f"file://{tmp_path}/{k}"
+            for n, target in enumerate(order):
+                of(target).coalesce(1).write.json(f"{url}/in/{n}")
+                made = ingest.versions(spark.readStream.schema(of("").schema).option("recursiveFileLookup", True).json(f"{url}/in"), rows)
+                assert "TransformWithState" not in made._jdf.queryExecution().analyzed().toString()
+                made.writeStream.outputMode("update").foreachBatch(lambda batch, i, url=url: batch.write.mode("overwrite").parquet(f"{url}/out/{i}")).option("checkpointLocation", f"{url}/state").trigger(availableNow=True).start().awaitTermination()
+            fresh, _ = ingest.current(rows, spark.read.option("recursiveFileLookup", True).schema(ingest.VERSIONS).parquet(f"{url}/out"))
+            got.append(fresh.first()["title_translit"])
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert got == ["x b", "x b"]
