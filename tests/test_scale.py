@@ -118,3 +118,10 @@ def test_streamed_decisions_of_one_place_hold_in_any_order(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert got == ["x b", "x b"]
+
+
+def test_normal_forms_are_of_distinct_words(spark, tmp_path):
+    sf = documents(spark, tmp_path, ("alpha beta " * 500, "src2"), ("beta gamma " * 500, "src2"))
+    found = registry.QUERIES["latin_keys"](spark, sf)
+    assert sorted(r["r"] for r in found.collect()) == ["alpha", "beta", "gamma"]
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
