@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from lamina.operators import audit, lexicon
+from lamina.operators import adjudicate, audit, lexicon
 from lamina.plans import jobs, registry
 from lamina.streaming import ingest
 
@@ -125,3 +125,29 @@ def test_normal_forms_are_of_distinct_words(spark, tmp_path):
     found = registry.QUERIES["latin_keys"](spark, sf)
     assert sorted(r["r"] for r in found.collect()) == ["alpha", "beta", "gamma"]
     assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_are_looked_up_outside_of_spark_maps(spark, tmp_path):
+    """A map of Spark is searched from its begin, so a title took time with its words times its distinct words."""
+    sf = documents(spark, tmp_path, ("alpha beta gamma", "src2"), ("beta delta", "src1"))
+    found = registry.QUERIES["glossed_titles"](spark, sf)
+    assert "element_at" not in plan(found) and found.count() == 2
+    of = adjudicate.apply_homograph
+    rows = spark.createDataFrame([("1", "الف با", ""), ("2", "", ""), ("3", "الف با", "")], "id string, title string, title_translit string")
+    ds = spark.createDataFrame([("a", "1", {"الف": "alif"}), ("b", "2", {}), ("c", "3", {"با": "x"}), ("d", "none", {})], "id string, row string, readings map<string,string>")
+    lex = spark.createDataFrame([("با", "bā")], "key string, reading string")
+    fresh, ledger = of(rows, ds, lex)
+    assert "element_at" not in plan(ledger)
+    assert {r["id"]: (r["status"], r["reason"]) for r in ledger.collect()} == {"a": ("applied", None), "b": ("quarantine", "a word is not settled"), "c": ("quarantine", "a word is not settled"), "d": ("quarantine", "no such row")}
+    assert {r["id"]: r["title_translit"] for r in fresh.collect()} == {"1": "alif bā", "2": "", "3": ""}
+
+
+def test_words_are_made_distinct_before_they_are_gathered(spark, tmp_path):
+    sf = documents(spark, tmp_path, ("abba beta abba", "src2"), ("abba delta", "src1"), ("abba", "src2"))
+    shadda, hamza, known = (registry.QUERIES[q](spark, sf) for q in ("shadda_items", "hamza_items", "known_sample"))
+    assert "Expand" not in plan(shadda) and "posexplode" not in plan(hamza) and "posexplode" not in plan(known)
+    assert [(r["translit"], r["n_rows"]) for r in shadda.collect()] == [("abba", 2)] and hamza.count() == 1 and known.count() == 2
