@@ -151,3 +151,10 @@ def test_words_are_made_distinct_before_they_are_gathered(spark, tmp_path):
     shadda, hamza, known = (registry.QUERIES[q](spark, sf) for q in ("shadda_items", "hamza_items", "known_sample"))
     assert "Expand" not in plan(shadda) and "posexplode" not in plan(hamza) and "posexplode" not in plan(known)
     assert [(r["translit"], r["n_rows"]) for r in shadda.collect()] == [("abba", 2)] and hamza.count() == 1 and known.count() == 2
+
+
+def test_no_document_holds_all_suggestions(spark, monkeypatch):
+    seen, entries = [], lexicon.suggestion_entries
+    monkeypatch.setattr(lexicon, "suggestion_entries", lambda doc: seen.append(doc) or entries(doc))
+    registry.QUERIES["suggestion_store"](spark, "/root/testdata/sf0.01")
+    assert seen[0].agg(F.max(F.size("machine_suggestions"))).first()[0] <= 1000
