@@ -158,3 +158,32 @@ def test_no_document_holds_all_suggestions(spark, monkeypatch):
     monkeypatch.setattr(lexicon, "suggestion_entries", lambda doc: seen.append(doc) or entries(doc))
     registry.QUERIES["suggestion_store"](spark, "/root/testdata/sf0.01")
     assert seen[0].agg(F.max(F.size("machine_suggestions"))).first()[0] <= 1000
+
+
+def test_a_document_may_lie_in_several_files(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    import pytest
+
+    from lamina.sources import parts
+
+    def put(name, *texts):
+        (tmp_path / name).mkdir()
+        for k, text in enumerate(texts):
+            (tmp_path / name / f"part-{k:05}.txt").write_text(text, encoding="utf-8")
+        return f"file://{tmp_path}/{name}"
+
+    cut = put("cut", '{"rows":[{"id":"}","of":{"a":1}', ',"t":"ä{"},{"id":"2"}', '],"other":[{"id":"3"}]}\n')
+    assert [tuple(r) for r in parts.items(spark, cut, "rows", "id string, t string").orderBy("ord").collect()] == [(0, "}", "ä{"), (1, "2", None)]
+    assert [tuple(r) for r in parts.items(spark, cut, "other", "id string").collect()] == [(0, "3")]
+    with pytest.raises(ValueError, match="closing brace"):
+        parts.items(spark, put("loose", '{"rows":[{"id":"1"},', '{"id":"2"}]}'), "rows", "id string")
+    seen, read = [], parts.items
+    monkeypatch.setattr(parts, "items", lambda spark, path, *rest: seen.append(path) or read(spark, path, *rest))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = registry.QUERIES["json_parts"](spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL").count()
+    assert len(list(Path(seen[0].removeprefix("file://")).glob("part-*"))) > 1
