@@ -199,3 +199,23 @@ def test_a_document_may_lie_in_several_files(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert found.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL").count()
     assert len(list(Path(seen[0].removeprefix("file://")).glob("part-*"))) > 1
+
+
+def test_titles_that_collide_are_told_by_digests(spark):
+    from lamina.operators import worklist
+
+    titles = ["كتاب العلم لابن", "كتابُ العلم لابنـ", "كتاب لابنه لابن لابن", "لابن", "𝔞 آلم، لإبن x", "اؐلابن لابن", "كتاب", "كتاب العلم  لابن أحمد", None]
+    rows = spark.createDataFrame([(f"r{k}", t, "a b c") for k, t in enumerate(titles)], "id string, title string, title_translit string")
+    marks = spark.createDataFrame([(f"r{k}", "لأبن" if k == 4 else "لابن", "tail") for k in range(9)], "row string, marker string, verdict string")
+    found = worklist.attribution_items(marks, rows, spark.createDataFrame([], "id string"))
+    got = {r["row"]: (r["proposed_title"], r["tail"], r["aligned"], r["collides_with"]) for r in found.collect()}
+    assert got == {
+        "r0": ("كتاب العلم", "لابن", True, ["r1", "r7"]), "r1": ("كتابُ العلم", "لابنـ", True, ["r0", "r7"]), "r2": ("كتاب لابنه", "لابن لابن", False, []), "r3": ("", "لابن", False, []),
+        "r4": ("𝔞 آلم،", "لإبن x", False, []), "r5": ("اؐ", "لابن لابن", True, []), "r7": ("كتاب العلم", "لابن أحمد", False, ["r0", "r1"]),
+    }
+    assert "norm#" in plan(found) and "normalized" not in plan(found)
+    cards = worklist.collisions(rows, F.col("title"))
+    assert dict(cards.select("id", "collides_with").collect()) == {"r0": ["r1"], "r1": ["r0"]}
+    for df in (found, cards):
+        schemas = [line for line in plan(df).splitlines() if "Relation" in line and "norm" in line]
+        assert schemas and not any("title" in line for line in schemas)
