@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from lamina.operators import adjudicate, audit, lexicon
+from lamina.operators import adjudicate, audit, lexicon, worklist
 from lamina.plans import jobs, registry
 from lamina.streaming import ingest
 
@@ -219,3 +219,31 @@ def test_titles_that_collide_are_told_by_digests(spark):
     for df in (found, cards):
         schemas = [line for line in plan(df).splitlines() if "Relation" in line and "norm" in line]
         assert schemas and not any("title" in line for line in schemas)
+
+
+def _titles(spark):
+    odd = [("1", "با تا با", "ba ta bi"), ("2", "تا، ثا x جّا", "ta  sa ja"), ("20", "", ""), ("3", None, "b"), ("4", "با", None), ("5", "با", "b c"), ("10", "با\nـتا 1٢", " bo to "), ("6", "ab", "")]
+    return spark.createDataFrame([*odd, *((str(k), "با تا ثا " * 50, "ba ta sa " * 50) for k in range(100, 400))], "id string, title string, title_translit string").coalesce(1)
+
+
+def test_tasks_pass_on_words_not_occurrences(spark):
+    rows = _titles(spark)
+    want = set(map(tuple, worklist.aligned_words(rows).select("l", "r").distinct().collect()))
+    got = [tuple(r) for r in worklist.word_pairs(rows).collect()]
+    assert set(got) == want and len(got) < 20
+
+
+def test_first_pairs_keep_each_words_first(spark):
+    rows = _titles(spark)
+    want = set(map(tuple, lexicon.first_reading(worklist.aligned_words(rows), ["id", "pos"]).collect()))
+    passed = worklist.first_pairs(rows).cache()
+    assert set(map(tuple, lexicon.first_reading(passed, ["id", "pos"]).collect())) == want and passed.count() < 20
+
+
+def test_lettered_texts(spark):
+    from lamina.sources.letters import ARABIC, LATIN, lettered
+
+    texts = spark.createDataFrame([(1, "a, bc é--d "), (2, None), (3, ""), (4, "  12 "), (5, "zz"), (6, "é\nq")], "k int, text string").coalesce(1)
+    got = texts.mapInArrow(lettered, "k int, words string, title string").collect()
+    assert [r["words"] for r in got] == ["a bc d", None, "", "", "zz", "q"]
+    assert [r["title"] for r in got] == [None if r["words"] is None else r["words"].translate(str.maketrans(LATIN, ARABIC)) for r in got]
