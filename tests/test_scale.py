@@ -247,3 +247,18 @@ def test_lettered_texts(spark):
     got = texts.mapInArrow(lettered, "k int, words string, title string").collect()
     assert [r["words"] for r in got] == ["a bc d", None, "", "", "zz", "q"]
     assert [r["title"] for r in got] == [None if r["words"] is None else r["words"].translate(str.maketrans(LATIN, ARABIC)) for r in got]
+
+
+def test_witnesses_are_counted_before_they_meet(spark):
+    rows = _titles(spark).unionByName(spark.createDataFrame([("900", "با تا", ""), ("901", "ثا", "")], "id string, title string, title_translit string"))
+    pairs = worklist.aligned_words(rows)
+    found = lexicon.readings(pairs)
+    made = lambda p: sorted(map(repr, worklist.homograph_items(rows, p, lexicon.lexicon(found), found.where("contested")).select("id", "keys", "n_compositions").collect()))
+    passed = worklist.witnessed(rows).cache()
+    assert made(passed) == made(pairs) and len(made(pairs)) and passed.count() < 20
+
+
+def test_vocabulary_is_that_of_all_words(spark):
+    rows, names = _titles(spark).withColumn("author", F.lit("جّا ab")), spark.createDataFrame([("1", "كا با")], "cluster_id string, name string")
+    assert sorted(worklist.vocabulary(rows, names).collect()) == sorted(worklist.occurrences(rows, names).select("word").distinct().collect())
+    assert worklist.occurrences(rows, names).where("surface = 'title'").count() == worklist.occurrences(rows, names).where("surface = 'title'").distinct().count()
