@@ -262,3 +262,14 @@ def test_vocabulary_is_that_of_all_words(spark):
     rows, names = _titles(spark).withColumn("author", F.lit("جّا ab")), spark.createDataFrame([("1", "كا با")], "cluster_id string, name string")
     assert sorted(worklist.vocabulary(rows, names).collect()) == sorted(worklist.occurrences(rows, names).select("word").distinct().collect())
     assert worklist.occurrences(rows, names).where("surface = 'title'").count() == worklist.occurrences(rows, names).where("surface = 'title'").distinct().count()
+
+
+def test_over_merge_broadcasts_nothing(spark):
+    names = ["خالد بن سالم", "سالم بن خالد", "خالد المكي", "داود بن سالم البصري"]
+    forms = spark.createDataFrame([(str(k % 2), n, names[0]) for k, n in enumerate(names * 2)], "cluster_id string, form string, canonical string")
+    forms = forms.unionByName(forms.where("cluster_id = '1'").crossJoin(spark.range(60)).selectExpr("'2' AS cluster_id", "concat(form, ' ', chr(97 + id % 26), chr(97 + id / 26)) AS form", "canonical"))
+    found = audit.over_merge(forms, spark.createDataFrame([("داود", 1)], "token string, df long"))
+    # what is put in order is read from a file, not judged anew for the sort's sample
+    plan = found._jdf.queryExecution().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    assert found.count() and all(r["form_a"] != r["form_b"] for r in found.collect())
