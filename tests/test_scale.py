@@ -273,3 +273,11 @@ def test_over_merge_broadcasts_nothing(spark):
     plan = found._jdf.queryExecution().toString()
     assert "Broadcast" not in plan and "Join" not in plan
     assert found.count() and all(r["form_a"] != r["form_b"] for r in found.collect())
+
+
+def test_runs_of_texts(spark):
+    from lamina.operators import textindex
+
+    texts = ["abcabc", "", "ab", "a\nb😀c", "abc"]
+    got = spark.createDataFrame(list(enumerate(texts)), "key int, text string").coalesce(1).mapInArrow(textindex._runs, "key int, run string").collect()
+    assert sorted(map(tuple, got)) == sorted({(k, t[i : i + 3]) for k, t in enumerate(texts) for i in range(len(t) - 2)})
