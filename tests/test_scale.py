@@ -281,3 +281,23 @@ def test_runs_of_texts(spark):
     texts = ["abcabc", "", "ab", "a\nb😀c", "abc"]
     got = spark.createDataFrame(list(enumerate(texts)), "key int, text string").coalesce(1).mapInArrow(textindex._runs, "key int, run string").collect()
     assert sorted(map(tuple, got)) == sorted({(k, t[i : i + 3]) for k, t in enumerate(texts) for i in range(len(t) - 2)})
+
+
+def test_readings_are_composed_in_time_with_a_titles_words(spark):
+    """A lambda that refers to an array works it out anew for each element."""
+    odd = [("1", "با تا"), ("2", "با جا"), ("3", "تا الجا"), ("4", "تا دا تا"), ("5", "")]
+    rows = spark.createDataFrame([*((k, t, "") for k, t in odd), ("long", "با تا " * 5_000, "")], "id string, title string, title_translit string")
+    pairs = spark.createDataFrame([(l, r, 1, [k]) for l, r, k in (("تا", "tah", "7"), ("تا", "toh", "8"), ("تا", "tā", "9"))], "l string, r string, n bigint, ids array<string>")
+    lex = spark.createDataFrame([("با", "bah"), ("دا", "fī"), ("الجا", "al-ǧā")], "key string, reading string")
+    began = time.perf_counter()
+    found = worklist.homograph_items(rows, pairs, lex, spark.createDataFrame([("تا",)], "key string"), 2)
+    got = {r["id"]: (r["n_compositions"], r["compositions"]) for r in found.collect()}
+    assert time.perf_counter() - began < 60
+    assert got.pop("long") == (3, {"tah": " ".join(["bat tat"] * 4_999 + ["bat tah"]), "toh": " ".join(["bat toh"] * 5_000)})
+    assert got == {"1": (3, {"tah": "bat tah", "toh": "bat toh"}), "3": (3, {"tah": "tat al-ǧā", "toh": "toh al-ǧā"}), "4": (3, {"tah": "tah fī tah", "toh": "toh fī toh"})}
+    words, readings = ["با", "الف", "ab", None, "با", "تا"], ["aah", "ʿah", "In", "li-xah", "bah", "tah"]
+    from itertools import permutations
+
+    each = [(list(w), list(r)) for w, r in zip(permutations(words, 4), permutations(readings, 4))] + [(words[:k], list(r)) for k in (0, 1, 2) for r in permutations(readings, k)]
+    want = spark.createDataFrame(each, "w array<string>, p array<string>").select(lexicon.construct(F.col("p"), F.col("w")).alias("c")).collect()
+    assert [lexicon.constructed(p, w) for w, p in each] == [r["c"] for r in want]
