@@ -301,3 +301,18 @@ def test_readings_are_composed_in_time_with_a_titles_words(spark):
     each = [(list(w), list(r)) for w, r in zip(permutations(words, 4), permutations(readings, 4))] + [(words[:k], list(r)) for k in (0, 1, 2) for r in permutations(readings, k)]
     want = spark.createDataFrame(each, "w array<string>, p array<string>").select(lexicon.construct(F.col("p"), F.col("w")).alias("c")).collect()
     assert [lexicon.constructed(p, w) for w, p in each] == [r["c"] for r in want]
+
+
+def test_lists_of_those_that_collide_stand_beside_them_last(spark, monkeypatch):
+    """A list for each member of a group grows with the square of the group, so it is made above all joins."""
+    rows = spark.createDataFrame([(f"r{k}", "لابن سالم" if k < 30 else f"كتاب{'ا' * (k % 4)} لابن", "") for k in range(40)] + [("r99", None, None)], "id string, title string, title_translit string")
+    marks = rows.select(F.col("id").alias("row"), F.lit("لابن").alias("marker"), F.lit("tail").alias("verdict"))
+    keeps = spark.createDataFrame([("r39-attr",)], "id string")
+    beside = marks.join(rows.withColumnRenamed("id", "row"), "row")
+    monkeypatch.setattr(worklist, "PART", 7)
+    same = lambda k: [f"r{i}" for i in (range(30) if k < 30 else range(30 + (k - 30) % 4, 39, 4)) if i != k]
+    for few in (worklist.FEW, 0):
+        monkeypatch.setattr(worklist, "FEW", few)
+        for found in (worklist.attribution_items(marks, rows, keeps), worklist.attribution_items(beside, None, keeps)):
+            assert {r["row"]: r["collides_with"] for r in found.collect()} == {f"r{k}": sorted(same(k)) for k in range(39)}
+            assert plan(found).index("array_remove") < plan(found).index("Join")
