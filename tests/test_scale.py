@@ -316,3 +316,23 @@ def test_lists_of_those_that_collide_stand_beside_them_last(spark, monkeypatch):
         for found in (worklist.attribution_items(marks, rows, keeps), worklist.attribution_items(beside, None, keeps)):
             assert {r["row"]: r["collides_with"] for r in found.collect()} == {f"r{k}": sorted(same(k)) for k in range(39)}
             assert plan(found).index("array_remove") < plan(found).index("Join")
+
+
+def test_stripped_tails_are_shuffled_once_and_saved_once(spark, tmp_path, monkeypatch):
+    """A row's ledger comes with it, what is kept carries no text, and neither titles nor decisions are saved but folded."""
+    from lamina.plans import catalogue_queries
+
+    sf = documents(spark, tmp_path, ("see the end", "src2"), ("one two three four", "src1"), ("a", "src2"))
+    saves, seen = [], []
+    for module in (catalogue_queries, adjudicate, worklist):
+        monkeypatch.setattr(module, "saved", lambda df, save=module.saved: saves.append(df.columns) or save(df))
+    fold_rows = adjudicate._fold_rows
+    monkeypatch.setattr(adjudicate, "_fold_rows", lambda rows, d, *rest, **more: seen.append(d) or fold_rows(rows, d, *rest, **more))
+    found = registry.QUERIES["ingest_attribution"](spark, sf)
+    assert len(saves) == 2 and "Join" not in plan(found)
+    assert {r["id"]: r["statuses"] for r in found.collect()} == {"1": "applied|unchanged", "2": "applied|unchanged", "3": "quarantine|unchanged"}
+    assert all(r["tail"] is None and r["target"] is None for r in seen[0].where("action = 'keep'").collect()) and seen[0].where("tail IS NOT NULL").count() == 3
+    rows = spark.createDataFrame([("r1", "a b", ""), ("r2", "c", "")], "id string, title string, title_translit string")
+    d = spark.createDataFrame([("d", "r1", "keep"), ("e", "r1", None)], "id string, row string, action string").withColumns({c: F.lit("x") for c in ("was", "target", "target_translit", "tail", "tail_translit")})
+    fresh, _ = adjudicate.apply_attribution(rows, d, "own")
+    assert {r["id"]: None if r["own"] is None else sorted((x["id"], x["status"]) for x in r["own"]) for r in fresh.collect()} == {"r1": [("d", "unchanged"), ("e", "quarantine")], "r2": None}
