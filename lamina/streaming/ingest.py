@@ -10,6 +10,7 @@ most holds. The table of rows stays as it was while the stream lives. The homogr
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,10 +89,30 @@ def versions(decisions: DataFrame, rows: DataFrame) -> DataFrame:
     return met.mapInArrow(_versions, VERSIONS)
 
 
-def current(rows: DataFrame, made: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows after the decisions that have come so far, and their ledger, from all versions that a stream has given."""
-    last = made.groupBy("row").agg(F.max_by(F.struct(*made.columns), "version").alias("v")).select("v.*")
+def dealt(df: DataFrame, key: str, folder: str, name: str | None = None) -> DataFrame:
+    """df saved below the folder by the hash of its key, in as many buckets as shuffles have partitions, and read again: what is grouped by that key or meets
+    by it isn't shuffled. name: a table that each call adds to and that the
+    caller drops from the catalog."""
+    spark = df.sparkSession
+    table = name or f"lamina_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.mode("append").bucketBy(buckets, key).option("path", folder).option("compression", "zstd").format("parquet").saveAsTable(table)
+    found = spark.table(table)
+    if name is None:  # the files stay, and what is read of them
+        spark.sql(f"DROP TABLE {table}")
+    return found
+
+
+def current(rows: DataFrame, made: DataFrame, entries: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows after the decisions that have come so far, and their ledger, from all versions that a stream has given. entries: a column of the rows for their
+    own ledger, null for none, so that who wants both needs no join of them. Of rows that have a version only what that lacks is read."""
     own = [c for c in FIELDS if c in rows.columns]
-    met = rows.join(last.where("known").select(F.col("row").alias("id"), F.struct(*own).alias("__v")), "id", "left")
-    fresh = met.select(*(F.coalesce(F.col(f"__v.{c}"), F.col(c)).alias(c) if c in own else F.col(c) for c in rows.columns))
-    return fresh, last.select("row", F.explode("ledger").alias("l")).select("row", "l.*")
+    wide = [*own, "ledger"] if entries else own
+    known = made.where("known").withColumnRenamed("row", "id")
+    last = known.groupBy("id").agg(F.max_by(F.struct(*wide), "version").alias("__v"))
+    more = {entries: F.col("__v.ledger")} if entries else {}
+    fields = [F.col(f"__v.{c}").alias(c) if c in own else F.col(c) for c in rows.columns]
+    touched = rows.select(*(c for c in rows.columns if c not in own)).join(last, "id").select(*fields, *(c.alias(name) for name, c in more.items()))
+    rest = rows.join(known.select("id").distinct(), "id", "left_anti").select(*rows.columns, *(F.lit(None).cast(LEDGER).alias(name) for name in more))
+    ledger = made.groupBy("row").agg(F.max_by("ledger", "version").alias("ledger"))
+    return touched.unionByName(rest), ledger.select("row", F.explode("ledger").alias("l")).select("row", "l.*")

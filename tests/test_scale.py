@@ -336,3 +336,29 @@ def test_stripped_tails_are_shuffled_once_and_saved_once(spark, tmp_path, monkey
     d = spark.createDataFrame([("d", "r1", "keep"), ("e", "r1", None)], "id string, row string, action string").withColumns({c: F.lit("x") for c in ("was", "target", "target_translit", "tail", "tail_translit")})
     fresh, _ = adjudicate.apply_attribution(rows, d, "own")
     assert {r["id"]: None if r["own"] is None else sorted((x["id"], x["status"]) for x in r["own"]) for r in fresh.collect()} == {"r1": [("d", "unchanged"), ("e", "quarantine")], "r2": None}
+
+
+def test_streamed_rows_and_versions_are_dealt_once(spark, tmp_path):
+    """What is grouped by a key or meets by it isn't shuffled after it has been dealt by that key, and no table is left in the catalog."""
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    sf = documents(spark, tmp_path, ("one two one", "src2"), ("three four", "src1"), ("five six", "src2"), ("", "src2"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = registry.QUERIES["ingest_batches"](spark, sf)
+        assert shuffles(found) == 0
+        assert {r["id"]: (r["title_translit"], r["statuses"]) for r in found.collect()} == {"1": ("z two z", "applied|applied"), "2": ("", "applied"), "3": ("z six", "applied|applied")}
+        rows = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("c", 3, None)], "id string, k int, title string")
+        rows = ingest.dealt(rows, "id", f"file://{tmp_path}/rows")
+        own = ("", "", "", "")
+        made = spark.createDataFrame([("a", 1, True, "old", *own, []), ("a", 2, True, "new", *own, [("d", "witness", "applied", None, False)]), ("z", 1, False, "", *own, [("e", "witness", "quarantine", "no such row", False)])], ingest.VERSIONS)
+        for part in (made.where("version = 1"), made.where("version = 2")):
+            versions = ingest.dealt(part, "row", f"file://{tmp_path}/made", "lamina_made")
+        fresh, ledger = ingest.current(rows, versions, "own")
+        assert shuffles(fresh) == shuffles(ledger) == 0
+        assert sorted((r["id"], r["k"], r["title"], None if r["own"] is None else [x["id"] for x in r["own"]]) for r in fresh.collect()) == [("a", 1, "new", ["d"]), ("b", 2, "y", None), ("c", 3, None, None)]
+        assert sorted((r["row"], r["id"]) for r in ledger.collect()) == [("a", "d"), ("z", "e")]
+        spark.sql("DROP TABLE lamina_made")
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("lamina_")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
